@@ -1 +1,121 @@
-"""Registered queries."""
+"""Queries that train models. Their results have no SQL equivalent, so they carry none."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabwright.catalog.correlating import pairs
+from tabwright.catalog.registry import query
+from tabwright.functions.types import rounded
+from tabwright.operators import evaluate, importance
+from tabwright.operators.split import TEST, TRAIN, stratified_split
+from tabwright.plans import analysis, bias, search
+from tabwright.plans.classifier import TabularClassifier
+
+_XS = ["x1", "x2", "x3", "x4"]
+
+# A search space small enough for a check run; the keys are those of a full one.
+SETTINGS = {
+    "preprocessing": {
+        "outliers": {"strategies": ["none", "clip"], "thresholds": [2.0, 3.0, 4.0]},
+        "encoding": {"features": {
+            "lang": {"strategy": "one-hot", "alternatives": ["frequency", "ordinal"]},
+            "source": {"strategy": "frequency"},
+        }},
+        "target_balancing": {"smote": {"sampling_strategy": ["auto", "not majority"], "k_neighbors": [3, 5]}},
+    },
+    "models": {
+        "boosted_trees": {"n_estimators": [3, 5], "max_depth": [2, 3], "learning_rate": [0.1, 0.3]},
+        "random_forest": {"n_estimators": [5, 10], "max_depth": [3, 5]},
+    },
+}
+
+
+def _rows(t):
+    return t.v_feat.select("row_id", *_XS, "cat", "label")
+
+
+def _fitted(t, **options):
+    split = stratified_split(_rows(t), "label", "row_id")
+    estimator = TabularClassifier("label", "row_id", {"cat": "one-hot"}, **options)
+    model = estimator.fit(split.where(F.col("split") == TRAIN).drop("split"))
+    return model, model.transform(split.where(F.col("split") == TEST))
+
+
+@query("m1_boosted_trees")
+def boosted_trees(t):
+    _, scored = _fitted(t, oversample=False, params={"classifier__n_estimators": 3, "classifier__max_depth": 3})
+    return evaluate.classification_report(scored, "label", "prediction")
+
+
+@query("m2_random_forest")
+def random_forest(t):
+    _, scored = _fitted(t, model="random_forest", oversample=False,
+                        params={"classifier__n_estimators": 20, "classifier__max_depth": 6})
+    return evaluate.classification_report(scored, "label", "prediction")
+
+
+@query("m3_oversampling_classifier")
+def oversampling(t):
+    _, scored = _fitted(t, model="random_forest", params={
+        "outlier_handler__strategy": "clip", "smote__k_neighbors": 3, "classifier__n_estimators": 10,
+        "classifier__max_depth": 5})
+    return evaluate.per_class_metrics(scored, "label", "prediction")
+
+
+@query("m5_random_search")
+def random_search(t):
+    encoding = {"lang": ("one-hot", ["frequency", "ordinal"]), "source": "frequency"}
+    estimator = TabularClassifier("quality", "row_id", encoding, model="random_forest")
+    space = search.parameter_space(SETTINGS, encoding, "random_forest")
+    return search.tune_hyperparameters(t.v_doc, estimator, space, n_iter=2, cv=2).table
+
+
+@query("m11_model_importance")
+def model_importance(t):
+    model, _ = _fitted(t, oversample=False, params={"classifier__n_estimators": 2, "classifier__max_depth": 3})
+    return model.importances(20)
+
+
+@query("m12_full_run")
+def full_run(t):
+    out = search.run_full_pipeline(t.v_doc, SETTINGS, label_col="quality", id_col="row_id", n_iter=1, cv=2,
+                                   model="random_forest")
+    return out["report"]
+
+
+@query("f1_forest_importance")
+def forest_importance(t):
+    return importance.forest_importance(t.v_feat, _XS, "label", n_estimators=20, max_depth=6)
+
+
+@query("f4_permutation_importance")
+def permutation_importance(t):
+    rows = _rows(t).drop("cat")
+    model = importance.fit_forest(rows, _XS, "label", n_estimators=10, max_depth=5)
+    out = importance.permutation_importance(
+        rows, lambda r: model.transform(importance.assembled(r, _XS)), _XS, "label", id_col="row_id", n_repeats=10)
+    return out.withColumns({c: rounded(F.col(c)) for c in ("importance", "deviation")})
+
+
+@query("f9_recursive_elimination")
+def recursive_elimination(t):
+    return importance.recursive_elimination(t.v_feat, [*_XS, "pred"], "label", keep=3, n_estimators=10, max_depth=5)
+
+
+@query("f11_principal_components")
+def principal_components(t):
+    return importance.principal_components(t.v_feat, _XS, 2, keep=["row_id", "label"])
+
+
+@query("g3_mitigated_model")
+def mitigated_model(t):
+    rows = t.v_feat.select("row_id", *_XS, "cat", "leak", "label")
+    return bias.mitigate_bias(rows, ["leak"], "label", "row_id", n_estimators=10, max_depth=5)["comparison"]
+
+
+@query("analysis_feature_importance")
+def feature_importance(t):
+    found = analysis.feature_importance_analysis(
+        t.v_feat, _XS, "label", id_col="row_id", pairs=pairs(t), n_estimators=10, max_depth=5, n_repeats=3)
+    return found["comparison"]

@@ -31,7 +31,7 @@ def default_preparation(df: DataFrame, label_col: str, encoding_map: dict, *, id
     return FeatureEncoder(encoding_map, order_col=order_col or id_col).fit(clipped).transform(clipped)
 
 
-def _importance_frame(df: DataFrame, features: Sequence[str], values: Sequence[float]) -> DataFrame:
+def importance_frame(df: DataFrame, features: Sequence[str], values: Sequence[float]) -> DataFrame:
 
 
     return local_frame(df.sparkSession, pa.table({
@@ -52,7 +52,7 @@ def fit_forest(df: DataFrame, features: Sequence[str], label_col: str, n_estimat
 def forest_importance(df: DataFrame, features: Sequence[str], label_col: str, n_estimators: int = 100,
                       max_depth: int = 10, seed: int = 42) -> DataFrame:
     model = fit_forest(df, features, label_col, n_estimators, max_depth, seed)
-    return _importance_frame(df, features, model.featureImportances.toArray())
+    return importance_frame(df, features, model.featureImportances.toArray())
 
 
 def importance_curve(importance: DataFrame) -> DataFrame:

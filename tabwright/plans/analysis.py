@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tabwright.functions.state import settle
 from tabwright.operators import correlate, distribution, importance
@@ -29,7 +29,7 @@ def feature_importance_analysis(df: DataFrame, features: Sequence[str], label_co
                                 n_repeats: int = 10, seed: int = 42) -> dict[str, DataFrame]:
     """Forest and permutation importance, their agreement with correlation, and a recommended set."""
     model = importance.fit_forest(df, features, label_col, n_estimators, max_depth, seed)
-    forest = settle(importance._importance_frame(df, features, model.featureImportances.toArray()))
+    forest = settle(importance.importance_frame(df, features, model.featureImportances.toArray()))
     permuted = settle(importance.permutation_importance(
         df, lambda rows: model.transform(importance.assembled(rows, features)), features, label_col,
         id_col=id_col, n_repeats=n_repeats, seed=seed,
@@ -38,7 +38,8 @@ def feature_importance_analysis(df: DataFrame, features: Sequence[str], label_co
     out = {"forest": forest, "permutation": permuted, "top": top}
     classified = None
     if pairs is not None:
-        compared = importance.importance_vs_correlation(forest, permuted, correlate.target_correlation(pairs, label_col))
+        with_target = correlate.target_correlation(pairs, label_col).where(F.col("feature").isin(*features))
+        compared = importance.importance_vs_correlation(forest, permuted, with_target)
         classified = settle(importance.classify_features(compared))
         out["comparison"] = classified
     out["recommended"] = importance.recommended_features(top, classified)

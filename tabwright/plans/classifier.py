@@ -63,18 +63,18 @@ class TabularClassifier(Estimator):
             raise ValueError(f"unknown model '{model}'")
         self.label_col, self.id_col, self.model, self.oversample = label_col, id_col, model, oversample
         self.encoding_map, self.encoding_params = dict(encoding_map or {}), dict(encoding_params or {})
-        self.ignore, self.params, self.seed = tuple(ignore), dict(params or {}), seed
-        for name in self.params:
+        self.ignore, self.chosen, self.seed = tuple(ignore), dict(params or {}), seed
+        for name in self.chosen:
             if name.split("__", 1)[0] not in self.COMPONENTS:
                 raise ValueError(f"unknown parameter '{name}'")
 
     def with_params(self, params: Mapping) -> "TabularClassifier":
         return TabularClassifier(self.label_col, self.id_col, self.encoding_map, self.encoding_params, self.model,
-                                 self.oversample, self.ignore, {**self.params, **params}, self.seed)
+                                 self.oversample, self.ignore, {**self.chosen, **params}, self.seed)
 
     def _of(self, component: str) -> dict:
         head = component + "__"
-        return {k[len(head):]: v for k, v in self.params.items() if k.startswith(head)}
+        return {k[len(head):]: v for k, v in self.chosen.items() if k.startswith(head)}
 
     def _fit(self, dataset: DataFrame) -> "TabularClassifierModel":
         table = dataset.drop(*self.ignore)
