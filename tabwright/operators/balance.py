@@ -97,7 +97,8 @@ class SMOTEBalancer:
         rows = df.select(
             F.col(id_col), F.col(label_col), F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_vec")
         ).join(quotas.select(F.col("class_value").alias(label_col)), label_col, "left_semi")
-        ends = quota_cuts(rows, [id_col], self.random_state, quotas.withColumn("name", F.lit("extra")), label_col)
+        ends = quota_cuts(rows, [id_col], self.random_state, quotas.withColumn("name", F.lit("extra")), label_col,
+                          sum(n for _, n in growing))
         share = quotas.join(ends.select("class_value", "cut"), "class_value", "left").select(
             F.col("class_value").alias(label_col), "each", "cut"
         )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.ml.base import Estimator, Model
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from tabwright.functions.state import local_frame
 from tabwright.functions.types import replace_columns, require_columns
 from tabwright.operators.knn import k_nearest
 from tabwright.operators.profile import numeric_columns_except
@@ -71,21 +73,18 @@ class SimpleImputerModel(Model):
         return replace_columns(dataset, new)
 
 
-def _standardised(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def _standardised(df: DataFrame, features: Sequence[str], gappy: Sequence[str]) -> DataFrame:
     """``_vec``: the features with medians in the gaps, centred and scaled by the population deviation."""
-    medians = SimpleImputer("median", features).fit(df)
-    filled = medians.transform(df.select(*features))
-    row = filled.agg(*[
-        agg for f in features
-        for agg in (F.avg(F.col(f).cast("double")).alias(f"m_{f}"), F.stddev_pop(F.col(f).cast("double")).alias(f"s_{f}"))
+    values = {f: F.col(f).cast("double") for f in features}
+    if gappy:
+        for f, median in SimpleImputer("median", gappy).fit(df).fills.items():
+            values[f] = F.coalesce(values[f], F.lit(float(median)))
+    row = df.agg(*[
+        F.struct(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std")).alias(f) for f, v in values.items()
     ]).first()
-    scaled = []
-    for f in features:
-        value = F.col(f).cast("double")
-        if f in medians.fills:
-            value = F.coalesce(value, F.lit(float(medians.fills[f])))
-        scaled.append((value - F.lit(row[f"m_{f}"])) / F.lit(row[f"s_{f}"] or 1.0))
-    return df.withColumn("_vec", F.array(*scaled))
+    return df.withColumn("_vec", F.array(*[
+        (v - F.lit(row[f]["mean"])) / F.lit(row[f]["std"] or 1.0) for f, v in values.items()
+    ]))
 
 
 def impute_knn(df: DataFrame, column_to_impute: str, n_neighbors: int = 5, *, id_col: str,
@@ -100,20 +99,22 @@ def impute_knn(df: DataFrame, column_to_impute: str, n_neighbors: int = 5, *, id
     if not isinstance(kind, T.NumericType):
         raise ValueError(f"column '{column_to_impute}' is not numeric")
     target = F.col(column_to_impute)
-    known, gaps = df.agg(F.count(target), F.count_if(target.isNull())).first()
-    if known == 0:
+    features = list(feature_cols) if feature_cols else numeric_columns_except(df, column_to_impute, id_col, label_col)
+    filled = df.agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(target).alias("_known"), *[F.count(f).alias(f"_n_{f}") for f in features]
+    ).first()
+    if filled["_known"] == 0:
         raise ValueError(f"all values in column '{column_to_impute}' are missing")
-    if gaps == 0:
+    if filled["_known"] == filled["_rows"]:
         return df
-    features = list(feature_cols) if feature_cols else numeric_columns_except(df, column_to_impute, id_col, label_col)
     # a column without any value cannot tell rows apart
-    present = df.agg(*[F.count(f).alias(f) for f in features]).first() if features else None
-    features = [f for f in features if present[f]]
+    features = [f for f in features if filled[f"_n_{f}"]]
+    gappy = [f for f in features if filled[f"_n_{f}"] < filled["_rows"]]
     if not features:
         fill = df.agg(F.avg(target.cast("double"))).scalar()
         value = F.coalesce(target.cast("double"), fill)
     else:
-        ready = _standardised(df.select(id_col, column_to_impute, *[f for f in features if f != id_col]), features)
+        ready = _standardised(df.select(id_col, column_to_impute, *features), features, gappy)
         ready = ready.select(F.col(id_col), "_vec", target.cast("double").alias("_known"))
         near = k_nearest(
             ready.where(F.col("_known").isNull()), ready.where(F.col("_known").isNotNull()), n_neighbors,
@@ -131,11 +132,12 @@ def create_holdout_mask(df: DataFrame, column: str, holdout_fraction: float = 0.
                         seed: int = 42) -> DataFrame:
     """Adds ``is_holdout`` (a seeded share of the known values, rounded down) and ``holdout_value``."""
     known = df.where(F.col(column).isNotNull())
-    quotas = known.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(0).alias("class_value"), F.lit("holdout").alias("name"),
-        F.floor(F.col("n") * F.lit(float(holdout_fraction))).alias("quota"),
-    )
-    cut = quota_cuts(known, [id_col], seed, quotas).select("cut").scalar()
+    n_known = known.count()
+    quotas = local_frame(df.sparkSession, pa.table({
+        "class_value": pa.array([0], pa.int32()), "name": ["holdout"],
+        "quota": pa.array([int(n_known * holdout_fraction)], pa.int64()),
+    }))
+    cut = quota_cuts(known, [id_col], seed, quotas, n_rows=n_known).select("cut").scalar()
     held = F.coalesce(F.col(column).isNotNull() & (cut_key([id_col], seed) <= cut), F.lit(False))
     return df.withColumn("is_holdout", held).withColumn("holdout_value", F.when(F.col("is_holdout"), F.col(column)))
 

@@ -2,36 +2,48 @@
 
 Comparing every receiver with every donor is quadratic, and collecting one side does not scale.
 Donors are therefore assigned to cells around a bounded number of pivot rows, each cell knowing
-the smallest and largest distance of its donors to its pivot. The triangle inequality then
-tells which cells can hold one of a receiver's k nearest donors; the receiver visits those only. The
-result is exact. Two kinds of skew are handled: copies of a vector are collapsed to the few that can
-matter, and crowded cells are cut into chunks of donors and blocks of receivers of bounded
-size, whose partial answers are merged.
+the smallest and largest distance of its donors to its pivot. A receiver first searches the cell
+around its nearest pivot. The distance to the k-th donor found there and the triangle inequality
+tell which other cells can hold a closer one, and the receiver visits only those. The result is
+exact. Two kinds of skew are handled: copies of a vector are collapsed to the few that can matter,
+and crowded cells are cut into chunks of donors and blocks of receivers of bounded size, whose
+partial answers are merged.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tabwright.functions.hashing import order_hash
 from tabwright.functions.state import cut_lineage, local_frame, small_rows
 
-MAX_PIVOTS = 2048
-DONORS_PER_PIVOT = 2000
+# tasks get the code of this module with them, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+MAX_PIVOTS = 4096
+DONORS_PER_PIVOT = 500
+# Most donors and receivers that meet in one call.
 CHUNK_ROWS = 20_000
+BLOCK_ROWS = 5_000
 TILE_CELLS = 1_000_000
 DISTANCE_DIGITS = 9
 MAX_CELLS = 500_000
+NO_GROUP = "\0"
 
 
-def _matrix(vectors) -> np.ndarray:
-    return np.stack(vectors.to_numpy() if isinstance(vectors, pd.Series) else vectors).astype(np.float64)
+def _matrix(column) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(flat.flatten(), dtype=np.float64).reshape(len(flat), -1)
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -41,7 +53,7 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         step = a[:, j, None] - b[None, :, j]
         step *= step
         total += step
-    return np.sqrt(total)
+    return np.sqrt(total, out=total)
 
 
 def _tiles(n: int, width: int) -> Iterator[slice]:
@@ -50,70 +62,75 @@ def _tiles(n: int, width: int) -> Iterator[slice]:
         yield slice(start, min(n, start + size))
 
 
-def _assigner(pivots: np.ndarray):
-    """Nearest pivot and the distance to it."""
+def _nearest_pivot(pivots: np.ndarray, vector: str):
+    """Adds the nearest pivot (``cell``) and the distance to it (``gap``)."""
 
-    @F.pandas_udf("cell int, gap double")
-    def assign(vectors: pd.Series) -> pd.DataFrame:
-        points = _matrix(vectors)
-        cell = np.empty(len(points), dtype=np.int32)
-        gap = np.empty(len(points))
-        for part in _tiles(len(points), len(pivots)):
-            d = _distances(points[part], pivots)
-            cell[part] = d.argmin(axis=1)
-            gap[part] = d.min(axis=1)
-        return pd.DataFrame({"cell": cell, "gap": gap})
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = _matrix(batch.column(vector))
+            cell, gap = np.empty(len(points), dtype=np.int32), np.empty(len(points))
+            for part in _tiles(len(points), len(pivots)):
+                d = _distances(points[part], pivots)
+                cell[part] = d.argmin(axis=1)
+                gap[part] = d[np.arange(len(d)), cell[part]]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cell), pa.array(gap)], [*batch.schema.names, "cell", "gap"]
+            )
 
     return assign
 
 
-def _router(pivots: np.ndarray, pivot_group: np.ndarray, cells: pd.DataFrame, need: int):
-    """For each receiver, the cells that may hold one of its nearest donors."""
-    by_group = {
-        g: (c["cell"].to_numpy(), c["n"].to_numpy(), c["outer"].to_numpy(), c["inner"].to_numpy())
-        for g, c in cells.groupby("grp", dropna=False)
-    }
-    pivots_of = {g: np.flatnonzero(pivot_group == g) for g in by_group}
+def _router(pivots: np.ndarray, cells: pd.DataFrame, need: int):
+    """For each receiver, the cells besides its own that may hold one of its nearest donors."""
+    by_group = {g: tuple(c[k].to_numpy() for k in ("cell", "n", "outer", "inner")) for g, c in cells.groupby("grp")}
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for group, rows in batch.groupby("grp"):
+            groups = np.array(batch.column("grp").to_pylist(), dtype=object)
+            points, home = _matrix(batch.column("vec")), np.asarray(batch.column("cell"))
+            found = batch.column("tau").to_numpy(zero_copy_only=False)
+            lines, targets = [], []
+            for group in set(groups):
                 if group not in by_group:
                     continue
                 cell, n, outer, inner = by_group[group]
-                points = _matrix(rows["vec"])
-                vectors = rows["vec"].to_numpy()
-                for part in _tiles(len(points), len(pivots)):
-                    d = _distances(points[part], pivots)
-                    to_cell = d[:, cell]
-                    # every donor of a cell is within (distance to pivot + outer radius)
-                    reach = to_cell + outer
-                    order = np.argsort(reach, axis=1)
-                    seen = np.cumsum(n[order], axis=1) >= need
-                    at = seen.argmax(axis=1)
-                    lines = np.arange(len(reach))
-                    bound = np.where(seen.any(axis=1), reach[lines, order[lines, at]], np.inf)
-                    own = pivots_of[group]
-                    if len(own) >= need:
-                        # pivots are donors themselves
-                        kth = np.partition(d[:, own], need - 1, axis=1)[:, need - 1]
-                        bound = np.minimum(bound, kth)
-                    nearest = np.maximum(to_cell - outer, inner - to_cell)
+                mine = np.flatnonzero(groups == group)
+                for part in _tiles(len(mine), len(pivots)):
+                    rows = mine[part]
+                    to_cell = _distances(points[rows], pivots[cell])
+                    bound = found[rows]
+                    open_ = np.isnan(bound)
+                    if open_.any():
+                        # too few donors at home: every donor of a cell is within pivot distance + outer radius
+                        reach = to_cell[open_] + outer
+                        order = np.argsort(reach, axis=1)
+                        enough = np.cumsum(n[order], axis=1) >= need
+                        at = np.where(enough.any(axis=1), enough.argmax(axis=1), -1)
+                        line = np.arange(len(reach))
+                        bound = bound.copy()
+                        bound[open_] = np.where(at >= 0, reach[line, order[line, at]], np.inf)
                     limit = bound * (1 + 1e-9) + 2 * 10.0 ** -DISTANCE_DIGITS
-                    row, col = np.nonzero(nearest <= limit[:, None])
-                    yield pd.DataFrame({"grp": group, "vec": vectors[part][row], "cell": cell[col]})
+                    near = np.maximum(to_cell - outer, inner - to_cell) <= limit[:, None]
+                    near &= cell[None, :] != home[rows][:, None]
+                    row, col = np.nonzero(near)
+                    lines.append(rows[row])
+                    targets.append(cell[col])
+            if lines:
+                line = pa.array(np.concatenate(lines))
+                kept = [batch.column(c).take(line) for c in ("grp", "rep", "vec")]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, pa.array(np.concatenate(targets).astype(np.int32))], ["grp", "rep", "vec", "cell"]
+                )
 
     return route
 
 
-def _local_top_k(need: int, has_payload: bool):
-    def search(receivers: pd.DataFrame, donors: pd.DataFrame) -> pd.DataFrame:
-        columns = ["grp", "vec", "dist", "did"] + (["payload"] if has_payload else [])
-        if receivers.empty or donors.empty:
-            return pd.DataFrame({c: [] for c in columns})
-        donors = donors.sort_values("did", kind="stable").reset_index(drop=True)
-        base = _matrix(donors["dvec"])
-        points = _matrix(receivers["vec"])
+def _local_top_k(need: int, payload: bool, shape: pa.Schema):
+    def search(receivers: pa.Table, donors: pa.Table) -> pa.Table:
+        if not len(receivers) or not len(donors):
+            return shape.empty_table()
+        donors = donors.take(pc.sort_indices(donors.column("did")))
+        base, points = _matrix(donors.column("dvec")), _matrix(receivers.column("vec"))
         rows, picks, dists = [], [], []
         for part in _tiles(len(points), len(base)):
             d = np.round(_distances(points[part], base), DISTANCE_DIGITS)
@@ -125,25 +142,62 @@ def _local_top_k(need: int, has_payload: bool):
             value = d[row, col]
             order = np.lexsort((col, value, row))  # donors are in id order already
             row, col, value = row[order], col[order], value[order]
-            place = np.arange(len(row)) - np.searchsorted(row, row)
-            keep = place < need
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < need
             rows.append(row[keep] + part.start)
             picks.append(col[keep])
             dists.append(value[keep])
-        row, pick = np.concatenate(rows), np.concatenate(picks)
-        out = pd.DataFrame({
-            "grp": receivers["grp"].iloc[0],
-            "vec": receivers["vec"].to_numpy()[row],
-            "dist": np.concatenate(dists),
-            "did": donors["did"].to_numpy()[pick],
-        })
-        if has_payload:
-            out["payload"] = donors["payload"].to_numpy()[pick]
-        return out
+        row, pick = pa.array(np.concatenate(rows)), pa.array(np.concatenate(picks))
+        found = [receivers.column("rep").take(row), pa.array(np.concatenate(dists)), donors.column("did").take(pick)]
+        if payload:
+            found.append(donors.column("payload").take(pick))
+        return pa.table(found, names=shape.names).cast(shape)
 
     return search
 
 
+def _plain(frame: DataFrame, *names: str) -> T.StructType:
+    """Field types of a frame, all nullable, as task output schema."""
+    return T.StructType([T.StructField(n, frame.schema[n].dataType) for n in names])
+
+
+def _search(visits: DataFrame, placed: DataFrame, cells: pd.DataFrame, need: int, payload: bool, chunk_rows: int,
+            block_rows: int) -> DataFrame | None:
+    """Best ``need`` donors per receiver and unit: rep, dist, did[, payload]. None if nobody visits anything."""
+    counts = pd.DataFrame(small_rows(
+        visits.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("visits")), "neighbour cells", MAX_CELLS
+    ), columns=["grp", "cell", "visits"])
+    plan = cells.merge(counts, on=["grp", "cell"])
+    if plan.empty:
+        return None
+    layout = local_frame(visits.sparkSession, pa.table({
+        "grp": pa.array(plan["grp"], pa.string()), "cell": pa.array(plan["cell"], pa.int32()),
+        "chunks": pa.array(-(-plan["n"] // chunk_rows), pa.int32()),
+        "blocks": pa.array(-(-plan["visits"] // block_rows), pa.int32()),
+    }))
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - F.lit(1))
+    left = visits.join(layout, ["grp", "cell"]).select(
+        "grp", "cell", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(upto("chunks")).alias("chunk"), "rep", "vec",
+    )
+    right = placed.join(layout, ["grp", "cell"]).select(
+        "grp", "cell", F.explode(upto("blocks")).alias("block"),
+        F.pmod(F.xxhash64("did"), F.col("chunks")).cast("int").alias("chunk"), "did", "dvec", *(["payload"] if payload else []),
+    )
+    unit = ["grp", "cell", "block", "chunk"]
+    fields = T.StructType([
+        T.StructField("rep", visits.schema["rep"].dataType), T.StructField("dist", T.DoubleType()),
+        *_plain(placed, "did", *(["payload"] if payload else [])).fields,
+    ])
+    return left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(
+        _local_top_k(need, payload, to_arrow_schema(fields)), fields
+    )
+
+
+def _best(found: DataFrame, need: int) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("dist", "did"))
+    return found.withColumn("_place", place).where(F.col("_place") <= need).drop("_place")
+
+
 def k_nearest(
     receivers: DataFrame,
     donors: DataFrame,
@@ -157,6 +211,7 @@ def k_nearest(
     max_pivots: int = MAX_PIVOTS,
     donors_per_pivot: int = DONORS_PER_PIVOT,
     chunk_rows: int = CHUNK_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The k nearest donors of every receiver, as ``id_col, neighbours``.
 
@@ -164,9 +219,9 @@ def k_nearest(
     ``within`` only donors of the same group count; with ``exclude_self`` a row is not its own neighbour.
     Vectors must not hold NULL.
     """
-    spark = donors.sparkSession
     need = k + 1 if exclude_self else k
-    group = F.col(within).cast("string") if within else F.lit("")
+    # rows without a group form a group of their own
+    group = F.coalesce(F.col(within).cast("string"), F.lit(NO_GROUP)) if within else F.lit("")
     extra = [F.col(payload).alias("payload")] if payload else []
     source = donors.select(group.alias("grp"), F.col(id_col).alias("did"), F.col(vector_col).alias("dvec"), *extra)
     asking = receivers.select(group.alias("grp"), F.col(id_col), F.col(vector_col).alias("vec"))
@@ -174,15 +229,17 @@ def k_nearest(
     n_donors = source.count()
     if n_donors == 0:
         raise ValueError("no donors: nothing to take neighbours from")
-    n_pivots = max(1, min(max_pivots, math.ceil(n_donors / donors_per_pivot)))
-    chosen = source.orderBy(order_hash("did", "pivot"), "did").limit(n_pivots).select("grp", "dvec").toPandas()
-    pivots, pivot_group = _matrix(chosen["dvec"]), chosen["grp"].to_numpy()
+    n_pivots = 1 if n_donors <= chunk_rows else max(1, min(max_pivots, math.ceil(n_donors / donors_per_pivot)))
+    chosen = source.orderBy(order_hash("did", "pivot"), "did").limit(n_pivots).select("dvec").toArrow()
+    pivots = np.unique(_matrix(chosen.column("dvec")), axis=0)
 
     # of identical donors only the first few by id can be among the nearest
     copy_rank = F.row_number().over(Window.partitionBy("grp", "dvec").orderBy("did"))
     slim = source.withColumn("_copy", copy_rank).where(F.col("_copy") <= need).drop("_copy")
-    placed = slim.withColumn("_a", _assigner(pivots)("dvec")).select("*", "_a.cell", "_a.gap").drop("_a")
-    placed = cut_lineage(placed)
+    spot = [T.StructField("cell", T.IntegerType()), T.StructField("gap", T.DoubleType())]
+    placed = cut_lineage(slim.mapInArrow(
+        _nearest_pivot(pivots, "dvec"), T.StructType(_plain(slim, *slim.columns).fields + spot)
+    ))
     cells = pd.DataFrame(small_rows(
         placed.groupBy("grp", "cell").agg(
             F.count(F.lit(1)).alias("n"), F.max("gap").alias("outer"), F.min("gap").alias("inner")
@@ -190,45 +247,38 @@ def k_nearest(
         "neighbour cells", MAX_CELLS,
     ))
 
-    distinct = asking.select("grp", "vec").distinct()
-    routed = cut_lineage(distinct.mapInPandas(
-        _router(pivots, pivot_group, cells, need), "grp string, vec array<double>, cell int"
-    ))
-    visits = pd.DataFrame(
-        small_rows(routed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("visits")), "neighbour cells", MAX_CELLS),
-        columns=["grp", "cell", "visits"],
-    )
-    plan = cells.merge(visits, on=["grp", "cell"])
-    plan["chunks"] = -(-plan["n"] // chunk_rows)
-    plan["blocks"] = -(-plan["visits"] // chunk_rows)
-    plan = plan.astype({"cell": "int32", "chunks": "int32", "blocks": "int32"})
-    layout = local_frame(spark, pa.Table.from_pandas(
-        plan[["grp", "cell", "chunks", "blocks"]], preserve_index=False,
-        schema=pa.schema([("grp", pa.string()), ("cell", pa.int32()), ("chunks", pa.int32()), ("blocks", pa.int32())]),
+    # identical receivers share one answer, kept under the smallest of their ids
+    distinct = asking.groupBy("grp", "vec").agg(F.min(id_col).alias("rep"))
+    reps = cut_lineage(distinct.mapInArrow(
+        _nearest_pivot(pivots, "vec"), T.StructType(_plain(distinct, *distinct.columns).fields + spot)
     ))
-    last = lambda c: F.col(c) - F.lit(1)
-    left = routed.join(layout, ["grp", "cell"]).select(
-        "grp", "cell", "vec", F.pmod(F.xxhash64("vec"), F.col("blocks")).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), last("chunks"))).alias("chunk"),
-    )
-    right = placed.join(layout, ["grp", "cell"]).select(
-        "grp", "cell", F.pmod(F.xxhash64("did"), F.col("chunks")).cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0), last("blocks"))).alias("block"), "did", "dvec", *(["payload"] if payload else []),
-    )
-    unit = ["grp", "cell", "chunk", "block"]
-    id_type = donors.schema[id_col].dataType.simpleString()
-    shape = f"grp string, vec array<double>, dist double, did {id_type}"
-    if payload:
-        shape += f", payload {donors.schema[payload].dataType.simpleString()}"
-    partial = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInPandas(
-        _local_top_k(need, payload is not None), shape
-    )
-    place = F.row_number().over(Window.partitionBy("grp", "vec").orderBy("dist", "did"))
-    best = partial.withColumn("_place", place).where(F.col("_place") <= need)
+    parts = []
+    at_home = _search(reps.select("grp", "rep", "vec", "cell"), placed, cells, need, bool(payload), chunk_rows, block_rows)
+    if len(pivots) == 1:
+        parts.append(at_home)
+    else:
+        known = reps
+        tau = F.lit(None).cast("double")
+        if at_home is not None:
+            best = cut_lineage(_best(at_home, need))
+            parts.append(best)
+            reached = best.groupBy("rep").agg(F.when(F.count(F.lit(1)) == need, F.max("dist")).alias("_tau"))
+            known, tau = reps.join(reached, "rep", "left"), F.col("_tau")
+        known = known.select("grp", "rep", "vec", "cell", tau.alias("tau"))
+        routed = cut_lineage(known.mapInArrow(_router(pivots, cells, need), _plain(known, "grp", "rep", "vec", "cell")))
+        away = _search(routed, placed, cells, need, bool(payload), chunk_rows, block_rows)
+        parts += [away] if away is not None else []
+    found = None
+    for part in parts:
+        if part is not None:
+            found = part if found is None else found.unionByName(part)
     fields = ["dist", "did"] + (["payload"] if payload else [])
-    lists = best.groupBy("grp", "vec").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("neighbours"))
-    answered = asking.join(lists, ["grp", "vec"])
-    found = F.col("neighbours")
+    if found is None:
+        return asking.where(F.lit(False)).select(id_col, F.array().alias("neighbours"))
+    lists = _best(found, need).groupBy("rep").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("neighbours"))
+    answers = reps.select("grp", "vec", "rep").join(lists, "rep")
+    answered = asking.join(answers.drop("rep"), ["grp", "vec"])
+    neighbours = F.col("neighbours")
     if exclude_self:
-        found = F.filter(found, lambda n: n["did"] != F.col(id_col))
-    return answered.select(id_col, F.slice(found, 1, k).alias("neighbours"))
+        neighbours = F.filter(neighbours, lambda n: n["did"] != F.col(id_col))
+    return answered.select(id_col, F.slice(neighbours, 1, k).alias("neighbours"))

@@ -8,6 +8,7 @@ quantiles). The answers are the exact ones.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -16,31 +17,37 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tabwright.functions.hashing import order_hash
 from tabwright.functions.state import settle
 
-# Hex digits of the md5 that name a bucket: 16**3 = 4096 buckets per class.
-BUCKET_DIGITS = 3
 # A group of up to this many rows may be aggregated by the built-in exact percentile.
 DIRECT_ROWS = 1_000_000
 
 
+def bucket_digits(n_rows: int) -> int:
+    """Hex digits of the hash that name a bucket: about as many buckets as rows per bucket."""
+    return min(8, max(2, round(math.log(max(n_rows, 1), 16) / 2)))
+
+
 def quota_cuts(
     df: DataFrame,
     id_cols: Sequence[str],
     seed: int | str,
     quotas: DataFrame,
     class_col: str | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Where each quota ends in the seeded hash order of each class.
 
     ``quotas`` has one row per (class, name) with ``class_value``, ``name`` and ``quota``: how many
     rows, counted from the start of the hash order, the name covers. The result has
     ``class_value, name, cut`` where ``cut`` is the (hash, id...) struct of the last covered row;
-    a quota of zero gives no row. Two scans, and only about 1/4096 of the rows are ever sorted.
+    a quota of zero gives no row. Two scans, and of n rows only about the square root of n per quota
+    are ever sorted.
     """
+    digits = bucket_digits(df.count() if n_rows is None else n_rows)
     klass = F.col(class_col) if class_col else F.lit(0)
     keyed = df.select(klass.alias("class_value"), order_hash(id_cols, seed).alias("_h"), *id_cols)
-    keyed = keyed.withColumn("_bucket", F.substring("_h", 1, BUCKET_DIGITS))
+    keyed = keyed.withColumn("_bucket", F.substring("_h", 1, digits))
     per_bucket = keyed.groupBy("class_value", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # at most 4096 rows per class reach this window
+    # one row per bucket and class reaches this window
     running = per_bucket.withColumn(
         "_upto", F.sum("_n").over(Window.partitionBy("class_value").orderBy("_bucket"))
     )

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabwright.functions.state import local_frame
 from tabwright.functions.types import replace_columns, require_columns
 from tabwright.operators.ranking import cut_key, quota_cuts
 
@@ -44,9 +46,11 @@ def sample_rows(df: DataFrame, n: int, id_cols: str | Sequence[str], seed: int =
     sample of any size stays distributed.
     """
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    quotas = df.agg(F.count(F.lit(1)).alias("total")).select(
-        F.lit(0).alias("class_value"), F.lit("sample").alias("name"),
-        F.least(F.lit(n).cast("bigint"), F.col("total")).alias("quota"),
-    )
-    cuts = quota_cuts(df, ids, seed, quotas).select("cut")
+    total = df.count()
+    if n >= total:
+        return df
+    quotas = local_frame(df.sparkSession, pa.table({
+        "class_value": pa.array([0], pa.int32()), "name": ["sample"], "quota": pa.array([n], pa.int64()),
+    }))
+    cuts = quota_cuts(df, ids, seed, quotas, n_rows=total).select("cut")
     return df.where(cut_key(ids, seed) <= cuts.scalar())

@@ -43,7 +43,7 @@ def class_counts(df: DataFrame, label_col: str) -> list[tuple]:
 
 
 def _assign(df: DataFrame, label_col: str | None, id_cols: Sequence[str], seed, cuts: list[tuple], names: Sequence,
-            otherwise, output: str) -> DataFrame:
+            otherwise, output: str, n_rows: int) -> DataFrame:
     """``cuts`` holds (class, name index, cumulative quota); a row takes the first name it falls under."""
     spark = df.sparkSession
     table = pa.table({
@@ -53,7 +53,7 @@ def _assign(df: DataFrame, label_col: str | None, id_cols: Sequence[str], seed,
     })
     if all(c[0] is None for c in cuts):
         table = table.set_column(0, "class_value", pa.array([None] * len(cuts), pa.string()))
-    ends = quota_cuts(df, id_cols, seed, local_frame(spark, table), label_col)
+    ends = quota_cuts(df, id_cols, seed, local_frame(spark, table), label_col, n_rows)
     key = cut_key(id_cols, seed)
     wide = ends.groupBy("class_value").agg(*[
         F.first(F.when(F.col("name") == str(i), F.col("cut")), ignorenulls=True).alias(f"_cut{i}")
@@ -81,7 +81,7 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, test_size: floa
         val = share_out(part_size(sum(left), val_size), left)
         names.append(VALIDATION)
         cuts += [(c, 1, t + v) for (c, _), t, v in zip(counts, test, val)]
-    return _assign(df, label_col, [id_col], seed, cuts, names, TRAIN, output)
+    return _assign(df, label_col, [id_col], seed, cuts, names, TRAIN, output, sum(sizes))
 
 
 def stratified_folds(df: DataFrame, label_col: str, id_col: str, k: int = 5, seed: int = 42,
@@ -89,7 +89,8 @@ def stratified_folds(df: DataFrame, label_col: str, id_col: str, k: int = 5, see
     """Adds a fold number 0..k-1; within each class fold sizes differ by at most one."""
     counts = class_counts(df, label_col)
     cuts = [(c, f, -(-(f + 1) * n // k)) for c, n in counts for f in range(k - 1)]
-    return _assign(df, label_col, [id_col], seed, cuts, list(range(k - 1)), k - 1, output)
+    return _assign(df, label_col, [id_col], seed, cuts, list(range(k - 1)), k - 1, output,
+                   sum(n for _, n in counts))
 
 
 def group_split(df: DataFrame, group_col: str, test_size: float = 0.2, val_size: float = 0.2, seed: int = 42,
@@ -104,7 +105,7 @@ def group_split(df: DataFrame, group_col: str, test_size: float = 0.2, val_size:
         "name": pa.array([TEST, VALIDATION]),
         "quota": pa.array([test, test + val], pa.int64()),
     }))
-    ends = quota_cuts(keys, [group_col], seed, quotas)
+    ends = quota_cuts(keys, [group_col], seed, quotas, n_rows=n)
     key = cut_key([group_col], seed)
     end_of = lambda name: ends.where(F.col("name") == name).select("cut").scalar()
     side = F.when(key <= end_of(TEST), F.lit(TEST)).when(key <= end_of(VALIDATION), F.lit(VALIDATION))
