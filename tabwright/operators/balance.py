@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tabwright.functions.hashing import uniform
-from tabwright.functions.state import local_frame
+from tabwright.functions.state import cut_lineage, local_frame
 from tabwright.operators.knn import k_nearest
 from tabwright.operators.ranking import cut_key, quota_cuts
 from tabwright.operators.split import class_counts
@@ -82,21 +82,23 @@ class SMOTEBalancer:
         if short:
             raise ValueError(f"classes with fewer than {self.k_neighbors + 1} rows cannot be oversampled: {short}")
         label = df.schema[label_col].dataType
-        values = [F.col(c).cast("double").alias(c) for c in feature_cols]
-        original = df.select(F.col(id_col).alias("source_id"), F.lit(0).alias("copy_no"), *values, F.col(label_col))
+        # read several times below: counted, cut, searched and joined
+        table = cut_lineage(df.select(
+            F.col(id_col), F.col(label_col), F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_vec")
+        ))
+        values = [F.col("_vec")[i].alias(c) for i, c in enumerate(feature_cols)]
+        original = table.select(F.col(id_col).alias("source_id"), F.lit(0).alias("copy_no"), *values, F.col(label_col))
         growing = [(c, n) for c, n in counts if add[c] > 0]
         if not growing:
             return original
         spark = df.sparkSession
-        table = pa.table({
+        wanted = pa.table({
             "class_value": pa.array([c for c, _ in growing]),
             "each": pa.array([add[c] // n for c, n in growing], pa.int64()),
             "quota": pa.array([add[c] % n for c, n in growing], pa.int64()),
         })
-        quotas = local_frame(spark, table).withColumn("class_value", F.col("class_value").cast(label))
-        rows = df.select(
-            F.col(id_col), F.col(label_col), F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_vec")
-        ).join(quotas.select(F.col("class_value").alias(label_col)), label_col, "left_semi")
+        quotas = local_frame(spark, wanted).withColumn("class_value", F.col("class_value").cast(label))
+        rows = table.join(quotas.select(F.col("class_value").alias(label_col)), label_col, "left_semi")
         ends = quota_cuts(rows, [id_col], self.random_state, quotas.withColumn("name", F.lit("extra")), label_col,
                           sum(n for _, n in growing))
         share = quotas.join(ends.select("class_value", "cut"), "class_value", "left").select(

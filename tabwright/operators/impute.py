@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.ml.base import Estimator, Model
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tabwright.functions.state import local_frame
+from tabwright.functions.state import cut_lineage, local_frame
 from tabwright.functions.types import replace_columns, require_columns
 from tabwright.operators.knn import k_nearest
 from tabwright.operators.profile import numeric_columns_except
@@ -110,22 +110,24 @@ def impute_knn(df: DataFrame, column_to_impute: str, n_neighbors: int = 5, *, id
     # a column without any value cannot tell rows apart
     features = [f for f in features if filled[f"_n_{f}"]]
     gappy = [f for f in features if filled[f"_n_{f}"] < filled["_rows"]]
+    def finished(value: Column) -> Column:
+        return F.bround(value).cast(kind) if isinstance(kind, T.IntegralType) else value.cast(kind)
+
     if not features:
         fill = df.agg(F.avg(target.cast("double"))).scalar()
-        value = F.coalesce(target.cast("double"), fill)
-    else:
-        ready = _standardised(df.select(id_col, column_to_impute, *features), features, gappy)
-        ready = ready.select(F.col(id_col), "_vec", target.cast("double").alias("_known"))
-        near = k_nearest(
-            ready.where(F.col("_known").isNull()), ready.where(F.col("_known").isNotNull()), n_neighbors,
-            id_col=id_col, vector_col="_vec", payload="_known", **options,
-        )
-        mean = F.aggregate("neighbours", F.lit(0.0), lambda total, n: total + n["payload"]) / F.size("neighbours")
-        df = df.join(near.select(id_col, mean.alias("_fill")), id_col, "left")
-        value = F.coalesce(target.cast("double"), F.col("_fill"))
-    if isinstance(kind, T.IntegralType):
-        value = F.bround(value).cast(kind)
-    return df.withColumn(column_to_impute, value).drop("_fill")
+        return df.withColumn(column_to_impute, F.coalesce(target, finished(fill)))
+    ready = _standardised(df.select(id_col, column_to_impute, *features), features, gappy)
+    # the search reads donors and receivers several times
+    ready = cut_lineage(ready.select(F.col(id_col), "_vec", target.cast("double").alias("_known")))
+    near = k_nearest(
+        ready.where(F.col("_known").isNull()), ready.where(F.col("_known").isNotNull()), n_neighbors,
+        id_col=id_col, vector_col="_vec", payload="_known", **options,
+    )
+    mean = F.aggregate("neighbours", F.lit(0.0), lambda total, n: total + n["payload"]) / F.size("neighbours")
+    # only rows with a gap are joined; all others pass without a shuffle
+    gaps = df.where(target.isNull()).join(near.select(id_col, mean.alias("_fill")), id_col)
+    done = gaps.withColumn(column_to_impute, finished(F.col("_fill"))).select(*df.columns)
+    return df.where(target.isNotNull()).unionByName(done)
 
 
 def create_holdout_mask(df: DataFrame, column: str, holdout_fraction: float = 0.2, *, id_col: str,

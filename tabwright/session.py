@@ -17,6 +17,8 @@ def build_session(app_name: str = "tabwright", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoints of intermediate tables go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # room for state frames (per-feature reports) to be planned as one projection
         "spark.sql.codegen.maxFields": "400",
     }
