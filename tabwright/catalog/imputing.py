@@ -62,9 +62,20 @@ def _near(k):
 fill AS (SELECT rid, avg(given) AS fill FROM near GROUP BY rid)"""
 
 
-@query("i5_knn_impute", f"""
+_IMPUTED = f"""
 WITH g AS (SELECT row_id, {_GAP} AS x1, x2, x3, x4 FROM v_feat), {_scaled('g')}, {_near(5)}
-SELECT row_id, {r6('coalesce(x1, fill)')} AS x1 FROM g LEFT JOIN fill ON row_id = rid""")
+SELECT row_id, {r6('coalesce(x1, fill)')} AS x1 FROM g LEFT JOIN fill ON row_id = rid"""
+
+
+@query("i5_knn_impute_cells", _IMPUTED)
+def knn_impute_cells(t):
+    """With cells, chunks and blocks of the kind a large table has."""
+    filled = impute.impute_knn(gappy(t), "x1", 5, id_col="row_id", feature_cols=_XS, label_col="label",
+                               donors_per_pivot=250, chunk_rows=2000, block_rows=500)
+    return filled.select("row_id", rounded(F.col("x1")).alias("x1"))
+
+
+@query("i5_knn_impute", _IMPUTED)
 def knn_impute(t):
     filled = impute.impute_knn(gappy(t), "x1", 5, id_col="row_id", feature_cols=_XS, label_col="label")
     return filled.select("row_id", rounded(F.col("x1")).alias("x1"))
@@ -107,3 +118,12 @@ def evaluate_knn(t):
         rounded(F.col("distribution_score"), 4).alias("distribution_score"),
         rounded(F.col("combined_score"), 2).alias("combined_score"),
     )
+
+
+@query("i7_impute_and_report")
+def impute_and_report(t):
+    rows = gappy(t).withColumn("x3", F.when(F.col("row_id") % 9 != 4, F.col("x3")))
+    filled, report = impute.apply_and_evaluate_knn_imputation(
+        rows, ["x1", "x3"], 0.2, 3, id_col="row_id", label_col="label")
+    left = filled.agg(F.count_if(F.col("x1").isNull() | F.col("x3").isNull())).scalar()
+    return report.withColumn("gaps_left", left)

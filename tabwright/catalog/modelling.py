@@ -119,3 +119,13 @@ def feature_importance(t):
     found = analysis.feature_importance_analysis(
         t.v_feat, _XS, "label", id_col="row_id", pairs=pairs(t), n_estimators=10, max_depth=5, n_repeats=3)
     return found["comparison"]
+
+
+@query("analysis_select_features")
+def select_features(t):
+    return analysis.select_features(t.v_feat, [*_XS, "pred"], "label", k=3, n_estimators=10, max_depth=5)
+
+
+@query("analysis_statistics")
+def statistics(t):
+    return analysis.statistical_analysis(t.v_feat, "label", _XS)["features"]

@@ -74,14 +74,23 @@ def cardinality(t):
     return profile.cardinality(t.part, ["p_name", "p_brand", "p_type", "p_size"])
 
 
-@query("a7_describe", " UNION ALL ".join(f"""
+_DESCRIBE = " UNION ALL ".join(f"""
 SELECT '{c}' AS feature, count({c}) AS count, {r6(f'avg({c})')} AS mean, {r6(f'stddev_samp({c})')} AS std, {dbl(f'min({c})')} AS min,
        {r6(f'quantile_cont({c}, 0.25)')} AS q25, {r6(f'quantile_cont({c}, 0.5)')} AS q50, {r6(f'quantile_cont({c}, 0.75)')} AS q75,
-       {dbl(f'max({c})')} AS max FROM v_feat""" for c in _XS))
+       {dbl(f'max({c})')} AS max FROM v_feat""" for c in _XS)
+
+
+@query("a7_describe", _DESCRIBE)
 def describe(t):
     return r6_all(profile.describe_numeric(t.v_feat, _XS), "mean", "std", "q25", "q50", "q75")
 
 
+@query("a7_describe_bracketed", _DESCRIBE)
+def describe_bracketed(t):
+    """The way quartiles are found on groups too large for one task."""
+    return r6_all(profile.describe_numeric(t.v_feat, _XS, direct_rows=0), "mean", "std", "q25", "q50", "q75")
+
+
 @query("a8_class_distribution", f"""
 SELECT label, count(*) AS count, {r6(f"{dbl('count(*)')} / (SELECT count(*) FROM v_feat) * 100")} AS percentage FROM v_feat GROUP BY label
 """)
@@ -154,6 +163,11 @@ def box_plot_by_class(t):
     return r6_all(profile.box_plot(t.v_feat, ["x1", "x4"], by="label"), "q1", "median", "q3")
 
 
+@query("a14_box_plot_bracketed", " UNION ALL ".join(_box(c, "label") for c in ("x1", "x4")))
+def box_plot_bracketed(t):
+    return r6_all(profile.box_plot(t.v_feat, ["x1", "x4"], by="label", direct_rows=0), "q1", "median", "q3")
+
+
 @query("a15_linear_fit", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {r6(f'regr_slope(label, {c})')} AS slope, {r6(f'regr_intercept(label, {c})')} AS intercept, "
     f"{r6(f'regr_r2(label, {c})')} AS r2 FROM v_feat" for c in _XS))

@@ -30,12 +30,18 @@ def settle(df: DataFrame, max_rows: int = MAX_STATE_ROWS) -> DataFrame:
     return cut_lineage(df)
 
 
+def rows_if_small(df: DataFrame, max_rows: int = MAX_STATE_ROWS) -> list[dict] | None:
+    """Rows of a settled frame, or None when there are too many (no job for a local relation)."""
+    head = df.limit(max_rows + 1).toArrow()
+    return head.to_pylist() if head.num_rows <= max_rows else None
+
+
 def small_rows(df: DataFrame, what: str, max_rows: int = MAX_STATE_ROWS) -> list[dict]:
     """Rows of a frame that must be small by nature (classes, feature names); an error if it is not."""
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
+    rows = rows_if_small(df, max_rows)
+    if rows is None:
         raise ValueError(f"{what}: more than {max_rows} rows, too many for driver-side state")
-    return head.to_pylist()
+    return rows
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -9,7 +9,7 @@ from itertools import chain
 from pyspark.ml.base import Estimator, Model
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabwright.functions.state import MAX_STATE_ROWS, settle, small_rows
+from tabwright.functions.state import rows_if_small, settle, small_rows
 from tabwright.functions.types import replace_columns, require_columns
 from tabwright.operators.ranking import with_position
 
@@ -27,7 +27,7 @@ def appearance_codes(df: DataFrame, features: Sequence[str], order_col: str) ->
     seen = settle(cells.groupBy("feature", "value").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(order_col).alias("first_row")
     ))
-    if seen.limit(MAX_STATE_ROWS + 1).count() <= MAX_STATE_ROWS:
+    if rows_if_small(seen) is not None:
         code = F.row_number().over(Window.partitionBy("feature").orderBy("first_row", "value")) - 1
         return seen.select("feature", "value", "n_rows", code.alias("code"))
     # very many distinct values: rank them in pieces, one feature after the other
@@ -119,13 +119,11 @@ class FeatureEncoder(Estimator):
             state = frame if state is None else state.unionByName(frame)
         if state is not None:
             state = settle(state)
-        binary = [f for f, s in plan.items() if s == "binary"]
-        if binary:
-            sizes = {r["feature"]: r["count"] for r in
-                     state.where(F.col("feature").isin(binary)).groupBy("feature").count().collect()}
-            for f in binary:
-                if sizes.get(f, 0) != 2:
-                    raise ValueError(f"binary encoding expects 2 categories, got {sizes.get(f, 0)} for {f}")
+        codes = _inline_codes(state)
+        for f in (f for f, s in plan.items() if s == "binary"):
+            found = len(codes.get(f, {})) if f not in codes or codes[f] is not None else "many"
+            if found != 2:
+                raise ValueError(f"binary encoding expects 2 categories, got {found} for {f}")
         wide = [f for f, s in plan.items() if s == "one-hot"]
         categories: dict[str, list[str]] = {f: [] for f in wide}
         if wide:
@@ -134,18 +132,33 @@ class FeatureEncoder(Estimator):
             ]))).where(F.col("value").isNotNull()).distinct()
             for r in small_rows(values, "one-hot categories"):
                 categories[r["feature"]].append(r["value"])
-        return FeatureEncoderModel(plan, maps, {f: sorted(v) for f, v in categories.items()}, state)
+        return FeatureEncoderModel(plan, maps, {f: sorted(v) for f, v in categories.items()}, state, codes)
+
+
+def _inline_codes(state: DataFrame | None) -> dict[str, dict | None]:
+    """Codes per feature with few values; None for a feature whose codes have to be joined."""
+    if state is None:
+        return {}
+    rows = rows_if_small(state)
+    if rows is None:
+        sizes = small_rows(state.groupBy("feature").count(), "encoded features")
+        few = [r["feature"] for r in sizes if r["count"] <= INLINE_VALUES]
+        rows = small_rows(state.where(F.col("feature").isin(few)), "codes")
+        codes: dict[str, dict | None] = {r["feature"]: None for r in sizes if r["count"] > INLINE_VALUES}
+    else:
+        codes = {}
+    for r in rows:
+        codes.setdefault(r["feature"], {})[r["value"]] = r["code"]
+    return {f: c if c is not None and len(c) <= INLINE_VALUES else None for f, c in codes.items()}
 
 
 class FeatureEncoderModel(Model):
     """Fitted codes: given maps, one-hot categories, and a (feature, value, code) table for the rest."""
 
-    def __init__(self, plan: dict[str, str], maps: dict[str, dict], categories: dict[str, list[str]], state: DataFrame | None):
+    def __init__(self, plan: dict[str, str], maps: dict[str, dict], categories: dict[str, list[str]],
+                 state: DataFrame | None, codes: dict[str, dict | None]):
         super().__init__()
-        self.plan, self.maps, self.categories, self.state = plan, maps, categories, state
-        self._sizes: dict[str, int] = {}
-        if state is not None:
-            self._sizes = {r["feature"]: r["count"] for r in state.groupBy("feature").count().collect()}
+        self.plan, self.maps, self.categories, self.state, self.codes = plan, maps, categories, state, codes
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset
@@ -166,9 +179,9 @@ class FeatureEncoderModel(Model):
                 code = _looked_up(value, self.maps[feature])
                 if any(isinstance(c, float) for c in self.maps[feature].values()):
                     unseen = unseen.cast("double")
-            elif self._sizes.get(feature, 0) <= INLINE_VALUES:
-                rows = self.state.where(F.col("feature") == feature).collect()
-                code = _looked_up(value, {r["value"]: (int(r["code"]) if whole else r["code"]) for r in rows})
+            elif self.codes.get(feature, {}) is not None:
+                known = self.codes.get(feature, {})
+                code = _looked_up(value, {v: int(c) if whole else c for v, c in known.items()})
             else:
                 lookup = self.state.where(F.col("feature") == feature).select(
                     F.col("value").alias(f"_v_{feature}"), F.col("code").cast("int" if whole else "double").alias(f"_c_{feature}")

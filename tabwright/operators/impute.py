@@ -162,7 +162,8 @@ def evaluate_knn_imputation(df: DataFrame, column: str, holdout_fraction: float
         q = exact_quantiles(frame, [column], [0.25, 0.75]).first()["q"]
         return moments["mean"], moments["std"], q[0], q[1]
 
-    imputed = imputed.select(id_col, column, "is_holdout", "holdout_value")
+    # measured several times
+    imputed = cut_lineage(imputed.select(id_col, column, "is_holdout", "holdout_value"))
     before, after = summary(df), summary(imputed)
     shift = [abs((b - a) / a * 100) if a else None for a, b in zip(before, after)]
     miss = value - F.col("holdout_value").cast("double")
