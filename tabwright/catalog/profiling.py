@@ -19,9 +19,13 @@ def r6_all(frame, *columns):
     return frame.withColumns({c: rounded(F.col(c)) for c in columns})
 
 
+def two_decimals(expression):
+    return f"(round_even(({expression}) * CAST(100 AS DOUBLE), 0) / CAST(100 AS DOUBLE))"
+
+
 def _missing(c, digits=None):
     share = f"{dbl(f'count_if({c} IS NULL)')} / {dbl('count(*)')} * 100"
-    share = f"round({share}, {digits})" if digits else r6(share)
+    share = two_decimals(share) if digits else r6(share)
     return (f"SELECT '{c}' AS feature, CAST(count_if({c} IS NULL) AS BIGINT) AS missing_count, {share} AS missing_percentage, "
             f"'{_DTYPES[c]}' AS dtype FROM v_ev")
 
@@ -111,7 +115,7 @@ def numeric_by_class(t):
 
 @query("a10_target_by_category", f"""
 SELECT coalesce(cat_n, 'Missing') AS category, {_moments('v')},
-       round({dbl('count(*)')} / (SELECT count(*) FROM v_ev) * 100, 2) AS percentage FROM v_ev GROUP BY 1
+       {two_decimals(f"{dbl('count(*)')} / (SELECT count(*) FROM v_ev) * 100")} AS percentage FROM v_ev GROUP BY 1
 """)
 def target_by_category(t):
     return r6_all(profile.target_by_category(t.v_ev, "cat_n", "v"), "mean", "std")
@@ -188,7 +192,7 @@ def imbalance(t):
 
 @query("a17_target_classes", f"""
 SELECT CAST(label AS VARCHAR) AS class_or_bin, count(*) AS count,
-       round({dbl('count(*)')} / (SELECT count(*) FROM v_feat) * 100, 2) AS percentage, true AS is_classification FROM v_feat GROUP BY label
+       {two_decimals(f"{dbl('count(*)')} / (SELECT count(*) FROM v_feat) * 100")} AS percentage, true AS is_classification FROM v_feat GROUP BY label
 """)
 def target_classes(t):
     return profile.target_profile(t.v_feat, "label")
@@ -197,7 +201,7 @@ def target_classes(t):
 @query("a17_target_bins", f"""
 WITH e AS (SELECT min(x3) AS lo, (max(x3) - min(x3)) / 5 AS w FROM v_feat)
 SELECT CAST(greatest(1, least(5, CAST(ceil((x3 - lo) / w) AS INTEGER))) AS VARCHAR) AS class_or_bin, count(*) AS count,
-       round({dbl('count(*)')} / (SELECT count(*) FROM v_feat) * 100, 2) AS percentage, false AS is_classification FROM v_feat, e GROUP BY 1
+       {two_decimals(f"{dbl('count(*)')} / (SELECT count(*) FROM v_feat) * 100")} AS percentage, false AS is_classification FROM v_feat, e GROUP BY 1
 """)
 def target_bins(t):
     return profile.target_profile(t.v_feat, "x3")

@@ -17,6 +17,11 @@ def percent(part: Column, whole: Column) -> Column:
     return part.cast("double") / F.nullif(whole, F.lit(0)).cast("double") * F.lit(100.0)
 
 
+def two_decimals(value: Column) -> Column:
+    """Rounded to two digits, a half to the even neighbour."""
+    return F.rint(value * F.lit(100.0)) / F.lit(100.0)
+
+
 def missing_share(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing count and percentage of every column, from one aggregate."""
     names = list(columns or df.columns)
@@ -37,7 +42,7 @@ def missing_share(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 def analyze_missing_values(df: DataFrame) -> DataFrame:
     """Columns that miss values, worst first."""
     report = missing_share(df).where(F.col("missing_count") > 0)
-    return report.withColumn("missing_percentage", F.round("missing_percentage", 2)).orderBy(
+    return report.withColumn("missing_percentage", two_decimals(F.col("missing_percentage"))).orderBy(
         F.desc("missing_percentage"), "feature"
     )
 
@@ -145,7 +150,7 @@ def target_by_category(df: DataFrame, column: str, target: str, missing_label: s
         F.min(target).cast("double").alias("min"), F.max(target).cast("double").alias("max"),
         F.count(F.lit(1)).alias("_rows"),
     )
-    return grouped.withColumn("percentage", F.round(percent(F.col("_rows"), total.scalar()), 2)).drop("_rows")
+    return grouped.withColumn("percentage", two_decimals(percent(F.col("_rows"), total.scalar()))).drop("_rows")
 
 
 def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -287,7 +292,7 @@ def target_profile(df: DataFrame, target: str, max_classes: int = 10, bins: int
     else:
         grouped = df.where(F.col(target).isNotNull()).groupBy(F.col(target).cast("string").alias("class_or_bin"))
     return grouped.agg(F.count(F.lit(1)).alias("count")).select(
-        "class_or_bin", "count", F.round(percent(F.col("count"), total.scalar()), 2).alias("percentage"),
+        "class_or_bin", "count", two_decimals(percent(F.col("count"), total.scalar())).alias("percentage"),
         F.lit(distinct <= max_classes).alias("is_classification"),
     )
 
