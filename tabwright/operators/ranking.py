@@ -19,6 +19,8 @@ from tabwright.functions.state import settle
 
 # A group of up to this many rows may be aggregated by the built-in exact percentile.
 DIRECT_ROWS = 1_000_000
+# Values of a bracket that guide its narrowing.
+GRID = 256
 
 
 def bucket_digits(n_rows: int) -> int:
@@ -150,94 +152,158 @@ def exact_quantiles(
         return wide.select(*by, F.inline(records))
     slack = 3.0 / accuracy
     while True:
-        found = _bracketed(df, columns, probs, by, slack, accuracy)
+        found = _Brackets(df, columns, probs, by, accuracy).search(slack, max(direct_rows, accuracy))
         if found is not None:
             return found
         slack *= 8
 
 
-def _bracketed(df, columns, probs, by, slack, accuracy):
-    points = [edge for p in probs for edge in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = settle(df.groupBy(*by).agg(*[
-        F.struct(
-            F.percentile_approx(F.col(c).cast("double"), points, accuracy).alias("edge"),
-            F.min(F.col(c).cast("double")).alias("lo"),
-            F.max(F.col(c).cast("double")).alias("hi"),
-            F.count(c).alias("n"),
-        ).alias(f"_s_{c}")
-        for c in columns
-    ]))
-    base = df.select(*by, *columns)
-    if by:
-        keys = [F.col(f"s.{b}").alias(f"_g_{i}") for i, b in enumerate(by)]
-        states = sketch.alias("s").select(*keys, *[f"_s_{c}" for c in columns])
-        condition = F.lit(True)
-        for i, b in enumerate(by):
-            condition = condition & F.col(f"d.{b}").eqNullSafe(F.col(f"_g_{i}"))
-        joined = base.alias("d").join(states, condition)
-    else:
-        row = sketch.first()
-        joined = base
-        for c in columns:
-            s = row[f"_s_{c}"]
-            if s["edge"] is None:
-                edges = F.lit(None).cast("array<double>")
-            else:
-                edges = F.array(*[F.lit(float(e)) for e in s["edge"]])
-            joined = joined.withColumn(f"_s_{c}", F.struct(
-                edges.alias("edge"), F.lit(s["lo"]).cast("double").alias("lo"),
-                F.lit(s["hi"]).cast("double").alias("hi"), F.lit(s["n"]).alias("n"),
-            ))
-
-    def low(c, i):
-        edge = F.col(f"_s_{c}.edge")[2 * i]
-        return F.col(f"_s_{c}.lo") if probs[i] - slack <= 0 else edge
-
-    def high(c, i):
-        edge = F.col(f"_s_{c}.edge")[2 * i + 1]
-        return F.col(f"_s_{c}.hi") if probs[i] + slack >= 1 else edge
-
-    below = joined.groupBy(*by).agg(*[
-        F.count_if(F.col(c).cast("double") < low(c, i)).alias(f"_b_{c}_{i}")
-        for c in columns for i in range(len(probs))
-    ])
-    below = below.select(*by, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(i).alias("_i"), F.col(f"`_b_{c}_{i}`").alias("_below"))
-        for c in columns for i in range(len(probs))
-    ])))
-    candidates = F.array(*[
-        F.struct(
-            F.lit(c).alias("feature"), F.lit(i).alias("_i"), F.col(f"_s_{c}.n").alias("_n"),
-            F.when(F.col(c).cast("double").between(low(c, i), high(c, i)), F.col(c).cast("double")).alias("_v"),
+class _Brackets:
+    """Value ranges around quantiles, narrowed until few enough rows are left to rank.
+
+    The state has one row per group and, per column, ``n`` and an array of (lo, hi, below, inside)
+    with one entry per probability: ``below`` rows lie under ``lo``, ``inside`` from ``lo`` to ``hi``.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: list[str], accuracy: int):
+        self.columns, self.probs, self.by, self.accuracy = list(columns), list(probs), by, accuracy
+        self.base = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+
+    def search(self, slack: float, few: int) -> DataFrame | None:
+        state = self._sketch(slack)
+        largest = None
+        while True:
+            state = self._counted(state)
+            wide = F.array_max(F.transform("_s", lambda s: F.when(s["lo"] < s["hi"], s["inside"]).otherwise(F.lit(0))))
+            rows = state.select(F.explode(F.array(*[F.col(f"_s_{c}.marks") for c in self.columns])).alias("_s"))
+            most = rows.select(wide.alias("w")).agg(F.max("w")).first()[0] or 0
+            if most <= few or (largest is not None and most > largest // 2):
+                return self._ranked(state)
+            largest = most
+            state = self._narrowed(self._counted(state, grid=True))
+
+    def _sketch(self, slack: float) -> DataFrame:
+        points = [edge for p in self.probs for edge in (max(0.0, p - slack), min(1.0, p + slack))]
+        sketch = self.base.groupBy(*self.by).agg(*[
+            F.struct(
+                F.percentile_approx(c, points, self.accuracy).alias("edge"),
+                F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(c).alias("n"),
+            ).alias(f"_s_{c}")
+            for c in self.columns
+        ])
+
+        def marks(c: str) -> Column:
+            s = F.col(f"_s_{c}")
+            # in a small group the slack is less than a rank: take all of it
+            small = s["n"] <= F.lit(math.ceil(3 / slack))
+            return F.array(*[
+                F.struct(
+                    F.when(small | F.lit(p - slack <= 0), s["lo"]).otherwise(s["edge"][2 * i]).alias("lo"),
+                    F.when(small | F.lit(p + slack >= 1), s["hi"]).otherwise(s["edge"][2 * i + 1]).alias("hi"),
+                )
+                for i, p in enumerate(self.probs)
+            ])
+
+        return settle(sketch.select(*self.by, *[
+            F.struct(F.col(f"_s_{c}.n").alias("n"), marks(c).alias("marks")).alias(f"_s_{c}") for c in self.columns
+        ]))
+
+    def _attached(self, state: DataFrame) -> DataFrame:
+        """The rows with the state of their group; a single state row is written into the plan."""
+        if self.by:
+            keys = {b: f"_g_{i}" for i, b in enumerate(self.by)}
+            same = F.lit(True)
+            for b, g in keys.items():
+                same = same & F.col(b).eqNullSafe(F.col(g))
+            return self.base.join(state.withColumnsRenamed(keys), same).drop(*keys.values())
+        return self.base.withColumns({f"_s_{c}": state.select(f"_s_{c}").scalar() for c in self.columns})
+
+    def _each(self):
+        return [(c, i, F.col(f"_s_{c}.marks")[i]) for c in self.columns for i in range(len(self.probs))]
+
+    def _counted(self, state: DataFrame, grid: bool = False) -> DataFrame:
+        """Adds ``below``, ``inside`` and, if wanted, a grid of values inside each range, in one aggregate."""
+        steps = [j / GRID for j in range(GRID + 1)]
+
+        def spread(c: str, m: Column) -> list[Column]:
+            held = F.when(F.col(c).between(m["lo"], m["hi"]), F.col(c))
+            return [F.percentile_approx(held, steps, self.accuracy).alias("grid")] if grid else []
+
+        counted = self._attached(state).groupBy(*self.by).agg(
+            *[F.first(f"_s_{c}.n").alias(f"_n_{c}") for c in self.columns],
+            *[
+                F.struct(
+                    F.first(m["lo"]).alias("lo"), F.first(m["hi"]).alias("hi"),
+                    F.count_if(F.col(c) < m["lo"]).alias("below"),
+                    F.count_if(F.col(c).between(m["lo"], m["hi"])).alias("inside"),
+                    *spread(c, m),
+                ).alias(f"_m_{c}_{i}")
+                for c, i, m in self._each()
+            ],
+        )
+        return settle(counted.select(*self.by, *[
+            F.struct(
+                F.col(f"_n_{c}").alias("n"), F.array(*[F.col(f"_m_{c}_{i}") for i in range(len(self.probs))]).alias("marks")
+            ).alias(f"_s_{c}")
+            for c in self.columns
+        ]))
+
+    def _narrowed(self, state: DataFrame) -> DataFrame:
+        """Ranges between grid values around the wanted rank, further out than a sketch can be wrong."""
+        margin = 2 + math.ceil(2 * GRID / self.accuracy)
+
+        def closer(c: str, i: int) -> Column:
+            mark = F.col(f"_s_{c}.marks")[i]
+            rank = (F.col(f"_s_{c}.n") - 1).cast("double") * F.lit(float(self.probs[i])) - mark["below"]
+            per_step = F.greatest(mark["inside"] - 1, F.lit(1)).cast("double") / F.lit(float(GRID))
+            left = F.floor(F.floor(rank) / per_step).cast("int") - margin
+            right = F.ceil(F.ceil(rank) / per_step).cast("int") + margin
+            return F.struct(
+                F.when(left <= 0, mark["lo"]).otherwise(F.try_element_at(mark["grid"], left + 1)).alias("lo"),
+                F.when(right >= GRID, mark["hi"]).otherwise(F.try_element_at(mark["grid"], right + 1)).alias("hi"),
+            )
+
+        return settle(state.select(*self.by, *[
+            F.struct(
+                F.col(f"_s_{c}.n").alias("n"), F.array(*[closer(c, i) for i in range(len(self.probs))]).alias("marks")
+            ).alias(f"_s_{c}")
+            for c in self.columns
+        ]))
+
+    def _ranked(self, state: DataFrame) -> DataFrame | None:
+        """Quantiles from the rows inside the ranges; None when a range misses its rank."""
+        candidates = F.array(*[
+            F.struct(
+                F.lit(c).alias("feature"), F.lit(i).alias("_i"), F.col(f"_s_{c}.n").alias("_n"), m["below"].alias("_below"),
+                F.when(F.col(c).between(m["lo"], m["hi"]), F.col(c)).alias("_v"),
+            )
+            for c, i, m in self._each()
+        ])
+        group = [*self.by, "feature", "_i", "_n", "_below"]
+        inside = self._attached(state).select(*self.by, F.inline(F.filter(candidates, lambda s: s["_v"].isNotNull())))
+        # copies of a value count once from here on
+        tallied = inside.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c"))
+        upto = F.sum("_c").over(Window.partitionBy(*group).orderBy("_v"))
+        prob = F.element_at(F.array(*[F.lit(float(p)) for p in self.probs]), F.col("_i") + 1)
+        ranked = tallied.withColumn("_end", upto + F.col("_below")).withColumn("_rank", (F.col("_n") - 1).cast("double") * prob)
+        found = ranked.groupBy(*group, "_rank").agg(
+            F.min(F.when(F.col("_end") > F.floor("_rank"), F.col("_v"))).alias("_v0"),
+            F.min(F.when(F.col("_end") > F.ceil("_rank"), F.col("_v"))).alias("_v1"),
+        )
+        part = F.col("_rank") - F.floor("_rank")
+        found = settle(found.select(
+            *self.by, "feature", "_i", ((F.col("_below") > F.floor("_rank")) | F.col("_v1").isNull()).alias("_missed"),
+            (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * part).alias("_value"),
+        ))
+        if found.where("_missed").limit(1).count():
+            return None
+        values = F.transform(F.array_sort(F.collect_list(F.struct("_i", "_value"))), lambda s: s["_value"])
+        known = found.groupBy(*self.by, "feature").agg(values.alias("q"))
+        # a group without any value in a column has a row as well
+        everything = state.select(*self.by, F.explode(F.array(*[F.lit(c) for c in self.columns])).alias("feature"))
+        same = F.col("e.feature") == F.col("k.feature")
+        for b in self.by:
+            same = same & F.col(f"e.{b}").eqNullSafe(F.col(f"k.{b}"))
+        return everything.alias("e").join(known.alias("k"), same, "left").select(
+            *[F.col(f"e.{b}").alias(b) for b in self.by], F.col("e.feature").alias("feature"), F.col("k.q").alias("q")
         )
-        for c in columns for i in range(len(probs))
-    ])
-    inside = joined.select(*by, F.inline(F.filter(candidates, lambda s: s["_v"].isNotNull())))
-    tallied = inside.groupBy(*by, "feature", "_i", "_n", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    group = [*by, "feature", "_i"]
-    upto = F.sum("_c").over(Window.partitionBy(*group).orderBy("_v"))
-    ranked = tallied.withColumn("_upto", upto)
-    left, right = ranked.alias("l"), below.alias("b")
-    condition = F.lit(True)
-    for g in group:
-        condition = condition & F.col(f"l.{g}").eqNullSafe(F.col(f"b.{g}"))
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("l._i") + 1)
-    rank = (F.col("_n") - 1).cast("double") * prob
-    end = F.col("_upto") + F.col("_below")
-    located = left.join(right, condition).select(
-        *[F.col(f"l.{g}").alias(g) for g in group], "_v", "_below", end.alias("_end"), rank.alias("_rank")
-    ).groupBy(*group).agg(
-        F.first("_rank").alias("_rank"), F.first("_below").alias("_below"),
-        F.min(F.when(F.col("_end") > F.floor("_rank"), F.col("_v"))).alias("_v0"),
-        F.min(F.when(F.col("_end") > F.ceil("_rank"), F.col("_v"))).alias("_v1"),
-    ).select(
-        *group,
-        ((F.col("_below") > F.floor("_rank")) | F.col("_v1").isNull()).alias("_missed"),
-        (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_rank") - F.floor("_rank"))).alias("_value"),
-    )
-    located = settle(located)
-    if located.where("_missed").limit(1).count():
-        return None
-    return located.groupBy(*by, "feature").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_value"))), lambda s: s["_value"]).alias("q")
-    )

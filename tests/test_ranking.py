@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import order_hash, uniform
+from tabwright.operators import ranking
 from tabwright.operators.ranking import bucket_digits, cut_key, exact_quantiles, quota_cuts, with_position
 from tabwright.operators.relational import sample_rows
 
@@ -53,9 +54,23 @@ def test_direct_and_bracketed_agree(skewed):
         assert a[key] == pytest.approx(b[key], abs=1e-9)
 
 
-def test_quantiles_of_a_column_without_values(spark):
-    df = spark.createDataFrame([(1, None), (2, None)], "id int, v double")
-    assert exact_quantiles(df, ["v"], [0.5]).first()["q"] is None
+@pytest.mark.parametrize("direct_rows", [0, 10])
+def test_quantiles_of_a_column_without_values(spark, direct_rows):
+    df = spark.createDataFrame([(1, None, 2.0), (2, None, 4.0)], "id int, v double, w double")
+    got = {r["feature"]: r["q"] for r in exact_quantiles(df, ["v", "w"], [0.5], direct_rows=direct_rows).collect()}
+    assert got == {"v": None, "w": [3.0]}
+
+
+def test_brackets_are_narrowed_to_few_rows(skewed, spark):
+    """A coarse sketch leaves wide ranges; narrowing makes them small before anything is ranked."""
+    table, df = skewed
+    search = ranking._Brackets(df, ["v"], [0.3], [], 500)
+    state = search._counted(search._sketch(0.2))
+    wide = state.first()["_s_v"]["marks"][0]["inside"]
+    narrow = search._counted(search._narrowed(search._counted(state, grid=True))).first()["_s_v"]["marks"][0]["inside"]
+    assert wide > 2000 and narrow < wide / 3
+    got = search.search(0.2, 50).first()["q"]
+    assert got == pytest.approx([table["v"].quantile(0.3)])
 
 
 @pytest.mark.parametrize("rows_per_bucket", [100, 10**6])
