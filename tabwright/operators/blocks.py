@@ -22,10 +22,10 @@ def blocked(df: DataFrame, n_rows: int, position_col: str | None = None, order_c
         raise ValueError("name either position_col or order_col")
     if position_col is None:
         df, position_col = with_position(df, order_col, name="_rn"), "_rn"
-    place = F.col(position_col)
+    # whole-number division: a double would lose places beyond 2**53
     out = df.withColumns({
-        BLOCK: F.floor(place / F.lit(n_rows)).cast("bigint"),
-        PLACE: (place % F.lit(n_rows)).cast("int"),
+        BLOCK: F.expr(f"`{position_col}` div {int(n_rows)}"),
+        PLACE: (F.col(position_col) % F.lit(int(n_rows))).cast("int"),
     })
     return out.drop("_rn")
 

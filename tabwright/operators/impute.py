@@ -123,7 +123,8 @@ def impute_knn(df: DataFrame, column_to_impute: str, n_neighbors: int = 5, *, id
         ready.where(F.col("_known").isNull()), ready.where(F.col("_known").isNotNull()), n_neighbors,
         id_col=id_col, vector_col="_vec", payload="_known", **options,
     )
-    mean = F.aggregate("neighbours", F.lit(0.0), lambda total, n: total + n["payload"]) / F.size("neighbours")
+    mean = F.aggregate("neighbours", F.lit(0.0), lambda total, n: total + n["payload"])
+    mean = F.when(F.size("neighbours") > 0, mean / F.size("neighbours"))
     # only rows with a gap are joined; all others pass without a shuffle
     gaps = df.where(target.isNull()).join(near.select(id_col, mean.alias("_fill")), id_col)
     done = gaps.withColumn(column_to_impute, finished(F.col("_fill"))).select(*df.columns)

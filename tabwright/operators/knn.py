@@ -273,12 +273,15 @@ def k_nearest(
         if part is not None:
             found = part if found is None else found.unionByName(part)
     fields = ["dist", "did"] + (["payload"] if payload else [])
+    shape = T.ArrayType(T.StructType([T.StructField("dist", T.DoubleType()), *_plain(placed, *fields[1:]).fields]))
+    nothing = F.array().cast(shape)
     if found is None:
-        return asking.where(F.lit(False)).select(id_col, F.array().alias("neighbours"))
+        return asking.select(id_col, nothing.alias("neighbours"))
     lists = _best(found, need).groupBy("rep").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("neighbours"))
     answers = reps.select("grp", "vec", "rep").join(lists, "rep")
-    answered = asking.join(answers.drop("rep"), ["grp", "vec"])
-    neighbours = F.col("neighbours")
+    # a receiver whose group has no donor keeps its row, with an empty list
+    answered = asking.join(answers.drop("rep"), ["grp", "vec"], "left")
+    neighbours = F.coalesce("neighbours", nothing)
     if exclude_self:
         neighbours = F.filter(neighbours, lambda n: n["did"] != F.col(id_col))
     return answered.select(id_col, F.slice(neighbours, 1, k).alias("neighbours"))

@@ -62,6 +62,16 @@ def test_more_neighbours_than_donors(cloud):
     assert all(sorted(v) == list(range(594, 600)) for v in got.values()) and len(got) == 5
 
 
+def test_receivers_without_donors_keep_their_row(cloud):
+    _, _, df = cloud
+    ask, give = df.where("id < 60"), df.where("grp = 'a' and id >= 60")
+    got = neighbours(k_nearest(ask, give, 2, id_col="id", vector_col="vec", within="grp", payload="y"))
+    assert set(got) == set(range(60))
+    assert {len(v) for k, v in got.items()} == {0, 2}
+    none = k_nearest(ask.where("id < 0"), give, 2, id_col="id", vector_col="vec", payload="y")
+    assert none.count() == 0 and "payload" in none.schema["neighbours"].dataType.elementType.names
+
+
 GAPS = [
     (0, 1.0, 10.0, "a", 100.0), (1, 2.0, None, "b", 200.0), (2, None, 30.0, "c", None), (3, 4.0, 40.0, None, 400.0),
     (4, 5.0, 50.0, "e", None), (5, 6.0, None, "f", 600.0), (6, None, 70.0, "g", 700.0), (7, 8.0, 80.0, None, 800.0),
