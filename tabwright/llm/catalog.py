@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabwright.llm.packing import pack_documents
 from tabwright.llm.pii import KINDS, find_personal_data
+from tabwright.llm.rans import read_token_files, write_token_files
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -34,6 +35,12 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
                         F.coalesce(F.array_min(F.transform("spans", lambda s: s["score"])), F.lit(1.0)).alias("least_score"))
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written as token files in document order, and what reading them back gives."""
+    written = write_token_files(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+    return read_token_files(spark, written).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens: one row per piece."""
     pieces = pack_documents(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))
@@ -42,6 +49,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_personal_data": op6_personal_data,
+    "op7_token_files": op7_token_files,
     "op9_packing": op9_packing,
 }
 SQL: dict[str, str] = {}
