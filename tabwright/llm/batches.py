@@ -55,3 +55,16 @@ def binary_column(buffer: np.ndarray, offsets: np.ndarray) -> pa.Array:
     bounds = pa.py_buffer(offsets.astype(np.int64))
     wide = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, bounds, values])
     return wide.cast(pa.binary())
+
+
+def mapped_bytes(texts: pa.Array, table: bytes) -> pa.Array:
+    """Large strings with every byte looked up in a table of 256; the table must keep UTF-8 valid and lengths as they are."""
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = data[bounds[0]:bounds[-1]].to_pybytes().translate(table) if data is not None else b""
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(bounds - bounds[0]), pa.py_buffer(raw)])
+
+
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+# letters a-z, digits and everything beyond ASCII stay; all other bytes become spaces
+WORD_BYTES = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))

@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabwright.llm.decontaminate import find_contamination
 from tabwright.llm.packing import pack_documents
 from tabwright.llm.pii import KINDS, find_personal_data
 from tabwright.llm.rans import read_token_files, write_token_files
+from tabwright.llm.simhash import near_duplicates
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -18,6 +20,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op2_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark words in every document, and which items they come from."""
+    found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("spans").cast("long").alias("n_spans"))
+
+
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data in every document, as counts, a digest of the base kinds and a list of all spans."""
     found = find_personal_data(table(spark, folder, "documents"))
@@ -48,6 +64,8 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op2_contamination": op2_contamination,
     "op6_personal_data": op6_personal_data,
     "op7_token_files": op7_token_files,
     "op9_packing": op9_packing,
