@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabwright.llm.decontaminate import find_contamination
+from tabwright.llm.licenses import scan_licenses, scan_sql
 from tabwright.llm.packing import pack_documents
 from tabwright.llm.pii import KINDS, find_personal_data
 from tabwright.llm.rans import read_token_files, write_token_files
@@ -34,6 +35,11 @@ def op2_contamination(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"))
 
 
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Known licence sentences and the licences they make up, for every document."""
+    return scan_licenses(table(spark, folder, "documents"))
+
+
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data in every document, as counts, a digest of the base kinds and a list of all spans."""
     found = find_personal_data(table(spark, folder, "documents"))
@@ -66,8 +72,9 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_contamination": op2_contamination,
+    "op3_licenses": op3_licenses,
     "op6_personal_data": op6_personal_data,
     "op7_token_files": op7_token_files,
     "op9_packing": op9_packing,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_licenses": scan_sql()}
