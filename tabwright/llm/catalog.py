@@ -11,6 +11,7 @@ from tabwright.llm.decontaminate import find_contamination
 from tabwright.llm.licenses import scan_licenses, scan_sql
 from tabwright.llm.packing import pack_documents
 from tabwright.llm.pii import KINDS, find_personal_data
+from tabwright.llm.quality import judge
 from tabwright.llm.rans import read_token_files, write_token_files
 from tabwright.llm.simhash import near_duplicates
 
@@ -69,6 +70,13 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality measures of every document, and whether it is kept."""
+    return judge(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("perplexity", 4).alias("perplexity"), F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_contamination": op2_contamination,
@@ -76,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_personal_data": op6_personal_data,
     "op7_token_files": op7_token_files,
     "op9_packing": op9_packing,
+    "op10_quality": op10_quality,
 }
 SQL: dict[str, str] = {"op3_licenses": scan_sql()}
