@@ -14,6 +14,7 @@ from tabwright.llm.pii import KINDS, find_personal_data
 from tabwright.llm.quality import judge
 from tabwright.llm.rans import read_token_files, write_token_files
 from tabwright.llm.simhash import near_duplicates
+from tabwright.llm.toxicity import score_toxicity
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -64,6 +65,11 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(spark, written).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labelled rows that are not held out."""
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens: one row per piece."""
     pieces = pack_documents(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_licenses": op3_licenses,
     "op6_personal_data": op6_personal_data,
     "op7_token_files": op7_token_files,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
 }
