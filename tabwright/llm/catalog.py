@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabwright.llm.decontaminate import find_contamination
 from tabwright.llm.licenses import scan_licenses, scan_sql
+from tabwright.llm.line_dedup import dedup_lines
 from tabwright.llm.packing import pack_documents
 from tabwright.llm.pii import KINDS, find_personal_data
 from tabwright.llm.quality import judge
@@ -42,6 +43,12 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines removed from every document as later copies of repeated runs of 50 words and more."""
+    return dedup_lines(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data in every document, as counts, a digest of the base kinds and a list of all spans."""
     found = find_personal_data(table(spark, folder, "documents"))
@@ -87,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_contamination": op2_contamination,
     "op3_licenses": op3_licenses,
+    "op5_line_dedup": op5_line_dedup,
     "op6_personal_data": op6_personal_data,
     "op7_token_files": op7_token_files,
     "op8_toxicity": op8_toxicity,
