@@ -15,6 +15,7 @@ from tabwright.llm.pii import KINDS, find_personal_data
 from tabwright.llm.quality import judge
 from tabwright.llm.rans import read_token_files, write_token_files
 from tabwright.llm.simhash import near_duplicates
+from tabwright.llm.suffix_dedup import dedup_substrings
 from tabwright.llm.toxicity import score_toxicity
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -43,6 +44,13 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes removed from every document because a string of 200 bytes around them occurs elsewhere."""
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return dedup_substrings(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines removed from every document as later copies of repeated runs of 50 words and more."""
     return dedup_lines(table(spark, folder, "documents")).select(
@@ -94,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_contamination": op2_contamination,
     "op3_licenses": op3_licenses,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_personal_data": op6_personal_data,
     "op7_token_files": op7_token_files,
