@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text worked on at a time inside a task. A single longer text is still worked on whole.
-SLICE_BYTES = 24_000_000
+SLICE_BYTES = 12_000_000
 
 
 def texts_of(column: pa.Array) -> pa.Array:

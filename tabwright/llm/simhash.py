@@ -17,6 +17,8 @@ from tabwright.llm.components import components
 
 # Distinct fingerprints compared in one go; an anchor with more is dealt out as pairs of chunks of this size.
 CHUNK = 2048
+# Bytes of text hashed at a time; shingles take some twenty times the room of their words.
+SHINGLED = 4_000_000
 THRESHOLD = 3
 
 
@@ -67,7 +69,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     space; null and empty texts have fingerprint zero."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b, 1)):
+        for batch in (s for b in batches for s in slices(b, 1, SHINGLED)):
             hashes, offsets = shingle_hashes(*split_words(mapped_bytes(texts_of(batch.column(1)), LOWER)), width)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(majority_bits(hashes, offsets).view(np.int64))],
                                              names=["doc_id", "fp"])
