@@ -1,3 +1,67 @@
-"""The corpus pipeline, and all queries of the llm subpackage."""
+"""The corpus pipeline: quality rules, line dedup, near-dedup, decontamination, packing. Also hands on all llm queries.
 
-from tabwright.llm.catalog import QUERIES, SQL  # noqa: F401
+Every stage takes (spark, docs, sf_dir); its result is written as Parquet and read again for the next one.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tabwright.llm.catalog import QUERIES as OPERATOR_QUERIES, SQL, WORD_TOKENIZER, table
+from tabwright.llm.decontaminate import decontaminate
+from tabwright.llm.line_dedup import dedup_lines
+from tabwright.llm.packing import pack_documents
+from tabwright.llm.quality import keep_good
+from tabwright.llm.similarity import one_of_each_group
+from tabwright.llm.staging import staged
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the limits or lie outside the perplexity band of their language go."""
+    return keep_good(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of line runs of 50 words and more are cut; documents of which nothing is left go."""
+    cut = dedup_lines(docs).where("n_lines = 0 OR n_removed < n_lines")
+    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group with 0.8 of their five-word shingles in common stays."""
+    return one_of_each_group(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; documents that are mostly benchmark text go."""
+    clean = decontaminate(docs.withColumn("before", F.col("text")), table(spark, sf_dir, "benchmark"))
+    changed = ~F.col("before").eqNullSafe(F.col("text"))
+    return clean.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2048 tokens."""
+    return pack_documents(docs, public_tokenizers.path(WORD_TOKENIZER))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+ORACLE_SQL = None  # language models and tokens are beyond SQL: tests hold each stage against a brute-force version
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return docs.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = OPERATOR_QUERIES | {"pipeline": run}
