@@ -72,10 +72,10 @@ def discounts(counts: DataFrame) -> DataFrame:
     """Per language the three modified discounts from the numbers of grams seen once to four times."""
     n = {k: F.sum(F.when(F.col("c") == k, 1).otherwise(0)) for k in (1, 2, 3, 4)}
     table = counts.groupBy("lang").agg(*(n[k].alias(f"n{k}") for k in n))
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0))
 
     def d(k: int) -> Column:
-        exact = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+        exact = k - (k + 1) * y * F.col(f"n{k + 1}") / F.nullif(F.col(f"n{k}"), F.lit(0))
         usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0)
         return F.when(usable, F.greatest(F.lit(0.0), F.least(F.lit(float(k)), exact))).otherwise(F.lit(k / 2)).alias(f"d{k}")
 

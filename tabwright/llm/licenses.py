@@ -88,7 +88,8 @@ RULES = (
     ("Proprietary", ("reserved",)),
 )
 CUT = "\x01"
-END_OF_SENTENCE, OTHER = r"[.!?;:]+[ \t\r\n]+", rf"[^a-z0-9.+{CUT}-]+"
+# a full stop and its like before white space, a colon at the end of a line, a blank line
+END_OF_SENTENCE, OTHER = r"[.!?;]+[ \t\r\n]+|:[ \t\r]*\n|\n[ \t\r]*\n", rf"[^a-z0-9.+{CUT}-]+"
 
 
 def _identifiers(lowered: Column, lines_end: bool) -> Column:
@@ -144,7 +145,7 @@ def scan_sql(table: str = "documents") -> str:
     names = f"MAP {{{', '.join(f'{text(s)}: {text(i)}' for s, i in SENTENCES.items())}}}"
 
     def identifiers(lines_end: bool) -> str:
-        cut = "regexp_replace(t, '[.!?;:]+[ \\t\\r\\n]+', chr(1), 'g')"
+        cut = f"regexp_replace(t, '{END_OF_SENTENCE}', chr(1), 'g')"
         cut = f"replace({cut}, chr(10), chr(1))" if lines_end else cut
         parts = f"string_split(regexp_replace({cut}, '[^a-z0-9.+\\x01-]+', ' ', 'g'), chr(1))"
         known = f"list_filter(list_transform({parts}, lambda s: trim(s, ' .-')), lambda s: s IN ({', '.join(map(text, SENTENCES))}))"

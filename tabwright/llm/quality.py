@@ -109,7 +109,7 @@ def bands(scored: DataFrame, width: float = BAND) -> DataFrame:
 
     Quantiles are taken from counts in steps of 1/500, so they do not depend on how rows are dealt.
     """
-    steps = scored.where("NOT base_failed").select("lang", F.round(F.col("log_p") / F.col("letters") * STEPS).cast("long").alias("step"))
+    steps = scored.where("NOT base_failed").select("lang", F.round(F.col("log_p") / F.nullif(F.col("letters"), F.lit(0)) * STEPS).cast("long").alias("step"))
     counts = steps.groupBy("lang", "step").agg(F.count("*").alias("n"))
     order = Window.partitionBy("lang").orderBy("step")
     share = counts.select("lang", "step", (F.sum("n").over(order) / F.sum("n").over(Window.partitionBy("lang"))).alias("share"))
@@ -153,10 +153,11 @@ def failed():
 
 
 def with_verdict(scored: DataFrame, band: DataFrame) -> DataFrame:
-    mean, wide = F.col("log_p") / F.col("letters"), F.col("half") * F.sqrt(1 + F.lit(LETTERS) / F.col("letters"))
+    letters = F.nullif(F.col("letters"), F.lit(0))
+    mean, wide = F.col("log_p") / letters, F.col("half") * F.sqrt(1 + F.lit(LETTERS) / letters)
     inside = F.abs(mean - F.col("middle")) <= wide
     return scored.join(band, "lang", "left").withColumns({
-        "perplexity": F.when(F.col("letters") > 0, F.exp(-mean)), "lower": F.exp(-(F.col("middle") + wide)), "upper": F.exp(-(F.col("middle") - wide)),
+        "perplexity": F.exp(-mean), "lower": F.exp(-(F.col("middle") + wide)), "upper": F.exp(-(F.col("middle") - wide)),
         "kept": ~F.col("base_failed") & F.coalesce(inside, F.lit(False))})
 
 
