@@ -6,15 +6,26 @@ from pyspark.sql import functions as F
 
 from tabwright.catalog.registry import query
 from tabwright.functions.state import scratch_path
+from tabwright.functions.text import LIST_SEPARATOR
 from tabwright.functions.types import (
     columns_matching, get_categorical_features, get_numerical_features, split_features_target,
 )
 from tabwright.operators import relational
-from tabwright.operators.cleaning import transform_to_binary_features
+from tabwright.operators.cleaning import get_unique_values_and_counts, transform_to_binary_features
 from tabwright.sources import files
 
-# Members used to flag the list column.
-LOAN_KINDS = ("ECONOMY Loan", "LARGE Loan", "MEDIUM Loan", "PROMO Loan", "SMALL Loan", "STANDARD Loan")
+LIST_MEMBERS = rf"""SELECT DISTINCT unnest(list_filter(list_transform(
+    regexp_split_to_array(items, '{LIST_SEPARATOR}'), lambda x: trim(x)), lambda x: x <> '')) AS value FROM v_multi"""
+
+
+def list_members(t) -> list[str]:
+    """All members found in the list column (few: they become columns)."""
+    return sorted(r["value"] for r in get_unique_values_and_counts(t.v_multi, "items").select("value").collect())
+
+
+def long_flags(flagged, flags):
+    """One row per flag column, since the columns depend on the data."""
+    return flagged.select("row_id", F.inline(F.array(*[F.struct(F.lit(c).alias("flag"), F.col(f"`{c}`").alias("value")) for c in flags])))
 
 
 @query("s1_load_csv", "SELECT row_id, cat_n, v_n, raw FROM v_ev")
@@ -26,6 +37,15 @@ def load_csv(t):
     return files.load_data(t.spark, path, "row_id bigint, cat_n string, v_n double, raw string")
 
 
+@query("s1_load_csv_inferred", "SELECT row_id, cat_n, v_n, CASE WHEN cat_n IS NULL THEN NULL ELSE cat_n || ', \"x\"' || chr(10) || 'y' END AS noted FROM v_ev")
+def load_csv_inferred(t):
+    noted = F.concat(F.col("cat_n"), F.lit(', "x"\ny'))
+    written = t.v_ev.select("row_id", F.coalesce("cat_n", F.lit("NULL")).alias("cat_n"),
+                            F.coalesce(F.col("v_n").cast("string"), F.lit("NULL")).alias("v_n"), noted.alias("noted"))
+    path = files.save_processed_data(written, scratch_path(t.spark, "inferred.csv"))
+    return files.load_data(t.spark, path)
+
+
 @query("s2_load_processed", "SELECT row_id, grp, x1, x2, x3, x4, cat, label FROM v_feat")
 def load_processed(t):
     columns = ["row_id", "grp", "x1", "x2", "x3", "x4", "cat", "label"]
@@ -84,12 +104,15 @@ def categorical(t):
     return t.v_feat.select(get_categorical_features(t.v_feat))
 
 
-@query("p5_columns_by_pattern", "SELECT row_id, " + ", ".join(
-    f"CAST(CASE WHEN contains(coalesce(items, ''), '{kind}') THEN 1 ELSE 0 END AS INTEGER) AS \"Has_{kind.replace(' ', '_')}\""
-    for kind in LOAN_KINDS) + " FROM v_multi")
+@query("p5_columns_by_pattern", f"""
+SELECT row_id, 'Has_' || replace(value, ' ', '_') AS flag, CAST(contains(coalesce(items, ''), value) AS INTEGER) AS value
+FROM v_multi CROSS JOIN (SELECT min(value) AS value FROM ({LIST_MEMBERS}) d GROUP BY lower(value)) m WHERE contains(value, 'Loan')
+""")
 def by_pattern(t):
-    flagged = transform_to_binary_features(t.v_multi, "items", LOAN_KINDS)
-    return flagged.select("row_id", *columns_matching(flagged, contains=["Loan"], prefix="Has_"))
+    # column names do not differ in case: of members that do, the first one is flagged
+    first = {v.lower(): v for v in reversed(list_members(t))}
+    flagged = transform_to_binary_features(t.v_multi, "items", sorted(first.values()))
+    return long_flags(flagged, columns_matching(flagged, contains=["Loan"], prefix="Has_"))
 
 
 @query("p6_features_and_target", "SELECT x1, x2, x3, x4, cat, label AS target FROM v_feat")

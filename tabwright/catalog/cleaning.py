@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabwright.catalog.basics import LOAN_KINDS
+from tabwright.catalog.basics import LIST_MEMBERS, list_members
 from tabwright.catalog.registry import dbl, query, r6
 from tabwright.functions.state import small_rows
 from tabwright.functions.text import DURATION_PATTERN, LIST_SEPARATOR, NUMBER_PATTERN, number_or_null
@@ -101,30 +101,29 @@ def list_values(t):
     return cleaning.get_unique_values_and_counts(t.v_multi, "items")
 
 
-_FLAGS = ", ".join(
-    f"CAST(CASE WHEN contains(coalesce(items, ''), '{k}') THEN 1 ELSE 0 END AS INTEGER) AS \"Has_{k.replace(' ', '_')}\""
-    for k in LOAN_KINDS)
-
-
-@query("c12_multi_hot", f"SELECT row_id, {_FLAGS} FROM v_multi")
+@query("c12_multi_hot", f"""
+SELECT row_id, 'Has_' || replace(value, ' ', '_') AS flag, CAST(contains(coalesce(items, ''), value) AS INTEGER) AS value
+FROM v_multi CROSS JOIN ({LIST_MEMBERS}) m
+""")
 def multi_hot(t):
-    flagged = cleaning.transform_to_binary_features(t.v_multi, "items", LOAN_KINDS)
-    return flagged.drop("items", "Loan_Count")
+    return cleaning.binary_feature_rows(t.v_multi, "items", list_members(t), ["row_id"])
 
 
-@query("c12_flag_totals", " UNION ALL ".join(
-    f"SELECT 'Has_{k.replace(' ', '_')}' AS flag, CAST(count_if(contains(items, '{k}')) AS BIGINT) AS total FROM v_multi"
-    for k in LOAN_KINDS))
+@query("c12_flag_totals", f"""
+SELECT 'Has_' || replace(value, ' ', '_') AS flag, CAST(count_if(contains(items, value)) AS BIGINT) AS total
+FROM v_multi CROSS JOIN ({LIST_MEMBERS}) m GROUP BY value
+""")
 def flag_totals(t):
-    flagged = cleaning.transform_to_binary_features(t.v_multi, "items", LOAN_KINDS)
-    return cleaning.binary_feature_totals(flagged, [c for c in flagged.columns if c.startswith("Has_")])
+    flags = cleaning.binary_feature_rows(t.v_multi, "items", list_members(t), [])
+    return flags.groupBy("flag").agg(F.sum("value").cast("bigint").alias("total"))
 
 
 @query("c13_occurrence_count", f"""
-SELECT row_id, CAST(len(regexp_extract_all(items, '{"|".join(LOAN_KINDS)}')) AS INTEGER) AS "Loan_Count" FROM v_multi
+WITH p AS (SELECT string_agg(value, '|' ORDER BY length(value) DESC, value) AS pattern FROM ({LIST_MEMBERS}) m)
+SELECT row_id, CAST(len(regexp_extract_all(items, pattern)) AS INTEGER) AS "Loan_Count" FROM v_multi CROSS JOIN p
 """)
 def occurrence_count(t):
-    flagged = cleaning.transform_to_binary_features(t.v_multi, "items", LOAN_KINDS)
+    flagged = cleaning.transform_to_binary_features(t.v_multi, "items", list_members(t))
     return flagged.select("row_id", "Loan_Count")
 
 

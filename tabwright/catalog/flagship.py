@@ -41,12 +41,12 @@ def clean_events_summary(t):
 @query("curated_events", f"""
 WITH d AS (SELECT row_id, v_n, coalesce(cat_n, 'Unknown') AS cat_n, CAST(CASE WHEN regexp_matches(raw, '[0-9]') THEN replace(replace(raw, '_', ''), '$', '') END AS DOUBLE) AS raw FROM v_ev),
 c AS (SELECT row_id, CASE WHEN v_n > 200 THEN NULL ELSE v_n END AS v_n, cat_n, CASE WHEN raw < 0 OR raw > 150 THEN NULL ELSE raw END AS raw FROM d)
-SELECT row_id, {r6('v_n')} AS v_n, cat_n, {r6('raw')} AS raw FROM c ORDER BY md5('42:' || CAST(row_id AS VARCHAR)), row_id LIMIT 2500""")
+SELECT row_id, {r6('v_n')} AS v_n, cat_n, {r6('raw')} AS raw FROM c""")
 def curated_events(t):
     spec = CurationSpec(
         id_col="row_id", drop=["blk", "pos", "user_id", "cat", "v"], dirty_numbers=["raw"],
         constraints={"raw": {"min": 0, "max": 150, "integer": False}, "v_n": {"min": None, "max": 200, "integer": False}},
-        sample_size=2500, category_fills={"cat_n": "Unknown"},
+        category_fills={"cat_n": "Unknown"},
     )
     curated, _ = curate(t.v_ev, spec)
     return curated.withColumns({"v_n": rounded(F.col("v_n")), "raw": rounded(F.col("raw"))})

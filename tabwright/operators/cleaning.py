@@ -132,6 +132,16 @@ def transform_to_binary_features(df: DataFrame, column: str, unique_values: Sequ
     return replace_columns(df, new)
 
 
+def binary_feature_rows(df: DataFrame, column: str, unique_values: Sequence[str], keep: Sequence[str],
+                        prefix: str = "Has_") -> DataFrame:
+    """The same flags as rows (``keep``, flag, value), for values too many or too alike (in case) to be column names."""
+    cells = F.array(*[
+        F.struct(F.lit(flag_name(v, prefix)).alias("flag"), F.coalesce(F.contains(column, F.lit(v)), F.lit(False)).cast("int").alias("value"))
+        for v in unique_values
+    ])
+    return df.select(*keep, F.inline(cells))
+
+
 def binary_feature_totals(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Rows carrying each flag."""
     totals = df.agg(*[F.sum(F.col(f"`{c}`").cast("bigint")).alias(c) for c in flags])

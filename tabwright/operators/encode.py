@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from itertools import chain
 
 from pyspark.ml.base import Estimator, Model
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabwright.functions.state import rows_if_small, settle, small_rows
@@ -17,6 +18,8 @@ STRATEGIES = ("ordinal", "one-hot", "frequency", "binary")
 UNSEEN_CODE = -1
 # Codes of up to this many values are written into the plan; more are joined.
 INLINE_VALUES = 64
+# A feature with more categories than this becomes one sparse vector instead of a column per category.
+WIDE_CATEGORIES = 1000
 
 
 def appearance_codes(df: DataFrame, features: Sequence[str], order_col: str) -> DataFrame:
@@ -126,13 +129,20 @@ class FeatureEncoder(Estimator):
                 raise ValueError(f"binary encoding expects 2 categories, got {found} for {f}")
         wide = [f for f, s in plan.items() if s == "one-hot"]
         categories: dict[str, list[str]] = {f: [] for f in wide}
+        sparse: dict[str, tuple[DataFrame, int]] = {}
         if wide:
             values = dataset.select(F.inline(F.array(*[
                 F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value")) for f in wide
             ]))).where(F.col("value").isNotNull()).distinct()
-            for r in small_rows(values, "one-hot categories"):
+            values = settle(values)
+            sizes = {r["feature"]: r["count"] for r in small_rows(values.groupBy("feature").count(), "one-hot features", len(wide) + 1)}
+            narrow = [f for f in wide if sizes.get(f, 0) <= WIDE_CATEGORIES]
+            for r in small_rows(values.where(F.col("feature").isin(narrow)), "one-hot categories", WIDE_CATEGORIES * len(wide)):
                 categories[r["feature"]].append(r["value"])
-        return FeatureEncoderModel(plan, maps, {f: sorted(v) for f, v in categories.items()}, state, codes)
+            for f in (f for f in wide if f not in narrow):
+                own = with_position(values.where(F.col("feature") == f), "value", name="code")
+                sparse[f] = (settle(own.select("value", F.col("code").cast("int").alias("code"))), sizes[f])
+        return FeatureEncoderModel(plan, maps, {f: sorted(v) for f, v in categories.items()}, state, codes, sparse)
 
 
 def _inline_codes(state: DataFrame | None) -> dict[str, dict | None]:
@@ -143,7 +153,7 @@ def _inline_codes(state: DataFrame | None) -> dict[str, dict | None]:
     if rows is None:
         sizes = small_rows(state.groupBy("feature").count(), "encoded features")
         few = [r["feature"] for r in sizes if r["count"] <= INLINE_VALUES]
-        rows = small_rows(state.where(F.col("feature").isin(few)), "codes")
+        rows = small_rows(state.where(F.col("feature").isin(few)), "codes", INLINE_VALUES * max(1, len(few)))
         codes: dict[str, dict | None] = {r["feature"]: None for r in sizes if r["count"] > INLINE_VALUES}
     else:
         codes = {}
@@ -156,9 +166,11 @@ class FeatureEncoderModel(Model):
     """Fitted codes: given maps, one-hot categories, and a (feature, value, code) table for the rest."""
 
     def __init__(self, plan: dict[str, str], maps: dict[str, dict], categories: dict[str, list[str]],
-                 state: DataFrame | None, codes: dict[str, dict | None]):
+                 state: DataFrame | None, codes: dict[str, dict | None],
+                 sparse: dict[str, tuple[DataFrame, int]] | None = None):
         super().__init__()
         self.plan, self.maps, self.categories, self.state, self.codes = plan, maps, categories, state, codes
+        self.sparse = sparse or {}
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset
@@ -168,6 +180,10 @@ class FeatureEncoderModel(Model):
             if feature not in dataset.columns:
                 continue
             value = F.col(feature).cast("string")
+            if feature in self.sparse:
+                out = _sparse_one_hot(out, feature, *self.sparse[feature])
+                dropped.append(feature)
+                continue
             if strategy == "one-hot":
                 for v in self.categories[feature]:
                     new[one_hot_name(feature, v)] = F.coalesce(value == F.lit(v), F.lit(False)).cast("int")
@@ -176,12 +192,12 @@ class FeatureEncoderModel(Model):
             whole = strategy != "frequency"
             unseen = F.lit(UNSEEN_CODE) if whole else F.lit(0.0)
             if feature in self.maps:
-                code = _looked_up(value, self.maps[feature])
+                code = _looked_up(value, self.maps[feature], whole)
                 if any(isinstance(c, float) for c in self.maps[feature].values()):
                     unseen = unseen.cast("double")
             elif self.codes.get(feature, {}) is not None:
                 known = self.codes.get(feature, {})
-                code = _looked_up(value, {v: int(c) if whole else c for v, c in known.items()})
+                code = _looked_up(value, {v: int(c) if whole else c for v, c in known.items()}, whole)
             else:
                 lookup = self.state.where(F.col("feature") == feature).select(
                     F.col("value").alias(f"_v_{feature}"), F.col("code").cast("int" if whole else "double").alias(f"_c_{feature}")
@@ -193,9 +209,20 @@ class FeatureEncoderModel(Model):
         return shaped.drop(*dropped, *[c for c in shaped.columns if c.startswith("_c_") and c not in dataset.columns])
 
 
-def _looked_up(value: Column, codes: Mapping) -> Column:
+def _sparse_one_hot(df: DataFrame, feature: str, codes: DataFrame, size: int) -> DataFrame:
+    """Adds ``<feature>_onehot``, a sparse vector with one place per category and none set for an unknown one."""
+    lookup = codes.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    joined = df.join(lookup, F.col(feature).cast("string") == F.col("_value"), "left").withColumn(
+        "_code", F.coalesce("_code", F.lit(size)).cast("double"))
+    # the last place, that of unknown categories, is dropped
+    fitted = OneHotEncoder(inputCols=["_code"], outputCols=[f"{feature}_onehot"], dropLast=True).fit(
+        df.sparkSession.createDataFrame([(float(size),)], "_code double"))
+    return fitted.transform(joined).drop("_value", "_code")
+
+
+def _looked_up(value: Column, codes: Mapping, whole: bool) -> Column:
     if not codes:
-        return F.lit(None).cast("double")
+        return F.lit(None).cast("int" if whole else "double")
     if any(isinstance(c, float) for c in codes.values()):
         codes = {k: float(c) for k, c in codes.items()}
     table = F.create_map(*chain.from_iterable((F.lit(k), F.lit(c)) for k, c in codes.items()))

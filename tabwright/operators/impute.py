@@ -87,47 +87,68 @@ def _standardised(df: DataFrame, features: Sequence[str], gappy: Sequence[str])
     ]))
 
 
-def impute_knn(df: DataFrame, column_to_impute: str, n_neighbors: int = 5, *, id_col: str,
-               feature_cols: Sequence[str] | None = None, label_col: str | None = None, **options) -> DataFrame:
-    """Fill a numeric column with the mean of the k nearest rows that know it.
-
-    Nearness is Euclidean over the other numeric columns (never the label). Known values and all
-    other columns stay as they are; an integer column gets the mean rounded half to even.
-    """
-    require_columns(df, [column_to_impute, id_col])
-    kind = df.schema[column_to_impute].dataType
+def require_ids(rows: DataFrame, id_col: str) -> None:
+    """An error if an id is missing or occurs twice: a join on such ids would lose rows or multiply them."""
+    bad = rows.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col(id_col).isNull() | (F.col("_n") > 1)).first()
+    if bad is not None:
+        what = "is missing" if bad[id_col] is None else f"{bad[id_col]!r} occurs {bad['_n']} times"
+        raise ValueError(f"rows need one id each, but in '{id_col}' a value {what}")
+
+
+def _knn_fills(df: DataFrame, column: str, k: int, id_col: str, feature_cols: Sequence[str] | None,
+               label_col: str | None, options: dict) -> tuple[DataFrame | None, Column | None]:
+    """What goes into the gaps of a column: (id, ``_fill``) for the rows with a gap, or one value for all of them."""
+    require_columns(df, [column, id_col])
+    kind = df.schema[column].dataType
     if not isinstance(kind, T.NumericType):
-        raise ValueError(f"column '{column_to_impute}' is not numeric")
-    target = F.col(column_to_impute)
-    features = list(feature_cols) if feature_cols else numeric_columns_except(df, column_to_impute, id_col, label_col)
+        raise ValueError(f"column '{column}' is not numeric")
+    target = F.col(column)
+    features = list(feature_cols) if feature_cols else numeric_columns_except(df, column, id_col, label_col)
     filled = df.agg(
         F.count(F.lit(1)).alias("_rows"), F.count(target).alias("_known"), *[F.count(f).alias(f"_n_{f}") for f in features]
     ).first()
     if filled["_known"] == 0:
-        raise ValueError(f"all values in column '{column_to_impute}' are missing")
+        raise ValueError(f"all values in column '{column}' are missing")
     if filled["_known"] == filled["_rows"]:
-        return df
+        return None, None
     # a column without any value cannot tell rows apart
     features = [f for f in features if filled[f"_n_{f}"]]
     gappy = [f for f in features if filled[f"_n_{f}"] < filled["_rows"]]
+
     def finished(value: Column) -> Column:
         return F.bround(value).cast(kind) if isinstance(kind, T.IntegralType) else value.cast(kind)
 
     if not features:
-        fill = df.agg(F.avg(target.cast("double"))).scalar()
-        return df.withColumn(column_to_impute, F.coalesce(target, finished(fill)))
-    ready = _standardised(df.select(id_col, column_to_impute, *features), features, gappy)
+        return None, finished(df.agg(F.avg(target.cast("double"))).scalar())
+    require_ids(df.where(target.isNull()), id_col)
+    ready = _standardised(df.select(id_col, column, *features), features, gappy)
     # the search reads donors and receivers several times
     ready = cut_lineage(ready.select(F.col(id_col), "_vec", target.cast("double").alias("_known")))
     near = k_nearest(
-        ready.where(F.col("_known").isNull()), ready.where(F.col("_known").isNotNull()), n_neighbors,
+        ready.where(F.col("_known").isNull()), ready.where(F.col("_known").isNotNull()), k,
         id_col=id_col, vector_col="_vec", payload="_known", **options,
     )
     mean = F.aggregate("neighbours", F.lit(0.0), lambda total, n: total + n["payload"])
     mean = F.when(F.size("neighbours") > 0, mean / F.size("neighbours"))
+    return near.select(id_col, finished(mean).alias("_fill")), None
+
+
+def impute_knn(df: DataFrame, column_to_impute: str, n_neighbors: int = 5, *, id_col: str,
+               feature_cols: Sequence[str] | None = None, label_col: str | None = None, **options) -> DataFrame:
+    """Fill a numeric column with the mean of the k nearest rows that know it.
+
+    Nearness is Euclidean over the other numeric columns (never the label). Known values and all
+    other columns stay as they are; an integer column gets the mean rounded half to even. Rows with
+    a gap need an id of their own; a missing or repeated one is an error.
+    """
+    fills, constant = _knn_fills(df, column_to_impute, n_neighbors, id_col, feature_cols, label_col, options)
+    target = F.col(column_to_impute)
+    if constant is not None:
+        return df.withColumn(column_to_impute, F.coalesce(target, constant))
+    if fills is None:
+        return df
     # only rows with a gap are joined; all others pass without a shuffle
-    gaps = df.where(target.isNull()).join(near.select(id_col, mean.alias("_fill")), id_col)
-    done = gaps.withColumn(column_to_impute, finished(F.col("_fill"))).select(*df.columns)
+    done = df.where(target.isNull()).join(fills, id_col, "left").withColumn(column_to_impute, F.col("_fill")).select(*df.columns)
     return df.where(target.isNotNull()).unionByName(done)
 
 
@@ -180,16 +201,17 @@ def apply_and_evaluate_knn_imputation(df: DataFrame, columns: Sequence[str], hol
                                       *, id_col: str, label_col: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
     """Impute the gaps of each column and measure the quality on held-out values.
 
-    A column that cannot be imputed keeps its gaps and is reported with its error.
+    A column that cannot be imputed, for whatever reason, keeps its gaps and is reported with its error. The fills of
+    all columns are put together and joined once, to the rows with a gap.
     """
-    filled, reports = df, []
+    result, fills, values = None, [], {}
     for column in columns:
         try:
             # predictors come from the table as it was, not from columns filled earlier
-            done = impute_knn(df, column, k, id_col=id_col, label_col=label_col, **options)
+            found, constant = _knn_fills(df, column, k, id_col, None, label_col, options)
             report = evaluate_knn_imputation(df, column, holdout_fraction, k, id_col=id_col, label_col=label_col, **options)
             report = report.withColumn("error", F.lit(None).cast("string"))
-        except ValueError as failure:
+        except Exception as failure:  # noqa: BLE001  (one column must not end the run for the others)
             report = df.sparkSession.range(1).select(
                 F.lit(column).alias("column_name"),
                 *[F.lit(None).cast("double").alias(c) for c in (
@@ -197,13 +219,19 @@ def apply_and_evaluate_knn_imputation(df: DataFrame, columns: Sequence[str], hol
                 F.lit(str(failure)).alias("error"),
             )
         else:
-            if done is not df:
-                values = done.select(F.col(id_col), F.col(column).alias("_new"))
-                filled = filled.join(values, id_col).withColumn(column, F.col("_new")).drop("_new").select(*df.columns)
-        reports.append(report)
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return filled, result
-
-
+            if constant is not None:
+                values[column] = constant
+            elif found is not None:
+                fills.append(column)
+                part = found.select(id_col, F.lit(column).alias("_column"), F.col("_fill").cast("double").alias("_fill"))
+                gathered = part if len(fills) == 1 else gathered.unionByName(part)
+        result = report if result is None else result.unionByName(report)
+    if fills:
+        by_id = gathered.groupBy(id_col).agg(*[F.max(F.when(F.col("_column") == c, F.col("_fill"))).alias(f"_fill_{c}") for c in fills])
+        some = F.lit(False)
+        for c in fills:
+            some = some | F.col(c).isNull()
+        filled = df.where(some).join(by_id, id_col, "left").withColumns(
+            {c: F.coalesce(c, F.col(f"_fill_{c}").cast(df.schema[c].dataType)) for c in fills}).select(*df.columns)
+        df = df.where(~some).unionByName(filled)
+    return df.withColumns({c: F.coalesce(c, v) for c, v in values.items()}) if values else df, result

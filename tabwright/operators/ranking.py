@@ -11,11 +11,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabwright.functions.hashing import order_hash
-from tabwright.functions.state import settle
+from tabwright.functions.state import cut_lineage, settle
 
 # A group of up to this many rows may be aggregated by the built-in exact percentile.
 DIRECT_ROWS = 1_000_000
@@ -83,46 +82,26 @@ def cut_key(id_cols: Sequence[str], seed: int | str) -> Column:
 
 def with_position(df: DataFrame, order_col: str | Column, tie_cols: Sequence[str] = (), name: str = "rn",
                   rows_per_bucket: int = 500_000) -> DataFrame:
-    """Exact 0-based rank of every row by ``order_col`` (numeric, date, timestamp or hex text).
+    """Exact 0-based rank of every row by ``order_col`` (any type that can be ordered; NULL comes first).
 
-    The key range is cut into buckets at approximate quantiles; the bucket of a row depends only
-    on its value, so a recomputed task ranks it the same. ``order_col`` plus ``tie_cols`` must
-    identify a row. Only the rows of one bucket are sorted together.
+    Rows are dealt by range of (``order_col``, ``tie_cols``, hash of the row), so a value of any frequency, or any
+    number of NULLs, spreads over as many buckets as it needs; there are as many buckets as ``rows_per_bucket``
+    asks for. Each bucket is sorted by itself and stored; a rank is the place in the bucket plus the rows before
+    it. Equal rows without tie columns come in the order of their hash.
     """
     key = F.col(order_col) if isinstance(order_col, str) else order_col
-    kind = df.select(key.alias("k")).schema["k"].dataType
-    if isinstance(kind, T.StringType):
-        # leading hex digits of a hash: monotone in the text order and evenly spread
-        number = F.conv(F.substring(key, 1, 12), 16, 10).cast("double")
-    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        number = F.unix_micros(key.cast("timestamp")).cast("double")
-    else:
-        number = key.cast("double")
-    steps = 1024
-    probe = df.select(number.alias("k")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("k", [i / steps for i in range(1, steps)], 10_000).alias("q"),
-    ).first()
-    wanted = max(1, min(steps, -(-probe["n"] // rows_per_bucket)))
-    edges = sorted({probe["q"][i * steps // wanted - 1] for i in range(1, wanted)}) if probe["q"] else []
-    keyed = df.withColumn("_key", number)
-    if edges:
-        bounds = [float("-inf"), *edges, float("inf")]
-        keyed = Bucketizer(splits=bounds, inputCol="_key", outputCol="_bucket", handleInvalid="keep").transform(keyed)
-        # Bucketizer puts NULL in the last extra bucket; ascending order puts it first
-        keyed = keyed.withColumn("_bucket", F.when(F.col("_key").isNull(), -1.0).otherwise(F.col("_bucket")))
-        sizes = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        # at most 1025 rows
-        offsets = settle(sizes.select(
-            "_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_offset")
-        ))
-        keyed = keyed.join(offsets, "_bucket")
-    else:
-        keyed = keyed.withColumn("_bucket", F.lit(0.0)).withColumn("_offset", F.lit(0).cast("bigint"))
-    within = Window.partitionBy("_bucket").orderBy(key, *tie_cols)
-    return keyed.withColumn(name, F.col("_offset") + F.row_number().over(within) - F.lit(1)).drop(
-        "_key", "_bucket", "_offset"
-    )
+    buckets = max(1, -(-df.count() // rows_per_bucket))
+    order = [F.col("_key").asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tie_cols], F.col("_tie").asc()]
+    keyed = df.withColumns({"_key": key, "_tie": F.xxhash64(*df.columns)})
+    dealt = keyed.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
+    # this number is the partition in its upper bits and the place in it below; stored, so that both stay as they are
+    placed = cut_lineage(dealt.withColumn("_sorted", F.monotonically_increasing_id()).drop("_key", "_tie"))
+    placed = placed.withColumn("_range", F.shiftright("_sorted", 33))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    # one row per bucket reaches this window
+    before = settle(sizes.select("_range", (F.sum("_rows").over(Window.orderBy("_range")) - F.col("_rows")).alias("_before")))
+    rank = F.col("_before") + F.col("_sorted").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(before, "_range").withColumn("_rank", rank).drop("_range", "_sorted", "_before").withColumnRenamed("_rank", name)
 
 
 def exact_quantiles(

@@ -14,24 +14,33 @@ MISSING_TOKENS = (
 )
 
 
-def load_data(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def load_data(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
     """Read a CSV with a header. Missing-value tokens become NULL; a missing path is an error.
 
-    Without a schema the types are inferred, which costs a second pass over the files: name the
-    schema for anything large.
+    Every column is read as text and cleaned of missing-value tokens first. Without a schema the types are then found by
+    one aggregate over all rows (whole numbers, numbers, booleans, else text), so a column of numbers and ``NULL`` is a
+    column of numbers. Quoted line breaks are kept; files are then read whole, one task each. For large files
+    without quoted line breaks set ``multi_line`` to False, which lets Spark split them, and name the schema.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    # the reader knows one null token, so every column is read as text first when a schema is given
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("multiLine", multi_line).option("escape", '"')
     if schema is None:
-        frame = _reading(reader.option("inferSchema", True).option("nullValue", "NA"), path)
-        return normalise_missing(frame)
+        clean = normalise_missing(_reading(reader, path))
+        return clean.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in _found_types(clean).items()])
     wanted = schema if isinstance(schema, T.StructType) else _parse(spark, schema)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
-    raw = _reading(reader.schema(text), path)
-    clean = normalise_missing(raw)
+    clean = normalise_missing(_reading(reader.schema(text), path))
     return clean.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 
+def _found_types(text: DataFrame) -> dict[str, str]:
+    """The narrowest type that takes all values of each text column; text for a column without values."""
+    kinds = ("bigint", "double", "boolean")
+    checks = [F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(k).isNull()).alias(f"{i}_{k}")
+              for i, c in enumerate(text.columns) for k in kinds]
+    row = text.agg(*checks, *[F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(text.columns)]).first()
+    return {c: next((k for k in kinds if row[f"{i}_n"] and not row[f"{i}_{k}"]), "string") for i, c in enumerate(text.columns)}
+
+
 def _parse(spark: SparkSession, ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
@@ -75,7 +84,7 @@ def save_processed_data(df: DataFrame, path: str, mode: str = "overwrite", parti
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path.rstrip("/").endswith(".csv"):
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("escape", '"').csv(path)
     else:
         writer.parquet(path)
     return path
