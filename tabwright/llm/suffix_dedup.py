@@ -315,7 +315,8 @@ def merged_spans(runs: list[bytes]) -> Iterator[tuple]:
 def repeated_spans(base: DataFrame) -> DataFrame:
     """(doc, th, start, end) in bytes: spans whose union, by document of ``base`` (doc, th, text), is all that is repeated."""
     found = staged(anchor_rows(base), "anchors")
-    several = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # written first: a join of two plain exchanges, whose hot hashes adaptive execution can split
+    several = staged(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "several")
     wanted = staged(found.join(several, "h", "left_semi").select("doc", "th", "pos", "head"), "wanted")
     ranges = max(1, -(-wanted.count() // RANGE_ROWS))
     heads = sorted(bytes(r["head"]) for r in wanted.where("head IS NOT NULL").select("head").orderBy(F.xxhash64("head", "doc", "pos")).limit(SPLITTERS).collect())
