@@ -1,4 +1,4 @@
-"""Queries that train models. Their results have no SQL equivalent, so they carry none."""
+"""Queries that train models. Scores have no SQL equivalent; the ``*_stated`` queries return what SQL can state about them."""
 
 from __future__ import annotations
 
@@ -129,3 +129,97 @@ def select_features(t):
 @query("analysis_statistics")
 def statistics(t):
     return analysis.statistical_analysis(t.v_feat, "label", _XS)["features"]
+
+
+# ---- what SQL can state about trained models ------------------------------------------------------------------------
+
+_SUPPORT = "SELECT CAST(label AS INTEGER) AS label, count(*) AS support, TRUE AS beats_majority FROM v_feat GROUP BY label"
+
+
+def _stated(t, **options):
+    """Every row of the table scored by a model trained on its training split: rows per class, and whether the model is
+    right more often than naming the largest class would be."""
+    split = stratified_split(_rows(t), "label", "row_id")
+    model = TabularClassifier("label", "row_id", {"cat": "one-hot"}, **options).fit(split.where(F.col("split") == TRAIN).drop("split"))
+    counts = model.transform(_rows(t)).groupBy("label").agg(
+        F.count("*").alias("support"), F.count_if(F.col("prediction") == F.col("label")).alias("right")).collect()  # a row per class
+    better = sum(r["right"] for r in counts) > max(r["support"] for r in counts)
+    return t.spark.createDataFrame([(int(r["label"]), r["support"], better) for r in counts], "label int, support long, beats_majority boolean")
+
+
+@query("m1_boosted_trees_stated", _SUPPORT)
+def boosted_trees_stated(t):
+    return _stated(t, oversample=False, params={"classifier__n_estimators": 10, "classifier__max_depth": 3})
+
+
+@query("m2_random_forest_stated", _SUPPORT)
+def random_forest_stated(t):
+    return _stated(t, model="random_forest", oversample=False, params={"classifier__n_estimators": 100, "classifier__max_depth": 10})
+
+
+@query("m3_oversampling_classifier_stated", _SUPPORT)
+def oversampling_stated(t):
+    return _stated(t, model="random_forest", params={
+        "outlier_handler__strategy": "clip", "smote__k_neighbors": 3, "classifier__n_estimators": 20, "classifier__max_depth": 6})
+
+
+@query("m5_random_search_stated", """
+SELECT CAST(range AS INTEGER) AS candidate, TRUE AS scored, TRUE AS ordered FROM range(3)""")
+def random_search_stated(t):
+    """One row per candidate: it has a score between 0 and 1, and candidates come best first."""
+    encoding = {"lang": ("one-hot", ["frequency", "ordinal"]), "source": "frequency"}
+    estimator = TabularClassifier("quality", "row_id", encoding, model="random_forest")
+    found = search.tune_hyperparameters(t.v_doc, estimator, search.parameter_space(SETTINGS, encoding, "random_forest"), n_iter=3, cv=3)
+    rows = found.table.collect()  # a row per candidate
+    best = max(r["mean_test_score"] for r in rows)
+    ordered = found.table.agg(F.max("mean_test_score")).first()[0] == best
+    return t.spark.createDataFrame([(r["candidate"], 0 <= r["mean_test_score"] <= 1, ordered) for r in rows], "candidate int, scored boolean, ordered boolean")
+
+
+def _importances(t, frame):
+    rows = frame.collect()  # a row per feature
+    whole = abs(sum(r["importance"] for r in rows) - 1) < 1e-6
+    top = max(rows, key=lambda r: r["importance"])["feature"]
+    return t.spark.createDataFrame([(r["feature"], r["feature"] == top, whole) for r in rows], "feature string, is_top boolean, sums_to_one boolean")
+
+
+@query("f1_forest_importance_stated", """
+SELECT feature, feature = 'x4' AS is_top, TRUE AS sums_to_one FROM (VALUES ('x1'), ('x2'), ('x3'), ('x4')) f (feature)""")
+def forest_importance_stated(t):
+    """x4 holds the label, so it comes first; importances sum to one."""
+    return _importances(t, importance.forest_importance(t.v_feat, _XS, "label", n_estimators=100))
+
+
+@query("f4_permutation_importance_stated", """
+SELECT feature, feature = 'x4' AS is_top FROM (VALUES ('x1'), ('x2'), ('x3'), ('x4')) f (feature)""")
+def permutation_importance_stated(t):
+    rows = _rows(t).drop("cat")
+    model = importance.fit_forest(rows, _XS, "label", n_estimators=20, max_depth=10)
+    out = importance.permutation_importance(
+        rows, lambda r: model.transform(importance.assembled(r, _XS)), _XS, "label", id_col="row_id", n_repeats=10)
+    top = out.agg(F.max_by("feature", "importance")).first()[0]
+    return out.select("feature", (F.col("feature") == top).alias("is_top"))
+
+
+@query("f11_principal_components_stated", """
+SELECT count(*) AS n_rows, TRUE AS centred, TRUE AS uncorrelated, TRUE AS in_order FROM v_feat""")
+def principal_components_stated(t):
+    """Components over standardised features have mean zero, no covariance, and falling variance."""
+    found = importance.principal_components(t.v_feat, _XS, 2, keep=["row_id", "label"])
+    one, two = [c for c in found.columns if c not in ("row_id", "label")][:2]
+    return found.agg(F.count("*").alias("n_rows"), F.avg(one).alias("a"), F.avg(two).alias("b"), F.covar_pop(one, two).alias("c"),
+                     F.var_pop(one).alias("v"), F.var_pop(two).alias("w")).select(
+        "n_rows", ((F.abs("a") < 1e-6) & (F.abs("b") < 1e-6)).alias("centred"), (F.abs("c") < 1e-6).alias("uncorrelated"), (F.col("v") >= F.col("w")).alias("in_order"))
+
+
+@query("i7_impute_and_report_stated", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS gaps, CAST(2 AS BIGINT) AS reports, CAST(0 AS BIGINT) AS errors FROM v_feat""")
+def impute_and_report_stated(t):
+    """No row is lost or doubled, no gap stays, every column is reported."""
+    from tabwright.operators import impute
+
+    rows = t.v_feat.select("row_id", *[F.when(F.col("row_id") % m != 0, F.col(c)).alias(c) for c, m in (("x1", 11), ("x3", 7))], "x2", "x4")
+    filled, report = impute.apply_and_evaluate_knn_imputation(rows, ["x1", "x3"], k=3, id_col="row_id")
+    told = report.agg(F.count("*").alias("n"), F.count("error").alias("e")).first()
+    return filled.agg(F.count("*").alias("n_rows"), F.count_if(F.col("x1").isNull() | F.col("x3").isNull()).alias("gaps")).select(
+        "n_rows", "gaps", F.lit(told["n"]).cast("long").alias("reports"), F.lit(told["e"]).cast("long").alias("errors"))

@@ -32,8 +32,6 @@ def default_preparation(df: DataFrame, label_col: str, encoding_map: dict, *, id
 
 
 def importance_frame(df: DataFrame, features: Sequence[str], values: Sequence[float]) -> DataFrame:
-
-
     return local_frame(df.sparkSession, pa.table({
         "feature": pa.array(list(features), pa.string()), "importance": pa.array([float(v) for v in values], pa.float64()),
     })).orderBy(F.desc("importance"), "feature")
