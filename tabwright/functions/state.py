@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Most rows a fitted frame may have to be brought to the driver.
 MAX_STATE_ROWS = 10_000
+_LOCAL_FOLDERS: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def local_frame(spark: SparkSession, table: pa.Table) -> DataFrame:
@@ -45,12 +46,16 @@ def small_rows(df: DataFrame, what: str, max_rows: int = MAX_STATE_ROWS) -> list
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; in local mode, where it may be unset, a temporary one for
+    each application, which is removed when Python ends."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tabwright-")
+        own = spark.sparkContext.applicationId
+        if own not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[own] = tempfile.TemporaryDirectory(prefix="tabwright-", ignore_cleanup_errors=True)
+        folder = _LOCAL_FOLDERS[own].name
     return folder
 
 
