@@ -12,15 +12,17 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabwright.functions.state import cut_lineage, scratch_path
+from tabwright.functions.state import cut_lineage, scratch_path, settle, small_rows
 from tabwright.llm import shared_files
 from tabwright.llm.batches import slices, split_words, texts_of
+from tabwright.llm.tokens import forget
 
 ORDER = 5
 START, END = "\x02", "\x03"
 NO_LANGUAGE = "und"
 # Entries of one file, entries kept in a worker's memory at most (12 bytes each), and grams counted before they are sent on.
-BLOCK_ENTRIES, KEPT_ENTRIES, HELD_GRAMS = 4_000_000, 8_000_000, 1_500_000
+BLOCK_ENTRIES, KEPT_ENTRIES, HELD_GRAMS = 4_000_000, 8_000_000, 300_000
+SCORED_WORDS = 40_000  # words scored together; each takes about a kilobyte
 GRAM, CONTEXT = 1, 2
 
 
@@ -36,20 +38,29 @@ def words_by_language(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np
     offsets, codes, words = split_words(texts_of(batch.column(0)))
     langs = language_of(batch.column(1))
     own = np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(offsets)).astype(np.int64)
-    pairs, inverse, counts = np.unique(own * max(1, len(words)) + codes, return_inverse=True, return_counts=True)
+    key = own * max(1, len(words)) + codes
+    size = max(1, len(words)) * max(1, len(langs.dictionary))
+    if size > 4 * len(key) + 1000:  # many languages: sort the pairs that occur
+        pairs, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
+    else:
+        times = np.bincount(key, minlength=size)
+        pairs = np.flatnonzero(times)
+        counts = times[pairs]
+        times[pairs] = np.arange(len(pairs))
+        inverse = times[key]
     return offsets, inverse, pairs, words.to_pylist(), langs.dictionary.to_pylist(), counts
 
 
 def count_grams(docs: DataFrame, text_col: str, lang_col: str, order: int = ORDER) -> DataFrame:
     """(lang, gram, c) over all words of all texts; each task sums up its own before the shuffle."""
 
-    def rows(counters: dict[str, Counter]) -> pa.RecordBatch:
-        flat = [(lang, gram, n) for lang, c in counters.items() for gram, n in c.items()]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in flat], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))],
-                                          names=["lang", "gram", "c"])
+    def rows(lang: str, counter: Counter) -> pa.RecordBatch:
+        grams, counts = pa.array(counter.keys(), pa.string()), pa.array(counter.values(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.repeat(lang, len(grams)), grams, counts], names=["lang", "gram", "c"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}
+        forget()
         for batch in (s for b in batches for s in slices(b, 0)):
             _, _, pairs, words, langs, counts = words_by_language(batch)
             for pair, n in zip(pairs.tolist(), counts.tolist()):
@@ -58,9 +69,9 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str, order: int = ORDE
                 for k in range(len(padded) - order + 1):
                     counter[padded[k:k + order]] += n
             if sum(map(len, counters.values())) > HELD_GRAMS:
-                yield rows(counters)
+                yield from (rows(*c) for c in counters.items())
                 counters = {}
-        yield rows(counters)
+        yield from (rows(*c) for c in counters.items())
 
     sent = docs.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string")).mapInArrow(work, "lang string, gram string, c long")
     return sent.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
@@ -79,7 +90,9 @@ def discounts(counts: DataFrame) -> DataFrame:
         usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0)
         return F.when(usable, F.greatest(F.lit(0.0), F.least(F.lit(float(k)), exact))).otherwise(F.lit(k / 2)).alias(f"d{k}")
 
-    return table.select("lang", d(1), d(2), d(3))
+    known = settle(table.select("lang", d(1), d(2), d(3)))
+    small_rows(known, "languages")  # an error if there are too many to broadcast
+    return F.broadcast(known)
 
 
 def estimate(grams: DataFrame, order: int = ORDER) -> DataFrame:
@@ -165,6 +178,10 @@ class Model:
 
     def word_scores(self, words: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log probability and number of letters (the end counts as one) of each word."""
+        parts = [self._some_scores(words[k:k + SCORED_WORDS], seeds[k:k + SCORED_WORDS]) for k in range(0, len(words), SCORED_WORDS)]
+        return (np.concatenate([np.zeros(0), *(p[0] for p in parts)]), np.concatenate([np.zeros(0, np.int64), *(p[1] for p in parts)]))
+
+    def _some_scores(self, words: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
         pad = START * (self.order - 1)
         letters = np.frombuffer("".join(pad + w + END for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)

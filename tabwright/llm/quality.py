@@ -7,11 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tabwright.functions.state import cut_lineage
+from tabwright.functions.state import cut_lineage, settle, small_rows
 from tabwright.llm.batches import slices, texts_of
 from tabwright.llm.kneser_ney import Model, language_seed, train, words_by_language
+from tabwright.llm.staging import staged
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -71,13 +72,12 @@ def repeated_lines(texts: pa.Array) -> np.ndarray:
 
 
 def symbols(texts: pa.Array) -> np.ndarray:
-    table = np.zeros(256, np.int64)
-    table[list(SYMBOLS)] = 1
+    table = np.zeros(256, bool)
+    table[list(SYMBOLS)] = True
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
     data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    sums = np.concatenate(([0], np.cumsum(table[raw])))
-    return sums[offsets[1:] - offsets[0]] - sums[offsets[:-1] - offsets[0]]
+    return np.diff(np.searchsorted(np.flatnonzero(table[raw]), offsets - offsets[0]))
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -162,23 +162,24 @@ def with_verdict(scored: DataFrame, band: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", width: float = BAND) -> DataFrame:
-    """The documents that are kept, with all their columns. Rows are judged in place, so ids need not be unique."""
-    columns = docs.columns
-    own = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    model = train(own)
-    marked = own.withColumn("doc_id", F.lit(None).cast("long"))
-    band = bands(cut_lineage(scored_rows(marked, model)), width)
-    limits = {r["lang"]: (r["middle"], r["half"]) for r in band.collect()}  # a row per language
+    """The documents that are kept, with all their columns. Rows are judged in place, so ids need not be unique.
+
+    Rows are written once with their measures beside them; the bands and the verdicts are taken from there.
+    """
+    columns, extra = docs.columns, [f"_quality_{n}" for n in ("lang", *MEASURES, "letters", "log_p")]
     text_at, lang_at = columns.index(text_col), columns.index(lang_col)
+    model = train(docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b, text_at)):
             pair = pa.RecordBatch.from_arrays([batch.column(text_at), batch.column(lang_at)], names=["text", "lang"])
-            lang, n, _, _, _, repeated, letters, logs = (c.to_numpy(zero_copy_only=False) for c in measures(pair, model))
-            middle, half = (np.array([limits.get(x, (0.0, -1.0))[k] for x in lang]) for k in (0, 1))
-            size = np.maximum(1, letters)
-            good = (n >= LEAST_WORDS) & (100 * repeated <= 100 * MOST_REPEATED * n)
-            good &= np.abs(logs / size - middle) <= half * np.sqrt(1 + LETTERS / size)
-            yield batch.filter(pa.array(good, pa.bool_()))
-
-    return docs.mapInArrow(work, docs.schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *measures(pair, model)], names=[*columns, *extra])
+
+    fields = T.StructType([*docs.schema, *(T.StructField(f"_quality_{f.name}", f.dataType) for f in T.StructType.fromDDL(SCORED))])
+    marked = staged(docs.mapInArrow(work, fields), "judged")
+    scored = marked.toDF(*[c if c in extra else f"_{k}" for k, c in enumerate(marked.columns)]).withColumnsRenamed({e: e[9:] for e in extra})
+    scored = scored.withColumn("base_failed", failed())
+    band = settle(bands(scored, width))
+    small_rows(band, "languages")  # an error if there are too many to broadcast
+    kept = with_verdict(scored, F.broadcast(band)).where("kept")
+    return kept.select([F.col(f"_{k}").alias(c) for k, c in enumerate(columns)])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from tabwright.llm.batches import ranges, split_words
 
 # Distinct pieces remembered in a Python worker, in two generations of this size.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _LOADED: dict[str, "TextEncoder"] = {}
 
 
@@ -47,22 +47,22 @@ class TextEncoder:
         self.bytes_as_letters = {b: letters[b] for b in range(256)}
         self.parts = re.compile(r"[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
         self.plain = re.compile(r"[!-&(-~À-įı-ɏ]*")  # no apostrophe, no dotted capital i
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        self.young: dict[str, bytes] = {}  # ids as unsigned 32-bit numbers
+        self.old: dict[str, bytes] = {}
         self.model = self.whole.model
 
-    def _piece(self, piece: str) -> np.ndarray:
+    def _piece(self, piece: str) -> bytes:
         if "<|" in piece or not self.plain.fullmatch(piece) or "×" in piece or "÷" in piece \
                 or not unicodedata.is_normalized("NFC", piece):
-            return np.array(self.whole.encode(piece, add_special_tokens=False).ids, np.uint32)
+            return np.array(self.whole.encode(piece, add_special_tokens=False).ids, np.uint32).tobytes()
         ids: list[int] = []
         for part in self.parts.findall(piece.lower()):
             if not part.isascii():
                 part = part.encode().decode("latin-1").translate(self.bytes_as_letters)
             ids += [t.id for t in self.model.tokenize(part)]
-        return np.array(ids, np.uint32)
+        return np.array(ids, np.uint32).tobytes()
 
-    def pieces(self, words: list[str]) -> list[np.ndarray]:
+    def pieces(self, words: list[str]) -> list[bytes]:
         out = []
         for word in words:
             ids = self.young.get(word)
@@ -84,9 +84,9 @@ class TextEncoder:
             return offsets, np.concatenate([np.zeros(0, np.uint32), *found])
         rows, codes, words = split_words(texts)
         known = self.pieces(words.to_pylist())
-        lengths = np.fromiter(map(len, known), np.int64, len(known))
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
         starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-        flat = np.concatenate([np.zeros(0, np.uint32), *known])
+        flat = np.frombuffer(b"".join(known), np.uint32)
         each = lengths[codes]
         ids = flat[ranges(starts[codes], each)]
         return np.concatenate(([0], np.cumsum(each)))[rows], ids
@@ -99,6 +99,12 @@ def encoder(path: str) -> TextEncoder:
     return _LOADED[path]
 
 
+def forget() -> None:
+    """Let go of remembered pieces, when a worker turns to other work that needs the room."""
+    for own in _LOADED.values():
+        own.young, own.old = {}, {}
+
+
 def with_end(offsets: np.ndarray, ids: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with ``end_id`` after each text's ids."""
     count = len(offsets) - 1
