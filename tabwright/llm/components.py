@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tabwright.functions.state import cut_lineage
+from tabwright.llm.staging import staged
 
 
 def _lowest(edges: DataFrame) -> DataFrame:
-    """Each node's smallest neighbour, summed up before the shuffle."""
-    return edges.groupBy("a").agg(F.min("b").alias("low"))
+    """Each node's smallest neighbour, summed up before the shuffle, and written, so that joins to it can split hot nodes."""
+    return staged(edges.groupBy("a").agg(F.min("b").alias("low")), "lowest")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -135,6 +135,7 @@ def later_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         pairs = both.where("NOT done").drop("done")
     same = ["level", "need", "r", "s"]
     first = windows.groupBy(*same).agg(F.min(F.struct("doc", "th", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = staged(first, "first")  # so that the join below is one of plain exchanges, whose hot runs can be split
     joined = windows.join(first, same)
     beyond = F.when((F.col("doc") == F.col("first.doc")) & (F.col("th") == F.col("first.th")), F.greatest("pos", F.col("first.pos") + F.col("need"))).otherwise(F.col("pos"))
     return joined.where(F.struct("doc", "th", "pos") != F.col("first")).select(

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, functions as F
 from tabwright.functions.state import cut_lineage
 from tabwright.llm.batches import LOWER, mapped_bytes, slices, split_words, texts_of
 from tabwright.llm.components import components
+from tabwright.llm.staging import staged
 
 # Distinct fingerprints compared in one go; an anchor with more is dealt out as pairs of chunks of this size.
 CHUNK = 2048
 # Bytes of text hashed at a time; shingles take some twenty times the room of their words.
-SHINGLED = 4_000_000
+SHINGLED = 2_000_000
 THRESHOLD = 3
 
 
@@ -257,6 +258,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     roots = classes.join(joined, classes["fp"] == joined["node"], "left").select(
         classes["fp"].alias("fp"), "least", F.coalesce("root", classes["fp"]).alias("root"))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = roots.select("fp", "root").join(least, "root").select("fp", "component_id")
+    labels = staged(roots.select("fp", "root").join(least, "root").select("fp", "component_id"), "labels")  # a hot fp can be split below
     return marked.join(labels, "fp").select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -130,7 +130,7 @@ def band_pairs(nodes: DataFrame, least: float) -> DataFrame:
     """Candidate pairs (a, b) of nodes that share a band and look similar enough by their bytes."""
     kind, wanted = "key long, a long, b long, sig binary, chunks int", int((least - SLACK) * HASHES)
     rows = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("key"), "node")
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = staged(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
     met = rows.join(shared, "key", "left_semi").join(nodes.select("node", "sig"), "node").select("key", "node", "sig")
     first = staged(met.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_in_groups(CHUNK, wanted), kind), "bands")
     large = first.where("chunks > 0").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
