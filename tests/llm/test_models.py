@@ -7,6 +7,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tabwright.llm.kneser_ney import END, START, count_grams, estimate, train
 from tabwright.llm.quality import judge, keep_good
@@ -135,6 +137,33 @@ def test_large_group_of_near_copies(corpus, monkeypatch):
     assert [r.doc_id for r in one_of_each_group(corpus(rows)).collect()] == [0]
 
 
+def test_groups_with_members_around_the_limit(corpus):
+    """C and B are nearly equal; A is just similar enough to C and just not to B, and half of the estimates favour B."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(24):
+        c = prose(rng, 2000).split()
+        places = rng.sample(range(20, 1990, 20), 45)
+        a = [f"new{k}" if k in places[1:] else w for k, w in enumerate(c)]
+        b = [f"odd{k}" if k == places[0] else w for k, w in enumerate(c)]
+        texts += [" ".join(w) for w in (c, b, a)]
+    for _ in range(5):
+        family = [prose(rng, 220).split()]
+        while len(family) < 16:
+            words = list(rng.choice(family))
+            for _ in range(rng.choice([4, 4, 5])):
+                words[rng.randrange(220)] = f"new{rng.randrange(10**6)}"
+            family.append(words)
+        texts += [" ".join(w) for w in family]
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    assert sorted(r.doc_id for r in one_of_each_group(corpus(list(enumerate(texts)))).collect()) == sorted(set(root))
+
+
 def test_toxicity_on_held_out_rows(spark, corpus):
     rng = random.Random(5)
     rows, labels = [], []
