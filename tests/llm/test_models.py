@@ -164,6 +164,23 @@ def test_groups_with_members_around_the_limit(corpus):
     assert sorted(r.doc_id for r in one_of_each_group(corpus(list(enumerate(texts)))).collect()) == sorted(set(root))
 
 
+def test_crowded_band_keys_are_dealt_before_they_meet(spark):
+    from tabwright.llm import similarity
+
+    sizes = {1: 5000, 2: 64, 3: 2}
+    rows = spark.createDataFrame([(k, node, n) for k, n in sizes.items() for node in range(n)], "key long, node long, n long")
+    groups = similarity.dealt(rows, 64).groupBy("key", "group").count().collect()
+    assert max(r["count"] for r in groups) < 128
+    assert [sum(r["count"] for r in groups if r.key == k) for k in (1, 2, 3)] == [10000, 64, 2]
+    joined = spark.createDataFrame([(node, 10**6) for node in range(4900)], "node long, root long")
+    blocks = similarity.blocks_apart(rows, rows.where("key = 1").select("key"), joined, 64)
+    apart = blocks.groupBy("block", "side").count().collect()
+    assert max(r["count"] for r in apart) < 128 and sum(r["count"] for r in apart) == 5000 * 2 + 100 * 79
+    left, right = blocks.where("side = 0").toDF("block", "s", "a", "ra"), blocks.where("side = 1").toDF("block", "t", "b", "rb")
+    met = left.join(right, "block").where("ra <> rb").select(F.least("a", "b"), F.greatest("a", "b")).distinct().count()
+    assert met == 100 * 4900 + 100 * 99 // 2
+
+
 def test_toxicity_on_held_out_rows(spark, corpus):
     rng = random.Random(5)
     rows, labels = [], []
