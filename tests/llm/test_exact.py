@@ -17,7 +17,7 @@ from tabwright.llm.decontaminate import decontaminate, find_contamination
 from tabwright.llm.licenses import ANCHORS, SENTENCES, scan_licenses
 from tabwright.llm.line_dedup import dedup_lines
 from tabwright.llm.packing import pack_documents
-from tabwright.llm.pii import emails, find_personal_data, luhn, masked, mod97
+from tabwright.llm.pii import emails, find_personal_data, luhn, masked, mod97, propose
 from tabwright.llm.rans import Table, decode_blocks, encode_blocks, read_token_files, write_token_files
 from tabwright.llm.simhash import anchor_rows, forest, near_duplicates
 from tabwright.llm.suffix_dedup import LoserTree, anchors, dedup_substrings, front_coded, unfronted
@@ -114,6 +114,13 @@ def test_personal_data(corpus):
     assert masked(corpus([(1, text), (2, None)])).where("doc_id = 1").first().text.startswith("mail [email] or [phone], card [card];")
 
 
+def test_iban_with_words_behind_it():
+    first, second = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    for text, want in ((f"IBAN {first} BIC COBADEFFXXX", [first]), (f"{first} 2024", [first]), (f"to {second} A new", [second]),
+                       (f"{first} {second} OR {first}", [first, second, first]), (f"{first[:-1]}1 BIC", []), (f"AB12 3456 7890 123 {first}", [first])):
+        assert [text[s:e] for kind, s, e, _ in propose(text) if kind == "iban"] == want
+
+
 def test_contamination_against_windows(spark, corpus):
     rng = random.Random(5)
     words = "a b c Dé e f7 g".split()
