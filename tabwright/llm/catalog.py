@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabwright.llm.collisions import near_vectors, near_vectors_sql
+from tabwright.llm.collocations import collocations, collocations_sql
 from tabwright.llm.decontaminate import find_contamination
+from tabwright.llm.lexical import search, search_sql
 from tabwright.llm.licenses import scan_licenses, scan_sql
 from tabwright.llm.line_dedup import dedup_lines
 from tabwright.llm.packing import pack_documents
@@ -98,6 +101,21 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         F.round("perplexity", 4).alias("perplexity"), F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"))
 
 
+def op11_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of vectors of equal label with a cosine of 0.98 and more."""
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 strongest phrases of two and three words of each language."""
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_contamination": op2_contamination,
@@ -109,5 +127,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_collocations": op13_collocations,
+}
+SQL: dict[str, str] = {
+    "op3_licenses": scan_sql(),
+    "op11_embedding_dedup": near_vectors_sql(),
+    "op12_lexical_search": search_sql(),
+    "op13_collocations": collocations_sql(),
 }
-SQL: dict[str, str] = {"op3_licenses": scan_sql()}

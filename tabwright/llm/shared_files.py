@@ -22,3 +22,10 @@ def get(folder: str, name: str) -> bytes:
     system, path = opened(folder)
     with system.open_input_stream(f"{path}/{name}") as source:
         return source.read()
+
+
+def get_if_there(folder: str, name: str) -> bytes | None:
+    system, path = opened(folder)
+    if system.get_file_info(f"{path}/{name}").type != pafs.FileType.File:
+        return None
+    return get(folder, name)
