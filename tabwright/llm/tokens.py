@@ -1,7 +1,8 @@
-"""Token ids of whole texts with a given tokenizer file, worked out once for each distinct word.
+"""Token ids of whole texts with a given tokenizer file, worked out once for each distinct part of a word.
 
 White space separates tokens in a word tokenizer, so a text's ids are those of its white-space-free pieces in turn.
-Plain pieces (letters of Latin script, ASCII digits and signs) go straight to the byte-pair model; all others, and all
+The different plain pieces of a slice (letters of Latin script, ASCII digits and signs) are cut into runs of letters, digits and
+signs in one pass, and only runs that are not remembered go to the byte-pair model. All other pieces, and all
 pieces of any other kind of tokenizer, go through the whole tokenizer.
 """
 
@@ -11,13 +12,14 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
 
 from tabwright.llm.batches import ranges, split_words
 
-# Distinct pieces remembered in a Python worker, in two generations of this size.
+# Distinct parts remembered in a Python worker, in two generations of this size.
 REMEMBERED = 250_000
 _LOADED: dict[str, "TextEncoder"] = {}
 
@@ -45,36 +47,60 @@ class TextEncoder:
             self.by_words = False
         letters = byte_letters()
         self.bytes_as_letters = {b: letters[b] for b in range(256)}
-        self.parts = re.compile(r"[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
-        self.plain = re.compile(r"[!-&(-~À-įı-ɏ]*")  # no apostrophe, no dotted capital i
+        self.parts = re.compile(r"[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+|\n")
+        # beyond plain pieces: apostrophes, the dotted capital i, signs among the letters, marks of special tokens
+        self.odd = re.compile(r"[^\n!-&(-~À-įı-ɏ]|[×÷]|<\|")
         self.young: dict[str, bytes] = {}  # ids as unsigned 32-bit numbers
         self.old: dict[str, bytes] = {}
         self.model = self.whole.model
 
-    def _piece(self, piece: str) -> bytes:
-        if "<|" in piece or not self.plain.fullmatch(piece) or "×" in piece or "÷" in piece \
-                or not unicodedata.is_normalized("NFC", piece):
-            return np.array(self.whole.encode(piece, add_special_tokens=False).ids, np.uint32).tobytes()
-        ids: list[int] = []
-        for part in self.parts.findall(piece.lower()):
-            if not part.isascii():
-                part = part.encode().decode("latin-1").translate(self.bytes_as_letters)
-            ids += [t.id for t in self.model.tokenize(part)]
-        return np.array(ids, np.uint32).tobytes()
-
-    def pieces(self, words: list[str]) -> list[bytes]:
-        out = []
-        for word in words:
-            ids = self.young.get(word)
+    def _remembered(self, part: str, make) -> bytes:
+        ids = self.young.get(part)
+        if ids is None:
+            ids = self.old.get(part)
             if ids is None:
-                ids = self.old.get(word)
-                if ids is None:
-                    ids = self._piece(word)
-                if len(self.young) >= REMEMBERED:
-                    self.young, self.old = {}, self.young
-                self.young[word] = ids
-            out.append(ids)
-        return out
+                ids = make(part)
+            if len(self.young) >= REMEMBERED:
+                self.young, self.old = {}, self.young
+            self.young[part] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(self.bytes_as_letters)
+        return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
+
+    def _whole(self, piece: str) -> bytes:
+        return array("I", self.whole.encode(piece[1:], add_special_tokens=False).ids).tobytes()
+
+    def pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each piece, and all their ids in turn. Pieces have no ASCII white space."""
+        joined = "\n".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        if not unicodedata.is_normalized("NFC", joined):
+            odd = {k for k, w in enumerate(words) if self.odd.search(w) or not unicodedata.is_normalized("NFC", w)}
+        else:
+            odd = set(np.searchsorted(ends, [m.start() for m in self.odd.finditer(joined)], side="right").tolist())
+        if odd:
+            joined = "\n".join(["" if k in odd else w for k, w in enumerate(words)])
+        parts = self.parts.findall(joined.lower())
+        parts.append("\n")
+        numbers: dict[str, int] = {"\n": 0}
+        codes = np.array([numbers.setdefault(p, len(numbers)) for p in parts], np.int64)
+        known = [self._remembered(p, self._part) if p != "\n" else b"" for p in numbers]
+        places = np.cumsum(codes == 0) - (codes == 0)  # the piece of each part
+        for k in odd:  # one part that is a piece of its own, remembered under a name no part has
+            numbers["\n" + words[k]] = len(known)
+            known.append(self._remembered("\n" + words[k], self._whole))
+        if odd:
+            own = np.array(sorted(odd), np.int64)
+            more = np.array([numbers["\n" + words[k]] for k in own.tolist()], np.int64)
+            order = np.argsort(np.concatenate((places, own)), kind="stable")
+            places, codes = np.concatenate((places, own))[order], np.concatenate((codes, more))[order]
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(lengths) - lengths
+        flat = np.frombuffer(b"".join(known), np.uint32)
+        return np.bincount(places, weights=lengths[codes], minlength=len(words)).astype(np.int64), flat[ranges(starts[codes], lengths[codes])]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of each text's ids, and all ids in turn."""
@@ -83,10 +109,10 @@ class TextEncoder:
             offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int64)
             return offsets, np.concatenate([np.zeros(0, np.uint32), *found])
         rows, codes, words = split_words(texts)
-        known = self.pieces(words.to_pylist())
-        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-        flat = np.frombuffer(b"".join(known), np.uint32)
+        if not len(words):
+            return np.zeros(len(rows), np.int64), np.zeros(0, np.uint32)
+        lengths, flat = self.pieces(words.to_pylist())
+        starts = np.cumsum(lengths) - lengths
         each = lengths[codes]
         ids = flat[ranges(starts[codes], each)]
         return np.concatenate(([0], np.cumsum(each)))[rows], ids
