@@ -1,43 +1,42 @@
 """Exact k-nearest-neighbour join on numeric vectors.
 
 Comparing every receiver with every donor is quadratic, and collecting one side does not scale.
-Donors are therefore assigned to cells around a bounded number of pivot rows, each cell knowing
-the smallest and largest distance of its donors to its pivot. A receiver first searches the cell
-around its nearest pivot. The distance to the k-th donor found there and the triangle inequality
-tell which other cells can hold a closer one, and the receiver visits only those. The result is
-exact. Two kinds of skew are handled: copies of a vector are collapsed to the few that can matter,
-and crowded cells are cut into chunks of donors and blocks of receivers of bounded size, whose
-partial answers are merged.
+Donors are therefore kept in a tree of pivots. A node with too many donors is split around pivots
+drawn from them, each donor going to the nearest one; the parts are nodes themselves, split again
+until every leaf holds a bounded number. For each part the number of its donors and the smallest and largest
+distance to its pivot are known. A receiver first goes down to the leaf around its nearest pivots and
+searches that. The distance to the k-th donor found there and the triangle inequality tell, at every node, which
+parts can hold a closer one, and the receiver goes down to those only. The result is exact.
+
+The tree is never gathered: nodes are rows, one DataFrame for each level, and rows meet the node they have reached by a join
+on its path. Two kinds of skew are handled: copies of a vector are collapsed to the few that can
+matter, and rows that reach the same node are dealt over blocks of bounded size.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tabwright.functions.hashing import order_hash
-from tabwright.functions.state import cut_lineage, local_frame, small_rows
+from tabwright.functions.state import cut_lineage
 
 # tasks get the code of this module with them, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_PIVOTS = 4096
+NODE_PIVOTS = 256
 DONORS_PER_PIVOT = 500
-# Most donors and receivers that meet in one call.
-CHUNK_ROWS = 20_000
+# Most donors of a leaf, and most rows that meet a node or leaf in one call.
+CHUNK_ROWS = 2_000
 BLOCK_ROWS = 5_000
 TILE_CELLS = 1_000_000
 DISTANCE_DIGITS = 9
-MAX_CELLS = 500_000
 NO_GROUP = "\0"
 
 
@@ -62,75 +61,86 @@ def _tiles(n: int, width: int) -> Iterator[slice]:
         yield slice(start, min(n, start + size))
 
 
-def _nearest_pivot(pivots: np.ndarray, vector: str):
-    """Adds the nearest pivot (``cell``) and the distance to it (``gap``)."""
+def _count(tally, distances: int) -> None:
+    if tally is not None:
+        tally.add(distances)
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = _matrix(batch.column(vector))
-            cell, gap = np.empty(len(points), dtype=np.int32), np.empty(len(points))
-            for part in _tiles(len(points), len(pivots)):
-                d = _distances(points[part], pivots)
-                cell[part] = d.argmin(axis=1)
-                gap[part] = d[np.arange(len(d)), cell[part]]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell), pa.array(gap)], [*batch.schema.names, "cell", "gap"]
-            )
+
+def _pivots(node: pa.Table) -> np.ndarray:
+    return _matrix(node.column("pivots").combine_chunks().flatten())
+
+
+def _assigned(shape: pa.Schema, tally):
+    """The nearest pivot (``child``) of each row that has reached a node, and the distance to it (``gap``)."""
+
+    def assign(rows: pa.Table, node: pa.Table) -> pa.Table:
+        if not len(rows) or not len(node):
+            return shape.empty_table()
+        points, pivots = _matrix(rows.column("vec")), _pivots(node)
+        numbers = np.arange(len(pivots), dtype=np.int32)
+        if "leaf" in shape.names:  # a receiver goes to a part that has donors
+            kids = sorted(node.column("kids").to_pylist()[0], key=lambda k: k["child"])
+            numbers = np.array([k["child"] for k in kids], dtype=np.int32)
+            pivots, small = pivots[numbers], np.array([k["leaf"] for k in kids])
+        nearest, gap = np.empty(len(points), dtype=np.int32), np.empty(len(points))
+        _count(tally, len(points) * len(pivots))
+        for part in _tiles(len(points), len(pivots)):
+            d = _distances(points[part], pivots)
+            nearest[part] = d.argmin(axis=1)
+            gap[part] = d[np.arange(len(d)), nearest[part]]
+        found = rows.append_column("child", pa.array(numbers[nearest])).append_column("gap", pa.array(gap))
+        if "leaf" in shape.names:
+            found = found.drop_columns("leaf").append_column("leaf", pa.array(small[nearest]))
+        return found.select(shape.names).cast(shape)
 
     return assign
 
 
-def _router(pivots: np.ndarray, cells: pd.DataFrame, need: int):
-    """For each receiver, the cells besides its own that may hold one of its nearest donors."""
-    by_group = {g: tuple(c[k].to_numpy() for k in ("cell", "n", "outer", "inner")) for g, c in cells.groupby("grp")}
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = np.array(batch.column("grp").to_pylist(), dtype=object)
-            points, home = _matrix(batch.column("vec")), np.asarray(batch.column("cell"))
-            found = batch.column("tau").to_numpy(zero_copy_only=False)
-            lines, targets = [], []
-            for group in set(groups):
-                if group not in by_group:
-                    continue
-                cell, n, outer, inner = by_group[group]
-                mine = np.flatnonzero(groups == group)
-                for part in _tiles(len(mine), len(pivots)):
-                    rows = mine[part]
-                    to_cell = _distances(points[rows], pivots[cell])
-                    bound = found[rows]
-                    open_ = np.isnan(bound)
-                    if open_.any():
-                        # too few donors at home: every donor of a cell is within pivot distance + outer radius
-                        reach = to_cell[open_] + outer
-                        order = np.argsort(reach, axis=1)
-                        enough = np.cumsum(n[order], axis=1) >= need
-                        at = np.where(enough.any(axis=1), enough.argmax(axis=1), -1)
-                        line = np.arange(len(reach))
-                        bound = bound.copy()
-                        bound[open_] = np.where(at >= 0, reach[line, order[line, at]], np.inf)
-                    limit = bound * (1 + 1e-9) + 2 * 10.0 ** -DISTANCE_DIGITS
-                    near = np.maximum(to_cell - outer, inner - to_cell) <= limit[:, None]
-                    near &= cell[None, :] != home[rows][:, None]
-                    row, col = np.nonzero(near)
-                    lines.append(rows[row])
-                    targets.append(cell[col])
-            if lines:
-                line = pa.array(np.concatenate(lines))
-                kept = [batch.column(c).take(line) for c in ("grp", "rep", "vec")]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(np.concatenate(targets).astype(np.int32))], ["grp", "rep", "vec", "cell"]
-                )
+def _opened(need: int, shape: pa.Schema, tally):
+    """The parts of a node that may hold one of the nearest donors of each receiver that has reached it."""
+
+    def route(rows: pa.Table, node: pa.Table) -> pa.Table:
+        if not len(rows) or not len(node):
+            return shape.empty_table()
+        kids = sorted(node.column("kids").to_pylist()[0], key=lambda k: k["child"])
+        child, n, outer, inner, leaf = (np.array([k[name] for k in kids]) for name in ("child", "n", "outer", "inner", "leaf"))
+        pivots, points = _pivots(node)[child], _matrix(rows.column("vec"))
+        known = rows.column("tau").to_numpy().astype(float)
+        _count(tally, len(points) * len(pivots))
+        lines, picks = [], []
+        for part in _tiles(len(points), len(pivots)):
+            to_pivot = _distances(points[part], pivots)
+            open_ = np.flatnonzero(np.isnan(known[part]))
+            if len(open_):
+                # too few donors at home: every donor of a part is within pivot distance + outer radius
+                reach = to_pivot[open_] + outer
+                order = np.argsort(reach, axis=1)
+                enough = np.cumsum(n[order], axis=1) >= need
+                at = enough.argmax(axis=1)
+                line = np.arange(len(reach))
+                known[part.start + open_] = np.where(enough.any(axis=1), reach[line, order[line, at]], np.inf)
+            limit = known[part] * (1 + 1e-9) + 2 * 10.0 ** -DISTANCE_DIGITS
+            row, col = np.nonzero(np.maximum(to_pivot - outer, inner - to_pivot) <= limit[:, None])
+            lines.append(row + part.start)
+            picks.append(col)
+        line, pick = np.concatenate(lines), np.concatenate(picks)
+        found = rows.drop_columns(["tau", "leaf"]).take(pa.array(line))
+        for name, values in (("tau", known[line]), ("child", child[pick]), ("leaf", leaf[pick])):
+            found = found.append_column(name, pa.array(values))
+        return found.select(shape.names).cast(shape)
 
     return route
 
 
-def _local_top_k(need: int, payload: bool, shape: pa.Schema):
+def _local_top_k(need: int, payload: bool, shape: pa.Schema, tally):
+    """The best ``need`` donors of a leaf for each receiver that visits it."""
+
     def search(receivers: pa.Table, donors: pa.Table) -> pa.Table:
         if not len(receivers) or not len(donors):
             return shape.empty_table()
         donors = donors.take(pc.sort_indices(donors.column("did")))
         base, points = _matrix(donors.column("dvec")), _matrix(receivers.column("vec"))
+        _count(tally, len(base) * len(points))
         rows, picks, dists = [], [], []
         for part in _tiles(len(points), len(base)):
             d = np.round(_distances(points[part], base), DISTANCE_DIGITS)
@@ -160,37 +170,98 @@ def _plain(frame: DataFrame, *names: str) -> T.StructType:
     return T.StructType([T.StructField(n, frame.schema[n].dataType) for n in names])
 
 
-def _search(visits: DataFrame, placed: DataFrame, cells: pd.DataFrame, need: int, payload: bool, chunk_rows: int,
-            block_rows: int) -> DataFrame | None:
-    """Best ``need`` donors per receiver and unit: rep, dist, did[, payload]. None if nobody visits anything."""
-    counts = pd.DataFrame(small_rows(
-        visits.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("visits")), "neighbour cells", MAX_CELLS
-    ), columns=["grp", "cell", "visits"])
-    plan = cells.merge(counts, on=["grp", "cell"])
-    if plan.empty:
-        return None
-    layout = local_frame(visits.sparkSession, pa.table({
-        "grp": pa.array(plan["grp"], pa.string()), "cell": pa.array(plan["cell"], pa.int32()),
-        "chunks": pa.array(-(-plan["n"] // chunk_rows), pa.int32()),
-        "blocks": pa.array(-(-plan["visits"] // block_rows), pa.int32()),
-    }))
-    upto = lambda c: F.sequence(F.lit(0), F.col(c) - F.lit(1))
-    left = visits.join(layout, ["grp", "cell"]).select(
-        "grp", "cell", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
-        F.explode(upto("chunks")).alias("chunk"), "rep", "vec",
-    )
-    right = placed.join(layout, ["grp", "cell"]).select(
-        "grp", "cell", F.explode(upto("blocks")).alias("block"),
-        F.pmod(F.xxhash64("did"), F.col("chunks")).cast("int").alias("chunk"), "did", "dvec", *(["payload"] if payload else []),
-    )
-    unit = ["grp", "cell", "block", "chunk"]
-    fields = T.StructType([
-        T.StructField("rep", visits.schema["rep"].dataType), T.StructField("dist", T.DoubleType()),
-        *_plain(placed, "did", *(["payload"] if payload else [])).fields,
-    ])
-    return left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(
-        _local_top_k(need, payload, to_arrow_schema(fields)), fields
-    )
+def _meet(left: DataFrame, right: DataFrame, by: list[str], spread: str, block_rows: int, shape: T.StructType, work) -> DataFrame:
+    """``work(left rows, right rows)`` for equal ``by``, with at most about ``block_rows`` left rows at a time."""
+    blocks = left.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks"))
+    dealt = left.join(blocks, by).withColumn("_block", F.pmod(F.xxhash64(spread), F.col("_blocks")).cast("int")).drop("_blocks")
+    copied = right.join(blocks, by).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+    unit = [*by, "_block"]
+    names = [f.name for f in shape.fields]
+
+    def each(a: pa.Table, b: pa.Table) -> pa.Table:
+        return work(a, b).select(names)
+
+    # both sides may come from one frame: new names for the columns of one keep them apart
+    copied = copied.select([F.col(c).alias(c) for c in copied.columns])
+    return dealt.groupBy(*unit).cogroup(copied.groupBy(*unit)).applyInArrow(each, shape)
+
+
+class _Tree:
+    """Donors in leaves (``placed``: grp, path, did, dvec[, payload]) and the nodes above them, a frame for each level.
+
+    A node is a row (grp, path, pivots, kids); a kid is (child, n, outer, inner, leaf) for each pivot that has
+    donors. The path of a part is its node's path and the number of its pivot. ``roots`` tells for each group whether it is one leaf.
+    """
+
+    def __init__(self, slim: DataFrame, need: int, max_pivots: int, donors_per_pivot: int, chunk_rows: int, block_rows: int, tally):
+        chunk_rows = max(chunk_rows, 2 * need)  # a leaf has room for all copies of a vector that can matter
+        self.block_rows, self.tally, self.levels = block_rows, tally, []
+        by = ["grp", "path"]
+        open_ = slim.withColumn("path", F.lit("")).withColumnRenamed("dvec", "vec")
+        leaves, columns = None, open_.columns
+        size = cut_lineage(open_.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("leaf", F.col("n") <= chunk_rows))
+        self.roots = size.select("grp", "leaf")
+        while True:
+            flagged = open_.join(size.select(*by, "leaf", "n"), by)
+            ready = flagged.where("leaf").select(columns)
+            leaves = ready if leaves is None else leaves.unionByName(ready)
+            if not size.where("NOT leaf").limit(1).count():
+                break
+            open_ = flagged.where("NOT leaf")
+            # a seeded draw of different vectors of each node; no more rows of a node than that leave a task
+            draw = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("did", F.lit("pivot")), "did"))
+            wanted = F.greatest(F.lit(2), F.least(F.lit(max_pivots), F.ceil(F.col("n") / donors_per_pivot)))
+            drawn = open_.where("_copy = 1").select(*by, "did", "vec", wanted.alias("_wanted")).withColumn("_draw", draw)
+            drawn = drawn.where((F.col("_draw") <= max_pivots) & (F.col("_draw") <= F.col("_wanted")))
+            pivots = cut_lineage(drawn.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_draw", "vec"))).alias("_p"))
+                                 .select(*by, F.col("_p.vec").alias("pivots")))
+            shape = T.StructType(_plain(open_, *columns).fields + [T.StructField("child", T.IntegerType()), T.StructField("gap", T.DoubleType())])
+            parts = cut_lineage(_meet(open_.select(columns), pivots, by, "did", block_rows, shape, _assigned(to_arrow_schema(shape), tally)))
+            kids = parts.groupBy(*by, "child").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("outer"), F.min("gap").alias("inner"))
+            # parts that no distance can tell apart stay as they are
+            kids = kids.withColumn("leaf", (F.col("n") <= chunk_rows) | (F.col("outer") == 0) | F.isnan("outer"))
+            nodes = kids.groupBy(*by).agg(F.collect_list(F.struct("child", "n", "outer", "inner", "leaf")).alias("kids")).join(pivots, by)
+            self.levels.append(cut_lineage(nodes))
+            below = F.concat_ws(".", "path", F.col("child").cast("string"))
+            size = cut_lineage(kids.select("grp", below.alias("path"), "n", "leaf"))
+            open_ = parts.withColumn("path", below).select(columns)
+        self.placed = cut_lineage(leaves.drop("_copy").withColumnRenamed("vec", "dvec"))
+
+    def _down(self, rows: DataFrame, carried: list[str], work) -> Iterator[DataFrame]:
+        """The rows at the leaves they reach, level by level; ``work`` tells which parts of a node a row goes on to."""
+        shape = T.StructType(_plain(rows, "grp", "path", *carried).fields + [T.StructField("leaf", T.BooleanType()), T.StructField("child", T.IntegerType())])
+        yield rows.where("leaf")
+        for nodes in self.levels:
+            met = _meet(rows.where("NOT leaf"), nodes, ["grp", "path"], "rep", self.block_rows, shape, work(to_arrow_schema(shape)))
+            rows = cut_lineage(met.withColumn("path", F.concat_ws(".", "path", F.col("child").cast("string"))).drop("child"))
+            yield rows.where("leaf")
+
+    def homes(self, reps: DataFrame) -> DataFrame:
+        """The leaf around the nearest pivots of each receiver; receivers of groups without donors go."""
+        rows = cut_lineage(reps.join(self.roots, "grp").withColumn("path", F.lit("")))
+        found = None
+        for part in self._down(rows, ["rep", "vec"], lambda shape: _assigned(shape, self.tally)):
+            part = part.select("grp", "path", "rep", "vec")
+            found = part if found is None else found.unionByName(part)
+        return found
+
+    def visits(self, known: DataFrame, need: int) -> DataFrame:
+        """All leaves that may hold one of the nearest donors of a receiver, but its home."""
+        rows = known.join(self.roots, "grp").withColumn("path", F.lit("")).where("NOT leaf")
+        found = None
+        for part in self._down(rows, ["rep", "vec", "tau", "home"], lambda shape: _opened(need, shape, self.tally)):
+            part = part.where("path <> home").select("grp", "path", "rep", "vec")
+            found = part if found is None else found.unionByName(part)
+        return found
+
+    def search(self, visits: DataFrame, need: int, payload: bool) -> DataFrame:
+        """Best ``need`` donors per receiver and leaf: rep, dist, did[, payload]."""
+        fields = T.StructType([
+            T.StructField("rep", visits.schema["rep"].dataType), T.StructField("dist", T.DoubleType()),
+            *_plain(self.placed, "did", *(["payload"] if payload else [])).fields,
+        ])
+        return _meet(visits, self.placed, ["grp", "path"], "rep", self.block_rows, fields,
+                     _local_top_k(need, payload, to_arrow_schema(fields), self.tally))
 
 
 def _best(found: DataFrame, need: int) -> DataFrame:
@@ -208,16 +279,18 @@ def k_nearest(
     within: str | None = None,
     exclude_self: bool = False,
     payload: str | None = None,
-    max_pivots: int = MAX_PIVOTS,
+    max_pivots: int = NODE_PIVOTS,
     donors_per_pivot: int = DONORS_PER_PIVOT,
     chunk_rows: int = CHUNK_ROWS,
     block_rows: int = BLOCK_ROWS,
+    tally=None,
 ) -> DataFrame:
     """The k nearest donors of every receiver, as ``id_col, neighbours``.
 
     ``neighbours`` is an array of (dist, did[, payload]) sorted by distance, then donor id. With
     ``within`` only donors of the same group count; with ``exclude_self`` a row is not its own neighbour.
-    Vectors must not hold NULL.
+    Vectors must not hold NULL. A node of the tree has at most ``max_pivots`` parts, of about ``donors_per_pivot`` donors
+    or more; a leaf has at most ``chunk_rows``. ``tally``, an accumulator, counts the distances computed.
     """
     need = k + 1 if exclude_self else k
     # rows without a group form a group of their own
@@ -226,57 +299,26 @@ def k_nearest(
     source = donors.select(group.alias("grp"), F.col(id_col).alias("did"), F.col(vector_col).alias("dvec"), *extra)
     asking = receivers.select(group.alias("grp"), F.col(id_col), F.col(vector_col).alias("vec"))
 
-    n_donors = source.count()
-    if n_donors == 0:
+    if not source.limit(1).count():
         raise ValueError("no donors: nothing to take neighbours from")
-    n_pivots = 1 if n_donors <= chunk_rows else max(1, min(max_pivots, math.ceil(n_donors / donors_per_pivot)))
-    chosen = source.orderBy(order_hash("did", "pivot"), "did").limit(n_pivots).select("dvec").toArrow()
-    pivots = np.unique(_matrix(chosen.column("dvec")), axis=0)
-
     # of identical donors only the first few by id can be among the nearest
     copy_rank = F.row_number().over(Window.partitionBy("grp", "dvec").orderBy("did"))
-    slim = source.withColumn("_copy", copy_rank).where(F.col("_copy") <= need).drop("_copy")
-    spot = [T.StructField("cell", T.IntegerType()), T.StructField("gap", T.DoubleType())]
-    placed = cut_lineage(slim.mapInArrow(
-        _nearest_pivot(pivots, "dvec"), T.StructType(_plain(slim, *slim.columns).fields + spot)
-    ))
-    cells = pd.DataFrame(small_rows(
-        placed.groupBy("grp", "cell").agg(
-            F.count(F.lit(1)).alias("n"), F.max("gap").alias("outer"), F.min("gap").alias("inner")
-        ),
-        "neighbour cells", MAX_CELLS,
-    ))
+    slim = cut_lineage(source.withColumn("_copy", copy_rank).where(F.col("_copy") <= need))
+    tree = _Tree(slim, need, max_pivots, donors_per_pivot, chunk_rows, block_rows, tally)
 
     # identical receivers share one answer, kept under the smallest of their ids
-    distinct = asking.groupBy("grp", "vec").agg(F.min(id_col).alias("rep"))
-    reps = cut_lineage(distinct.mapInArrow(
-        _nearest_pivot(pivots, "vec"), T.StructType(_plain(distinct, *distinct.columns).fields + spot)
-    ))
-    parts = []
-    at_home = _search(reps.select("grp", "rep", "vec", "cell"), placed, cells, need, bool(payload), chunk_rows, block_rows)
-    if len(pivots) == 1:
-        parts.append(at_home)
-    else:
-        known = reps
-        tau = F.lit(None).cast("double")
-        if at_home is not None:
-            best = cut_lineage(_best(at_home, need))
-            parts.append(best)
-            reached = best.groupBy("rep").agg(F.when(F.count(F.lit(1)) == need, F.max("dist")).alias("_tau"))
-            known, tau = reps.join(reached, "rep", "left"), F.col("_tau")
-        known = known.select("grp", "rep", "vec", "cell", tau.alias("tau"))
-        routed = cut_lineage(known.mapInArrow(_router(pivots, cells, need), _plain(known, "grp", "rep", "vec", "cell")))
-        away = _search(routed, placed, cells, need, bool(payload), chunk_rows, block_rows)
-        parts += [away] if away is not None else []
-    found = None
-    for part in parts:
-        if part is not None:
-            found = part if found is None else found.unionByName(part)
+    reps = cut_lineage(asking.groupBy("grp", "vec").agg(F.min(id_col).alias("rep")))
+    homes = tree.homes(reps)
+    found = tree.search(homes, need, bool(payload))
+    if tree.levels:
+        found = cut_lineage(found)
+        reached = found.groupBy("rep").agg(F.when(F.count(F.lit(1)) == need, F.max("dist")).alias("_tau"))
+        known = homes.withColumnRenamed("path", "home").join(reached, "rep", "left")
+        known = cut_lineage(known.select("grp", "rep", "vec", "home", F.coalesce("_tau", F.lit(float("nan"))).alias("tau")))
+        found = found.unionByName(tree.search(tree.visits(known, need), need, bool(payload)))
     fields = ["dist", "did"] + (["payload"] if payload else [])
-    shape = T.ArrayType(T.StructType([T.StructField("dist", T.DoubleType()), *_plain(placed, *fields[1:]).fields]))
+    shape = T.ArrayType(T.StructType([T.StructField("dist", T.DoubleType()), *_plain(tree.placed, *fields[1:]).fields]))
     nothing = F.array().cast(shape)
-    if found is None:
-        return asking.select(id_col, nothing.alias("neighbours"))
     lists = _best(found, need).groupBy("rep").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("neighbours"))
     answers = reps.select("grp", "vec", "rep").join(lists, "rep")
     # a receiver whose group has no donor keeps its row, with an empty list
