@@ -2,24 +2,31 @@
 
 A plain ``row_number()`` over a whole table, or over a class that holds a third of it, sends
 that many rows to one task. The helpers here first count rows per bucket of the sort key, then
-work only inside buckets (ranks), or only inside the one bucket that holds the answer (quotas,
+work only inside buckets (ranks), or only inside the buckets that hold an answer (quotas,
 quantiles). The answers are the exact ones.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabwright.functions.hashing import order_hash
-from tabwright.functions.state import cut_lineage, settle
+from tabwright.functions.state import cut_lineage, local_frame, settle
 
-# A group of up to this many rows may be aggregated by the built-in exact percentile.
-DIRECT_ROWS = 1_000_000
-# Values of a bracket that guide its narrowing.
-GRID = 256
+# tasks get the code of this module with them, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Most rows that are ranked in one place.
+RANKED_ROWS = 20_000
+# Cut points that one scan works with.
+CUTS_AT_ONCE = 1_000_000
 
 
 def bucket_digits(n_rows: int) -> int:
@@ -109,180 +116,233 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    direct_rows: int = DIRECT_ROWS,
+    direct_rows: int = RANKED_ROWS,
     accuracy: int = 10_000,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, as rows ``by..., feature, q`` (array aligned to probs).
 
-    Groups of at most ``direct_rows`` rows use the built-in ``percentile``, whose state is then
-    bounded by that number. Larger ones are bracketed: an approximate sketch gives a narrow value
-    range around each quantile, one pass counts the rows below it, and only the rows inside it are
-    ranked. The result is the same; ranks outside the bracket make it widen, never guess.
+    Groups of at most ``direct_rows`` rows use the built-in ``percentile``, whose state is bounded by that
+    number. In larger ones every column has a sorted array of cut points on both sides of the wanted
+    ranks. One scan counts the values of all columns between and at the cuts (binary search); a stretch that holds a wanted rank and more
+    than ``direct_rows`` rows gets cuts of its own from a sample of about ``accuracy`` of its values, and the next scan counts
+    again. In the end only the short stretches that hold wanted ranks are tallied. Samples decide where cuts lie, never a result.
     """
-    by = list(by)
-    largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if largest <= direct_rows:
-        wide = df.groupBy(*by).agg(
-            *[F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])).alias(c) for c in columns]
-        )
+    by, columns, probs = list(by), list(columns), [float(p) for p in probs]
+    base = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    sizes = base.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_rows"), F.array(*[F.count(c) for c in columns]).alias("_n"))
+    large = sizes.where(F.col("_rows") > direct_rows)
+    if by:
+        large = cut_lineage(large)
+    n_large = large.count()
+    parts = []
+    if not n_large or by:
+        small = base
+        if n_large:
+            names = {b: f"_g_{i}" for i, b in enumerate(by)}
+            same = F.lit(True)
+            for b, g in names.items():
+                same = same & F.col(b).eqNullSafe(F.col(g))
+            small = base.join(large.select(*by).withColumnsRenamed(names), same, "left_anti")
+        wide = small.groupBy(*by).agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in columns])
         records = F.array(*[
             F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("array<double>").alias("q")) for c in columns
         ])
-        return wide.select(*by, F.inline(records))
-    slack = 3.0 / accuracy
-    while True:
-        found = _Brackets(df, columns, probs, by, accuracy).search(slack, max(direct_rows, accuracy))
-        if found is not None:
-            return found
-        slack *= 8
-
-
-class _Brackets:
-    """Value ranges around quantiles, narrowed until few enough rows are left to rank.
-
-    The state has one row per group and, per column, ``n`` and an array of (lo, hi, below, inside)
-    with one entry per probability: ``below`` rows lie under ``lo``, ``inside`` from ``lo`` to ``hi``.
+        parts.append(wide.select(*by, F.inline(records)))
+    blocks = -(-n_large * len(columns) * (4 * len(probs) + 1) // CUTS_AT_ONCE)
+    for block in range(blocks):
+        chosen = large.where(F.pmod(F.xxhash64(*by), F.lit(blocks)) == block) if blocks > 1 and by else large
+        parts.append(_Cuts(base, columns, probs, by, chosen.toArrow(), max(direct_rows, accuracy), accuracy).found())
+        if not by:
+            break
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+class _Line:
+    """One column of one group: sorted cuts, and the number of values in every stretch.
+
+    Stretch 2k lies below cut k (above cut k - 1); stretch 2k + 1 is the cut itself.
     """
 
-    def __init__(self, df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: list[str], accuracy: int):
-        self.columns, self.probs, self.by, self.accuracy = list(columns), list(probs), by, accuracy
-        self.base = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-
-    def search(self, slack: float, few: int) -> DataFrame | None:
-        state = self._sketch(slack)
-        largest = None
-        while True:
-            state = self._counted(state)
-            wide = F.array_max(F.transform("_s", lambda s: F.when(s["lo"] < s["hi"], s["inside"]).otherwise(F.lit(0))))
-            rows = state.select(F.explode(F.array(*[F.col(f"_s_{c}.marks") for c in self.columns])).alias("_s"))
-            most = rows.select(wide.alias("w")).agg(F.max("w")).first()[0] or 0
-            if most <= few or (largest is not None and most > largest // 2):
-                return self._ranked(state)
-            largest = most
-            state = self._narrowed(self._counted(state, grid=True))
-
-    def _sketch(self, slack: float) -> DataFrame:
-        points = [edge for p in self.probs for edge in (max(0.0, p - slack), min(1.0, p + slack))]
-        sketch = self.base.groupBy(*self.by).agg(*[
-            F.struct(
-                F.percentile_approx(c, points, self.accuracy).alias("edge"),
-                F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(c).alias("n"),
-            ).alias(f"_s_{c}")
-            for c in self.columns
-        ])
-
-        def marks(c: str) -> Column:
-            s = F.col(f"_s_{c}")
-            # in a small group the slack is less than a rank: take all of it
-            small = s["n"] <= F.lit(math.ceil(3 / slack))
-            return F.array(*[
-                F.struct(
-                    F.when(small | F.lit(p - slack <= 0), s["lo"]).otherwise(s["edge"][2 * i]).alias("lo"),
-                    F.when(small | F.lit(p + slack >= 1), s["hi"]).otherwise(s["edge"][2 * i + 1]).alias("hi"),
-                )
-                for i, p in enumerate(self.probs)
-            ])
-
-        return settle(sketch.select(*self.by, *[
-            F.struct(F.col(f"_s_{c}.n").alias("n"), marks(c).alias("marks")).alias(f"_s_{c}") for c in self.columns
-        ]))
-
-    def _attached(self, state: DataFrame) -> DataFrame:
-        """The rows with the state of their group; a single state row is written into the plan."""
-        if self.by:
-            keys = {b: f"_g_{i}" for i, b in enumerate(self.by)}
+    def __init__(self, n: int, probs: Sequence[float]):
+        self.n, self.cuts, self.counts = n, np.zeros(0), np.array([n], np.int64)
+        places = [(n - 1) * p for p in probs] if n else []
+        self.ranks = sorted({r for x in places for r in (math.floor(x), math.ceil(x))})
+
+    def wanted(self) -> dict[int, list[int]]:
+        """Stretches between cuts that hold wanted ranks, with those ranks counted from the stretch's start."""
+        ends = np.cumsum(self.counts)
+        held: dict[int, list[int]] = {}
+        for rank in self.ranks:
+            stretch = int(np.searchsorted(ends, rank, side="right"))
+            if stretch % 2 == 0:
+                held.setdefault(stretch, []).append(rank - int(ends[stretch] - self.counts[stretch]))
+        return held
+
+    def at_cuts(self) -> dict[int, float]:
+        ends = np.cumsum(self.counts)
+        stretches = {rank: int(np.searchsorted(ends, rank, side="right")) for rank in self.ranks}
+        return {rank: float(self.cuts[s // 2]) for rank, s in stretches.items() if s % 2}
+
+    def start(self, stretch: int) -> int:
+        return int(self.counts[:stretch].sum())
+
+
+def _stretches(cuts: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return np.searchsorted(cuts, values, side="left") + np.searchsorted(cuts, values, side="right")
+
+
+def _by_line(batch: pa.RecordBatch, lines) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    """The values of each (group, column) among ``lines`` in a batch of (group, columns...)."""
+    group = batch.column(0).to_numpy()
+    order = np.argsort(group, kind="stable")
+    starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+    for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(group)]):
+        rows = pa.array(order[start:stop])
+        for c in range(batch.num_columns - 1):
+            key = int(group[order[start]]), c
+            if key in lines:
+                column = batch.column(c + 1) if len(rows) == len(group) else batch.column(c + 1).take(rows)
+                yield key, column.drop_null().to_numpy(zero_copy_only=False)
+
+
+class _Cuts:
+    """Quantiles of the large groups of one block: a few scans of the whole table, all groups and columns at once."""
+
+    def __init__(self, base: DataFrame, columns: list[str], probs: list[float], by: list[str], groups: pa.Table, few: int, accuracy: int):
+        self.spark, self.columns, self.probs, self.by, self.groups, self.few, self.accuracy = base.sparkSession, columns, probs, by, groups, few, accuracy
+        self.lines = {(g, c): _Line(n[c], probs) for g, n in enumerate(groups["_n"].to_pylist()) for c in range(len(columns))}
+        if by:
+            names = [f"_g_{i}" for i in range(len(by))]
+            known = groups.select(by).rename_columns(names).append_column("_group", pa.array(np.arange(len(groups), dtype=np.int32)))
             same = F.lit(True)
-            for b, g in keys.items():
+            for b, g in zip(by, names):
                 same = same & F.col(b).eqNullSafe(F.col(g))
-            return self.base.join(state.withColumnsRenamed(keys), same).drop(*keys.values())
-        return self.base.withColumns({f"_s_{c}": state.select(f"_s_{c}").scalar() for c in self.columns})
-
-    def _each(self):
-        return [(c, i, F.col(f"_s_{c}.marks")[i]) for c in self.columns for i in range(len(self.probs))]
-
-    def _counted(self, state: DataFrame, grid: bool = False) -> DataFrame:
-        """Adds ``below``, ``inside`` and, if wanted, a grid of values inside each range, in one aggregate."""
-        steps = [j / GRID for j in range(GRID + 1)]
-
-        def spread(c: str, m: Column) -> list[Column]:
-            held = F.when(F.col(c).between(m["lo"], m["hi"]), F.col(c))
-            return [F.percentile_approx(held, steps, self.accuracy).alias("grid")] if grid else []
-
-        counted = self._attached(state).groupBy(*self.by).agg(
-            *[F.first(f"_s_{c}.n").alias(f"_n_{c}") for c in self.columns],
-            *[
-                F.struct(
-                    F.first(m["lo"]).alias("lo"), F.first(m["hi"]).alias("hi"),
-                    F.count_if(F.col(c) < m["lo"]).alias("below"),
-                    F.count_if(F.col(c).between(m["lo"], m["hi"])).alias("inside"),
-                    *spread(c, m),
-                ).alias(f"_m_{c}_{i}")
-                for c, i, m in self._each()
-            ],
-        )
-        return settle(counted.select(*self.by, *[
-            F.struct(
-                F.col(f"_n_{c}").alias("n"), F.array(*[F.col(f"_m_{c}_{i}") for i in range(len(self.probs))]).alias("marks")
-            ).alias(f"_s_{c}")
-            for c in self.columns
-        ]))
-
-    def _narrowed(self, state: DataFrame) -> DataFrame:
-        """Ranges between grid values around the wanted rank, further out than a sketch can be wrong."""
-        margin = 2 + math.ceil(2 * GRID / self.accuracy)
-
-        def closer(c: str, i: int) -> Column:
-            mark = F.col(f"_s_{c}.marks")[i]
-            rank = (F.col(f"_s_{c}.n") - 1).cast("double") * F.lit(float(self.probs[i])) - mark["below"]
-            per_step = F.greatest(mark["inside"] - 1, F.lit(1)).cast("double") / F.lit(float(GRID))
-            left = F.floor(F.floor(rank) / per_step).cast("int") - margin
-            right = F.ceil(F.ceil(rank) / per_step).cast("int") + margin
-            return F.struct(
-                F.when(left <= 0, mark["lo"]).otherwise(F.try_element_at(mark["grid"], left + 1)).alias("lo"),
-                F.when(right >= GRID, mark["hi"]).otherwise(F.try_element_at(mark["grid"], right + 1)).alias("hi"),
-            )
-
-        return settle(state.select(*self.by, *[
-            F.struct(
-                F.col(f"_s_{c}.n").alias("n"), F.array(*[closer(c, i) for i in range(len(self.probs))]).alias("marks")
-            ).alias(f"_s_{c}")
-            for c in self.columns
-        ]))
-
-    def _ranked(self, state: DataFrame) -> DataFrame | None:
-        """Quantiles from the rows inside the ranges; None when a range misses its rank."""
-        candidates = F.array(*[
-            F.struct(
-                F.lit(c).alias("feature"), F.lit(i).alias("_i"), F.col(f"_s_{c}.n").alias("_n"), m["below"].alias("_below"),
-                F.when(F.col(c).between(m["lo"], m["hi"]), F.col(c)).alias("_v"),
-            )
-            for c, i, m in self._each()
-        ])
-        group = [*self.by, "feature", "_i", "_n", "_below"]
-        inside = self._attached(state).select(*self.by, F.inline(F.filter(candidates, lambda s: s["_v"].isNotNull())))
-        # copies of a value count once from here on
-        tallied = inside.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c"))
-        upto = F.sum("_c").over(Window.partitionBy(*group).orderBy("_v"))
-        prob = F.element_at(F.array(*[F.lit(float(p)) for p in self.probs]), F.col("_i") + 1)
-        ranked = tallied.withColumn("_end", upto + F.col("_below")).withColumn("_rank", (F.col("_n") - 1).cast("double") * prob)
-        found = ranked.groupBy(*group, "_rank").agg(
-            F.min(F.when(F.col("_end") > F.floor("_rank"), F.col("_v"))).alias("_v0"),
-            F.min(F.when(F.col("_end") > F.ceil("_rank"), F.col("_v"))).alias("_v1"),
-        )
-        part = F.col("_rank") - F.floor("_rank")
-        found = settle(found.select(
-            *self.by, "feature", "_i", ((F.col("_below") > F.floor("_rank")) | F.col("_v1").isNull()).alias("_missed"),
-            (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * part).alias("_value"),
-        ))
-        if found.where("_missed").limit(1).count():
-            return None
-        values = F.transform(F.array_sort(F.collect_list(F.struct("_i", "_value"))), lambda s: s["_value"])
-        known = found.groupBy(*self.by, "feature").agg(values.alias("q"))
-        # a group without any value in a column has a row as well
-        everything = state.select(*self.by, F.explode(F.array(*[F.lit(c) for c in self.columns])).alias("feature"))
-        same = F.col("e.feature") == F.col("k.feature")
-        for b in self.by:
-            same = same & F.col(f"e.{b}").eqNullSafe(F.col(f"k.{b}"))
-        return everything.alias("e").join(known.alias("k"), same, "left").select(
-            *[F.col(f"e.{b}").alias(b) for b in self.by], F.col("e.feature").alias("feature"), F.col("k.q").alias("q")
-        )
+            base = base.join(local_frame(self.spark, known), same)
+        else:
+            base = base.withColumn("_group", F.lit(0))
+        self.data = base.select("_group", *[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
+
+    def found(self) -> DataFrame:
+        turn = 0
+        while True:
+            crowded = {
+                key: {s: ranks for s, ranks in line.wanted().items() if line.counts[s] > self.few} for key, line in self.lines.items()
+            }
+            crowded = {key: held for key, held in crowded.items() if held}
+            if not crowded:
+                break
+            turn += 1
+            for row in self._sampled(crowded, turn):
+                line = self.lines[row["line"], row["col"]]
+                line.cuts = np.union1d(line.cuts, row["cuts"])
+            self._count(list(crowded))
+        known = {key: line.at_cuts() for key, line in self.lines.items()}
+        short = {key: line.wanted() for key, line in self.lines.items()}
+        short = {key: held for key, held in short.items() if held}
+        if short:
+            for row in self._ranked(short):
+                line = self.lines[row["line"], row["col"]]
+                known[row["line"], row["col"]][line.start(row["stretch"]) + row["rank"]] = row["value"]
+        rows = {"feature": [], "q": [], "_at": []}
+        for (g, c), line in self.lines.items():
+            values, q = known[g, c], []
+            for p in self.probs if line.n else []:
+                x = (line.n - 1) * p
+                low, high = values[math.floor(x)], values[math.ceil(x)]
+                q.append(low if low == high else low + (high - low) * (x - math.floor(x)))
+            rows["feature"].append(self.columns[c])
+            rows["q"].append(q if line.n else None)
+            rows["_at"].append(g)
+        columns = [self.groups[b].take(pa.array(rows["_at"])) for b in self.by]
+        return local_frame(self.spark, pa.table(
+            [*columns, pa.array(rows["feature"], pa.string()), pa.array(rows["q"], pa.list_(pa.float64()))], names=[*self.by, "feature", "q"]))
+
+    def _sampled(self, crowded: dict, turn: int) -> list[dict]:
+        """New cuts around the wanted ranks of crowded stretches, from a sample of their values."""
+        plan, size = {}, self.accuracy
+        for key, held in crowded.items():
+            line = self.lines[key]
+            steps, points = {}, {}
+            for stretch, ranks in held.items():
+                n = int(line.counts[stretch])
+                # a batch adds an error of about one value to the sample
+                slack = (2 * math.sqrt(min(n / 1000, size)) + 2) / min(n, size)
+                steps[stretch] = max(1, n // size)
+                points[stretch] = sorted({min(1.0, max(0.0, r / max(n - 1, 1) + side)) for r in ranks for side in (-slack, slack)})
+            plan[key] = (line.cuts, steps, points)
+
+        def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for number, batch in enumerate(batches):
+                chance = np.random.default_rng([turn, number, batch.num_rows])
+                for (g, c), values in _by_line(batch, plan):
+                    cuts, steps, _ = plan[g, c]
+                    where = _stretches(cuts, values)
+                    for stretch, step in steps.items():
+                        held = np.sort(values[where == stretch] if len(cuts) else values)
+                        taken = held[int(chance.integers(step))::step]
+                        if len(taken):
+                            yield _rows(line=g, col=c, stretch=stretch, value=taken)
+
+        def cut(table: pa.Table) -> pa.Table:
+            key = table["line"][0].as_py(), table["col"][0].as_py()
+            points = plan[key][2][table["stretch"][0].as_py()]
+            chosen = np.unique(np.quantile(table["value"].to_numpy(), points, method="nearest"))
+            return pa.table({"line": pa.array([key[0]], pa.int32()), "col": pa.array([key[1]], pa.int32()), "cuts": pa.array([chosen], pa.list_(pa.float64()))})
+
+        sample = self.data.mapInArrow(draw, "line int, col int, stretch int, value double")
+        return sample.groupBy("line", "col", "stretch").applyInArrow(cut, "line int, col int, cuts array<double>").toArrow().to_pylist()
+
+    def _count(self, keys: list) -> None:
+        plan = {key: self.lines[key].cuts for key in keys}
+
+        def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {}
+            for batch in batches:
+                for key, values in _by_line(batch, plan):
+                    counts = np.bincount(_stretches(plan[key], values), minlength=2 * len(plan[key]) + 1)
+                    sums[key] = sums[key] + counts if key in sums else counts
+            for (g, c), counts in sums.items():
+                held = np.flatnonzero(counts)
+                yield _rows(line=g, col=c, stretch=held.astype(np.int32), n=counts[held])
+
+        for key in keys:
+            self.lines[key].counts = np.zeros(2 * len(plan[key]) + 1, np.int64)
+        counted = self.data.mapInArrow(tally, "line int, col int, stretch int, n long").groupBy("line", "col", "stretch").agg(F.sum("n").alias("n"))
+        for row in counted.toArrow().to_pylist():
+            self.lines[row["line"], row["col"]].counts[row["stretch"]] = row["n"]
+
+    def _ranked(self, short: dict) -> list[dict]:
+        """The values at the wanted ranks of short stretches, from tallies of their values."""
+        plan = {key: (self.lines[key].cuts, held) for key, held in short.items()}
+
+        def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for (g, c), values in _by_line(batch, plan):
+                    cuts, held = plan[g, c]
+                    where = _stretches(cuts, values)
+                    for stretch in held:
+                        value, n = np.unique(values[where == stretch], return_counts=True)
+                        if len(value):
+                            yield _rows(line=g, col=c, stretch=stretch, value=value, n=n.astype(np.int64))
+
+        def rank(table: pa.Table) -> pa.Table:
+            g, c, stretch = (table[name][0].as_py() for name in ("line", "col", "stretch"))
+            ranks = plan[g, c][1][stretch]
+            value, n = table["value"].to_numpy(), table["n"].to_numpy()
+            order = np.argsort(value)
+            at = np.searchsorted(np.cumsum(n[order]), ranks, side="right")
+            return pa.Table.from_batches([_rows(line=g, col=c, stretch=np.full(len(ranks), stretch, np.int32), rank=np.array(ranks, np.int64), value=value[order][at])])
+
+        tallied = self.data.mapInArrow(tally, "line int, col int, stretch int, value double, n long")
+        return tallied.groupBy("line", "col", "stretch").applyInArrow(rank, "line int, col int, stretch int, rank long, value double").toArrow().to_pylist()
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    """A batch of arrays; whole numbers among the arguments are repeated as 32-bit columns."""
+    length = max(len(v) for v in columns.values() if not isinstance(v, int))
+    arrays = [pa.array(np.full(length, v, np.int32)) if isinstance(v, int) else pa.array(v) for v in columns.values()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(columns))

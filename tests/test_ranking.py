@@ -61,16 +61,41 @@ def test_quantiles_of_a_column_without_values(spark, direct_rows):
     assert got == {"v": None, "w": [3.0]}
 
 
-def test_brackets_are_narrowed_to_few_rows(skewed, spark):
-    """A coarse sketch leaves wide ranges; narrowing makes them small before anything is ranked."""
+def test_only_short_stretches_are_ranked(skewed):
+    """Cuts divide a column until no stretch with a wanted rank holds more rows than allowed."""
     table, df = skewed
-    search = ranking._Brackets(df, ["v"], [0.3], [], 500)
-    state = search._counted(search._sketch(0.2))
-    wide = state.first()["_s_v"]["marks"][0]["inside"]
-    narrow = search._counted(search._narrowed(search._counted(state, grid=True))).first()["_s_v"]["marks"][0]["inside"]
-    assert wide > 2000 and narrow < wide / 3
-    got = search.search(0.2, 50).first()["q"]
-    assert got == pytest.approx([table["v"].quantile(0.3)])
+    groups = pa.table({"_n": [[int(table["v"].notna().sum())]]})
+    search = ranking._Cuts(df.select("v"), ["v"], [0.3, 0.31, 0.9], [], groups, 60, 100)
+    got = search.found().first()["q"]
+    line = search.lines[0, 0]
+    assert got == pytest.approx(list(table["v"].quantile([0.3, 0.31, 0.9])))
+    assert line.counts.sum() == line.n and all(line.counts[s] <= 60 for s in line.wanted())
+    assert line.counts[1::2].max() >= 1  # cuts are values of the column
+
+
+def test_many_probabilities_of_many_columns(spark):
+    draw = np.random.default_rng(8)
+    table = pd.DataFrame({f"c{k}": draw.normal(0, 10.0 ** (k - 2), 30_000) for k in range(5)})
+    table.loc[::7, "c1"] = 4.0
+    table.loc[::5, "c2"] = None
+    df = spark.createDataFrame(pa.Table.from_pandas(table, preserve_index=False)).repartition(6)
+    probs = [k / 100 for k in range(101)]
+    for row in exact_quantiles(df, list(table.columns), probs, direct_rows=500, accuracy=400).collect():
+        assert row["q"] == pytest.approx(list(table[row["feature"]].quantile(probs)), rel=1e-12)
+
+
+def test_quantiles_of_large_and_small_groups(spark):
+    """Null is a group like others; NaN is the largest value; infinite ends stay."""
+    draw = np.random.default_rng(9)
+    rows = [(None if k % 3 == 0 else "x" if k % 50 else "rare", float(draw.integers(0, 200))) for k in range(3000)]
+    rows += [("x", float("inf")), ("x", float("-inf")), ("odd", float("nan")), ("odd", 1.0), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    got = {r["g"]: r["q"] for r in exact_quantiles(df, ["v"], [0.25, 0.5], by=["g"], direct_rows=100, accuracy=50).collect()}
+    assert got["empty"] is None and got["odd"][0] != got["odd"][0]
+    for g in (None, "x", "rare"):
+        values = sorted(v for name, v in rows if name == g)
+        assert got[g] == pytest.approx(list(np.quantile(values, [0.25, 0.5])))
+    assert len(got) == 5
 
 
 @pytest.mark.parametrize("rows_per_bucket", [100, 10**6])
