@@ -52,13 +52,11 @@ def _density(view, columns):
     spans = " UNION ALL ".join(f"""
 SELECT '{c}' AS feature, min({c}) AS lo, max({c}) AS hi, (max({c}) - min({c})) / {dbl(_LAST)} AS step,
   stddev_samp({c}) * pow({dbl(f'count({c})')}, -0.2) AS h, {dbl(f'count({c})')} AS n FROM {view}""" for c in columns)
-    cells = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS x FROM {view} WHERE {c} IS NOT NULL" for c in columns)
+    cells = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v FROM {view} WHERE {c} IS NOT NULL" for c in columns)
     return f"""spans AS ({spans}), cells AS ({cells}),
-bins AS (SELECT cells.feature, lo, step, h, n, CAST(floor((x - lo) / (hi - lo) * {dbl(_LAST)} + 0.5) AS INTEGER) AS bin, count(*) AS w
-         FROM cells JOIN spans ON cells.feature = spans.feature GROUP BY ALL),
 density AS (SELECT feature, CAST(point AS INTEGER) AS point, lo + point * step AS x,
-    sum(w * exp(((point - bin) * step / h) * ((point - bin) * step / h) * -0.5)) / (n * h * sqrt(2 * pi())) AS density
-  FROM bins, (SELECT unnest(generate_series(0, {_LAST})) AS point) g GROUP BY feature, point, lo, step, n, h)"""
+    sum(exp(((lo + point * step - v) / h) * ((lo + point * step - v) / h) * -0.5)) / (n * h * sqrt(2 * pi())) AS density
+  FROM cells JOIN spans USING (feature), (SELECT unnest(generate_series(0, {_LAST})) AS point) g GROUP BY feature, point, lo, step, n, h)"""
 
 
 @query("q3_kernel_density", f"WITH {_density('v_feat', _FEW)} SELECT feature, point, {r6('x')} AS x, round(density, 9) AS density FROM density")

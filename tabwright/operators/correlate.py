@@ -2,41 +2,126 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+import sys
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabwright.functions.state import local_frame, settle
 from tabwright.functions.types import get_numerical_features
 
-# Pair aggregates computed in one pass.
-PAIRS_PER_PASS = 400
+# tasks get the code of this module with them, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Columns whose pairs are counted in one scan; their sums are five square arrays of doubles.
+COLUMNS_AT_ONCE = 1000
+# Tasks that add up partial sums before the driver adds up theirs.
+MERGES = 16
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """a, b, r for every pair of columns (a before b), each over the rows where both are known."""
+
+def _batch_sums(left: list[pa.Array], right: list[pa.Array] | None) -> np.ndarray:
+    """Pairwise sums of a batch: rows where both are known, both means, and the centred squares and product.
+
+    Columns are shifted by one of their own values near their mean, so constant columns stay exactly constant.
+    """
+    def shifted(columns: list[pa.Array]):
+        values = np.column_stack([c.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False) for c in columns])
+        known = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in columns])
+        finite = np.isfinite(values)
+        odd = known & ~finite  # NaN and infinite values spoil their pairs
+        values = np.where(finite, values, 0.0)
+        mean = values.sum(axis=0) / np.maximum(finite.sum(axis=0), 1)
+        away = np.where(finite, np.abs(values - mean), np.inf)
+        centre = values[away.argmin(axis=0), np.arange(values.shape[1])]
+        return np.where(finite, values - centre, 0.0), finite.astype(float), odd, centre
+
+    x, in_x, odd_x, centre_x = shifted(left)
+    y, in_y, odd_y, centre_y = (x, in_x, odd_x, centre_x) if right is None else shifted(right)
+    n = in_x.T @ in_y
+    some = np.maximum(n, 1)
+    mean_x, mean_y = (x.T @ in_y) / some, (in_x.T @ y) / some
+    out = np.stack([
+        n, np.where(n > 0, mean_x + centre_x[:, None], 0.0), np.where(n > 0, mean_y + centre_y[None, :], 0.0),
+        (x * x).T @ in_y - n * mean_x ** 2, in_x.T @ (y * y) - n * mean_y ** 2, x.T @ y - n * mean_x * mean_y])
+    if odd_x.any() or odd_y.any():
+        spoiled = odd_x.astype(float).T @ (in_y + odd_y) + in_x.T @ odd_y.astype(float)
+        out[5] += np.where(spoiled > 0, np.nan, 0.0)
+        out[0] += spoiled
+    return out
+
+
+def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sums of two sets of rows together."""
+    n = a[0] + b[0]
+    share = b[0] / np.maximum(n, 1)
+    dx, dy = (np.where((a[0] > 0) & (b[0] > 0), b[k] - a[k], 0.0) for k in (1, 2))
+    weight = a[0] * share
+    mean = [np.where(a[0] > 0, a[k] + d * share, b[k]) for k, d in ((1, dx), (2, dy))]
+    return np.stack([n, *mean, a[3] + b[3] + dx * dx * weight, a[4] + b[4] + dy * dy * weight, a[5] + b[5] + dx * dy * weight])
+
+
+def _pair_sums(df: DataFrame, left: list[str], right: list[str] | None) -> np.ndarray:
+    """Sums of all pairs of ``left`` and ``right`` (None: the same columns) from one scan."""
+    shape = (6, len(left), len(right or left))
+    wide = df.select([F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate([*left, *(right or [])])])
+
+    def row(sums: np.ndarray, slot: int) -> dict:
+        return {"slot": pa.array([slot], pa.int32()), "sums": pa.array([sums.tobytes()], pa.large_binary())}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                part = _batch_sums(batch.columns[:len(left)], batch.columns[len(left):] if right else None)
+                total = part if total is None else _added(total, part)
+        if total is not None:
+            yield pa.RecordBatch.from_pydict(row(total, TaskContext.get().partitionId() % MERGES))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for sums in batch.column("sums"):
+                part = np.frombuffer(sums.as_buffer()).reshape(shape)
+                total = part if total is None else _added(total, part)
+        if total is not None:
+            yield pa.RecordBatch.from_pydict(row(total, 0))
+
+    parts = wide.mapInArrow(count, "slot int, sums binary").repartition(MERGES, "slot").mapInArrow(merge, "slot int, sums binary")
+    total = np.zeros(shape)
+    for sums in parts.toArrow()["sums"]:
+        total = _added(total, np.frombuffer(sums.as_buffer()).reshape(shape))
+    return total
+
+
+def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, columns_at_once: int = COLUMNS_AT_ONCE) -> DataFrame:
+    """a, b, r for every pair of columns (a before b), each over the rows where both are known.
+
+    One scan: every task keeps sums of products as square arrays, tasks add them up, and so does the driver, which
+    holds a result of that size anyway. More than ``columns_at_once`` columns are taken in blocks, one scan for
+    each pair of blocks. NULL where fewer than two rows know both columns or one is constant; NaN where values are not finite.
+    """
     names = list(columns or get_numerical_features(df))
-    pairs = list(combinations(names, 2))
-    out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        part = pairs[start:start + PAIRS_PER_PASS]
-        wide = df.agg(*[
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(part)
-        ])
-        rows = wide.select(F.inline(F.array(*[
-            F.struct(
-                F.lit(start + i).alias("pair_no"), F.lit(a).alias("a"), F.lit(b).alias("b"),
-                F.col(f"p{i}").alias("r"),
-            )
-            for i, (a, b) in enumerate(part)
-        ])))
-        out = rows if out is None else out.unionByName(rows)
-    if out is None:
+    if len(names) < 2:
         raise ValueError("at least two numeric columns are needed")
-    return out
+    r = np.full((len(names), len(names)), np.nan)
+    known = np.zeros(r.shape, bool)
+    starts = range(0, len(names), columns_at_once)
+    for i in starts:
+        for j in starts:
+            if j < i:
+                continue
+            own, other = slice(i, i + columns_at_once), slice(j, j + columns_at_once)
+            n, _, _, xx, yy, xy = _pair_sums(df, names[own], None if i == j else names[other])
+            spread = np.sqrt(np.maximum(xx, 0)) * np.sqrt(np.maximum(yy, 0))
+            known[own, other] = (n >= 2) & ((spread > 0) | np.isnan(xy))
+            r[own, other] = np.where(spread > 0, xy / np.where(spread > 0, spread, 1.0), np.nan)
+    first, second = np.triu_indices(len(names), 1)
+    return local_frame(df.sparkSession, pa.table({
+        "pair_no": pa.array(np.arange(len(first), dtype=np.int32)), "a": pa.array(names, pa.string()).take(pa.array(first)),
+        "b": pa.array(names, pa.string()).take(pa.array(second)), "r": pa.array(r[first, second], mask=~known[first, second])}))
 
 
 def target_correlation(pairs: DataFrame, target: str) -> DataFrame:

@@ -80,10 +80,14 @@ class OutlierModel(Model):
         return dataset.where(keep)
 
 
-def iqr_outliers(df: DataFrame, columns: Sequence[str], whisker: float = 1.5, direct_rows: int | None = None) -> DataFrame:
-    """Per column: quartile bounds, how many non-null values lie outside them, and their share."""
+def iqr_outliers(df: DataFrame, columns: Sequence[str], whisker: float = 1.5, direct_rows: int | None = None,
+                 quartiles: DataFrame | None = None) -> DataFrame:
+    """Per column: quartile bounds, how many non-null values lie outside them, and their share.
+
+    ``quartiles`` (feature, q with the first and third) may be given if they are known.
+    """
     options = {} if direct_rows is None else {"direct_rows": direct_rows}
-    quartiles = exact_quantiles(df, columns, [0.25, 0.75], **options)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.75], **options) if quartiles is None else quartiles
     q = {r["feature"]: r["q"] for r in quartiles.collect()}
     fences = {}
     for c in columns:

@@ -87,6 +87,57 @@ def test_two_modes_are_found(spark):
     assert abs(centres[0]) < 0.7 and abs(centres[1] - 12) < 0.7
 
 
+@pytest.mark.parametrize("n", [40, 3000, 60_000])
+def test_density_equals_the_sum_over_all_rows(spark, n):
+    """The stated error holds at every size, also with far outliers and repeated values."""
+    draw = np.random.default_rng(n)
+    columns = {"v": draw.normal(5, 2, n), "t": draw.standard_t(3, n), "k": draw.integers(0, 9, n).astype(float)}
+    columns["t"][0] = 500.0
+    df = spark.createDataFrame(pd.DataFrame(columns)).repartition(5)
+    got = distribution.kernel_density(df, list(columns), 200).toPandas()
+    for c, x in columns.items():
+        width = x.std(ddof=1) * n ** -0.2
+        places = x.min() + np.arange(200) * (x.max() - x.min()) / 199
+        want = np.array([np.exp(-0.5 * ((p - x) / width) ** 2).sum() for p in places]) / (n * width * np.sqrt(2 * np.pi))
+        own = got[got.feature == c].sort_values("point")
+        assert np.allclose(own["x"], places) and np.abs(own["density"].to_numpy() - want).max() * width * np.sqrt(2 * np.pi) < 2e-12
+
+
+def test_correlations_of_many_columns_from_one_scan(spark):
+    """Gaps, a constant column and a copy among 60 columns; every row is read once."""
+    draw = np.random.default_rng(2)
+    table = pd.DataFrame(draw.normal(1e6, 3, (4000, 60)), columns=[f"c{k}" for k in range(60)])
+    table["c1"], table["c2"] = 0.1, table["c0"] * -2
+    table = table.mask(draw.random(table.shape) < 0.1)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(table).select([F.nanvl(c, F.lit(None)).alias(c) for c in table.columns]).repartition(7)
+    df = df.mapInArrow(counted, df.schema)
+    pairs = correlate.correlation_pairs(df).toPandas()
+    assert read.value == 4000 and len(pairs) == 60 * 59 // 2
+    want = table.corr()
+    for row in pairs.itertuples():
+        if "c1" in (row.a, row.b):
+            assert np.isnan(row.r) or row.r is None
+        else:
+            assert row.r == pytest.approx(want.loc[row.a, row.b], abs=1e-9)
+    blocked = correlate.correlation_pairs(df, columns_at_once=25).toPandas()
+    assert np.allclose(blocked["r"].astype(float), pairs["r"].astype(float), equal_nan=True) and (blocked["b"] == pairs["b"]).all()
+
+
+def test_correlations_with_values_that_are_not_finite(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, float("nan"), 2.0), (3.0, 5.0, 4.0), (float("inf"), None, 8.0)], "a double, b double, c double")
+    got = {(r["a"], r["b"]): r["r"] for r in correlate.correlation_pairs(df).collect()}
+    assert all(v != v for v in got.values())
+    one = correlate.correlation_pairs(df.where("a = 1"), ["a", "c"]).first()["r"]
+    assert one is None and correlate.correlation_pairs(df.limit(0), ["a", "c"]).first()["r"] is None
+
+
 def test_flat_top_is_one_peak(spark):
     heights = [0.0, 1.0, 2.0, 2.0, 2.0, 1.0, 3.0, 0.5]
     density = spark.createDataFrame([("f", i, float(i), h) for i, h in enumerate(heights)],
