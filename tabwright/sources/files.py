@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tabwright.functions.types import replace_columns
+from tabwright.sources.csv_records import read_records
 
 # Texts a CSV uses for a missing value.
 MISSING_TOKENS = (
@@ -19,16 +20,23 @@ def load_data(spark: SparkSession, path: str, schema: T.StructType | str | None
 
     Every column is read as text and cleaned of missing-value tokens first. Without a schema the types are then found by
     one aggregate over all rows (whole numbers, numbers, booleans, else text), so a column of numbers and ``NULL`` is a
-    column of numbers. Quoted line breaks are kept; files are then read whole, one task each. For large files
-    without quoted line breaks set ``multi_line`` to False, which lets Spark split them, and name the schema.
+    column of numbers. Quoted line breaks are kept, and large files are split all the same (``csv_records``), at the price of
+    one more scan; ``multi_line=False`` saves it for files without quoted line breaks. Naming the schema saves another.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False).option("multiLine", multi_line).option("escape", '"')
+    if multi_line:
+        columns = _reading(reader, path).columns  # from the first record
+        if schema is not None:
+            wanted = schema if isinstance(schema, T.StructType) else _parse(spark, schema)
+            if [c.lower() for c in columns] != [f.name.lower() for f in wanted]:
+                raise ValueError(f"the file has the columns {columns}, the schema {wanted.names}")
+        read = read_records(spark, path, columns)
     if schema is None:
-        clean = normalise_missing(_reading(reader, path))
+        clean = normalise_missing(read if multi_line else _reading(reader, path))
         return clean.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in _found_types(clean).items()])
     wanted = schema if isinstance(schema, T.StructType) else _parse(spark, schema)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
-    clean = normalise_missing(_reading(reader.schema(text), path))
+    clean = normalise_missing(read.toDF(*wanted.names) if multi_line else _reading(reader.schema(text), path))
     return clean.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 

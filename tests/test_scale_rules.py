@@ -77,3 +77,52 @@ def test_csv_with_missing_words_quotes_and_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, None, True, "two\nlines"), (2, 4.0, None, 'say "hi", you'), (3, 2.5, False, None)]
     again = files.load_data(spark, files.save_processed_data(out, str(tmp_path / "u.csv")), out.schema)
     assert again.orderBy("id").collect() == rows
+
+
+def odd_csv(rows):
+    lines = ["id,text,n"]
+    for k in range(rows):
+        text = ["plain", '"two\nlines"', '"say ""hi"",\n\n""\nend"', "", '"\r\nodd\r\n"', '"a,b"', "NULL"][k % 7]
+        lines.append(f"{k},{text},{k % 5 if k % 11 else ''}")
+    return "\n".join(lines) + "\n"
+
+
+def test_split_csv_equals_the_whole_read(spark, tmp_path):
+    """Splits of a few hundred bytes start inside quotes, inside doubled quotes and inside empty lines."""
+    (tmp_path / "t.csv").write_bytes(odd_csv(3000).encode())
+    whole = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "t.csv"))
+    want = sorted((int(r["id"]), None if r["text"] in ("NULL", "") else r["text"], r["n"] and int(r["n"])) for r in whole.collect())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (400, 5000, 10**8):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            frame = files.load_data(spark, str(tmp_path / "t.csv"), "id int, text string, n int")
+            tasks, got = frame.rdd.getNumPartitions(), sorted(tuple(r) for r in frame.collect())
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert got == want and (size > 400 or tasks > 100)
+
+
+def test_one_quoted_value_over_many_splits(spark, tmp_path):
+    long = "x\n" * 4000
+    (tmp_path / "t.csv").write_text(f'a,b\n1,"{long}"\n2,y\n3,"{long}{long}"\n4,z\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = {r["a"]: r["b"] for r in files.load_data(spark, str(tmp_path / "t.csv")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {1: long, 2: "y", 3: long + long, 4: "z"}
+
+
+def test_csv_folders_and_headers(spark, tmp_path):
+    """Every file of a folder has a header of its own; another header is an error; a file of a header only has no rows."""
+    folder = tmp_path / "many.csv"
+    folder.mkdir()
+    for k in range(3):
+        (folder / f"part-{k}.csv").write_bytes(f'i,s\r\n{k},"a\r\nb"\r\n'.encode())
+    (folder / "part-9.csv").write_text("i,s\n")
+    assert sorted(tuple(r) for r in files.load_data(spark, str(folder)).collect()) == [(k, "a\r\nb") for k in range(3)]
+    (folder / "part-5.csv").write_text("s,i\nx,1\n")
+    with pytest.raises(Exception, match="instead of"):
+        files.load_data(spark, str(folder), "i int, s string").collect()
