@@ -26,6 +26,7 @@ from tabwright.llm.staging import staged
 TRIE_ENTRIES = 1_000_000
 TRIE_WORDS = 400_000
 TEXT_BYTES = 4_000_000  # longer texts are worked on in parts, cut between pieces
+SHARES = 64  # into which a language's candidates are dealt before they are ranked
 MAP_BITS = 27  # 16 MB
 BLOCK_BITS = 20
 # ends of pieces become line feeds, tabs become spaces, A-Z become a-z
@@ -295,8 +296,11 @@ def collocations(
     )
     pairs = pairs.join(around, ["lang", "phrase"], "left").where(f"longer IS NULL OR 100 * longer < {int(drop_percent)} * a").drop("longer")
     best = pairs.unionByName(ranked_triples)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = best.withColumn("rank", F.row_number().over(order))
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    if top is not None:  # a language's best are among the best of its shares: no task ranks all of a language
+        best = best.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+        best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("rank") <= top).drop("share")
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if top is not None:
         best = best.where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"), "cut")
