@@ -26,8 +26,8 @@ from tabwright.llm.staging import staged
 
 PROJECTIONS = 24
 GROUPS = 3
-CELL = 1024  # vectors wanted in a cell
-CHUNK = 4096  # vectors of a crowded cell that meet in one task
+CELL = 4096  # vectors wanted in a cell
+CHUNK = 8192  # vectors of a crowded cell that meet in one task
 PAIRS = 200_000  # pairs worked on at a time
 SEED = 20_011
 
