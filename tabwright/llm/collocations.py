@@ -1,9 +1,11 @@
 """Phrase collocations: words that stand together more often than their parts would make them.
 
-Counting goes by phrase length. Tasks count packed word ids in a HAT-trie (``hat_trie``) and spill whole subtrees as sorted
-runs; runs meet by prefix partition, are merged in order and summed. A phrase can be frequent only if its parts are, so
-each length after the first counts only phrases whose parts are in a bitmap of the frequent ones. The bitmap has a
-fixed size whatever the corpus; a false positive costs a count, never a result.
+Tasks count packed word ids in a HAT-trie (``hat_trie``) and spill whole subtrees as sorted runs; runs meet by prefix
+partition, are merged in order and summed. First single words are counted, then phrases of two and three words.
+
+A phrase can be frequent only if its parts are, and most phrases are not. So the second count takes only phrases that pass
+bitmaps: one of frequent words, and one of frequent pairs, made by counting pairs as 48-bit hashes in between. The bitmaps
+have a fixed size whatever the corpus; a false positive costs a count, never a result.
 """
 
 from __future__ import annotations
@@ -25,13 +27,16 @@ from tabwright.llm.staging import staged
 # Entries of a task's trie and words of its dictionary, beyond which subtrees are spilled.
 TRIE_ENTRIES = 1_000_000
 TRIE_WORDS = 400_000
+SLICE_BYTES = 4_000_000
 TEXT_BYTES = 4_000_000  # longer texts are worked on in parts, cut between pieces
 SHARES = 64  # into which a language's candidates are dealt before they are ranked
 MAP_BITS = 27  # 16 MB
 BLOCK_BITS = 20
 # ends of pieces become line feeds, tabs become spaces, A-Z become a-z
 PIECES = bytes(10 if b in b".,;:!?" or 10 <= b <= 13 else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-RUN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
+BLOCK_WORDS = 2_000_000  # hashes of pairs that are counted at a time, about
+RUN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("f", pa.int64())])
+RUN_DDL = "lang string, phrase string, k int, f long"
 _MAPS: dict[str, np.ndarray] = {}
 
 
@@ -40,12 +45,12 @@ def _hash(word: bytes) -> int:
 
 
 def mixed(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-    """Places in the bitmap, from hashes of the language and of one or two words."""
+    """Hashes of phrases, from those of the language and of one or two words. The upper bits are the place in the bitmap."""
     state = lang.astype(np.uint64)
     for word in words:
         state = (state ^ word) * np.uint64(0x9E3779B97F4A7C15)
         state ^= state >> np.uint64(29)
-    return (state * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - MAP_BITS)
+    return state * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def in_pieces(texts: pa.Array, langs: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -84,7 +89,8 @@ def adjacent(mapped: pa.Array, rows: np.ndarray, n_words: int) -> np.ndarray:
 
 def _loaded(folder: str) -> np.ndarray:
     if folder not in _MAPS:
-        _MAPS.clear()
+        while len(_MAPS) > 1:
+            del _MAPS[next(iter(_MAPS))]
         whole = np.zeros(1 << (MAP_BITS - 3), np.uint8)
         step = 1 << (BLOCK_BITS - 3)
         for block in range(1 << (MAP_BITS - BLOCK_BITS)):
@@ -95,78 +101,96 @@ def _loaded(folder: str) -> np.ndarray:
     return _MAPS[folder]
 
 
-def _holds(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+def _holds(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    places = hashes >> np.uint64(64 - MAP_BITS)
     return (bits[(places >> np.uint64(3)).astype(np.int64)] >> (places & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+class Worded:
+    """The words of some texts: code, language and text row of each, and which stand next to each other."""
+
+    def __init__(self, texts: pa.Array, langs: pa.Array):
+        mapped, langs = in_pieces(texts, langs)
+        offsets, self.codes, words = split_words(mapped)
+        langs = langs.dictionary_encode()
+        self.names = langs.dictionary.to_pylist()
+        rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+        self.lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int32)[rows]
+        self.words = [w.encode() for w in words.to_pylist()]
+        self.close = adjacent(mapped, rows, len(self.codes))
+
+    def pairs(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of two neighbouring words that are in the bitmap of frequent words, and their hashes."""
+        hashes = np.fromiter(map(_hash, self.words), np.uint64, len(self.words))[self.codes]
+        lang = np.fromiter((_hash(n.encode()) for n in self.names), np.uint64, len(self.names))[self.lang]
+        known = _holds(words, mixed(lang, [hashes]))
+        places = np.flatnonzero(self.close & known[1:] & known[:-1]) if len(known) > 1 else np.zeros(0, np.int64)
+        return places, mixed(lang[places], [hashes[places], hashes[places + 1]])
+
+
 class PhraseCounter:
-    """What one task counts: phrases of ``order`` words whose parts of ``order - 1`` words are in the bitmap."""
+    """What one task counts: single words, or phrases of two and three words that pass the bitmaps."""
 
-    def __init__(self, order: int, bits: np.ndarray | None, entries: int = TRIE_ENTRIES, words: int = TRIE_WORDS):
-        self.order, self.bits, self.entries, self.words = order, bits, entries, words
+    def __init__(self, entries: int = TRIE_ENTRIES, words: int = TRIE_WORDS):
+        self.entries, self.words = entries, words
         self.trie, self.ids, self.totals = HatTrie(), {}, {}
 
-    def read(self, texts: pa.Array, langs: pa.Array) -> Iterator[pa.RecordBatch]:
-        order = self.order
-        mapped, langs = in_pieces(texts, langs)
-        offsets, codes, words = split_words(mapped)
-        langs = langs.dictionary_encode()
-        names = langs.dictionary.to_pylist()
-        rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[rows]
-        words = [w.encode() for w in words.to_pylist()]
-        if order == 1:
-            for name, count in zip(names, np.bincount(lang, minlength=len(names)).tolist()):
-                self.totals[name] = self.totals.get(name, 0) + count
-            places = np.arange(len(codes))
-        else:
-            close = adjacent(mapped, rows, len(codes))
-            hashes = np.fromiter(map(_hash, words), np.uint64, len(words))[codes]
-            lang_hash = np.fromiter((_hash(n.encode()) for n in names), np.uint64, len(names))[lang]
-            if order == 2:
-                known = _holds(self.bits, mixed(lang_hash, [hashes]))
-                places = np.flatnonzero(close & known[1:] & known[:-1]) if len(codes) > 1 else np.zeros(0, np.int64)
-            else:
-                known = np.zeros(max(len(codes) - 1, 0), bool)
-                pairs = np.flatnonzero(close)
-                known[pairs] = _holds(self.bits, mixed(lang_hash[pairs], [hashes[pairs], hashes[pairs + 1]]))
-                places = np.flatnonzero(known[1:] & known[:-1])
-        used = np.zeros(len(codes), bool)
-        for step in range(order):
-            used[places + step] = True
-        pairs, place_of = np.unique(lang[used] * max(len(words), 1) + codes[used], return_inverse=True)
-        own = np.fromiter((self.ids.setdefault((names[p // len(words)], words[p % len(words)]), len(self.ids)) for p in pairs.tolist()),
+    def count_words(self, text: Worded) -> Iterator[pa.RecordBatch]:
+        for name, count in zip(text.names, np.bincount(text.lang, minlength=len(text.names)).tolist()):
+            self.totals[name] = self.totals.get(name, 0) + count
+        yield from self._add(text, [(np.arange(len(text.codes)), 1)])
+
+    def count_phrases(self, text: Worded, words: np.ndarray, pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        places, hashes = text.pairs(words)
+        twos = places[_holds(pairs, hashes)]
+        known = np.zeros(max(len(text.codes) - 1, 0), bool)
+        known[twos] = True
+        yield from self._add(text, [(twos, 2), (np.flatnonzero(known[1:] & known[:-1]), 3)])
+
+    def _add(self, text: Worded, phrases: list[tuple[np.ndarray, int]]) -> Iterator[pa.RecordBatch]:
+        used = np.zeros(len(text.codes), bool)
+        for places, order in phrases:
+            for step in range(order):
+                used[places + step] = True
+        n_words = max(len(text.words), 1)
+        pairs, place_of = np.unique(text.lang[used].astype(np.int64) * n_words + text.codes[used], return_inverse=True)
+        own = np.fromiter((self.ids.setdefault((text.names[p // n_words], text.words[p % n_words]), len(self.ids)) for p in pairs.tolist()),
                           np.int64, len(pairs))
-        ids = np.zeros(len(codes), np.int64)
+        ids = np.zeros(len(text.codes), np.int64)
         ids[used] = own[place_of]
-        step = 1_000_000
-        for start in range(0, len(places), step):
-            part = places[start:start + step]
-            self.trie.add(packed([ids[part + k] for k in range(order)]))
-            if self.trie.entries > self.entries:
-                yield from self.runs(0.5)
+        for places, order in phrases:
+            for start in range(0, len(places), 500_000):
+                part = places[start:start + 500_000]
+                self.trie.add(packed([ids[part + k] for k in range(order)]))
+                if self.trie.entries > self.entries:
+                    yield from self.runs(0.5)
         if len(self.ids) > self.words:
             yield from self.runs(1.0)
             self.ids = {}
 
     def runs(self, share: float) -> Iterator[pa.RecordBatch]:
+        """Subtrees as rows in the order of their word ids."""
         if not self.trie.entries:
             return
         langs, words = zip(*self.ids)
         langs, words = pa.array(langs, pa.string()), pa.array([w.decode() for w in words], pa.string())
         for keys, counts in self.trie.spill(share):
-            ids = unpacked(keys, self.order)
-            phrase = pc.binary_join_element_wise(*(words.take(pa.array(i)) for i in ids), " ")
-            run = pa.table([langs.take(pa.array(ids[0])), phrase, pa.array(counts)], schema=RUN)
-            run = run.sort_by([("lang", "ascending"), ("phrase", "ascending")])
-            yield from run.to_batches(max_chunksize=50_000)
+            for start in range(0, len(keys), 50_000):
+                ids, own = unpacked(keys[start:start + 50_000]), counts[start:start + 50_000]
+                sizes = sum((i >= 0).astype(np.int32) for i in ids)
+                for order in np.unique(sizes).tolist():
+                    at = sizes == order
+                    parts = [pa.array(i[at]) for i in ids[:order]]
+                    yield pa.RecordBatch.from_arrays(
+                        [langs.take(parts[0]), pc.binary_join_element_wise(*(words.take(p) for p in parts), " "), pa.array(sizes[at]), pa.array(own[at])], schema=RUN)
         give_back()
 
     def finish(self) -> Iterator[pa.RecordBatch]:
         yield from self.runs(1.0)
         if self.totals:  # all words of a language: the row without a phrase
+            n = len(self.totals)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(self.totals), pa.string()), pa.nulls(len(self.totals), pa.string()), pa.array(list(self.totals.values()), pa.int64())],
+                [pa.array(list(self.totals), pa.string()), pa.nulls(n, pa.string()), pa.array([0] * n, pa.int32()), pa.array(list(self.totals.values()), pa.int64())],
                 schema=RUN)
 
 
@@ -184,7 +208,8 @@ def merged(least: int):
                                                                 pc.and_(pc.is_null(phrase[1:]), pc.is_null(phrase[:-1]))))
             firsts = np.concatenate(([0], 1 + np.flatnonzero(~same.to_numpy(zero_copy_only=False))))
             sums = np.add.reduceat(table["f"].to_numpy(), firsts)
-            table = pa.table([lang.take(pa.array(firsts)), phrase.take(pa.array(firsts)), pa.array(sums)], schema=RUN)
+            firsts = pa.array(firsts)
+            table = pa.table([lang.take(firsts), phrase.take(firsts), table["k"].combine_chunks().take(firsts), pa.array(sums)], schema=RUN)
             last = table[-1:]
             yield from _kept(table[:-1], least)
         if last is not None:
@@ -196,32 +221,87 @@ def _kept(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
     yield from table.filter(pc.or_(pc.is_null(table["phrase"]), pc.greater_equal(table["f"], least))).to_batches()
 
 
-def count_phrases(docs: DataFrame, order: int, least: int, folder: str | None, *, entries: int = TRIE_ENTRIES, words: int = TRIE_WORDS) -> DataFrame:
-    """(lang, phrase, f) of the phrases of ``order`` words that occur ``least`` times; for order 1 also each language's total."""
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Worded]:
+    for batch in (s for b in batches for s in slices(b, 1, SLICE_BYTES)):
+        yield Worded(texts_of(batch.column(1)), batch.column(0))
+
+
+def counted(docs: DataFrame, least: int, maps: tuple[str, str] | None, entries: int, words: int) -> DataFrame:
+    """(lang, phrase, k, f): words with ``least`` occurrences and each language's total, or with ``maps`` phrases of two and three words."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PhraseCounter(order, None if folder is None else _loaded(folder), entries, words)
-        for batch in (s for b in batches for s in slices(b, 1)):
-            yield from counter.read(texts_of(batch.column(1)), batch.column(0))
+        counter = PhraseCounter(entries, words)
+        bits = [_loaded(folder) for folder in maps or ()]
+        for text in _read(batches):
+            yield from counter.count_phrases(text, *bits) if bits else counter.count_words(text)
         yield from counter.finish()
 
-    runs = docs.mapInArrow(work, "lang string, phrase string, f long")
+    runs = docs.mapInArrow(work, RUN_DDL)
     # a prefix partition is a first word; its continuations are dealt into sixteen, for very common words
     runs = runs.repartition("lang", F.substring_index("phrase", " ", 1), F.pmod(F.xxhash64("phrase"), F.lit(16)))
-    return staged(runs.sortWithinPartitions("lang", "phrase").mapInArrow(merged(least), "lang string, phrase string, f long"), f"phrases-{order}")
-
+    return staged(runs.sortWithinPartitions("lang", "phrase").mapInArrow(merged(least), RUN_DDL), "phrases")
 
-def bitmap(phrases: DataFrame) -> str:
-    """The folder of a bitmap of (lang, phrase) rows: blocks of fixed size, each written by the task that holds it."""
-    folder = scratch_path(phrases.sparkSession, "frequent")
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def frequent_words(single: DataFrame) -> str:
+    """The folder of the bitmap of (lang, word) rows."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
             names = np.array([_hash(n.encode()) for n in langs.dictionary.to_pylist()], np.uint64)
-            parts = [p.encode().split(b" ") for p in batch.column(1).to_pylist()]
-            hashes = [np.array([_hash(p[k]) for p in parts], np.uint64) for k in range(len(parts[0]) if parts else 0)]
-            at = mixed(names[langs.indices.to_numpy(zero_copy_only=False)], hashes) if parts else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(BLOCK_BITS)).astype(np.int32)), pa.array(at.astype(np.int64))], names=["block", "place"])
+            words = np.array([_hash(w.encode()) for w in batch.column(1).to_pylist()], np.uint64)
+            yield _places(mixed(names[langs.indices.to_numpy(zero_copy_only=False)], [words]))
+
+    return _bitmap(single.select("lang", "phrase").mapInArrow(work, "block int, place long"))
+
+
+def frequent_pairs(docs: DataFrame, words: str, least: int, n_words: int) -> str:
+    """The folder of the bitmap of pairs whose hash occurs ``least`` times: counted in ranges of the hash."""
+    range_bits = max(6, min(30, (n_words // BLOCK_WORDS).bit_length()))
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = _loaded(words)
+        for text in _read(batches):
+            codes, counts = np.unique(text.pairs(bits)[1] >> np.uint64(16), return_counts=True)
+            # more than ``least`` in one slice are as good as ``least``: very common pairs stay few
+            codes = np.repeat(codes, np.minimum(counts, least))
+            part = (codes >> np.uint64(48 - range_bits)).astype(np.int32)
+            cuts = np.flatnonzero(np.diff(part, prepend=-1))
+            low, high = codes.astype("<u4"), (codes >> np.uint64(32)).astype("<u2")
+            ends = [*cuts[1:].tolist(), len(codes)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[cuts]), pa.array([low[s:e].tobytes() + high[s:e].tobytes() for s, e in zip(cuts.tolist(), ends)], pa.binary())], names=["part", "codes"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for batch in batches:
+            for own, codes in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if own != part and held:
+                    yield _places(_often(held, least))
+                    held = []
+                part = own
+                held.append(codes.as_buffer())
+        if held:
+            yield _places(_often(held, least))
+
+    runs = docs.mapInArrow(collect, "part int, codes binary").repartition("part").sortWithinPartitions("part")
+    return _bitmap(runs.mapInArrow(count, "block int, place long"))
+
+
+def _often(held: list[pa.Buffer], least: int) -> np.ndarray:
+    """Hashes (their upper 48 bits) that occur ``least`` times in buffers of 4 + 2 bytes."""
+    codes = np.concatenate([
+        np.frombuffer(b, "<u4", b.size // 6).astype(np.uint64) | np.frombuffer(b, "<u2", b.size // 6, b.size // 6 * 4).astype(np.uint64) << np.uint64(32) for b in held])
+    codes.sort()
+    return np.unique(codes[least - 1:][codes[least - 1:] == codes[:len(codes) - least + 1]]) << np.uint64(16)
+
+
+def _places(hashes: np.ndarray) -> pa.RecordBatch:
+    at = np.unique(hashes >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array((at >> BLOCK_BITS).astype(np.int32)), pa.array(at)], names=["block", "place"])
+
+
+def _bitmap(places: DataFrame) -> str:
+    """Bits at the places, in blocks of fixed size, each written by the task that holds it."""
+    folder = scratch_path(places.sparkSession, "frequent")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[int, np.ndarray] = {}
@@ -235,8 +315,7 @@ def bitmap(phrases: DataFrame) -> str:
             shared_files.put(folder, f"block-{b}", bits.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array([len(own)], pa.int64())], names=["n"])
 
-    at = phrases.where("phrase IS NOT NULL").select("lang", "phrase").mapInArrow(places, "block int, place long")
-    at.dropDuplicates(["block", "place"]).repartition("block").mapInArrow(blocks, "n long").agg(F.sum("n")).collect()
+    places.dropDuplicates(["block", "place"]).repartition("block").mapInArrow(blocks, "n long").agg(F.sum("n")).collect()
     return folder
 
 
@@ -263,12 +342,13 @@ def collocations(
     of any length are read in parts, but one piece without an end is held whole.
     """
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    limits = {"entries": entries, "words": words}
-    one = count_phrases(docs, 1, least, None, **limits)
+    one = counted(docs, least, None, entries, words)
     totals = one.where("phrase IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
     single = one.where("phrase IS NOT NULL")
-    two = count_phrases(docs, 2, least, bitmap(single), **limits)
-    three = count_phrases(docs, 3, least, bitmap(two), **limits)
+    frequent = frequent_words(single)
+    pairs = frequent_pairs(docs, frequent, least, totals.agg(F.sum("n")).first()[0] or 0)
+    longer = counted(docs, least, (frequent, pairs), entries, words)
+    two, three = longer.where("k = 2"), longer.where("k = 3")
 
     def part(frame: DataFrame, key: str, count: str) -> DataFrame:
         return frame.select("lang", F.col("phrase").alias(key), F.col("f").alias(count))

@@ -23,9 +23,10 @@ def packed(ids: list[np.ndarray]) -> np.ndarray:
     return key
 
 
-def unpacked(keys: np.ndarray, order: int) -> list[np.ndarray]:
+def unpacked(keys: np.ndarray) -> list[np.ndarray]:
+    """The three ids of each key; -1 where there is none."""
     mask = (1 << ID_BITS) - 1
-    return [((keys >> (ID_BITS * (2 - place))) & mask) - 1 for place in range(order)]
+    return [((keys >> (ID_BITS * (2 - place))) & mask) - 1 for place in range(3)]
 
 
 class HatTrie:
