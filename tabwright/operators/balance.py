@@ -74,8 +74,20 @@ class SMOTEBalancer:
     def __init__(self, sampling_strategy: Strategy = "auto", k_neighbors: int = 5, random_state: int = 42):
         self.sampling_strategy, self.k_neighbors, self.random_state = sampling_strategy, k_neighbors, random_state
 
-    def fit_resample(self, df: DataFrame, feature_cols: Sequence[str], label_col: str, id_col: str, **options) -> DataFrame:
-        """Original rows (``copy_no`` 0) and synthetic ones, as features, label, source id and copy number."""
+    @staticmethod
+    def neighbours(df: DataFrame, feature_cols: Sequence[str], label_col: str, id_col: str, k: int, **options) -> DataFrame:
+        """The ``k`` nearest rows of the same class for every row outside the largest class, for several calls of ``fit_resample``."""
+        rows = cut_lineage(df.select(
+            F.col(id_col), F.col(label_col), F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_vec")
+        ).where(F.col(label_col) != class_counts(df, label_col)[0][0]))
+        return k_nearest(rows, rows, k, id_col=id_col, vector_col="_vec", within=label_col, exclude_self=True, payload="_vec", **options)
+
+    def fit_resample(self, df: DataFrame, feature_cols: Sequence[str], label_col: str, id_col: str, near: DataFrame | None = None,
+                     **options) -> DataFrame:
+        """Original rows (``copy_no`` 0) and synthetic ones, as features, label, source id and copy number.
+
+        ``near`` holds neighbours found before, of all rows of the classes that grow; the first ``k_neighbors`` are used.
+        """
         counts = class_counts(df, label_col)
         add = synthetic_counts(counts, self.sampling_strategy)
         short = [c for c, n in counts if add[c] > 0 and n <= self.k_neighbors]
@@ -107,10 +119,13 @@ class SMOTEBalancer:
         extra = F.coalesce(cut_key([id_col], self.random_state) <= F.col("cut"), F.lit(False)).cast("bigint")
         bases = rows.join(share, label_col).withColumn("_copies", F.col("each") + extra).where(F.col("_copies") > 0)
         bases = bases.select(id_col, label_col, "_vec", "_copies")
-        near = k_nearest(
-            bases, rows.select(id_col, label_col, "_vec"), self.k_neighbors, id_col=id_col, vector_col="_vec",
-            within=label_col, exclude_self=True, payload="_vec", **options,
-        )
+        if near is None:
+            near = k_nearest(
+                bases, rows.select(id_col, label_col, "_vec"), self.k_neighbors, id_col=id_col, vector_col="_vec",
+                within=label_col, exclude_self=True, payload="_vec", **options,
+            )
+        else:
+            near = near.withColumn("neighbours", F.slice("neighbours", 1, self.k_neighbors))
         copies = bases.join(near, id_col).withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
         draw = F.md5(F.concat(
             F.lit(f"{self.random_state}:"), F.col(id_col).cast("string"), F.lit(":"), F.col("copy_no").cast("string")

@@ -74,6 +74,19 @@ def macro_f1(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ())
     return per_class_metrics(df, label, prediction, by).groupBy(*by).agg(F.avg("f1").alias("macro_f1"))
 
 
+def averaged_score(df: DataFrame, label: str, prediction: str, measure: str, weighted: bool = False) -> DataFrame:
+    """``precision``, ``recall`` or ``f1`` of the classes as one number: their mean, or their mean weighted by support."""
+    rows = per_class_metrics(df, label, prediction)
+    if weighted:
+        return rows.agg((F.sum(F.col(measure) * F.col("support")) / F.sum("support").cast("double")).alias("score"))
+    return rows.agg(F.avg(measure).alias("score"))
+
+
+def balanced_accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Mean recall of the classes that occur as labels."""
+    return per_class_metrics(df, label, prediction).where("support > 0").agg(F.avg("recall").alias("score"))
+
+
 def score_table(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy and macro F1 as (by..., metric, value) rows."""
     acc = accuracy(df, label, prediction, by).select(*by, F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -11,11 +10,10 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tabwright.functions.hashing import order_hash
-from tabwright.functions.state import cut_lineage, local_frame, settle
+from tabwright.functions.state import local_frame, settle
 from tabwright.operators.encode import FeatureEncoder
 from tabwright.operators.outliers import OutlierHandler
-from tabwright.operators.ranking import exact_quantiles, with_position
+from tabwright.operators.ranking import exact_quantiles
 
 DEFAULT_TOP = 15
 
@@ -93,30 +91,35 @@ def top_features(importance: DataFrame, fallback: int = DEFAULT_TOP) -> DataFram
 
 
 def permutation_importance(df: DataFrame, predict: Callable[[DataFrame], DataFrame], features: Sequence[str], label_col: str,
-                           *, id_col: str, n_repeats: int = 10, seed: int = 42, prediction_col: str = "prediction") -> DataFrame:
+                           *, id_col: str, n_repeats: int = 10, seed: int = 42, prediction_col: str = "prediction",
+                           rows_per_bucket: int = 1000) -> DataFrame:
     """Mean loss of accuracy when one column is shuffled.
 
-    Rows are placed in hash order once; a repeat pairs each row with the one a fixed distance further
-    on, which is a random pairing. One join serves all repeats and columns, and ``predict`` sees
+    Rows are dealt into random buckets of about ``rows_per_bucket`` by a hash of the id and lie there in hash order; a repeat
+    pairs each row with the one a random distance further on in its bucket, which is a random pairing of a random part of
+    the table. So rows are shuffled once, whatever the number of repeats and columns, and ``predict`` sees
     all variants in one pass.
     """
     names = list(features)
     base = df.select(id_col, label_col, *names)
     hits = F.avg((F.col(prediction_col) == F.col(label_col)).cast("double"))
-    start = predict(base).agg(hits.alias("a")).first()["a"]
-    placed = cut_lineage(with_position(base.withColumn("_h", order_hash(id_col, seed)), "_h", [id_col], "_place"))
-    n = placed.count()
-    draw = random.Random(seed)
-    shifts = [draw.randrange(1, n) if n > 1 else 0 for _ in range(n_repeats)]
-    partners = F.array(*[
-        F.struct(F.lit(t).alias("repeat"), F.pmod(F.col("_place") + F.lit(s), F.lit(n)).alias("_partner"))
-        for t, s in enumerate(shifts)
-    ])
-    given = placed.select(F.col("_place").alias("_partner"), F.array(*[F.col(c).cast("double") for c in names]).alias("_given"))
-    paired = placed.select(label_col, *names, F.inline(partners)).join(given, "_partner")
+    first = predict(base).agg(hits.alias("a"), F.count(F.lit(1)).alias("n")).first()
+    start, buckets = first["a"], max(1, (first["n"] or 0) // rows_per_bucket)
+    key = F.xxhash64(F.col(id_col), F.lit(seed))
+    row = F.struct(key.alias("h"), F.col(id_col).alias("id"), F.col(label_col).alias("label"),
+                   F.array(*[F.col(c).cast("double") for c in names]).alias("x"))
+    held = base.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    held = held.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
+    # at least one row on, at most one row back
+    size = F.size("_rows")
+    far = F.when(size > 1, F.pmod(F.xxhash64("_bucket", "repeat", F.lit(seed)), (size - 1).cast("long")) + 1).otherwise(F.lit(0))
+    turned = F.concat(F.slice("_rows", F.col("_far") + 1, F.size("_rows")), F.slice("_rows", F.lit(1), F.col("_far")))
+    pairs = F.arrays_zip(F.col("_rows").alias("row"), F.transform(turned, lambda r: r["x"]).alias("given"))
+    held = held.withColumn("_far", far.cast("int")).select("repeat", pairs.alias("_pairs"))
+    paired = held.select("repeat", F.inline("_pairs").alias("_row", "_given"))
     variants = paired.withColumn("_column", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1)))).select(
-        label_col, "repeat", "_column",
-        *[F.when(F.col("_column") == i, F.col("_given")[i]).otherwise(F.col(c).cast("double")).alias(c) for i, c in enumerate(names)],
+        F.col("_row.label").alias(label_col), "repeat", "_column",
+        *[F.when(F.col("_column") == i, F.col("_given")[i]).otherwise(F.col("_row.x")[i]).alias(c) for i, c in enumerate(names)],
     )
     scored = predict(variants).groupBy("_column", "repeat").agg(hits.alias("a"))
     lost = scored.groupBy("_column").agg(

@@ -77,25 +77,70 @@ class TabularClassifier(Estimator):
         return {k[len(head):]: v for k, v in self.chosen.items() if k.startswith(head)}
 
     def _fit(self, dataset: DataFrame) -> "TabularClassifierModel":
-        table = dataset.drop(*self.ignore)
-        outliers = OutlierHandler(**{"exclude": (self.label_col, self.id_col), **self._of("outlier_handler")}).fit(table)
-        table = outliers.transform(table)
-        encoder = FeatureEncoder(self.encoding_map, self.encoding_params, order_col=self.id_col)
-        encoded = encoder.set_params(**self._of("encoder")).fit(table)
-        table = encoded.transform(table)
-        features = [c for c in get_numerical_features(table) if c not in (self.label_col, self.id_col)]
-        classes = [c for c, _ in class_counts(table, self.label_col) if c is not None]
-        if self.oversample:
-            smote = SMOTEBalancer(**{"random_state": self.seed, **self._of("smote")})
-            table = smote.fit_resample(table, features, self.label_col, self.id_col)
-        index = F.create_map(*chain.from_iterable((F.lit(c), F.lit(float(i))) for i, c in enumerate(classes)))
-        train = assembled(
-            table.select(*features, F.try_element_at(index, F.col(self.label_col)).alias(INDEX_COL)), features
-        ).select("features", INDEX_COL)
-        # the trainer reads its input many times
-        train = cut_lineage(train)
+        done: dict[tuple, object] = {}
+
+        def node(key: tuple, make: Callable):
+            if key not in done:
+                done[key] = make(lambda frame: frame)
+            return done[key]
+
+        return self.fit_sharing(dataset, node)
+
+    def fit_sharing(self, dataset: DataFrame, node: Callable, most_neighbours: int | None = None) -> "TabularClassifierModel":
+        """Fit with every step taken from ``node(key, make)``.
+
+        The key names the step and all settings it rests on, so fits on the same rows can share the steps they have in common;
+        ``make(store)`` computes one and hands the frames that others will read to ``store``. With ``most_neighbours``
+        the neighbours for oversampling are found once, for all numbers of neighbours up to that one.
+        """
+        clip, encode, balance = (_frozen(self._of(c)) for c in ("outlier_handler", "encoder", "smote"))
+
+        def clipped(store):
+            table = dataset.drop(*self.ignore)
+            outliers = OutlierHandler(**{"exclude": (self.label_col, self.id_col), **self._of("outlier_handler")}).fit(table)
+            return outliers, store(outliers.transform(table))
+
+        def encoded(store):
+            table = node(("clip", clip), clipped)[1]
+            encoder = FeatureEncoder(self.encoding_map, self.encoding_params, order_col=self.id_col)
+            model = encoder.set_params(**self._of("encoder")).fit(table)
+            table = store(model.transform(table))
+            features = [c for c in get_numerical_features(table) if c not in (self.label_col, self.id_col)]
+            return model, table, features, [c for c, _ in class_counts(table, self.label_col) if c is not None]
+
+        def neighbours(store):
+            _, table, features, _ = node(("encode", clip, encode), encoded)
+            return store(SMOTEBalancer.neighbours(table, features, self.label_col, self.id_col, most_neighbours))
+
+        def balanced(store):
+            _, table, features, classes = node(("encode", clip, encode), encoded)
+            if self.oversample:
+                near = node(("neighbours", clip, encode), neighbours) if most_neighbours else None
+                smote = SMOTEBalancer(**{"random_state": self.seed, **self._of("smote")})
+                table = smote.fit_resample(table, features, self.label_col, self.id_col, near)
+            index = F.create_map(*chain.from_iterable((F.lit(c), F.lit(float(i))) for i, c in enumerate(classes)))
+            train = assembled(
+                table.select(*features, F.try_element_at(index, F.col(self.label_col)).alias(INDEX_COL)), features
+            ).select("features", INDEX_COL)
+            # the trainer reads its input many times
+            return cut_lineage(train)
+
+        train = node(("balance", clip, encode, balance), balanced)
         fitted = MODELS[self.model](**{"random_state": self.seed, **self._of("classifier")}).fit(train)
-        return TabularClassifierModel(outliers, encoded, features, classes, fitted, self.ignore)
+        outliers, _ = node(("clip", clip), clipped)
+        encoder, _, features, classes = node(("encode", clip, encode), encoded)
+        return TabularClassifierModel(outliers, encoder, features, classes, fitted, self.ignore)
+
+    def most_neighbours(self) -> int:
+        return SMOTEBalancer(**self._of("smote")).k_neighbors
+
+    def prepared_key(self) -> tuple:
+        """What clipping and encoding rest on: models with the same key prepare rows in the same way."""
+        return _frozen(self._of("outlier_handler")), _frozen(self._of("encoder"))
+
+
+def _frozen(params: Mapping) -> tuple:
+    return tuple(sorted((k, repr(v)) for k, v in params.items()))
 
 
 class TabularClassifierModel(Model):

@@ -3,20 +3,49 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from collections import Counter
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass, field
+from functools import partial
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from tabwright.functions.state import cut_lineage
 from tabwright.operators.encode import encoding_spec
-from tabwright.operators.evaluate import accuracy, classification_report, confusion_counts, macro_f1
+from tabwright.operators.evaluate import accuracy, averaged_score, balanced_accuracy, classification_report, confusion_counts, macro_f1
 from tabwright.operators.split import TEST, TRAIN, VALIDATION, group_split, stratified_folds, stratified_split
 from tabwright.plans.classifier import TabularClassifier, TabularClassifierModel
 
-SCORES = {"accuracy": accuracy, "f1_macro": macro_f1}
+SCORES = {
+    "accuracy": accuracy, "balanced_accuracy": balanced_accuracy, "f1_macro": macro_f1,
+    "f1_weighted": partial(averaged_score, measure="f1", weighted=True),
+    "precision_macro": partial(averaged_score, measure="precision"), "precision_weighted": partial(averaged_score, measure="precision", weighted=True),
+    "recall_macro": partial(averaged_score, measure="recall"), "recall_weighted": partial(averaged_score, measure="recall", weighted=True),
+}
+
+
+class SharedSteps:
+    """Steps of fits on the same rows, each computed once and stored, also when several threads ask for it."""
+
+    def __init__(self):
+        self.steps: dict[tuple, Future] = {}
+        self.lock = Lock()
+
+    def __call__(self, key: tuple, make: Callable):
+        with self.lock:
+            mine = key not in self.steps
+            if mine:
+                self.steps[key] = Future()
+            step = self.steps[key]
+        if mine:
+            try:
+                step.set_result(make(cut_lineage))
+            except BaseException as failure:  # whoever waits for the step gets the error
+                step.set_exception(failure)
+        return step.result()
 
 
 def parameter_space(settings: Mapping, encoding_map: Mapping, model: str = "boosted_trees") -> dict[str, list]:
@@ -54,40 +83,53 @@ def sample_candidates(space: Mapping[str, Sequence], n_iter: int, seed: int = 42
 
 @dataclass
 class SearchResult:
-    """``table`` has one row per candidate; ``model`` is the best one refitted on all training rows."""
+    """``table`` has one row per candidate; ``model`` is the best one refitted on all training rows; ``steps`` counts the
+    steps of preparation that were computed, all folds together."""
 
     table: DataFrame
     best_params: dict
     best_score: float
     model: TabularClassifierModel
+    steps: Counter = field(default_factory=Counter)
 
 
 def tune_hyperparameters(train: DataFrame, estimator: TabularClassifier, space: Mapping[str, Sequence], n_iter: int = 20,
                          cv: int = 5, scoring: str = "accuracy", parallelism: int = 4, seed: int = 42) -> SearchResult:
-    """Mean score over stratified folds for each sampled candidate. Oversampling sees training folds only."""
+    """Mean score over stratified folds for each sampled candidate. Oversampling sees training folds only.
+
+    Candidates share what they have in common: in each fold, rows are clipped once per outlier setting, encoded once per
+    encoding on top of that, searched for neighbours once per encoding, and oversampled once per oversampling setting; the trees
+    alone are grown for every candidate. Steps are stored, and given up when the fold is done.
+    """
     if scoring not in SCORES:
         raise ValueError(f"unknown scoring '{scoring}'")
     label = estimator.label_col
     folded = cut_lineage(stratified_folds(train, label, estimator.id_col, cv, seed, output="_fold"))
     candidates = sample_candidates(space, n_iter, seed)
+    estimators = [estimator.with_params(c) for c in candidates]
+    most = max([e.most_neighbours() for e in estimators], default=0) if estimator.oversample else 0
+    scored, counted = [], Counter()
 
-    def score(model: TabularClassifierModel, rows: DataFrame) -> float:
-        return SCORES[scoring](model.transform(rows), label, "prediction").first()[0]
-
-    def run(job: tuple[int, int]) -> tuple[int, int, float, float]:
-        number, fold = job
+    for fold in range(cv):
+        steps = SharedSteps()
         inside = folded.where(F.col("_fold") != fold).drop("_fold")
         outside = folded.where(F.col("_fold") == fold).drop("_fold")
-        model = estimator.with_params(candidates[number]).fit(inside)
-        return number, fold, score(model, outside), score(model, inside)
 
-    jobs = [(c, f) for c in range(len(candidates)) for f in range(cv)]
-    with ThreadPoolExecutor(parallelism) as pool:
-        scored = list(pool.map(inheritable_thread_target(train.sparkSession)(run), jobs))
+        def score(number: int, model: TabularClassifierModel, name: str, rows: DataFrame) -> float:
+            ready = steps((name, *estimators[number].prepared_key()), lambda store: store(model.prepare(rows)))
+            return SCORES[scoring](model.predict_prepared(ready), label, "prediction").first()[0]
+
+        def run(number: int) -> tuple[int, float, float]:
+            model = estimators[number].fit_sharing(inside, steps, most or None)
+            return number, score(number, model, "outside", outside), score(number, model, "inside", inside)
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            scored += pool.map(inheritable_thread_target(train.sparkSession)(run), range(len(candidates)))
+        counted.update(key[0] for key in steps.steps)
     rows = []
     for number, candidate in enumerate(candidates):
-        outer = [s[2] for s in scored if s[0] == number]
-        inner = [s[3] for s in scored if s[0] == number]
+        outer = [s[1] for s in scored if s[0] == number]
+        inner = [s[2] for s in scored if s[0] == number]
         mean = sum(outer) / cv
         spread = (sum((o - mean) ** 2 for o in outer) / cv) ** 0.5
         rows.append((number, {k: str(v) for k, v in candidate.items()}, mean, spread, sum(inner) / cv))
@@ -96,7 +138,7 @@ def tune_hyperparameters(train: DataFrame, estimator: TabularClassifier, space:
         rows, "candidate int, params map<string,string>, mean_test_score double, std_test_score double, mean_train_score double"
     ).orderBy(F.desc("mean_test_score"), "candidate")
     model = estimator.with_params(candidates[best[0]]).fit(train)
-    return SearchResult(table, candidates[best[0]], best[2], model)
+    return SearchResult(table, candidates[best[0]], best[2], model, counted)
 
 
 def evaluate_model(model: TabularClassifierModel | None, split: DataFrame, label_col: str,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabwright.catalog.modelling import SETTINGS
 from tabwright.operators import correlate, distribution, evaluate, importance, profile
+from tabwright.operators.split import stratified_folds
 from tabwright.plans import analysis, bias, search
 from tabwright.plans.classifier import TabularClassifier
 from tabwright.plans.curation import CurationSpec, curate
@@ -77,6 +78,68 @@ def test_constant_column_has_no_skew(spark):
     assert (row["skew"], row["kurtosis"]) == (0.0, 0.0)
 
 
+def test_candidates_share_their_preparation(spark):
+    """Every step of a fold is computed once per setting it rests on, and gives what a fit of its own gives."""
+    draw = np.random.default_rng(4)
+    n = 240
+    table = pd.DataFrame({"id": np.arange(n), "a": draw.normal(0, 1, n), "b": draw.normal(0, 1, n), "c": draw.choice(["u", "v", "w"], n)})
+    table["y"] = (table.a + 0.3 * draw.normal(0, 1, n) > 0.8).astype(int)
+    df = spark.createDataFrame(table)
+    estimator = TabularClassifier("y", "id", {"c": "frequency"}, model="random_forest")
+    space = {"outlier_handler__strategy": ["none", "clip"], "smote__k_neighbors": [2, 4], "classifier__n_estimators": [3, 5], "classifier__max_depth": [3]}
+    found = search.tune_hyperparameters(df, estimator, space, n_iter=8, cv=2, scoring="f1_weighted")
+    assert found.steps == {"clip": 4, "encode": 4, "neighbours": 4, "balance": 8, "outside": 4, "inside": 4}
+    rows = found.table.collect()
+    assert len(rows) == 8 and [r["mean_test_score"] for r in rows] == sorted((r["mean_test_score"] for r in rows), reverse=True)
+    alone = estimator.with_params(found.best_params).fit(df).transform(df).orderBy("id").select("prediction").collect()
+    assert alone == found.model.transform(df).orderBy("id").select("prediction").collect()
+    folds = stratified_folds(df, "y", "id", 2, 42, output="_fold")
+    for row in rows[:2]:
+        params = {k: type(space[k][0])(v) for k, v in row["params"].items()}
+        scores = []
+        for fold in range(2):
+            model = estimator.with_params(params).fit(folds.where(F.col("_fold") != fold).drop("_fold"))
+            scores.append(evaluate.averaged_score(model.transform(folds.where(F.col("_fold") == fold)), "y", "prediction", "f1", True).first()[0])
+        # trees drawn from rows in another order may differ a little
+        assert np.mean(scores) == pytest.approx(row["mean_test_score"], abs=0.05)
+
+
+def test_scores_equal_their_definitions(spark):
+    draw = np.random.default_rng(6)
+    y, p = draw.integers(0, 3, 300), draw.integers(0, 4, 300)
+    df = spark.createDataFrame(pd.DataFrame({"y": y, "p": p}))
+    classes = range(4)
+    hit = np.array([((y == c) & (p == c)).sum() for c in classes])
+    real, said = np.array([(y == c).sum() for c in classes]), np.array([(p == c).sum() for c in classes])
+    recall, precision = hit / np.maximum(real, 1), hit / np.maximum(said, 1)
+    f1 = np.where(recall + precision > 0, 2 * recall * precision / np.maximum(recall + precision, 1e-12), 0)
+    want = {"accuracy": hit.sum() / 300, "balanced_accuracy": recall[:3].mean(), "f1_macro": f1.mean(), "f1_weighted": (f1 * real).sum() / 300,
+            "precision_macro": precision.mean(), "precision_weighted": (precision * real).sum() / 300, "recall_macro": recall.mean(),
+            "recall_weighted": (recall * real).sum() / 300}
+    assert set(want) == set(search.SCORES)
+    for name, value in want.items():
+        assert search.SCORES[name](df, "y", "p").first()[0] == pytest.approx(value)
+
+
+def test_permuted_columns_keep_their_values(spark):
+    """In a repeat every value of the column is given away once, and hardly any row keeps its own."""
+    n = 900
+    df = spark.createDataFrame([(k, float(k), float(-k), k % 2) for k in range(n)], "id long, a double, b double, y int")
+    seen = {}
+
+    def predict(rows):
+        if "_column" in rows.columns:
+            seen["rows"] = rows
+        return rows.withColumn("prediction", F.col("y"))
+
+    importance.permutation_importance(df, predict, ["a", "b"], "y", id_col="id", n_repeats=3, rows_per_bucket=100).collect()
+    table = seen["rows"].toPandas()
+    assert len(table) == n * 2 * 3
+    for (repeat, column), own in table.groupby(["repeat", "_column"]):
+        assert sorted(own["a"]) == list(range(n)) and sorted(own["b"]) == sorted(-k for k in range(n))
+        assert (own["a"] == -own["b"]).mean() < 0.05
+
+
 def test_two_modes_are_found(spark):
     draw = np.random.default_rng(0)
     values = np.concatenate([draw.normal(0, 1, 500), draw.normal(12, 1, 500)])
