@@ -24,6 +24,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 SHORTEST, LONGEST = 3, 8
 # Bounds of the fit: labelled rows it looks at, voters it keeps, and the evidence (G squared) a found voter needs.
 SAMPLE_ROWS, MOST_VOTERS, LEAST_EVIDENCE = 20_000, 1024, 25.0
+# Evidence (G squared within the classes) that two voters depend on each other.
+LEAST_DEPENDENCE = 20.0
 HELD = 1_000_000
 THRESHOLD = 0.3
 
@@ -113,32 +115,124 @@ def find_voters(sample: DataFrame) -> Voters:
 
 # ---- label model --------------------------------------------------------------------------------------------------
 
-def label_model(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray, rounds: int = 20) -> np.ndarray:
-    """Posterior probability of 'toxic' for each row of votes (rows x voters, 0 or 1), given the row's own noisy label.
+@dataclass
+class LabelModel:
+    """A generative model of votes: a hidden class, and for every voter its rate in each class, given the voter it hangs on.
+
+    ``rates[c, v, j]`` is the chance that voter j fires in class c when its parent does not (v = 0) or does (v = 1) fire;
+    voters without a parent (-1) have the same rate twice.
+    """
 
-    Expectation maximisation of a model in which a voter that fires, no voter firing, and the label each have a rate
-    for toxic and for clean rows. Voters are correlated: their correlations within the toxic rows are estimated in each
-    round, and a voter's weight is shared with those it moves with, so a stem that fires six voters counts about once.
+    prior: float
+    parents: np.ndarray
+    rates: np.ndarray
+
+    def log_odds(self, votes: np.ndarray) -> np.ndarray:
+        """Of class 1 against class 0 for each row of votes."""
+        on, off = np.log(self.rates[1] / self.rates[0]), np.log((1 - self.rates[1]) / (1 - self.rates[0]))
+        child = np.flatnonzero(self.parents >= 0)
+        own = on[0] - off[0]
+        above = np.zeros(len(own))
+        np.add.at(above, self.parents[child], (off[1] - off[0])[child])
+        both = (on[1] - off[1] - on[0] + off[0])[child]
+        out = np.empty(len(votes))
+        for part in range(0, len(votes), 2000):
+            x = votes[part:part + 2000]
+            out[part:part + 2000] = x @ (own + above) + (x[:, child] * x[:, self.parents[child]]) @ both
+        return out + off[0].sum() + np.log(self.prior / (1 - self.prior))
+
+
+def dependencies(votes: np.ndarray, shares: list[np.ndarray]) -> np.ndarray:
+    """For each voter the one it hangs on (-1: none): a forest of the strongest correlations within the classes.
+
+    ``shares`` are the rows' weights in each class. Two voters are joined by their mutual information given the class,
+    strongest first, as long as its evidence (twice the rows times the information) passes ``LEAST_DEPENDENCE``.
+    """
+    voters = votes.shape[1]
+    evidence = np.zeros((voters, voters))
+    for share in shares:
+        n = share.sum() + 1.0
+        both = votes.T @ (votes * share[:, None])
+        one = np.diag(both)
+        for i_fires in (1, 0):
+            for j_fires in (1, 0):
+                a, b = (one if i_fires else n - one)[:, None], (one if j_fires else n - one)[None, :]
+                joint = both if i_fires and j_fires else one[:, None] - both if i_fires else one[None, :] - both if j_fires else n - one[:, None] - one[None, :] + both
+                joint = np.maximum(joint, 1e-9)
+                evidence += 2 * joint * np.log(np.maximum(joint * n / np.maximum(a * b, 1e-9), 1e-12))
+    i, j = np.triu_indices(voters, 1)
+    strong = np.flatnonzero(evidence[i, j] >= LEAST_DEPENDENCE)
+    strong = strong[np.argsort(-evidence[i[strong], j[strong]], kind="stable")]
+    tree, near = list(range(voters)), [[] for _ in range(voters)]
+
+    def root(k: int) -> int:
+        while tree[k] != k:
+            tree[k] = tree[tree[k]]
+            k = tree[k]
+        return k
+
+    for x, y in zip(i[strong].tolist(), j[strong].tolist()):
+        if root(x) != root(y):
+            tree[root(x)] = root(y)
+            near[x].append(y)
+            near[y].append(x)
+    parents, seen = np.full(voters, -1), set()
+    for start in range(voters):
+        line = [start] if start not in seen else []
+        seen.update(line)
+        for k in line:
+            for other in near[k]:
+                if other not in seen:
+                    seen.add(other)
+                    parents[other] = k
+                    line.append(other)
+    return parents
+
+
+def label_model(votes: np.ndarray, weights: np.ndarray, start: np.ndarray, known: np.ndarray | None = None, rounds: int = 4,
+                trees: int = 2) -> tuple[np.ndarray, LabelModel]:
+    """Posterior of class 1 for each row of votes (rows x voters, 0 or 1), and the model.
+
+    Expectation maximisation from ``start``. In each of ``trees`` turns the voters' dependencies are estimated anew from the posterior,
+    then rates and posterior are improved ``rounds`` times. Rows marked ``known`` count in the rates with their ``start`` (the
+    label) instead of their posterior; they keep the classes in their places. The posterior itself, of every row, comes from votes alone.
     """
-    q = np.where(labels == 1, 0.95, 0.02)
-    silent = votes.sum(axis=1) == 0
-    for _ in range(rounds):
-        t, c = weights * q, weights * (1 - q)
-        toxic, clean = t.sum() + 1.0, c.sum() + 1.0
-        alpha, beta = (votes.T @ t + 0.02) / toxic, (votes.T @ c + 0.01) / clean
-        centred = (votes - alpha) * np.sqrt(t / toxic)[:, None]
-        cov = centred.T @ centred
-        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        rho = cov / np.outer(sd, sd)
-        shared = np.where(rho > 0.1, rho, 0.0).sum(axis=1)
-        gain = np.log(alpha / beta) / np.maximum(1.0, shared)
-        quiet = np.log(((t[silent].sum() + 0.1) / toxic) / ((c[silent].sum() + 0.1) / clean))
-        said1 = np.clip((t[labels == 1].sum() + 1) / (toxic + 1), 0.5, 0.99)
-        said0 = np.clip((c[labels == 1].sum() + 0.1) / (clean + 1), 0.001, 0.5)
-        logit = np.log(toxic / clean) + votes @ gain + np.where(silent, quiet, 0.0)
-        logit += np.where(labels == 1, np.log(said1 / said0), np.log((1 - said1) / (1 - said0)))
-        q = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-    return q
+    known = np.zeros(len(votes), bool) if known is None else known
+    q = start
+    if known.any() and not known.all():  # what the known rows say of the others, before the others have a say
+        _, first = label_model(votes[known], weights[known], start[known], np.ones(known.sum(), bool), 1, 1)
+        q = 1 / (1 + np.exp(-np.clip(first.log_odds(votes), -30, 30)))
+    voters = np.arange(votes.shape[1])
+    for _ in range(trees):
+        held_to = np.where(known, start, q)
+        parents = dependencies(votes, [weights * (1 - held_to), weights * held_to])
+        held = parents >= 0
+        above = votes[:, np.where(held, parents, 0)] * held
+        for _ in range(rounds):
+            rates = np.empty((2, 2, len(voters)))
+            held_to = np.where(known, start, q)
+            for c, share in enumerate((weights * (1 - held_to), weights * held_to)):
+                whole = (votes.T @ share + (0.02 if c else 0.01)) / (share.sum() + 1.0)
+                fired, total = (votes * above).T @ share, above.T @ share
+                rates[c, 1] = (fired + 2 * whole) / (total + 2)
+                rates[c, 0] = (votes.T @ share - fired + 2 * whole) / (share.sum() - total + 2)
+                rates[c, 0, ~held] = rates[c, 1, ~held] = whole[~held]
+            rates = np.clip(rates, 1e-6, 1 - 1e-6)
+            prior = (weights @ held_to + 0.5) / (weights.sum() + 1)
+            model = LabelModel(prior, parents, rates)
+            q = 1 / (1 + np.exp(-np.clip(model.log_odds(votes), -30, 30)))
+    return q, model
+
+
+def calibrated(log_odds: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Posteriors made honest by the known labels: a logistic curve of two numbers over the model's log odds, rising."""
+    x = np.clip(log_odds, -15, 15) / 15
+    a, b = 5.0, 0.0
+    for _ in range(4000):  # gradient steps below the inverse of the curvature, which is at most weights / 2
+        wrong = weights * (1 / (1 + np.exp(-np.clip(a * x + b, -30, 30))) - labels)
+        a = max(0.1, a - 2 * (wrong @ x + 0.01 * (a - 5)) / weights.sum())
+        b -= 2 * (wrong.sum() + 0.01 * b) / weights.sum()
+    return 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
 
 
 def fit_linear(votes: np.ndarray, target: np.ndarray, weights: np.ndarray, ridge: float = 0.05, rounds: int = 400) -> tuple[np.ndarray, float]:
@@ -180,17 +274,22 @@ def fit(sample: DataFrame) -> ToxicityModel:
             rows, voter = voters.votes(texts_of(batch.column(0)))
             cuts = np.searchsorted(rows, np.arange(batch.num_rows + 1))
             lists = [voter[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lists, pa.list_(pa.int32()))], names=["toxic", "votes"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(lists, pa.list_(pa.int32()))], names=["toxic", "known", "votes"])
 
-    cast = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(work, "toxic int, votes array<int>")
-    rows = cast.groupBy("toxic", "votes").agg(F.count("*").alias("n")).orderBy("toxic", "votes").collect()  # at most a row per sampled row
+    # the label model sees the labels of half the texts only, chosen by their hash
+    halves = sample.select("text", F.col("toxic").cast("int").alias("toxic"), (F.pmod(F.xxhash64("text"), F.lit(2)) == 0).alias("known"))
+    cast = halves.mapInArrow(work, "toxic int, known boolean, votes array<int>")
+    keys = ["toxic", "known", "votes"]
+    rows = cast.groupBy(*keys).agg(F.count("*").alias("n")).orderBy(*keys).collect()  # at most a row per sampled row
     votes = np.zeros((len(rows), len(voters.names)))
     for k, r in enumerate(rows):
         votes[k, r["votes"]] = 1.0
-    labels, n = np.array([r["toxic"] for r in rows], int), np.array([r["n"] for r in rows], float)
+    labels, n, known = np.array([r["toxic"] for r in rows], int), np.array([r["n"] for r in rows], float), np.array([r["known"] for r in rows], bool)
     if not len(rows):
         return ToxicityModel(voters, np.where(np.arange(len(voters.names)) < len(LEXICON), 4.0, 0.5), -3.0)
-    q = label_model(votes, labels, n)
+    stems = votes[:, [k for k, name in enumerate(voters.names) if name[0] in "=~"]].sum(axis=1)
+    _, model = label_model(votes, n, np.where(known, labels, np.where(stems > 0, 0.9, 0.02)), known)
+    q = calibrated(model.log_odds(votes), labels, n)
     weights, intercept = fit_linear(votes, q, n)
     unseen = (votes.sum(axis=0) == 0) & (np.arange(len(voters.names)) < len(LEXICON))
     return ToxicityModel(voters, np.where(unseen, 2.0, weights), intercept)

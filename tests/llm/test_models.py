@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ import corpus_pipeline
 from tabwright.llm.kneser_ney import END, START, count_grams, estimate, train
 from tabwright.llm.quality import judge, keep_good
 from tabwright.llm.similarity import one_of_each_group
-from tabwright.llm.toxicity import score_toxicity
+from tabwright.llm.toxicity import LabelModel, calibrated, fit_linear, label_model, score_toxicity
 from tests.llm.test_exact import LOWER, ODD
 
 SYLLABLES = "ka lo mi tu re sa no pe vi du".split()
@@ -201,6 +202,72 @@ def test_toxicity_on_held_out_rows(spark, corpus):
     assert sorted((r.doc_id or 0, r.predicted) for r in empty) == [(0, 0), (1, 0), (2, 1)]
 
 
+def made_up_votes(seed, rows=6000):
+    """Voters with known rates; voter 1 repeats voter 0 nine times of ten, voter 5 fires for another reason with voter 4."""
+    draw = np.random.default_rng(seed)
+    y = draw.random(rows) < 0.15
+    rates = np.array([[0.55, 0.02], [0.0, 0.0], [0.45, 0.03], [0.5, 0.05], [0.3, 0.3], [0.0, 0.0], [0.35, 0.02], [0.4, 0.04]])
+    votes = draw.random((rows, 8)) < np.where(y[:, None], rates[:, 0], rates[:, 1])
+    votes[:, 1] = np.where(draw.random(rows) < 0.9, votes[:, 0], draw.random(rows) < 0.02)
+    votes[:, 5] = np.where(draw.random(rows) < 0.95, votes[:, 4], draw.random(rows) < 0.3)
+    return votes.astype(float), y, rates
+
+
+def test_label_model_recovers_rates_and_correlations_without_labels():
+    votes, y, rates = made_up_votes(1)
+    start = np.where(votes[:, [0, 2, 3]].sum(axis=1) >= 2, 0.8, 0.1)
+    q, model = label_model(votes, np.ones(len(votes)), start, rounds=40)
+    assert abs(model.prior - y.mean()) < 0.05
+    edges = {tuple(sorted((k, int(p)))) for k, p in enumerate(model.parents) if p >= 0}
+    assert {(0, 1), (4, 5)} <= edges
+    for k in (0, 2, 3, 6, 7):
+        for c in (0, 1):
+            fired = ((votes[:, k] * (q if c else 1 - q)).sum()) / (q if c else 1 - q).sum()
+            assert abs(fired - rates[k, 1 - c]) < 0.12
+    right = ((q > 0.5) == y).mean()
+    assert right > 0.93 and right > ((votes.sum(axis=1) >= 3) == y).mean() and np.abs(q - y).mean() > 0.01
+    # two voters that repeat each other count about once, two that fire for another reason not at all
+    one = model.log_odds(np.eye(8)[[0]])[0] - model.log_odds(np.zeros((1, 8)))[0]
+    two = model.log_odds(np.eye(8)[[0]] + np.eye(8)[[1]])[0] - model.log_odds(np.zeros((1, 8)))[0]
+    assert 0 < one < two < 1.6 * abs(np.log(0.55 / 0.02)) + 1
+    assert abs(model.log_odds(np.eye(8)[[4]] + np.eye(8)[[5]])[0] - model.log_odds(np.zeros((1, 8)))[0]) < 1
+
+
+def test_label_model_odds_equal_the_product_of_rates():
+    draw = np.random.default_rng(3)
+    model = LabelModel(0.2, np.array([-1, 0, 1, -1]), draw.uniform(0.1, 0.9, (2, 2, 4)))
+    model.rates[:, 1, [0, 3]] = model.rates[:, 0, [0, 3]]
+    votes = np.array([[(k >> j) & 1 for j in range(4)] for k in range(16)], float)
+    for row, got in zip(votes, model.log_odds(votes)):
+        want = [p for p in (0.8, 0.2)]
+        for c in (0, 1):
+            for j in range(4):
+                above = int(row[model.parents[j]]) if model.parents[j] >= 0 else 0
+                want[c] *= model.rates[c, above, j] if row[j] else 1 - model.rates[c, above, j]
+        assert got == pytest.approx(np.log(want[1] / want[0]))
+
+
+def test_posterior_of_known_rows_comes_from_votes():
+    votes, y, _ = made_up_votes(2, 3000)
+    known = np.arange(len(y)) % 2 == 0
+    wrong = y.copy()
+    flipped = np.flatnonzero(known)[:30]
+    wrong[flipped] = ~wrong[flipped]
+    q, _ = label_model(votes, np.ones(len(y)), wrong.astype(float), known)
+    assert ((q > 0.5) == y)[flipped].mean() > 0.8  # a wrong label does not become the posterior
+    even = calibrated(np.log(np.clip(q, 1e-6, 1 - 1e-6) / (1 - np.clip(q, 1e-6, 1 - 1e-6))), y.astype(int), np.ones(len(y)))
+    assert abs(even.mean() - y.mean()) < 0.02 and (np.diff(even[np.argsort(q)]) >= -1e-12).all()
+
+
+def test_linear_fit_equals_the_optimum():
+    draw = np.random.default_rng(4)
+    x, n = (draw.random((400, 3)) < 0.4).astype(float), draw.integers(1, 5, 400).astype(float)
+    target = 1 / (1 + np.exp(-(x @ [2.0, -1.0, 0.5] - 1)))
+    w, b = fit_linear(x, target, n, rounds=4000)
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    assert np.abs(x.T @ (n * (p - target)) + 0.05 * w).max() < 0.05 and abs((n * (p - target)).sum()) < 0.05
+
+
 def test_pipeline_stages(spark, small_folder):
     docs = spark.read.parquet(f"{small_folder}/documents.parquet")
     stages = [name for name, _ in corpus_pipeline.STAGES]
@@ -214,5 +281,13 @@ def test_pipeline_stages(spark, small_folder):
 
 @pytest.mark.parametrize("stage", [s for s in corpus_pipeline.STAGES], ids=lambda s: s[0])
 def test_stages_take_odd_rows(spark, corpus, small_folder, stage):
-    out = stage[1](spark, corpus([(*r, None) for r in ODD]), small_folder)
-    assert out.count() >= 0
+    rows = [(*r, None) for r in ODD]
+    out = stage[1](spark, corpus(rows), small_folder)
+    if stage[0] == "packing":
+        assert {"doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"} <= set(out.columns) and out.count() >= len(rows)
+        return
+    assert out.columns == corpus(rows).columns
+    left = collections.Counter((r.doc_id, r.text) for r in out.collect())
+    assert not left - collections.Counter((i, t) for i, t, _ in rows)  # odd rows go or stay as they are
+    if stage[0] in ("line_dedup", "decontamination"):
+        assert sum(left.values()) >= len(rows) - 1
