@@ -291,7 +291,8 @@ def _often(held: list[pa.Buffer], least: int) -> np.ndarray:
     codes = np.concatenate([
         np.frombuffer(b, "<u4", b.size // 6).astype(np.uint64) | np.frombuffer(b, "<u2", b.size // 6, b.size // 6 * 4).astype(np.uint64) << np.uint64(32) for b in held])
     codes.sort()
-    return np.unique(codes[least - 1:][codes[least - 1:] == codes[:len(codes) - least + 1]]) << np.uint64(16)
+    last = codes[least - 1:]
+    return np.unique(last[last == codes[:len(last)]]) << np.uint64(16)
 
 
 def _places(hashes: np.ndarray) -> pa.RecordBatch:
