@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tabwright.llm.batches import slices, texts_of
-from tabwright.llm.staging import staged
+from tabwright.llm.staging import free_names, staged
 
 LEAST_WORDS = 50
 NO_ID = -(1 << 63)  # stands for a null document id, before all others
@@ -156,36 +156,36 @@ def cut_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int, in
     return "\n".join(kept), number, len(gone), sum(k - 1 not in gone for k in gone)
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS,
+                counts: Sequence[str] = ("n_lines", "n_removed", "n_runs")) -> DataFrame:
     """All rows and columns of ``docs`` with the later copies of repeated line runs of at least ``least_words`` words cut
-    from the text, and n_lines, n_removed, n_runs (of lines that hold a word).
+    from the text, and n_lines, n_removed, n_runs (of lines that hold a word; ``counts`` may name them otherwise).
 
     Lines are compared without outer white space, and blank lines do not count. The first copy, in order of document
     id, hash of text and line, stays. Rows with the same id and text are one document and share its result; null ids
     come first; null texts stay null and have no lines; an empty table gives no rows. Columns of ``docs`` named
-    like the three new ones are replaced.
+    like the three new ones are replaced (``staging.free_names`` finds names that are not).
     """
     base = keyed(docs, id_col, text_col)
     runs = later_copies(base, least_words)
     runs = runs.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "end")).alias("runs"))  # bounded by a document's lines
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
+    names = [c for c in docs.columns if c not in counts]
     marked = docs.select(F.struct(*names).alias("row")).select(
         "row", F.coalesce(F.col(f"row.{id_col}").cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64(F.coalesce(F.col(f"row.{text_col}").cast("string"), F.lit(""))).alias("th"))
-    joined = marked.join(runs, ["doc", "th"], "left").select("row.*", "runs")
+    joined = marked.join(runs, ["doc", "th"], "left").select("row.*", F.col("runs").alias(free_names(docs.columns, ["runs"])[0]))
     where = names.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b, where)):
-            texts, counts = [], []
+            texts, found = [], []
             for text, own in zip(batch.column(where).to_pylist(), batch.column(len(names)).to_pylist()):
                 cut, *n = cut_lines(text or "", [(r["start"], r["end"]) for r in own or ()])
                 texts.append(None if text is None else cut)
-                counts.append(n)
+                found.append(n)
             columns = list(batch.columns[:len(names)])
             columns[where] = pa.array(texts, batch.schema.field(where).type)
-            columns += [pa.array([c[k] for c in counts], pa.int64()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_lines", "n_removed", "n_runs"])
+            columns += [pa.array([n[k] for n in found], pa.int64()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *counts])
 
-    schema = joined.select(*names, *(F.lit(0).cast("long").alias(c) for c in ("n_lines", "n_removed", "n_runs"))).schema
-    return joined.mapInArrow(work, schema)
+    return joined.mapInArrow(work, T.StructType([*(docs.schema[c] for c in names), *(T.StructField(c, T.LongType()) for c in counts)]))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tabwright.functions.state import cut_lineage, settle, small_rows
 from tabwright.llm.batches import slices, texts_of
 from tabwright.llm.kneser_ney import Model, language_seed, train, words_by_language
-from tabwright.llm.staging import staged
+from tabwright.llm.staging import free_names, staged
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -166,7 +166,8 @@ def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
 
     Rows are written once with their measures beside them; the bands and the verdicts are taken from there.
     """
-    columns, extra = docs.columns, [f"_quality_{n}" for n in ("lang", *MEASURES, "letters", "log_p")]
+    columns, plain = docs.columns, ["lang", *MEASURES, "letters", "log_p"]
+    extra = free_names(columns, [f"_quality_{n}" for n in plain])
     text_at, lang_at = columns.index(text_col), columns.index(lang_col)
     model = train(docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")))
 
@@ -175,9 +176,9 @@ def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
             pair = pa.RecordBatch.from_arrays([batch.column(text_at), batch.column(lang_at)], names=["text", "lang"])
             yield pa.RecordBatch.from_arrays([*batch.columns, *measures(pair, model)], names=[*columns, *extra])
 
-    fields = T.StructType([*docs.schema, *(T.StructField(f"_quality_{f.name}", f.dataType) for f in T.StructType.fromDDL(SCORED))])
+    fields = T.StructType([*docs.schema, *(T.StructField(e, f.dataType) for e, f in zip(extra, T.StructType.fromDDL(SCORED)))])
     marked = staged(docs.mapInArrow(work, fields), "judged")
-    scored = marked.toDF(*[c if c in extra else f"_{k}" for k, c in enumerate(marked.columns)]).withColumnsRenamed({e: e[9:] for e in extra})
+    scored = marked.toDF(*[f"_{k}" for k in range(len(columns))], *plain)
     scored = scored.withColumn("base_failed", failed())
     band = settle(bands(scored, width))
     small_rows(band, "languages")  # an error if there are too many to broadcast

@@ -12,3 +12,13 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_names(columns: list[str], wanted: list[str]) -> list[str]:
+    """The wanted names, with underscores in front as long as the table has columns of that name."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out

@@ -291,3 +291,17 @@ def test_stages_take_odd_rows(spark, corpus, small_folder, stage):
     assert not left - collections.Counter((i, t) for i, t, _ in rows)  # odd rows go or stay as they are
     if stage[0] in ("line_dedup", "decontamination"):
         assert sum(left.values()) >= len(rows) - 1
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:-1], ids=lambda s: s[0])
+def test_stages_leave_other_columns_alone(spark, corpus, small_folder, stage):
+    """Columns named like those an operator makes come back as they were; ``n_chars`` may be missing."""
+    rng = random.Random(8)
+    names = ["before", "n_lines", "n_removed", "n_runs", "runs", "row", "doc", "th", "_quality_lang", "_Quality_n_words", "text_", "node", "letters", "kept", "lang_"]
+    page = "\n".join(prose(rng, 30) for _ in range(4))
+    rows = [(k, f"{prose(rng, 60)}\n{page}" if k % 3 == 0 else prose(rng, 90)) for k in range(30)]
+    docs = corpus(rows).drop("n_chars").selectExpr("*", *(f"concat('{n}', doc_id) AS `{n}`" for n in names))
+    out = stage[1](spark, docs, small_folder)
+    assert out.columns == docs.columns
+    left = out.collect()
+    assert len(left) >= 10 and all(r[n] == f"{n}{r.doc_id}" for r in left for n in names)
