@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabwright.llm.catalog import QUERIES as OPERATOR_QUERIES, SQL, WORD_TOKENIZER, table
 from tabwright.llm.decontaminate import decontaminate
@@ -16,7 +16,7 @@ from tabwright.llm.line_dedup import dedup_lines
 from tabwright.llm.packing import pack_documents
 from tabwright.llm.quality import keep_good
 from tabwright.llm.similarity import one_of_each_group
-from tabwright.llm.staging import staged
+from tabwright.llm.staging import free_names, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,22 +24,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs)
 
 
+def with_length(docs: DataFrame, columns: list[str], changed: Column) -> DataFrame:
+    """The given columns, with ``n_chars``, where there is one, counted again for texts that changed."""
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return docs.select([F.col(f"`{c}`") for c in columns])
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs of 50 words and more are cut; documents of which nothing is left go."""
-    cut = dedup_lines(docs).where("n_lines = 0 OR n_removed < n_lines")
-    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
+    lines, removed, runs = free_names(docs.columns, ["n_lines", "n_removed", "n_runs"])
+    cut = dedup_lines(docs, counts=(lines, removed, runs)).where((F.col(lines) == 0) | (F.col(removed) < F.col(lines)))
+    return with_length(cut, docs.columns, F.col(removed) > 0)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with 0.8 of their five-word shingles in common stays."""
+    """One document of each group with 0.8 of their five-word shingles in common stays.
+
+    Candidates come from the SimHash anchors, but most pairs at 0.8 differ in more bits than a covering code reaches: those
+    come from bands of minimum hashes. Every pair that joins a group is checked exactly.
+    """
     return one_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that are mostly benchmark text go."""
-    clean = decontaminate(docs.withColumn("before", F.col("text")), table(spark, sf_dir, "benchmark"))
-    changed = ~F.col("before").eqNullSafe(F.col("text"))
-    return clean.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
+    before, = free_names(docs.columns, ["before"])
+    clean = decontaminate(docs.withColumn(before, F.col("text")), table(spark, sf_dir, "benchmark"))
+    return with_length(clean, docs.columns, ~F.col(before).eqNullSafe(F.col("text")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
