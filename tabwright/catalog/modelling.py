@@ -8,7 +8,7 @@ from tabwright.catalog.correlating import pairs
 from tabwright.catalog.registry import query
 from tabwright.functions.types import rounded
 from tabwright.operators import evaluate, importance
-from tabwright.operators.split import TEST, TRAIN, stratified_split
+from tabwright.operators.split import TEST, TRAIN, VALIDATION, stratified_folds, stratified_split
 from tabwright.plans import analysis, bias, search
 from tabwright.plans.classifier import TabularClassifier
 
@@ -44,22 +44,22 @@ def _fitted(t, **options):
 
 @query("m1_boosted_trees")
 def boosted_trees(t):
-    _, scored = _fitted(t, oversample=False, params={"classifier__n_estimators": 3, "classifier__max_depth": 3})
+    _, scored = _fitted(t, oversample=False, params={"classifier__n_estimators": 10, "classifier__max_depth": 3})
     return evaluate.classification_report(scored, "label", "prediction")
 
 
 @query("m2_random_forest")
 def random_forest(t):
     _, scored = _fitted(t, model="random_forest", oversample=False,
-                        params={"classifier__n_estimators": 20, "classifier__max_depth": 6})
+                        params={"classifier__n_estimators": 100, "classifier__max_depth": 10})
     return evaluate.classification_report(scored, "label", "prediction")
 
 
 @query("m3_oversampling_classifier")
 def oversampling(t):
     _, scored = _fitted(t, model="random_forest", params={
-        "outlier_handler__strategy": "clip", "smote__k_neighbors": 3, "classifier__n_estimators": 10,
-        "classifier__max_depth": 5})
+        "outlier_handler__strategy": "clip", "smote__k_neighbors": 3, "classifier__n_estimators": 100,
+        "classifier__max_depth": 10})
     return evaluate.per_class_metrics(scored, "label", "prediction")
 
 
@@ -68,31 +68,31 @@ def random_search(t):
     encoding = {"lang": ("one-hot", ["frequency", "ordinal"]), "source": "frequency"}
     estimator = TabularClassifier("quality", "row_id", encoding, model="random_forest")
     space = search.parameter_space(SETTINGS, encoding, "random_forest")
-    return search.tune_hyperparameters(t.v_doc, estimator, space, n_iter=2, cv=2).table
+    return search.tune_hyperparameters(t.v_doc, estimator, space, n_iter=4, cv=3).table
 
 
 @query("m11_model_importance")
 def model_importance(t):
-    model, _ = _fitted(t, oversample=False, params={"classifier__n_estimators": 2, "classifier__max_depth": 3})
+    model, _ = _fitted(t, model="random_forest", oversample=False, params={"classifier__n_estimators": 100, "classifier__max_depth": 10})
     return model.importances(20)
 
 
 @query("m12_full_run")
 def full_run(t):
-    out = search.run_full_pipeline(t.v_doc, SETTINGS, label_col="quality", id_col="row_id", n_iter=1, cv=2,
+    out = search.run_full_pipeline(t.v_doc, SETTINGS, label_col="quality", id_col="row_id", n_iter=2, cv=3,
                                    model="random_forest")
     return out["report"]
 
 
 @query("f1_forest_importance")
 def forest_importance(t):
-    return importance.forest_importance(t.v_feat, _XS, "label", n_estimators=20, max_depth=6)
+    return importance.forest_importance(t.v_feat, _XS, "label", n_estimators=100)
 
 
 @query("f4_permutation_importance")
 def permutation_importance(t):
     rows = _rows(t).drop("cat")
-    model = importance.fit_forest(rows, _XS, "label", n_estimators=10, max_depth=5)
+    model = importance.fit_forest(rows, _XS, "label", n_estimators=100)
     out = importance.permutation_importance(
         rows, lambda r: model.transform(importance.assembled(r, _XS)), _XS, "label", id_col="row_id", n_repeats=10)
     return out.withColumns({c: rounded(F.col(c)) for c in ("importance", "deviation")})
@@ -100,7 +100,7 @@ def permutation_importance(t):
 
 @query("f9_recursive_elimination")
 def recursive_elimination(t):
-    return importance.recursive_elimination(t.v_feat, [*_XS, "pred"], "label", keep=3, n_estimators=10, max_depth=5)
+    return importance.recursive_elimination(t.v_feat, [*_XS, "pred"], "label", keep=3, n_estimators=100)
 
 
 @query("f11_principal_components")
@@ -111,7 +111,7 @@ def principal_components(t):
 @query("g3_mitigated_model")
 def mitigated_model(t):
     rows = t.v_feat.select("row_id", *_XS, "cat", "leak", "label")
-    return bias.mitigate_bias(rows, ["leak"], "label", "row_id", n_estimators=10, max_depth=5)["comparison"]
+    return bias.mitigate_bias(rows, ["leak"], "label", "row_id")["comparison"]
 
 
 @query("analysis_feature_importance")
@@ -137,14 +137,14 @@ _SUPPORT = "SELECT CAST(label AS INTEGER) AS label, count(*) AS support, TRUE AS
 
 
 def _stated(t, **options):
-    """Every row of the table scored by a model trained on its training split: rows per class, and whether the model is
-    right more often than naming the largest class would be."""
+    """Rows per class, and whether a model trained on the training split is right more often on the test split than naming
+    the largest class would be."""
     split = stratified_split(_rows(t), "label", "row_id")
     model = TabularClassifier("label", "row_id", {"cat": "one-hot"}, **options).fit(split.where(F.col("split") == TRAIN).drop("split"))
-    counts = model.transform(_rows(t)).groupBy("label").agg(
-        F.count("*").alias("support"), F.count_if(F.col("prediction") == F.col("label")).alias("right")).collect()  # a row per class
-    better = sum(r["right"] for r in counts) > max(r["support"] for r in counts)
-    return t.spark.createDataFrame([(int(r["label"]), r["support"], better) for r in counts], "label int, support long, beats_majority boolean")
+    scored = model.transform(split.where(F.col("split") == TEST)).groupBy("label").agg(
+        F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("label")).alias("right")).collect()  # a row per class
+    better = sum(r["right"] for r in scored) > max(r["n"] for r in scored)
+    return split.groupBy(F.col("label").cast("int").alias("label")).agg(F.count("*").alias("support")).withColumn("beats_majority", F.lit(better))
 
 
 @query("m1_boosted_trees_stated", _SUPPORT)
@@ -164,16 +164,56 @@ def oversampling_stated(t):
 
 
 @query("m5_random_search_stated", """
-SELECT CAST(range AS INTEGER) AS candidate, TRUE AS scored, TRUE AS ordered FROM range(3)""")
+SELECT CAST(range AS INTEGER) AS place, TRUE AS scored, TRUE AS ordered, TRUE AS own_params, (SELECT count(*) FROM v_doc) AS fold_rows FROM range(4)""")
 def random_search_stated(t):
-    """One row per candidate: it has a score between 0 and 1, and candidates come best first."""
+    """One row per candidate, best first: its score lies between 0 and 1 and not above the one before it, no other candidate has
+    its parameters, and the folds together hold every row."""
     encoding = {"lang": ("one-hot", ["frequency", "ordinal"]), "source": "frequency"}
     estimator = TabularClassifier("quality", "row_id", encoding, model="random_forest")
-    found = search.tune_hyperparameters(t.v_doc, estimator, search.parameter_space(SETTINGS, encoding, "random_forest"), n_iter=3, cv=3)
-    rows = found.table.collect()  # a row per candidate
-    best = max(r["mean_test_score"] for r in rows)
-    ordered = found.table.agg(F.max("mean_test_score")).first()[0] == best
-    return t.spark.createDataFrame([(r["candidate"], 0 <= r["mean_test_score"] <= 1, ordered) for r in rows], "candidate int, scored boolean, ordered boolean")
+    found = search.tune_hyperparameters(t.v_doc, estimator, search.parameter_space(SETTINGS, encoding, "random_forest"), n_iter=4, cv=3)
+    rows = found.table.collect()  # a row per candidate, in the table's order
+    scores = [r["mean_test_score"] for r in rows]
+    params = [tuple(sorted(r["params"].items())) for r in rows]
+    held = stratified_folds(t.v_doc, "quality", "row_id", 3, 42, output="fold").groupBy("fold").count().collect()  # a row per fold
+    even = max(r["count"] for r in held) - min(r["count"] for r in held) <= 2  # one row per class at most
+    whole = sum(r["count"] for r in held) if even and len(held) == 3 else -1
+    return t.spark.createDataFrame(
+        [(k, 0 <= s <= 1, k == 0 or s <= scores[k - 1], params.count(params[k]) == 1, whole) for k, s in enumerate(scores)],
+        "place int, scored boolean, ordered boolean, own_params boolean, fold_rows long")
+
+
+@query("m11_model_importance_stated", """
+SELECT feature, feature = 'x4' AS is_top, TRUE AS sums_to_one FROM (
+  SELECT 'x' || range AS feature FROM range(1, 5) UNION ALL SELECT DISTINCT 'cat_' || cat FROM v_feat) f""")
+def model_importance_stated(t):
+    """A feature per numeric column and category; x4 holds the label, so it comes first; importances sum to one."""
+    return _importances(t, model_importance(t))
+
+
+@query("m12_full_run_stated", """
+SELECT CAST(quality AS INTEGER) AS label, count(*) AS n_rows, TRUE AS reported, TRUE AS same_support FROM v_doc GROUP BY quality""")
+def full_run_stated(t):
+    """Every row is in one split; the report of the validation and test rows has every class, with as many rows as the split."""
+    out = search.run_full_pipeline(t.v_doc, SETTINGS, label_col="quality", id_col="row_id", n_iter=2, cv=3, model="random_forest")
+    sizes = out["split"].groupBy("split", "quality").count().collect()  # a row per split and class
+    report = {(r["split"], r["class"]): r["support"] for r in out["report"].collect()}
+    scored = [r for r in sizes if r["split"] in (VALIDATION, TEST)]
+    rows = []
+    for label in sorted({r["quality"] for r in sizes}):
+        own = [r for r in scored if r["quality"] == label]
+        rows.append((int(label), sum(r["count"] for r in sizes if r["quality"] == label), len(own) == 2 and all((r["split"], str(label)) in report for r in own),
+                     all(report.get((r["split"], str(label))) == r["count"] for r in own)))
+    return t.spark.createDataFrame(rows, "label int, n_rows long, reported boolean, same_support boolean")
+
+
+@query("f9_recursive_elimination_stated", """
+SELECT CAST(5 AS BIGINT) AS n_features, CAST(3 AS BIGINT) AS n_selected, CAST(3 AS INTEGER) AS last_rank,
+  (SELECT corr(x4, label) > abs(corr(x1, label)) FROM v_feat) AS keeps_label_features""")
+def recursive_elimination_stated(t):
+    """Three of five features stay, the others have ranks 2 and 3, and the two columns that tell the label are among those that stay."""
+    found = recursive_elimination(t)
+    return found.agg(F.count("*").alias("n_features"), F.count_if("selected").alias("n_selected"), F.max("ranking").alias("last_rank"),
+                     (F.count_if(F.col("selected") & F.col("feature").isin("x4", "pred")) == 2).alias("keeps_label_features"))
 
 
 def _importances(t, frame):
@@ -194,7 +234,7 @@ def forest_importance_stated(t):
 SELECT feature, feature = 'x4' AS is_top FROM (VALUES ('x1'), ('x2'), ('x3'), ('x4')) f (feature)""")
 def permutation_importance_stated(t):
     rows = _rows(t).drop("cat")
-    model = importance.fit_forest(rows, _XS, "label", n_estimators=20, max_depth=10)
+    model = importance.fit_forest(rows, _XS, "label", n_estimators=100)
     out = importance.permutation_importance(
         rows, lambda r: model.transform(importance.assembled(r, _XS)), _XS, "label", id_col="row_id", n_repeats=10)
     top = out.agg(F.max_by("feature", "importance")).first()[0]

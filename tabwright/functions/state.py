@@ -56,7 +56,20 @@ def shared_folder(spark: SparkSession) -> str:
         if own not in _LOCAL_FOLDERS:
             _LOCAL_FOLDERS[own] = tempfile.TemporaryDirectory(prefix="tabwright-", ignore_cleanup_errors=True)
         folder = _LOCAL_FOLDERS[own].name
-    return folder
+    return qualified(spark, folder)
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of the cluster's file system, so that readers other than Spark find the same one.
+
+    A path without a scheme means the default file system to Spark, and the machine's own disk to everything else.
+    """
+    if "://" in folder:
+        return folder
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return folder if system.getScheme() == "file" else system.makeQualified(path).toString()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

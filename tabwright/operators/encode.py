@@ -8,6 +8,7 @@ from itertools import chain
 
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabwright.functions.state import rows_if_small, settle, small_rows
@@ -18,8 +19,8 @@ STRATEGIES = ("ordinal", "one-hot", "frequency", "binary")
 UNSEEN_CODE = -1
 # Codes of up to this many values are written into the plan; more are joined.
 INLINE_VALUES = 64
-# A feature with more categories than this becomes one sparse vector instead of a column per category.
-WIDE_CATEGORIES = 1000
+# One-hot output: a column per category, or one sparse vector per feature with a place per category.
+ONE_HOT_OUTPUTS = ("columns", "vector")
 
 
 def appearance_codes(df: DataFrame, features: Sequence[str], order_col: str) -> DataFrame:
@@ -67,11 +68,18 @@ class FeatureEncoder(Estimator):
     ``encoding_map`` gives a strategy per feature, or a pair (default, alternatives) from which
     ``hyperparams`` may choose. Features the table lacks are skipped with a warning. ``order_col``
     defines what "first appearance" means for ordinal codes without a map and for binary codes.
+
+    ``one_hot`` chooses the shape of one-hot features, whatever the number of categories: ``columns`` gives a column per
+    category, whose names come to the driver; ``vector`` one sparse column ``<feature>_onehot`` whose places are
+    the rows of ``model.sparse[feature]``, a table that stays distributed.
     """
 
     def __init__(self, encoding_map: Mapping[str, str | tuple], encoding_params: Mapping[str, Mapping] | None = None,
-                 hyperparams: Mapping[str, str] | None = None, order_col: str | None = None):
+                 hyperparams: Mapping[str, str] | None = None, order_col: str | None = None, one_hot: str = "columns"):
         super().__init__()
+        if one_hot not in ONE_HOT_OUTPUTS:
+            raise ValueError(f"unknown one-hot output '{one_hot}'")
+        self.one_hot = one_hot
         self.encoding_map = dict(encoding_map)
         self.encoding_params = dict(encoding_params or {})
         self.hyperparams = dict(hyperparams or {})
@@ -134,14 +142,15 @@ class FeatureEncoder(Estimator):
             values = dataset.select(F.inline(F.array(*[
                 F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value")) for f in wide
             ]))).where(F.col("value").isNotNull()).distinct()
-            values = settle(values)
-            sizes = {r["feature"]: r["count"] for r in small_rows(values.groupBy("feature").count(), "one-hot features", len(wide) + 1)}
-            narrow = [f for f in wide if sizes.get(f, 0) <= WIDE_CATEGORIES]
-            for r in small_rows(values.where(F.col("feature").isin(narrow)), "one-hot categories", WIDE_CATEGORIES * len(wide)):
-                categories[r["feature"]].append(r["value"])
-            for f in (f for f in wide if f not in narrow):
-                own = with_position(values.where(F.col("feature") == f), "value", name="code")
-                sparse[f] = (settle(own.select("value", F.col("code").cast("int").alias("code"))), sizes[f])
+            if self.one_hot == "columns":
+                for r in values.toArrow().to_pylist():  # one name per column
+                    categories[r["feature"]].append(r["value"])
+            else:
+                values = settle(values)
+                sizes = {r["feature"]: r["count"] for r in small_rows(values.groupBy("feature").count(), "one-hot features", len(wide) + 1)}
+                for f in wide:
+                    own = with_position(values.where(F.col("feature") == f), "value", name="code")
+                    sparse[f] = (settle(own.select("value", F.col("code").cast("int").alias("code"))), sizes.get(f, 0))
         return FeatureEncoderModel(plan, maps, {f: sorted(v) for f, v in categories.items()}, state, codes, sparse)
 
 
@@ -215,6 +224,8 @@ def _sparse_one_hot(df: DataFrame, feature: str, codes: DataFrame, size: int) ->
     joined = df.join(lookup, F.col(feature).cast("string") == F.col("_value"), "left").withColumn(
         "_code", F.coalesce("_code", F.lit(size)).cast("double"))
     # the last place, that of unknown categories, is dropped
+    if not size:  # no category was seen: a vector without places
+        return joined.withColumn(f"{feature}_onehot", array_to_vector(F.array().cast("array<double>"))).drop("_value", "_code")
     fitted = OneHotEncoder(inputCols=["_code"], outputCols=[f"{feature}_onehot"], dropLast=True).fit(
         df.sparkSession.createDataFrame([(float(size),)], "_code double"))
     return fitted.transform(joined).drop("_value", "_code")

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabwright.functions.state import settle, small_rows
 from tabwright.functions.types import dtype_name, get_numerical_features, metric_name, tall
 from tabwright.operators.ranking import exact_quantiles
 
+# tasks get the code of this module with them, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MISSING_LABEL = "Missing"
+# Different values a task holds before it hands them on.
+HELD_VALUES = 2_000_000
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -96,10 +106,53 @@ def top_n_categories(df: DataFrame, column: str, top_n: int = 35) -> DataFrame:
 
 
 def cardinality(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per column, exact or by sketch (fixed memory, no extra rows)."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    wide = df.agg(*[count(F.col(f"`{c}`")).alias(metric_name(c, "n_unique")) for c in columns])
-    return tall(wide, columns, ["n_unique"])
+    """Distinct non-null values per column, exact or by sketch (fixed memory, no extra rows).
+
+    The exact form is one scan of any number of columns: each task keeps the different values of its rows, column by
+    column, and only those are shuffled, by (column, value), so a column with many values spreads over all tasks.
+    """
+    if approximate:
+        wide = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(metric_name(c, "n_unique")) for c in columns])
+        return tall(wide, columns, ["n_unique"])
+    texts = df.select([_as_text(F.col(f"`{c}`"), df.select(f"`{c}`").schema[0].dataType).alias(f"_{i}") for i, c in enumerate(columns)])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[pa.Array]] = {}
+        size = 0
+
+        def rows(column: int) -> pa.RecordBatch:
+            values = pc.unique(pa.chunked_array(held.pop(column)))
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(values), column, np.int32)), values], names=["column", "value"])
+
+        for batch in batches:
+            for column, values in enumerate(batch.columns):
+                held.setdefault(column, []).append(pc.unique(values).drop_null())
+                size += len(held[column][-1])
+            if size > HELD_VALUES:  # first what the batches have in common, then, if that is little, everything
+                held = {c: [pc.unique(pa.chunked_array(parts))] for c, parts in held.items()}
+                size = sum(len(parts[0]) for parts in held.values())
+                if size > HELD_VALUES // 2:
+                    yield from (rows(c) for c in list(held))
+                    size = 0
+        yield from (rows(c) for c in list(held))
+
+    values = texts.mapInArrow(work, "column int, value string").distinct()
+    counts = values.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(columns)], "column int, feature string")
+    return names.join(counts, "column", "left").select("feature", F.coalesce("n_unique", F.lit(0).cast("bigint")).alias("n_unique"))
+
+
+def _as_text(column: Column, kind: T.DataType) -> Column:
+    """A text that is equal exactly for equal values."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):  # 0.0 and -0.0 are equal
+        column = F.when(column == 0, F.lit(0.0)).otherwise(column)
+    elif isinstance(kind, T.TimestampType):  # local times repeat when clocks are set back
+        column = F.unix_micros(column)
+    elif isinstance(kind, T.BinaryType):
+        column = F.hex(column)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        column = F.when(column.isNotNull(), F.to_json(F.struct(column.alias("v"))))
+    return column.cast("string")
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], direct_rows: int | None = None) -> DataFrame:

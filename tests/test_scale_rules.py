@@ -56,7 +56,7 @@ def test_any_failure_of_a_column_is_reported(spark):
 
 def test_many_categories_become_a_sparse_vector(spark):
     df = spark.range(20_001).select("id", F.concat(F.lit("c"), F.col("id")).alias("k"))
-    model = encode.FeatureEncoder({"k": "one-hot"}).fit(df)
+    model = encode.FeatureEncoder({"k": "one-hot"}, one_hot="vector").fit(df)
     out = model.transform(df.limit(50).union(spark.createDataFrame([(-1, "unknown"), (-2, None)], "id long, k string"))).collect()
     assert out[0]["k_onehot"].size == 20_001
     assert all(len(r["k_onehot"].indices) == (r["id"] >= 0) for r in out)
@@ -126,3 +126,47 @@ def test_csv_folders_and_headers(spark, tmp_path):
     (folder / "part-5.csv").write_text("s,i\nx,1\n")
     with pytest.raises(Exception, match="instead of"):
         files.load_data(spark, str(folder), "i int, s string").collect()
+
+
+def test_distinct_values_of_many_columns_from_one_scan(spark, monkeypatch):
+    """All types, gaps, NaN and both zeros; tasks that hold few values; one scan and no row per column and row."""
+    from tabwright.operators import profile
+
+    n = 3000
+    df = spark.range(n).selectExpr(
+        "id", "cast(id % 7 AS double) - 3 AS d", "if(id % 2 = 0, 0.0D, -0.0D) AS z", "if(id % 5 = 0, double('NaN'), id % 4) AS nan",
+        "if(id % 3 = 0, NULL, cast(id % 100 AS string)) AS s", "cast(NULL AS int) AS nothing", "id % 2 = 0 AS b", "timestamp_seconds(id % 50) AS t",
+        "cast(cast(id % 9 AS string) AS binary) AS y", "cast(id % 13 AS decimal(20,2)) AS m", "array(id % 3, NULL) AS a", *[f"id % {k} AS c_{k}" for k in range(2, 60)])
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = df.repartition(4)
+    want = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first().asDict()
+    seen = df.mapInArrow(counted, df.schema)
+    for held in (profile.HELD_VALUES, 500):
+        monkeypatch.setattr(profile, "HELD_VALUES", held)
+        read.value = 0
+        found = profile.cardinality(seen, df.columns)
+        got = {r["feature"]: r["n_unique"] for r in found.collect()}
+        assert got == want and read.value == n
+    assert profile.cardinality(df.select(df.d.alias("d.d")), ["d.d"]).first()["n_unique"] == 7
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_hot_shape_does_not_depend_on_the_number_of_categories(spark):
+    def shape(n, output):
+        df = spark.range(n).selectExpr("id", "concat('v', id) AS k")
+        return encode.FeatureEncoder({"k": "one-hot"}, one_hot=output).fit(df).transform(df)
+
+    few, many = shape(3, "vector"), shape(20_001, "vector")
+    assert few.schema.simpleString() == many.schema.simpleString() == "struct<id:bigint,k_onehot:vector>"
+    assert {r["k_onehot"].size for r in many.limit(5).collect()} == {20_001}
+    assert shape(3, "columns").columns == ["id", "k_v0", "k_v1", "k_v2"] and len(shape(1200, "columns").columns) == 1201
+    none = spark.createDataFrame([(1, None)], "id int, k string")
+    assert encode.FeatureEncoder({"k": "one-hot"}, one_hot="vector").fit(none).transform(none).first()["k_onehot"].size == 0
+    with pytest.raises(ValueError, match="one-hot output"):
+        encode.FeatureEncoder({"k": "one-hot"}, one_hot="both")
