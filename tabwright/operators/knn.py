@@ -216,7 +216,7 @@ class _Tree:
             pivots = cut_lineage(drawn.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_draw", "vec"))).alias("_p"))
                                  .select(*by, F.col("_p.vec").alias("pivots")))
             shape = T.StructType(_plain(open_, *columns).fields + [T.StructField("child", T.IntegerType()), T.StructField("gap", T.DoubleType())])
-            parts = cut_lineage(_meet(open_.select(columns), pivots, by, "did", block_rows, shape, _assigned(to_arrow_schema(shape), tally)))
+            parts = cut_lineage(_meet(open_.select(columns), pivots, by, "did", block_rows, shape, _assigned(to_arrow_schema(shape), None)))
             kids = parts.groupBy(*by, "child").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("outer"), F.min("gap").alias("inner"))
             # parts that no distance can tell apart stay as they are
             kids = kids.withColumn("leaf", (F.col("n") <= chunk_rows) | (F.col("outer") == 0) | F.isnan("outer"))
@@ -290,7 +290,7 @@ def k_nearest(
     ``neighbours`` is an array of (dist, did[, payload]) sorted by distance, then donor id. With
     ``within`` only donors of the same group count; with ``exclude_self`` a row is not its own neighbour.
     Vectors must not hold NULL. A node of the tree has at most ``max_pivots`` parts, of about ``donors_per_pivot`` donors
-    or more; a leaf has at most ``chunk_rows``. ``tally``, an accumulator, counts the distances computed.
+    or more; a leaf has at most ``chunk_rows``. ``tally``, an accumulator, counts the distances computed for receivers.
     """
     need = k + 1 if exclude_self else k
     # rows without a group form a group of their own

@@ -166,3 +166,36 @@ def test_smote_refuses_tiny_classes(spark):
     df = spark.createDataFrame([(i, float(i), int(i > 2)) for i in range(20)], "id int, a double, label int")
     with pytest.raises(ValueError, match="fewer than 6"):
         SMOTEBalancer("auto", 5).fit_resample(df, ["a"], "label", "id")
+
+
+def frame(spark, ids, points):
+    return spark.createDataFrame(pa.table({"id": pa.array(ids), "vec": pa.array(list(points))}))
+
+
+def test_distances_per_receiver_stay_bounded(spark):
+    """Four times the donors cost hardly more distances per receiver: leaves are bounded and most of the tree is pruned."""
+    draw = np.random.default_rng(12)
+    ask = frame(spark, np.arange(50), draw.uniform(0, 1, (50, 2)))
+    cost = {}
+    for n in (1_000, 4_000):
+        points = draw.uniform(0, 1, (n, 2))
+        give = frame(spark, np.arange(n) + 1000, points)
+        tally = spark.sparkContext.accumulator(0)
+        options = dict(id_col="id", vector_col="vec", max_pivots=20, donors_per_pivot=10, chunk_rows=20)
+        rows = k_nearest(ask, give, 3, tally=tally, **options).collect()
+        cost[n] = tally.value / 50
+        asked = {r["id"]: np.array(r["vec"]) for r in ask.collect()}
+        for r in rows[:10]:
+            d = np.sqrt(((points - asked[r["id"]]) ** 2).sum(axis=1))
+            assert [x["did"] for x in r["neighbours"]] == (np.argsort(d, kind="stable")[:3] + 1000).tolist()
+    assert cost[4_000] < 2 * cost[1_000] and cost[4_000] < 1_000
+
+
+def test_far_apart_clusters_make_a_deep_tree(spark):
+    """Clusters inside clusters: nodes are split again where donors are dense, and copies never are."""
+    draw = np.random.default_rng(13)
+    points = np.concatenate([10.0 ** -k * draw.normal(0, 1, (40, 2)) + k for k in range(3)] + [np.full((40, 2), 2.0)])
+    df = frame(spark, np.arange(len(points)), points).repartition(4)
+    got = neighbours(k_nearest(df, df, 3, id_col="id", vector_col="vec", exclude_self=True, max_pivots=5, donors_per_pivot=5, chunk_rows=12))
+    ids = np.arange(len(points))
+    assert got == brute(points, ids, ids, 3, exclude_self=True)
