@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.ml.base import Estimator, Model
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tabwright.functions.state import cut_lineage, local_frame
+from tabwright.functions.state import cut_lineage, local_frame, settle
 from tabwright.functions.types import replace_columns, require_columns
 from tabwright.operators.knn import k_nearest
 from tabwright.operators.profile import numeric_columns_except
@@ -209,7 +209,9 @@ def apply_and_evaluate_knn_imputation(df: DataFrame, columns: Sequence[str], hol
         try:
             # predictors come from the table as it was, not from columns filled earlier
             found, constant = _knn_fills(df, column, k, id_col, None, label_col, options)
-            report = evaluate_knn_imputation(df, column, holdout_fraction, k, id_col=id_col, label_col=label_col, **options)
+            if found is not None:  # computed here, so that an error in a task concerns this column only
+                found = cut_lineage(found)
+            report = settle(evaluate_knn_imputation(df, column, holdout_fraction, k, id_col=id_col, label_col=label_col, **options))
             report = report.withColumn("error", F.lit(None).cast("string"))
         except Exception as failure:  # noqa: BLE001  (one column must not end the run for the others)
             report = df.sparkSession.range(1).select(
