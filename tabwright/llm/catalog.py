@@ -98,7 +98,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality measures of every document, and whether it is kept."""
     return judge(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        F.round("perplexity", 4).alias("perplexity"), F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"))
+        *(F.round(c, 4).alias(c) for c in ("perplexity", "upper", "single_perplexity", "single_lower", "single_upper")))
 
 
 def op11_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,249 +1,339 @@
-"""A modified Kneser-Ney model of the letters of words, counted by Spark and kept in sorted hash arrays."""
+"""A modified Kneser-Ney model of word pairs, counted by Spark, kept and asked by range in sorted hash arrays.
+
+Texts are read once. Every slice of rows stays in a file of its own, as word codes; its distinct pairs go, as sorted
+hashes, to the part of the model they belong to. Three exchanges follow: parts of pairs add up counts, parts of words add
+up what is known of a word as a context and as a follower, and each slice gets back the values of its own pairs and words.
+So no task holds the whole model, a frequent word or pair is one entry for each slice, and the model may grow with the text.
+"""
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tabwright.functions.state import cut_lineage, scratch_path, settle, small_rows
+from tabwright.functions.state import scratch_path
 from tabwright.llm import shared_files
 from tabwright.llm.batches import slices, split_words, texts_of
-from tabwright.llm.tokens import forget
 
-ORDER = 5
-START, END = "\x02", "\x03"
 NO_LANGUAGE = "und"
-# Entries of one file, entries kept in a worker's memory at most (12 bytes each), and grams counted before they are sent on.
-BLOCK_ENTRIES, KEPT_ENTRIES, HELD_GRAMS = 4_000_000, 8_000_000, 300_000
-SCORED_WORDS = 40_000  # words scored together; each takes about a kilobyte
-GRAM, CONTEXT = 1, 2
+PAIRS, WORDS, COUNTS, CONTEXTS, FOLLOWERS, VALUES = range(6)
+MESSAGE = "part int, kind int, slice long, a binary, b binary, c binary, d binary"
+CODEC = pa.Codec("zstd", 1)
 
 
 def language_of(lang: pa.Array) -> pa.DictionaryArray:
     return lang.cast(pa.string()).fill_null(NO_LANGUAGE).dictionary_encode()
 
 
-# ---- counting -----------------------------------------------------------------------------------------------------
-
-def words_by_language(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], list[str], np.ndarray]:
+def words_by_language(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.DictionaryArray]:
     """Of (text, lang) columns 0 and 1: row offsets, for each word its pair, then of each distinct pair the language
-    number and word number, the words, the languages, and how often the pair occurs."""
+    number times the number of words plus the word number, the words, and the language of each row."""
     offsets, codes, words = split_words(texts_of(batch.column(0)))
     langs = language_of(batch.column(1))
     own = np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(offsets)).astype(np.int64)
     key = own * max(1, len(words)) + codes
     size = max(1, len(words)) * max(1, len(langs.dictionary))
     if size > 4 * len(key) + 1000:  # many languages: sort the pairs that occur
-        pairs, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
+        pairs, inverse = np.unique(key, return_inverse=True)
     else:
         times = np.bincount(key, minlength=size)
         pairs = np.flatnonzero(times)
-        counts = times[pairs]
         times[pairs] = np.arange(len(pairs))
         inverse = times[key]
-    return offsets, inverse, pairs, words.to_pylist(), langs.dictionary.to_pylist(), counts
+    return offsets, inverse, pairs, words, langs
+
+
+# ---- hashes and arrays as bytes -----------------------------------------------------------------------------------
+
+def pack(values: np.ndarray) -> bytes:
+    """An array as compressed planes of bytes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + (CODEC.compress(planes, asbytes=True) if planes else b"")
+
+
+def unpack(blob: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(blob[:8], "little")
+    if not size:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(CODEC.decompress(blob[8:], size, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def word_hashes(words: list[str], langs: list[str], pairs: np.ndarray) -> np.ndarray:
+    """32-bit hashes of (language, word) pairs, then of the starts of texts in each language."""
+    seeds = [xxhash.xxh32_intdigest(x.encode(), 7) for x in langs]
+    size = max(1, len(words))
+    own = [xxhash.xxh32_intdigest(words[w], seeds[x]) for x, w in zip((pairs // size).tolist(), (pairs % size).tolist())]
+    return np.array(own + [xxhash.xxh32_intdigest(b"", seed) for seed in seeds], np.uint64)
+
+
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    mixed = (keys ^ keys >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+
+
+def dealt(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each part the positions of its keys, in their order."""
+    own = part_of(keys, parts)
+    order = np.argsort(own, kind="stable")
+    ends = np.cumsum(np.bincount(own, minlength=parts))
+    for part in range(parts):
+        yield part, order[ends[part - 1] if part else 0:ends[part]]
+
+
+def summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order and the sums of the columns."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return (keys[first], *(np.add.reduceat(c[order], first) if len(first) else c[:0] for c in columns))
+
+
+def joined(arrays: list[np.ndarray], kind: type = np.uint64) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *arrays])
+
+
+def messages(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4)
+    columns = list(zip(*(r + (None,) * (7 - len(r)) for r in rows))) or [()] * 7
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "kind", "slice", "a", "b", "c", "d"])
+
+
+def frozen(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def thawed(raw: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(raw).read_next_batch()
+
+
+# ---- discounts ----------------------------------------------------------------------------------------------------
 
+def discounts(seen: np.ndarray) -> np.ndarray:
+    """The three modified discounts, from the numbers of entries that occur once to four times."""
+    n1, n2, n3, n4 = (float(x) for x in seen)
+    if not (n1 and n2 and n3):
+        return np.array([0.5, 1.0, 1.5])
+    y = n1 / (n1 + 2 * n2)
+    return np.array([min(k, max(0.0, k - (k + 1) * y * more / own)) for k, own, more in ((1, n1, n2), (2, n2, n3), (3, n3, n4))])
 
-def count_grams(docs: DataFrame, text_col: str, lang_col: str, order: int = ORDER) -> DataFrame:
-    """(lang, gram, c) over all words of all texts; each task sums up its own before the shuffle."""
 
-    def rows(lang: str, counter: Counter) -> pa.RecordBatch:
-        grams, counts = pa.array(counter.keys(), pa.string()), pa.array(counter.values(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.repeat(lang, len(grams)), grams, counts], names=["lang", "gram", "c"])
+def discount(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0.0], d))[np.minimum(counts, 3).astype(np.int64)]
 
+
+def occurrences(counts: np.ndarray) -> np.ndarray:
+    return np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:5]
+
+
+# ---- the three exchanges ------------------------------------------------------------------------------------------
+
+def sequence(offsets: np.ndarray, inverse: np.ndarray, lang: np.ndarray, kinds: int) -> np.ndarray:
+    """For each word the number of the word before it; at the start of a text that of its language's start."""
+    before = np.empty_like(inverse)
+    before[1:] = inverse[:-1]
+    full = np.diff(offsets) > 0
+    before[offsets[:-1][full]] = kinds + lang[full]
+    return before
+
+
+def pair_keys(hashes: np.ndarray, before: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    return hashes[before] << np.uint64(32) | hashes[inverse]
+
+
+def _sent(parts: int, folder: str, text: int, lang: int, carried: list[int], measure: Callable) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters: dict[str, Counter] = {}
-        forget()
-        for batch in (s for b in batches for s in slices(b, 0)):
-            _, _, pairs, words, langs, counts = words_by_language(batch)
-            for pair, n in zip(pairs.tolist(), counts.tolist()):
-                counter = counters.setdefault(langs[pair // len(words)], Counter())
-                padded = START * (order - 1) + words[pair % len(words)] + END
-                for k in range(len(padded) - order + 1):
-                    counter[padded[k:k + order]] += n
-            if sum(map(len, counters.values())) > HELD_GRAMS:
-                yield from (rows(*c) for c in counters.items())
-                counters = {}
-        yield from (rows(*c) for c in counters.items())
-
-    sent = docs.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string")).mapInArrow(work, "lang string, gram string, c long")
-    return sent.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
-
-
-# ---- estimation ---------------------------------------------------------------------------------------------------
-
-def discounts(counts: DataFrame) -> DataFrame:
-    """Per language the three modified discounts from the numbers of grams seen once to four times."""
-    n = {k: F.sum(F.when(F.col("c") == k, 1).otherwise(0)) for k in (1, 2, 3, 4)}
-    table = counts.groupBy("lang").agg(*(n[k].alias(f"n{k}") for k in n))
-    y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0))
-
-    def d(k: int) -> Column:
-        exact = k - (k + 1) * y * F.col(f"n{k + 1}") / F.nullif(F.col(f"n{k}"), F.lit(0))
-        usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0)
-        return F.when(usable, F.greatest(F.lit(0.0), F.least(F.lit(float(k)), exact))).otherwise(F.lit(k / 2)).alias(f"d{k}")
-
-    known = settle(table.select("lang", d(1), d(2), d(3)))
-    small_rows(known, "languages")  # an error if there are too many to broadcast
-    return F.broadcast(known)
-
-
-def estimate(grams: DataFrame, order: int = ORDER) -> DataFrame:
-    """Model entries (kind, lang, gram, value): interpolated log probabilities of all grams of all orders, and the log
-    back-off weights of their contexts.
-
-    Below the highest order a gram counts the different letters it follows, but for grams at the start of a word,
-    which keep their counts.
-    """
-    levels = {order: cut_lineage(grams)}
-    for n in range(order - 1, 0, -1):
-        shorter = levels[n + 1].groupBy("lang", F.substring("gram", 2, n).alias("gram")).agg(F.count("*").alias("kinds"), F.sum("c").alias("all"))
-        levels[n] = cut_lineage(shorter.select("lang", "gram", F.when(F.col("gram").startswith(START), F.col("all")).otherwise(F.col("kinds")).alias("c")))
-    lower, entries = None, None
-    for n in range(1, order + 1):
-        own = levels[n].join(discounts(levels[n]), "lang").withColumns({
-            "context": F.substring("gram", 1, n - 1) if n > 1 else F.lit(""),
-            "d": F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))})
-        contexts = own.groupBy("lang", "context").agg(F.sum("c").alias("total"), F.sum("d").alias("freed"), F.count("*").alias("kinds"))
-        contexts = contexts.select("lang", "context", "total", (F.col("freed") / F.col("total")).alias("gamma"), "kinds")
-        own = own.join(contexts, ["lang", "context"])
-        if lower is None:
-            base = F.lit(1.0) / (F.col("kinds") + 1)
-        else:
-            own = own.withColumn("rest", F.substring("gram", 2, n - 1)).join(lower, ["lang", "rest"])
-            base = F.col("p_lower")
-        own = cut_lineage(own.select("lang", "gram", ((F.col("c") - F.col("d")) / F.col("total") + F.col("gamma") * base).alias("p")))
-        lower = own.select("lang", F.col("gram").alias("rest"), F.col("p").alias("p_lower"))
-        weight = F.col("gamma") / (F.col("kinds") + 1) if n == 1 else F.col("gamma")
-        part = own.select(F.lit(GRAM).alias("kind"), "lang", "gram", F.log("p").alias("value")).union(
-            contexts.select(F.lit(CONTEXT).alias("kind"), "lang", F.col("context").alias("gram"), F.log(F.greatest(weight, F.lit(1e-12))).alias("value")))
-        entries = part if entries is None else entries.union(part)
-    return entries
-
-
-# ---- sorted hash arrays -------------------------------------------------------------------------------------------
-
-def gram_hashes(letters: list[np.ndarray], seeds: np.ndarray, kind: int) -> np.ndarray:
-    """A 64-bit hash of each gram, given its letters by position and a seed for its language."""
-    h = seeds ^ np.uint64(kind * 1_000_003 + len(letters))
-    for column in letters:
-        h = (h ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ h >> np.uint64(32)
-
-
-def language_seed(lang: str) -> int:
-    return xxhash.xxh64_intdigest(lang.encode(), 7)
-
-
-@dataclass
-class Model:
-    """Where the sorted arrays are: block files in ascending order of hash."""
-
-    folder: str
-    blocks: list[str]
-    entries: int
-    order: int = ORDER
-
-    def arrays(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All blocks in turn; joined to one array and kept in the worker when they are few enough."""
-        if self.entries > KEPT_ENTRIES:
-            for name in self.blocks:
-                yield _block(shared_files.get(self.folder, name))
+        context, made = TaskContext.get(), 0
+        for batch in (s for b in batches for s in slices(b, text)):
+            number = context.partitionId() << 24 | made
+            made += 1
+            pair = pa.RecordBatch.from_arrays([batch.column(text), batch.column(lang)], names=["text", "lang"])
+            offsets, inverse, pairs, words, langs = words_by_language(pair)
+            hashes = word_hashes(words.to_pylist(), langs.dictionary.to_pylist(), pairs)
+            of_row = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            rows = pa.RecordBatch.from_arrays([batch.column(k) for k in carried], schema=pa.schema([batch.schema.field(k) for k in carried])) if carried else None
+            sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False)[pairs % max(1, len(words))]
+            codes = pa.RecordBatch.from_pydict({
+                "inverse": [pack(inverse.astype(np.uint32))], "counts": [pack(np.diff(offsets))], "lang": [pack(of_row)], "hashes": [pack(hashes.astype(np.uint32))],
+                "measures": [frozen(pa.RecordBatch.from_arrays(*measure(pair, offsets, inverse, sizes)))]})
+            shared_files.put(folder, f"codes-{number}", frozen(codes), context.taskAttemptId())
+            if rows is not None:
+                shared_files.put(folder, f"rows-{number}", frozen(rows), context.taskAttemptId())
+            keys, times = np.unique(pair_keys(hashes, sequence(offsets, inverse, of_row, len(pairs)), inverse), return_counts=True)
+            out = [(part, PAIRS, number, pack(keys[at]), pack(times[at].astype(np.uint64))) for part, at in dealt(keys, parts) if len(at)]
+            own = np.unique(hashes)
+            out += [(part, WORDS, number, pack(own[at].astype(np.uint32))) for part, at in dealt(own, parts)]
+            yield messages(out)
+
+    return work
+
+
+def _rows(batch: pa.RecordBatch, *kinds: int) -> list[tuple]:
+    chosen = batch.filter(pc.is_in(batch.column(1), pa.array(kinds, pa.int32())))
+    return list(zip(*(c.to_pylist() for c in chosen.columns)))
+
+
+def _others(batch: pa.RecordBatch, *kinds: int) -> pa.RecordBatch:
+    return batch.filter(pc.invert(pc.is_in(batch.column(1), pa.array(kinds, pa.int32()))))
+
+
+def _count_pairs(parts: int) -> Callable:
+    """Adds up the pairs of a part; answers each slice, and tells the parts of words about contexts and followers."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            yield _others(batch, PAIRS)
+            held += _rows(batch, PAIRS)
+        if not held:
             return
-        if self.folder not in _KEPT:
-            _KEPT.clear()
-            parts = [_block(shared_files.get(self.folder, name)) for name in self.blocks]
-            _KEPT[self.folder] = (np.concatenate([np.zeros(0, np.uint64), *(p[0] for p in parts)]),
-                                  np.concatenate([np.zeros(0, np.float32), *(p[1] for p in parts)]))
-        yield _KEPT[self.folder]
-
-    def look_up(self, hashes: np.ndarray) -> np.ndarray:
-        """Values of the entries; NaN where there is none."""
-        out = np.full(len(hashes), np.nan)
-        for keys, values in self.arrays():
-            if len(keys) and len(hashes):
-                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-                hit = keys[at] == hashes
-                out[hit] = values[at[hit]]
-        return out
-
-    def word_scores(self, words: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log probability and number of letters (the end counts as one) of each word."""
-        parts = [self._some_scores(words[k:k + SCORED_WORDS], seeds[k:k + SCORED_WORDS]) for k in range(0, len(words), SCORED_WORDS)]
-        return (np.concatenate([np.zeros(0), *(p[0] for p in parts)]), np.concatenate([np.zeros(0, np.int64), *(p[1] for p in parts)]))
-
-    def _some_scores(self, words: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        pad = START * (self.order - 1)
-        letters = np.frombuffer("".join(pad + w + END for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        begin = np.cumsum(sizes + self.order - 1) - sizes
-        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begin, sizes)
-        seed, total = np.repeat(seeds, sizes), np.zeros(len(place))
-        left = np.arange(len(place))
-        for n in range(self.order, 0, -1):
-            window = [letters[place[left] - k] for k in range(n - 1, -1, -1)]
-            value = self.look_up(gram_hashes(window, seed[left], GRAM))
-            unseen = np.isnan(value)
-            total[left] += np.where(unseen, 0.0, value)
-            left = left[unseen]
-            if not len(left):
-                break
-            weight = self.look_up(gram_hashes([w[unseen] for w in window[:-1]], seed[left], CONTEXT))
-            total[left] += np.where(np.isnan(weight), np.log(1e-6) if n == 1 else 0.0, weight)
-        ends = np.cumsum(sizes)
-        sums = np.concatenate(([0.0], np.cumsum(total)))
-        return sums[ends] - sums[ends - sizes], sizes
-
-
-_KEPT: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _block(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(raw) // 12
-    return np.frombuffer(raw, "<u8", n), np.frombuffer(raw, "<f4", n, 8 * n)
-
-
-def store(entries: DataFrame, order: int = ORDER) -> Model:
-    """Write the entries as sorted arrays of hashes and values, by range of hash, into the shared folder."""
-    folder = scratch_path(entries.sparkSession, "model")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = summed(joined([unpack(r[3], np.uint64) for r in held]), joined([unpack(r[4], np.uint64) for r in held]))
+        for row in held:
+            yield messages([(row[0], COUNTS, row[2], pack(counts[np.searchsorted(keys, unpack(row[3], np.uint64))]))])
+        seen = occurrences(counts).astype(np.int64).tobytes()
+        classes = [(counts == k).astype(np.uint64) for k in (1, 2)] + [(counts >= 3).astype(np.uint64)]
+        before, *sums = summed(keys >> np.uint64(32), counts, *classes)
+        after, kinds = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
+        for part, at in dealt(before, parts):
+            yield messages([(part, CONTEXTS, -1, pack(before[at].astype(np.uint32)), pack(sums[0][at]), pack(joined([s[at] for s in sums[1:]])), seen)])
+        for part, at in dealt(after, parts):
+            if len(at):
+                yield messages([(part, FOLLOWERS, -1, pack(after[at].astype(np.uint32)), pack(kinds[at].astype(np.uint64)))])
+
+    return work
+
+
+def _weigh_words(parts: int) -> Callable:
+    """Adds up what is known of the words of a part, and answers each slice.
+
+    Answers hold, of each word, its count as a context, the share that its discounts set free, and the different words it
+    follows; beside them the discounts of pairs and this part's share of the numbers that those of followers need.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, told = [], []
         for batch in batches:
-            kind, grams = batch.column(0).to_numpy(), batch.column(2).to_pylist()
-            seeds = np.array([language_seed(x) for x in batch.column(1).to_pylist()], np.uint64)
-            size, h = np.fromiter(map(len, grams), np.int64, len(grams)), np.zeros(len(grams), np.uint64)
-            for k in (GRAM, CONTEXT):
-                for n in np.unique(size).tolist():
-                    rows = np.flatnonzero((kind == k) & (size == n))
-                    flat = np.frombuffer("".join(grams[r] for r in rows.tolist()).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(rows), n)
-                    h[rows] = gram_hashes([flat[:, c] for c in range(n)], seeds[rows], k)
-            yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.uint64) ^ np.uint64(1 << 63)).view(pa.int64()), batch.column(3)], names=["h", "value"])
-
-    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-        keys = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in parts)])
+            yield _others(batch, WORDS, CONTEXTS, FOLLOWERS)
+            asked += _rows(batch, WORDS)
+            told += _rows(batch, CONTEXTS, FOLLOWERS)
+        contexts, followers = [r for r in told if r[1] == CONTEXTS], [r for r in told if r[1] == FOLLOWERS]
+        if not contexts:
+            return
+        one = contexts[0][0]  # every part of pairs tells each part of words the same numbers
+        d = discounts(sum(np.frombuffer(r[6], np.int64) for r in contexts if r[0] == one))
+        sums = [unpack(r[4], np.uint64) for r in contexts]
+        classes = [unpack(r[5], np.uint64).reshape(3, -1) for r in contexts]
+        freed = [d @ c.astype(np.float64) for c in classes]
+        kinds = [unpack(r[4], np.uint64) for r in followers]
+        n, m = sum(map(len, sums)), sum(map(len, kinds))
+        words, total, free, follows = summed(
+            joined([unpack(r[3], np.uint32).astype(np.uint64) for r in contexts + followers]), np.concatenate([joined(sums), np.zeros(m, np.uint64)]),
+            np.concatenate([joined(freed, np.float64), np.zeros(m)]), np.concatenate([np.zeros(n, np.uint64), joined(kinds)]))
+        gamma = np.where(total > 0, free / np.maximum(total, 1), 1.0).astype(np.float32)
+        shares = {}
+        for part, at in dealt(words, parts):
+            own = follows[at]
+            shares[part] = np.array([*occurrences(own), (own > 0).sum(), own.sum()], np.float64)
+        for row in asked:
+            at = np.searchsorted(words, unpack(row[3], np.uint32).astype(np.uint64))
+            yield messages([(row[0], VALUES, row[2], pack(total[at]), pack(gamma[at]), pack(follows[at]), np.concatenate([d, shares[row[0]]]).tobytes())])
+
+    return work
+
+
+def pair_logs(keys_before: np.ndarray, keys_after: np.ndarray, counts: np.ndarray, total: np.ndarray, gamma: np.ndarray,
+              follows: np.ndarray, d_pairs: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of each pair, and of each word as a follower of any word.
+
+    ``share``: different followers that follow one to four words, all of them, and all different pairs.
+    """
+    d = discounts(share[:4])
+    known, pairs = share[4], max(1.0, share[5])
+    three = known - share[0] - share[1]
+    rest = (d @ np.array([share[0], share[1], three])) / pairs / (known + 1)
+    single = (follows - discount(follows, d)) / pairs + rest
+    pair = (counts - discount(counts, d_pairs)) / np.maximum(1, total[keys_before]) + gamma[keys_before] * single[keys_after]
+    return np.log(np.maximum(pair, 1e-300)), np.log(np.maximum(single, 1e-300))
+
+
+def _score(parts: int, folder: str, show: int, names: list[str]) -> Callable:
+    """Sums of log probabilities of each row of a slice, once all its answers are there."""
+
+    def finished(number: int, rows: list[tuple]) -> pa.RecordBatch:
+        codes = {n: c[0].as_py() for n, c in zip(("inverse", "counts", "lang", "hashes", "measures"), thawed(shared_files.get(folder, f"codes-{number}")).columns)}
+        inverse = unpack(codes["inverse"], np.uint32).astype(np.int64)
+        offsets = np.concatenate(([0], np.cumsum(unpack(codes["counts"], np.int64))))
+        lang, hashes = unpack(codes["lang"], np.int64), unpack(codes["hashes"], np.uint32).astype(np.uint64)
+        before = sequence(offsets, inverse, lang, len(hashes) - (int(lang.max()) + 1))
+        keys, place = np.unique(pair_keys(hashes, before, inverse), return_inverse=True)
+        counts = np.zeros(len(keys))
+        own = np.unique(hashes)
+        total, gamma, follows = np.zeros(len(own)), np.zeros(len(own)), np.zeros(len(own))
+        told = {(r[1], r[0]): r for r in rows}
+        for part, at in dealt(keys, parts):
+            if len(at):
+                counts[at] = unpack(told[COUNTS, part][3], np.uint64)
+        share = np.zeros(6)
+        for part, at in dealt(own, parts):
+            row = told.get((VALUES, part))
+            if row is not None:
+                total[at], gamma[at], follows[at] = unpack(row[3], np.uint64), unpack(row[4], np.float32), unpack(row[5], np.uint64)
+                numbers = np.frombuffer(row[6], np.float64)
+                d, share = numbers[:3], share + numbers[3:]
+        logs = singles = np.zeros(0)
         if len(keys):
-            context = TaskContext.get()
-            name = f"block-{context.partitionId():06d}"
-            values = np.concatenate([p[1] for p in parts]).astype("<f4")
-            shared_files.put(folder, name, (keys.view(np.uint64) ^ np.uint64(1 << 63)).astype("<u8").tobytes() + values.tobytes(), context.taskAttemptId())
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(keys)])], names=["name", "n"])
+            pair, single = pair_logs(np.searchsorted(own, keys >> np.uint64(32)), np.searchsorted(own, keys & np.uint64(0xFFFFFFFF)), counts, total, gamma, follows, d, share)
+            logs, singles = pair[place], single[np.searchsorted(own, hashes)][inverse]
+
+        def by_row(values: np.ndarray) -> pa.Array:
+            sums = np.concatenate(([0.0], np.cumsum(values)))
+            return pa.array(sums[offsets[1:]] - sums[offsets[:-1]])
+
+        shown = thawed(shared_files.get(folder, f"rows-{number}")).columns[:show] if show else []
+        size = len(offsets) - 1
+        return pa.RecordBatch.from_arrays([
+            pa.repeat(pa.scalar(number, pa.int64()), size), pa.array(np.arange(size)), *shown, *thawed(codes["measures"]).columns, by_row(logs), by_row(singles)], names=names)
 
-    entries = cut_lineage(entries.mapInArrow(hashed, "h long, value double"))
-    blocks = max(1, -(-entries.count() // BLOCK_ENTRIES))
-    files = entries.repartitionByRange(blocks, "h").sortWithinPartitions("h").mapInArrow(written, "name string, n long").collect()  # a row per block
-    return Model(folder, sorted(r["name"] for r in files), sum(r["n"] for r in files), order)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = None, []
+        for batch in batches:
+            for row in _rows(batch, COUNTS, VALUES):
+                if row[2] != number and held:
+                    yield finished(number, held)
+                    held = []
+                number = row[2]
+                held.append(row)
+        if held:
+            yield finished(number, held)
+
+    return work
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER) -> Model:
-    """Count all texts, estimate, and store."""
-    return store(estimate(count_grams(docs, text_col, lang_col, order), order), order)
+def scored(docs: DataFrame, text_col: str, lang_col: str, carried: list[str], show: int, measure: Callable, fields: str) -> tuple[DataFrame, str]:
+    """For each row its slice, its place there, the first ``show`` carried columns, the columns of ``measure``, the summed
+    log probability of its words, and the same from followers alone; and the folder where slices keep the carried columns.
+
+    ``measure`` gets (text, lang), row offsets, the code of each word and the length of each code, and returns columns and
+    names; ``fields`` is the schema of shown columns and measures.
+
+    Words of different languages are different words. The part count is ``spark.sql.shuffle.partitions``. A slice is read
+    again only if its task is lost, so ``docs`` has to give the same rows in the same order then, as a stored table does.
+    """
+    spark = docs.sparkSession
+    parts, folder = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch_path(spark, "slices")
+    columns = docs.columns
+    sent = docs.mapInArrow(_sent(parts, folder, columns.index(text_col), columns.index(lang_col), [columns.index(c) for c in carried], measure), MESSAGE)
+    counted = sent.repartitionById(parts, "part").mapInArrow(_count_pairs(parts), MESSAGE)
+    weighed = counted.repartitionById(parts, "part").mapInArrow(_weigh_words(parts), MESSAGE)
+    back = weighed.repartition(parts, "slice").sortWithinPartitions("slice")
+    names = ["slice", "at", *(f.split()[0] for f in fields.split(", ")), "log_p", "log_single"]
+    return back.mapInArrow(_score(parts, folder, show, names), f"slice long, at long, {fields}, log_p double, log_single double"), folder

@@ -7,18 +7,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tabwright.functions.state import cut_lineage, settle, small_rows
-from tabwright.llm.batches import slices, texts_of
-from tabwright.llm.kneser_ney import Model, language_seed, train, words_by_language
-from tabwright.llm.staging import free_names, staged
+from tabwright.llm import shared_files
+from tabwright.llm.batches import texts_of
+from tabwright.llm.kneser_ney import language_of, scored, thawed
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 0.30
-# Bands: median plus and minus so many robust standard deviations, widened for short texts.
-BAND, STEPS, LETTERS = 8.0, 500, 200
+# Bands: from a quartile so many times its distance to the tail quantile outwards, further for short texts.
+BAND, TAIL, STEPS, SHORT = 6.0, 0.10, 500, 60
+LEAST_APART = 0.1  # nats
 
 
 def repeated_words(codes: np.ndarray, offsets: np.ndarray, width: int = WINDOW) -> np.ndarray:
@@ -81,106 +82,109 @@ def symbols(texts: pa.Array) -> np.ndarray:
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+FIELDS = ", ".join(["lang string", *(f"{m} long" for m in MEASURES)])
 
 
-def measures(batch: pa.RecordBatch, model: Model) -> list[pa.Array]:
-    """Of (text, lang): language, the five measures, letters read and their summed log probability."""
+def measures(batch: pa.RecordBatch, offsets: np.ndarray, inverse: np.ndarray, sizes: np.ndarray) -> tuple[list[pa.Array], list[str]]:
+    """Of (text, lang), with words as codes and the length of each code: language and the five measures."""
     texts = texts_of(batch.column(0))
-    offsets, inverse, pairs, words, langs, _ = words_by_language(batch)
-    word_of, lang_of = pairs % max(1, len(words)), pairs // max(1, len(words))
-    seeds = np.array([language_seed(x) for x in langs], np.uint64)
-    logs, sizes = model.word_scores([words[w] for w in word_of.tolist()], seeds[lang_of])
+    chars = np.concatenate(([0], np.cumsum(sizes[inverse].astype(np.int64))))
+    found = [np.diff(offsets), chars[offsets[1:]] - chars[offsets[:-1]], symbols(texts), repeated_lines(texts), repeated_words(inverse, offsets)]
+    return [language_of(batch.column(1)).cast(pa.string()), *(pa.array(x, pa.int64()) for x in found)], ["lang", *MEASURES]
 
-    def by_row(values: np.ndarray) -> np.ndarray:
-        sums = np.concatenate(([0], np.cumsum(values[inverse])))
-        return sums[offsets[1:]] - sums[offsets[:-1]]
 
-    return [
-        batch.column(1).cast(pa.string()).fill_null("und"), pa.array(np.diff(offsets)), pa.array(by_row(sizes - 1)), pa.array(symbols(texts)),
-        pa.array(repeated_lines(texts)), pa.array(repeated_words(inverse, offsets)), pa.array(by_row(sizes)), pa.array(by_row(logs)),
-    ]
+def bands(rows: DataFrame, width: float = BAND, tail: float = TAIL) -> DataFrame:
+    """Per language the edges of the bands, over all texts that pass the limits: ``low`` of the mean log probability of a
+    word, ``single_low`` and ``single_high`` of the same from followers alone, each with its distance from a quartile.
 
+    An edge lies ``width`` times the distance between a quartile and the tail quantile behind it (at least LEAST_APART) beyond the
+    quartile. Quantiles are taken from counts in steps of 1/500, so they do not depend on how rows are dealt.
+    """
+    n = F.nullif(F.col("n_words"), F.lit(0))
+    passed = rows.where("NOT base_failed").select("lang", F.explode(F.array(
+        *(F.struct(F.lit(k).alias("of"), F.round(F.col(c) / n * STEPS).cast("long").alias("step")) for k, c in enumerate(("log_p", "log_single"))))).alias("x"))
+    counts = passed.groupBy("lang", "x.of", "x.step").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("lang", "of").orderBy("step")
+    share = counts.select("lang", "of", "step", (F.sum("n").over(order) / F.sum("n").over(Window.partitionBy("lang", "of"))).alias("share"))
 
-SCORED = ", ".join(["lang string", *(f"{m} long" for m in MEASURES), "letters long", "log_p double"])
-
+    def quantile(of: int, q: float):
+        return F.min(F.when((F.col("of") == of) & (F.col("share") >= q), F.col("step"))) / STEPS
 
-def bands(scored: DataFrame, width: float = BAND) -> DataFrame:
-    """Per language the middle and spread of the mean log probability of a letter, over all texts that pass the limits.
+    def edge(name: str, of: int, quartile: float, behind: float):
+        apart = F.greatest(F.abs(quantile(of, quartile) - quantile(of, behind)), F.lit(LEAST_APART))
+        return quantile(of, quartile).alias(name), (apart * width).alias(f"{name}_wide")
 
-    Quantiles are taken from counts in steps of 1/500, so they do not depend on how rows are dealt.
-    """
-    steps = scored.where("NOT base_failed").select("lang", F.round(F.col("log_p") / F.nullif(F.col("letters"), F.lit(0)) * STEPS).cast("long").alias("step"))
-    counts = steps.groupBy("lang", "step").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("lang").orderBy("step")
-    share = counts.select("lang", "step", (F.sum("n").over(order) / F.sum("n").over(Window.partitionBy("lang"))).alias("share"))
+    return share.groupBy("lang").agg(*edge("low", 0, 0.25, tail), *edge("single_low", 1, 0.25, tail), *edge("single_high", 1, 0.75, 1 - tail))
 
-    def quantile(q: float):
-        return F.min(F.when(F.col("share") >= q, F.col("step"))) / STEPS
 
-    spread = F.greatest((quantile(0.75) - quantile(0.25)) / 1.349, F.lit(2.0 / STEPS))
-    return share.groupBy("lang").agg(quantile(0.5).alias("middle"), (spread * width).alias("half"))
+EDGES = ("low", "low_wide", "single_low", "single_low_wide", "single_high", "single_high_wide")
 
 
 def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: float = BAND) -> DataFrame:
-    """One row per document: doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, letters, log_p,
-    base_failed, perplexity, lower, upper, kept.
+    """One row per document: doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    perplexity, upper, single_perplexity, single_lower, single_upper, kept.
 
     Limits: at least 20 words, at most 30 % of them in repeated 8-word windows. A document that passes them is kept if
-    its perplexity (of a letter, within words) lies inside the band of its language; bands are wider for short texts by
-    sqrt(1 + 200 / letters). The model counts all documents, those that fail too. Documents are read twice and
-    never shuffled; grams are summed up in each task first. Null texts have no words and fail; a null language is a
-    language of its own ('und'); null ids and repeated rows stay; an empty table gives no rows; other columns are not read.
+    its perplexity (of a word after the word before it) is not above the upper band of its language, and its perplexity
+    from followers alone (how many different words a word follows) lies between a lower and an upper one. The lower band
+    does not use pair counts, since those make every copy of a clean text predictable; followers are counted once,
+    however many copies there are. Bands are wider for short texts by sqrt(1 + 60 / words). The model counts all
+    documents, those that fail too, and a document's own words are among them. Documents are read once and never shuffled.
+    Null texts have no words and fail; a null language is a language of its own ('und'); null ids and repeated rows stay;
+    an empty table gives no rows; other columns are not read. A text above 12 MB is worked on whole.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    scored = cut_lineage(scored_rows(own, train(own)))
-    return with_verdict(scored, bands(scored, width)).drop("middle", "half")
-
-
-def scored_rows(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and measures of every row of (doc_id, text, lang)."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b, 0)):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2), *measures(batch, model)], names=["doc_id", "lang", *MEASURES, "letters", "log_p"])
-
-    rows = docs.select("text", "lang", "doc_id").mapInArrow(work, f"doc_id long, {SCORED}")
-    return rows.withColumn("base_failed", failed())
+    rows, _ = scored(own, "text", "lang", ["doc_id"], 1, measures, f"doc_id long, {FIELDS}")
+    rows = cut_lineage(rows.withColumn("base_failed", failed()))
+    return with_verdict(rows, bands(rows, width)).drop(*EDGES, "slice", "at", "log_p", "log_single")
 
 
 def failed():
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 100 * MOST_REPEATED * F.col("n_words"))
 
 
-def with_verdict(scored: DataFrame, band: DataFrame) -> DataFrame:
-    letters = F.nullif(F.col("letters"), F.lit(0))
-    mean, wide = F.col("log_p") / letters, F.col("half") * F.sqrt(1 + F.lit(LETTERS) / letters)
-    inside = F.abs(mean - F.col("middle")) <= wide
-    return scored.join(band, "lang", "left").withColumns({
-        "perplexity": F.exp(-mean), "lower": F.exp(-(F.col("middle") + wide)), "upper": F.exp(-(F.col("middle") - wide)),
-        "kept": ~F.col("base_failed") & F.coalesce(inside, F.lit(False))})
+def with_verdict(rows: DataFrame, band: DataFrame) -> DataFrame:
+    n = F.nullif(F.col("n_words"), F.lit(0))
+    pair, single, wide = F.col("log_p") / n, F.col("log_single") / n, F.sqrt(1 + F.lit(SHORT) / n)
+    low, single_low, single_high = (F.col(e) + sign * F.col(f"{e}_wide") * wide for e, sign in (("low", -1), ("single_low", -1), ("single_high", 1)))
+    inside = (pair >= low) & (single >= single_low) & (single <= single_high)
+    return rows.join(band, "lang", "left").withColumns({
+        "perplexity": F.exp(-pair), "upper": F.exp(-low), "single_perplexity": F.exp(-single), "single_lower": F.exp(-single_high),
+        "single_upper": F.exp(-single_low), "kept": ~F.col("base_failed") & F.coalesce(inside, F.lit(False))})
 
 
 def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", width: float = BAND) -> DataFrame:
-    """The documents that are kept, with all their columns. Rows are judged in place, so ids need not be unique.
+    """The documents that are kept, with all their columns. Rows are judged by their place, so ids need not be unique.
 
-    Rows are written once with their measures beside them; the bands and the verdicts are taken from there.
+    Rows wait in the files of their slices; only places and verdicts are shuffled.
     """
-    columns, plain = docs.columns, ["lang", *MEASURES, "letters", "log_p"]
-    extra = free_names(columns, [f"_quality_{n}" for n in plain])
-    text_at, lang_at = columns.index(text_col), columns.index(lang_col)
-    model = train(docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b, text_at)):
-            pair = pa.RecordBatch.from_arrays([batch.column(text_at), batch.column(lang_at)], names=["text", "lang"])
-            yield pa.RecordBatch.from_arrays([*batch.columns, *measures(pair, model)], names=[*columns, *extra])
-
-    fields = T.StructType([*docs.schema, *(T.StructField(e, f.dataType) for e, f in zip(extra, T.StructType.fromDDL(SCORED)))])
-    marked = staged(docs.mapInArrow(work, fields), "judged")
-    scored = marked.toDF(*[f"_{k}" for k in range(len(columns))], *plain)
-    scored = scored.withColumn("base_failed", failed())
-    band = settle(bands(scored, width))
+    columns = docs.columns
+    plain = docs.toDF(*[f"_{k}" for k in range(len(columns))])
+    rows, folder = scored(plain, f"_{columns.index(text_col)}", f"_{columns.index(lang_col)}", plain.columns, 0, measures, FIELDS)
+    rows = cut_lineage(rows.withColumn("base_failed", failed()))
+    band = settle(bands(rows, width))
     small_rows(band, "languages")  # an error if there are too many to broadcast
-    kept = with_verdict(scored, F.broadcast(band)).where("kept")
-    return kept.select([F.col(f"_{k}").alias(c) for k, c in enumerate(columns)])
+    places = with_verdict(rows, F.broadcast(band)).where("kept").select("slice", "at")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = None, []
+
+        def chosen() -> Iterator[pa.RecordBatch]:
+            if held:
+                own = thawed(shared_files.get(folder, f"rows-{number}")).take(pa.array(np.concatenate(held)))
+                yield from (own.slice(k, 5_000) for k in range(0, own.num_rows, 5_000))
+
+        for batch in batches:
+            of, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a < b:
+                    if of[a] != number:
+                        yield from chosen()
+                        number, held = int(of[a]), []
+                    held.append(at[a:b])
+        yield from chosen()
+
+    kept = places.repartition(parts, "slice").sortWithinPartitions("slice", "at").mapInArrow(read, plain.schema)
+    return kept.toDF(*columns)

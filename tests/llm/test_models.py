@@ -11,66 +11,122 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabwright.llm.kneser_ney import END, START, count_grams, estimate, train
-from tabwright.llm.quality import judge, keep_good
+from tabwright.llm.kneser_ney import scored
+from tabwright.llm.quality import FIELDS, bands, judge, keep_good, measures
 from tabwright.llm.similarity import one_of_each_group
 from tabwright.llm.toxicity import LabelModel, calibrated, fit_linear, label_model, score_toxicity
 from tests.llm.test_exact import LOWER, ODD
 
 SYLLABLES = "ka lo mi tu re sa no pe vi du".split()
+WORDS = [a + b for a in SYLLABLES for b in SYLLABLES]
 
 
 def prose(rng, words, syllables=SYLLABLES):
     return " ".join("".join(rng.choice(syllables) for _ in range(rng.choice([1, 2, 2, 3]))) for _ in range(words))
 
 
-def kneser_ney(texts, order):
-    """Interpolated modified Kneser-Ney with plain dictionaries: probabilities of all seen grams."""
-    counts = {order: collections.Counter()}
-    for t in texts:
-        for w in re.findall(r"[^\x20\x09-\x0d]+", t):
-            padded = START * (order - 1) + w + END
-            counts[order].update(padded[k:k + order] for k in range(len(padded) - order + 1))
-    for n in range(order - 1, 0, -1):
-        counts[n] = collections.Counter()
-        for g, c in counts[n + 1].items():
-            counts[n][g[1:]] += c if g[1] == START else 1
-    p = {}
-    for n in range(1, order + 1):
-        seen = collections.Counter(counts[n].values())
-        if all(seen[k] for k in (1, 2, 3)):
-            y = seen[1] / (seen[1] + 2 * seen[2])
-            d = {k: min(k, max(0.0, k - (k + 1) * y * seen[k + 1] / seen[k])) for k in (1, 2, 3)}
-        else:
-            d = {1: 0.5, 2: 1.0, 3: 1.5}
-        total, freed, kinds = collections.Counter(), collections.Counter(), collections.Counter()
-        for g, c in counts[n].items():
-            total[g[:-1]] += c
-            freed[g[:-1]] += d[min(c, 3)]
-            kinds[g[:-1]] += 1
-        for g, c in counts[n].items():
-            lower = p[g[1:]] if n > 1 else 1 / (kinds[""] + 1)
-            p[g] = (c - d[min(c, 3)]) / total[g[:-1]] + freed[g[:-1]] / total[g[:-1]] * lower
-    return p
-
-
-def test_kneser_ney_against_dictionaries(corpus):
+def kneser_ney(rows):
+    """Interpolated modified Kneser-Ney over word pairs with plain dictionaries: summed logs of each (text, lang)."""
+
+    def discounts(values):
+        seen = collections.Counter(values)
+        if not all(seen[k] for k in (1, 2, 3)):
+            return {0: 0.0, 1: 0.5, 2: 1.0, 3: 1.5}
+        y = seen[1] / (seen[1] + 2 * seen[2])
+        return {0: 0.0} | {k: min(k, max(0.0, k - (k + 1) * y * seen[k + 1] / seen[k])) for k in (1, 2, 3)}
+
+    texts = []
+    for text, lang in rows:
+        words = [(lang or "und", w) for w in re.findall(r"[^\x20\x09-\x0d]+", text or "")]
+        texts.append(list(zip([(lang or "und", None), *words], words)))
+    pairs = collections.Counter(p for t in texts for p in t)
+    total, freed, follows = collections.Counter(), collections.Counter(), collections.Counter(w for _, w in pairs)
+    d, e = discounts(pairs.values()), discounts(follows.values())
+    for (v, _), c in pairs.items():
+        total[v] += c
+        freed[v] += d[min(c, 3)]
+    rest = sum(e[min(n, 3)] for n in follows.values()) / max(1, len(pairs)) / (len(follows) + 1)
+    single = {w: (n - e[min(n, 3)]) / len(pairs) + rest for w, n in follows.items()}
+    log = {(v, w): math.log((c - d[min(c, 3)]) / total[v] + freed[v] / total[v] * single[w]) for (v, w), c in pairs.items()}
+    return [(sum(log[p] for p in t), sum(math.log(single[w]) for _, w in t)) for t in texts]
+
+
+@pytest.mark.parametrize("slice_bytes", [12_000_000, 700])
+def test_kneser_ney_against_dictionaries(corpus, monkeypatch, slice_bytes):
+    from tabwright.llm import batches
+
+    monkeypatch.setattr(batches.slices, "__defaults__", (slice_bytes,))
     rng = random.Random(1)
-    texts = [prose(rng, 60) for _ in range(30)]
-    docs = corpus([(k, t) for k, t in enumerate(texts)])
-    want = kneser_ney(texts, 4)
-    got = {r.gram: r.value for r in estimate(count_grams(docs, "text", "lang", 4), 4).where("kind = 1").collect()}
-    assert set(got) == set(want)
-    assert all(abs(math.exp(got[g]) - want[g]) < 1e-9 for g in want)
-    model = train(docs, order=4)
-    from tabwright.llm.kneser_ney import language_seed
+    rows = [(k, prose(rng, rng.choice([1, 5, 60, 200])), rng.choice(["en", "de", None])) for k in range(60)]
+    rows += [(*r, "en") for r in ODD] + [(100, rows[2][1], "en"), (101, "same " * 300, None)]
+    want = collections.Counter((round(a, 2), round(b, 2)) for a, b in kneser_ney([(t, lang) for _, t, lang in rows]))
+    found, _ = scored(corpus(rows), "text", "lang", [], 0, measures, FIELDS)
+    got = collections.Counter((round(r.log_p, 2), round(r.log_single, 2)) for r in found.collect())
+    near = [(p, q) for p, q in zip(sorted(want.elements()), sorted(got.elements()))]
+    assert len(near) == len(rows) == sum(got.values())
+    assert all(abs(a - b) < 0.02 + 1e-5 * abs(a) for p, q in near for a, b in zip(p, q))
+
+
+def test_discounts_and_probabilities_add_up():
     import numpy as np
-    word = texts[0].split()[0]
-    padded = START * 3 + word + END
-    logs, size = model.word_scores([word, "zzzz"], np.array([language_seed("en")] * 2, np.uint64))
-    assert size.tolist() == [len(word) + 1, 5]
-    assert abs(logs[0] - sum(math.log(want[padded[k:k + 4]]) for k in range(len(word) + 1))) < 1e-3
-    assert logs[1] < -5 * 2
+    from tabwright.llm.kneser_ney import discounts, pair_logs
+
+    assert discounts(np.array([0, 5, 2, 1])).tolist() == [0.5, 1.0, 1.5]
+    rng = np.random.default_rng(5)
+    table = rng.poisson(0.8, (30, 40))
+    table = table[:, table.sum(0) > 0]
+    table = table[table.sum(1) > 0]
+    v, w = np.nonzero(np.ones_like(table))
+    seen = np.bincount(np.minimum(table[table > 0], 5), minlength=6)[1:5]
+    d = discounts(seen)
+    follows = (table > 0).sum(0)
+    shares = np.array([*np.bincount(np.minimum(follows, 5), minlength=6)[1:5], len(follows), follows.sum()], float)
+    total = table.sum(1)
+    gamma = np.concatenate(([0.0], d))[np.minimum(table, 3)].sum(1) / total
+    pair, single = pair_logs(v, w, table.ravel(), total, gamma, follows, d, shares)
+    unknown = 1 - np.exp(single).sum()  # kept for one word never seen
+    assert 0 < unknown < 0.05
+    assert np.allclose(np.exp(pair).reshape(table.shape).sum(1) + gamma * unknown, 1)
+
+
+def test_word_order_leaves_the_band(corpus):
+    """A text of usual words in an order that no other text has is less probable than any text in the usual order."""
+    rng = random.Random(12)
+    order = {w: [rng.choice(WORDS) for _ in range(3)] for w in WORDS}
+
+    def chain(n):
+        out = [rng.choice(WORDS)]
+        while len(out) < n:
+            out.append(rng.choice(order[out[-1]]))
+        return out
+
+    rows = [(k, " ".join(chain(rng.choice([60, 150]))), "en") for k in range(300)]
+    mixed = []
+    for k in range(6):
+        words = chain(400)
+        rng.shuffle(words)
+        mixed.append((1000 + k, " ".join(words), "en"))
+    got = {r.doc_id: r for r in judge(corpus(rows + mixed)).collect()}
+    assert all(got[i].kept for i, _, _ in rows)
+    assert all(not got[i].kept and got[i].perplexity > got[i].upper for i, _, _ in mixed)
+    assert all(got[i].single_lower <= got[i].single_perplexity <= got[i].single_upper for i, _, _ in mixed)
+
+
+def test_bands_against_sorted_values(spark):
+    rng = random.Random(6)
+    rows = [(lang, n, rng.gauss(-7, 0.4) * n, rng.gauss(-9, 0.2) * n, rng.random() < 0.1) for lang in ("en", "de") for n in [rng.randrange(20, 300) for _ in range(150)]]
+    rows += [("xx", 50, -300.0, -400.0, False), ("en", 0, 0.0, 0.0, True)]
+    got = {r.lang: r for r in bands(spark.createDataFrame(rows, "lang string, n_words long, log_p double, log_single double, base_failed boolean")).collect()}
+    assert set(got) == {"en", "de", "xx"}
+    for lang in got:
+        pair, single = (sorted(math.floor(abs(r[k] / r[1]) * 500 + 0.5) / -500 for r in rows if r[0] == lang and not r[4]) for k in (2, 3))
+
+        def at(values, q):
+            return next(x for k, x in enumerate(values) if (k + 1) / len(values) >= q)
+
+        for name, values, quartile, behind in (("low", pair, 0.25, 0.1), ("single_low", single, 0.25, 0.1), ("single_high", single, 0.75, 0.9)):
+            assert abs(got[lang][name] - at(values, quartile)) < 1e-9
+            assert abs(got[lang][f"{name}_wide"] - 6 * max(0.1, abs(at(values, quartile) - at(values, behind)))) < 1e-6
 
 
 def test_quality(corpus):
@@ -90,7 +146,7 @@ def test_quality(corpus):
             sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(repeated))
         assert r.base_failed == (len(w) < 20 or 100 * len(repeated) > 30 * len(w))
     assert all(got[i, len(t.split())].kept for i, t, _ in rows[:200])
-    assert not got[1000, 80].kept and got[1000, 80].perplexity > got[1000, 80].upper and not got[1001, 100].kept
+    assert not got[1000, 80].kept and got[1000, 80].single_perplexity > got[1000, 80].single_upper and not got[1001, 100].kept
     kept = collections.Counter(r.doc_id for r in keep_good(docs).collect())
     assert kept == collections.Counter(r.doc_id for r in got.values() if r.kept)
     assert judge(corpus([])).count() == 0
