@@ -1,14 +1,17 @@
 """A modified Kneser-Ney model of word pairs, counted by Spark, kept and asked by range in sorted hash arrays.
 
-Texts are read once. Every slice of rows stays in a file of its own, as word codes; its distinct pairs go, as sorted
-hashes, to the part of the model they belong to. Three exchanges follow: parts of pairs add up counts, parts of words add
-up what is known of a word as a context and as a follower, and each slice gets back the values of its own pairs and words.
-So no task holds the whole model, a frequent word or pair is one entry for each slice, and the model may grow with the text.
+Texts are read once. Every slice of rows stays in a file of its own, as word codes. Four exchanges follow. The sorted hashes
+of a slice's distinct pairs go to the parts of the model they belong to, which add up counts and answer; one of the slices
+that hold a pair is told to own it. Slices add up what their own pairs say about a word, as a context and as a follower, and
+send it to the parts of words, which add up and answer each slice about its words. So no task holds the whole model, a
+frequent word or pair is one entry for each slice, and the model may grow with the text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +25,10 @@ from tabwright.llm import shared_files
 from tabwright.llm.batches import slices, split_words, texts_of
 
 NO_LANGUAGE = "und"
-PAIRS, WORDS, COUNTS, CONTEXTS, FOLLOWERS, VALUES = range(6)
-MESSAGE = "part int, kind int, slice long, a binary, b binary, c binary, d binary"
-CODEC = pa.Codec("zstd", 1)
+MESSAGE = "part int, slice long, a binary, b binary, c binary, d binary"
+CODEC = pa.Codec("zstd", 3)
+SLICE_BYTES = 32_000_000  # larger slices repeat fewer pairs
+WORD_BITS, PAIR_BITS = 32, 44
 
 
 def language_of(lang: pa.Array) -> pa.DictionaryArray:
@@ -73,18 +77,23 @@ def word_hashes(words: list[str], langs: list[str], pairs: np.ndarray) -> np.nda
     return np.array(own + [xxhash.xxh32_intdigest(b"", seed) for seed in seeds], np.uint64)
 
 
-def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    mixed = (keys ^ keys >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+def edges(bits: int, parts: int) -> np.ndarray:
+    """Where the parts of a range of hashes begin, and its end."""
+    return np.array([(k << bits) // parts for k in range(parts + 1)], np.uint64)
 
 
-def dealt(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each part the positions of its keys, in their order."""
-    own = part_of(keys, parts)
-    order = np.argsort(own, kind="stable")
-    ends = np.cumsum(np.bincount(own, minlength=parts))
-    for part in range(parts):
-        yield part, order[ends[part - 1] if part else 0:ends[part]]
+def dealt(keys: np.ndarray, bits: int, parts: int) -> Iterator[tuple[int, slice]]:
+    """For each part the stretch of sorted keys it holds."""
+    cuts = np.searchsorted(keys, edges(bits, parts)).tolist()
+    return ((part, slice(cuts[part], cuts[part + 1])) for part in range(parts))
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=keys[:0].dtype.type(0)))
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob, np.uint64), dtype=np.uint64)
 
 
 def summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -100,9 +109,9 @@ def joined(arrays: list[np.ndarray], kind: type = np.uint64) -> np.ndarray:
 
 
 def messages(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4)
-    columns = list(zip(*(r + (None,) * (7 - len(r)) for r in rows))) or [()] * 7
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "kind", "slice", "a", "b", "c", "d"])
+    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+    columns = zip(*(r + (None,) * (6 - len(r)) for r in rows))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "slice", "a", "b", "c", "d"])
 
 
 def frozen(batch: pa.RecordBatch) -> bytes:
@@ -135,124 +144,155 @@ def occurrences(counts: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:5]
 
 
-# ---- the three exchanges ------------------------------------------------------------------------------------------
-
-def sequence(offsets: np.ndarray, inverse: np.ndarray, lang: np.ndarray, kinds: int) -> np.ndarray:
-    """For each word the number of the word before it; at the start of a text that of its language's start."""
-    before = np.empty_like(inverse)
-    before[1:] = inverse[:-1]
-    full = np.diff(offsets) > 0
-    before[offsets[:-1][full]] = kinds + lang[full]
-    return before
-
+# ---- the four exchanges -------------------------------------------------------------------------------------------
+
+@dataclass
+class Slice:
+    """The words of some rows as codes: row offsets, code of each word, language of each row, hash of each code; the
+    hashes of the languages' starts come last."""
+
+    offsets: np.ndarray
+    inverse: np.ndarray
+    lang: np.ndarray
+    hashes: np.ndarray
+    kinds: int
+
+    def before(self) -> np.ndarray:
+        """For each word the code of the word before it; at the start of a text that of its language's start."""
+        out = np.empty_like(self.inverse)
+        out[1:] = self.inverse[:-1]
+        full = np.diff(self.offsets) > 0
+        out[self.offsets[:-1][full]] = self.kinds + self.lang[full]
+        return out
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct pairs as sorted hashes, the pair of each word, how often each occurs, and its two words as codes."""
+        before = self.before()
+        keys = self.hashes[before] << np.uint64(32) | self.hashes[self.inverse]
+        for shift, factor in ((32, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9)):
+            keys = (keys ^ keys >> np.uint64(shift)) * np.uint64(factor)
+        keys, first, place, counts = np.unique(keys >> np.uint64(64 - PAIR_BITS), return_index=True, return_inverse=True, return_counts=True)
+        return keys, place, counts, before[first], self.inverse[first]
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes, sorted, and the place of each code among them."""
+        return np.unique(self.hashes, return_inverse=True)
+
+    def put(self, folder: str, number: int, measured: bytes, attempt: int) -> None:
+        codes = {"inverse": pack(self.inverse.astype(np.uint32)), "counts": pack(np.diff(self.offsets)), "lang": pack(self.lang),
+                 "hashes": pack(self.hashes.astype(np.uint32)), "kinds": self.kinds.to_bytes(8, "little"), "measures": measured}
+        shared_files.put(folder, f"codes-{number}", frozen(pa.RecordBatch.from_pydict({n: [c] for n, c in codes.items()})), attempt)
+
+    @staticmethod
+    def get(folder: str, number: int) -> tuple[Slice, bytes]:
+        codes = [c[0].as_py() for c in thawed(shared_files.get(folder, f"codes-{number}")).columns]
+        offsets = np.concatenate(([0], np.cumsum(unpack(codes[1], np.int64))))
+        return Slice(offsets, unpack(codes[0], np.uint32).astype(np.int64), unpack(codes[2], np.int64),
+                     unpack(codes[3], np.uint32).astype(np.uint64), int.from_bytes(codes[4], "little")), codes[5]
+
+
+def _cut(parts: int, folder: str, text: int, lang: int, carried: list[int], measure: Callable) -> Callable:
+    """Stores slices, and sends each part of the pairs the hashes of its own; all parts hear of all slices."""
 
-def pair_keys(hashes: np.ndarray, before: np.ndarray, inverse: np.ndarray) -> np.ndarray:
-    return hashes[before] << np.uint64(32) | hashes[inverse]
-
-
-def _sent(parts: int, folder: str, text: int, lang: int, carried: list[int], measure: Callable) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, made = TaskContext.get(), 0
-        for batch in (s for b in batches for s in slices(b, text)):
+        for batch in (s for b in batches for s in slices(b, text, SLICE_BYTES)):
             number = context.partitionId() << 24 | made
             made += 1
             pair = pa.RecordBatch.from_arrays([batch.column(text), batch.column(lang)], names=["text", "lang"])
-            offsets, inverse, pairs, words, langs = words_by_language(pair)
-            hashes = word_hashes(words.to_pylist(), langs.dictionary.to_pylist(), pairs)
-            of_row = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            rows = pa.RecordBatch.from_arrays([batch.column(k) for k in carried], schema=pa.schema([batch.schema.field(k) for k in carried])) if carried else None
-            sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False)[pairs % max(1, len(words))]
-            codes = pa.RecordBatch.from_pydict({
-                "inverse": [pack(inverse.astype(np.uint32))], "counts": [pack(np.diff(offsets))], "lang": [pack(of_row)], "hashes": [pack(hashes.astype(np.uint32))],
-                "measures": [frozen(pa.RecordBatch.from_arrays(*measure(pair, offsets, inverse, sizes)))]})
-            shared_files.put(folder, f"codes-{number}", frozen(codes), context.taskAttemptId())
-            if rows is not None:
+            offsets, inverse, kinds, words, langs = words_by_language(pair)
+            sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False)[kinds % max(1, len(words))]
+            measured = frozen(pa.RecordBatch.from_arrays(*measure(pair, offsets, inverse, sizes)))
+            own = Slice(offsets, inverse, langs.indices.to_numpy(zero_copy_only=False).astype(np.int64),
+                        word_hashes(words.to_pylist(), langs.dictionary.to_pylist(), kinds), len(kinds))
+            own.put(folder, number, measured, context.taskAttemptId())
+            if carried:
+                rows = pa.RecordBatch.from_arrays([batch.column(k) for k in carried], schema=pa.schema([batch.schema.field(k) for k in carried]))
                 shared_files.put(folder, f"rows-{number}", frozen(rows), context.taskAttemptId())
-            keys, times = np.unique(pair_keys(hashes, sequence(offsets, inverse, of_row, len(pairs)), inverse), return_counts=True)
-            out = [(part, PAIRS, number, pack(keys[at]), pack(times[at].astype(np.uint64))) for part, at in dealt(keys, parts) if len(at)]
-            own = np.unique(hashes)
-            out += [(part, WORDS, number, pack(own[at].astype(np.uint32))) for part, at in dealt(own, parts)]
-            yield messages(out)
+            keys, _, counts, _, _ = own.pairs()
+            yield messages([(part, number, pack_sorted(keys[at]), pack(counts[at].astype(np.uint64))) for part, at in dealt(keys, PAIR_BITS, parts)])
 
     return work
 
 
-def _rows(batch: pa.RecordBatch, *kinds: int) -> list[tuple]:
-    chosen = batch.filter(pc.is_in(batch.column(1), pa.array(kinds, pa.int32())))
-    return list(zip(*(c.to_pylist() for c in chosen.columns)))
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-def _others(batch: pa.RecordBatch, *kinds: int) -> pa.RecordBatch:
-    return batch.filter(pc.invert(pc.is_in(batch.column(1), pa.array(kinds, pa.int32()))))
+def _by_slice(work: Callable[[int, list[tuple]], pa.RecordBatch]) -> Callable:
+    """Calls ``work`` with all messages to one slice, in order of part; rows have to come sorted by slice and part."""
+    return lambda batches: (work(number, list(rows)) for number, rows in groupby(_rows(batches), key=lambda r: r[1]))
 
 
 def _count_pairs(parts: int) -> Callable:
-    """Adds up the pairs of a part; answers each slice, and tells the parts of words about contexts and followers."""
+    """Adds up the pairs of a part. Answers hold, of each pair, twice its count, and one more for the slice that owns it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in batches:
-            yield _others(batch, PAIRS)
-            held += _rows(batch, PAIRS)
-        if not held:
-            return
-        keys, counts = summed(joined([unpack(r[3], np.uint64) for r in held]), joined([unpack(r[4], np.uint64) for r in held]))
-        for row in held:
-            yield messages([(row[0], COUNTS, row[2], pack(counts[np.searchsorted(keys, unpack(row[3], np.uint64))]))])
-        seen = occurrences(counts).astype(np.int64).tobytes()
-        classes = [(counts == k).astype(np.uint64) for k in (1, 2)] + [(counts >= 3).astype(np.uint64)]
-        before, *sums = summed(keys >> np.uint64(32), counts, *classes)
-        after, kinds = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
-        for part, at in dealt(before, parts):
-            yield messages([(part, CONTEXTS, -1, pack(before[at].astype(np.uint32)), pack(sums[0][at]), pack(joined([s[at] for s in sums[1:]])), seen)])
-        for part, at in dealt(after, parts):
-            if len(at):
-                yield messages([(part, FOLLOWERS, -1, pack(after[at].astype(np.uint32)), pack(kinds[at].astype(np.uint64)))])
+        held = sorted(_rows(batches), key=lambda r: r[:2])
+        own = [unpack_sorted(r[2]) for r in held]
+        ends = np.cumsum([0, *map(len, own)])
+        keys = joined(own)
+        del own
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+        first = np.concatenate(([True], ordered[1:] != ordered[:-1])) if len(keys) else np.zeros(0, bool)
+        counts = joined([unpack(r[3], np.uint64) for r in held])[order]
+        sums = np.add.reduceat(counts, np.flatnonzero(first)) if len(keys) else counts
+        answers = np.empty(len(keys), np.uint64)
+        answers[order] = sums[np.cumsum(first) - 1] * np.uint64(2) + first
+        seen = {part: occurrences(sums[at]).astype(np.int64).tobytes() for part, at in dealt(ordered[first], PAIR_BITS, parts)}
+        for k, row in enumerate(held):
+            yield messages([(row[0], row[1], pack(answers[ends[k]:ends[k + 1]]), seen[row[0]])])
 
     return work
 
 
-def _weigh_words(parts: int) -> Callable:
-    """Adds up what is known of the words of a part, and answers each slice.
+def _tell_words(parts: int, folder: str) -> Callable:
+    """A slice that has the counts of its pairs keeps them and sends each part of the words what its own pairs say:
+    counts as a context, the counts that discounts set free, and different followed words."""
 
-    Answers hold, of each word, its count as a context, the share that its discounts set free, and the different words it
-    follows; beside them the discounts of pairs and this part's share of the numbers that those of followers need.
-    """
+    def work(number: int, rows: list[tuple]) -> pa.RecordBatch:
+        answers = joined([unpack(r[2], np.uint64) for r in rows])
+        d = discounts(sum(np.frombuffer(r[3], np.int64) for r in rows))
+        kept = pa.RecordBatch.from_pydict({"counts": [pack(answers >> np.uint64(1))], "d": [d.tobytes()]})
+        shared_files.put(folder, f"counts-{number}", frozen(kept), TaskContext.get().taskAttemptId())
+        own, _ = Slice.get(folder, number)
+        _, _, _, before, after = own.pairs()
+        words, place = own.words()
+        owned = (answers & np.uint64(1)) > 0
+        counts = (answers >> np.uint64(1))[owned]
+        v, w = place[before[owned]], place[after[owned]]
+        total = np.bincount(v, counts, len(words)).astype(np.uint64)
+        free = np.bincount(v, discount(counts, d), len(words)).astype(np.float32)
+        follows = np.bincount(w, minlength=len(words)).astype(np.uint64)
+        return messages([(part, number, pack_sorted(words[at]), pack(total[at]), pack(free[at]), pack(follows[at])) for part, at in dealt(words, WORD_BITS, parts)])
+
+    return _by_slice(work)
+
+
+def _weigh_words(parts: int) -> Callable:
+    """Adds up what is known of the words of a part. Answers hold, of each word, its count as a context, the share that
+    discounts set free, and the different words it follows; beside them the part's share of the numbers discounts need."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, told = [], []
-        for batch in batches:
-            yield _others(batch, WORDS, CONTEXTS, FOLLOWERS)
-            asked += _rows(batch, WORDS)
-            told += _rows(batch, CONTEXTS, FOLLOWERS)
-        contexts, followers = [r for r in told if r[1] == CONTEXTS], [r for r in told if r[1] == FOLLOWERS]
-        if not contexts:
-            return
-        one = contexts[0][0]  # every part of pairs tells each part of words the same numbers
-        d = discounts(sum(np.frombuffer(r[6], np.int64) for r in contexts if r[0] == one))
-        sums = [unpack(r[4], np.uint64) for r in contexts]
-        classes = [unpack(r[5], np.uint64).reshape(3, -1) for r in contexts]
-        freed = [d @ c.astype(np.float64) for c in classes]
-        kinds = [unpack(r[4], np.uint64) for r in followers]
-        n, m = sum(map(len, sums)), sum(map(len, kinds))
+        held = sorted(_rows(batches), key=lambda r: r[:2])
         words, total, free, follows = summed(
-            joined([unpack(r[3], np.uint32).astype(np.uint64) for r in contexts + followers]), np.concatenate([joined(sums), np.zeros(m, np.uint64)]),
-            np.concatenate([joined(freed, np.float64), np.zeros(m)]), np.concatenate([np.zeros(n, np.uint64), joined(kinds)]))
+            joined([unpack_sorted(r[2]) for r in held]), joined([unpack(r[3], np.uint64) for r in held]),
+            joined([unpack(r[4], np.float32).astype(np.float64) for r in held], np.float64), joined([unpack(r[5], np.uint64) for r in held]))
         gamma = np.where(total > 0, free / np.maximum(total, 1), 1.0).astype(np.float32)
-        shares = {}
-        for part, at in dealt(words, parts):
-            own = follows[at]
-            shares[part] = np.array([*occurrences(own), (own > 0).sum(), own.sum()], np.float64)
-        for row in asked:
-            at = np.searchsorted(words, unpack(row[3], np.uint32).astype(np.uint64))
-            yield messages([(row[0], VALUES, row[2], pack(total[at]), pack(gamma[at]), pack(follows[at]), np.concatenate([d, shares[row[0]]]).tobytes())])
+        shares = {part: np.array([*occurrences(follows[at]), (follows[at] > 0).sum(), follows[at].sum()], np.float64).tobytes()
+                  for part, at in dealt(words, WORD_BITS, parts)}
+        for row in held:
+            at = np.searchsorted(words, unpack_sorted(row[2]))
+            yield messages([(row[0], row[1], pack(total[at]), pack(gamma[at]), pack(follows[at]), shares[row[0]])])
 
     return work
 
 
-def pair_logs(keys_before: np.ndarray, keys_after: np.ndarray, counts: np.ndarray, total: np.ndarray, gamma: np.ndarray,
+def pair_logs(context: np.ndarray, word: np.ndarray, counts: np.ndarray, total: np.ndarray, gamma: np.ndarray,
               follows: np.ndarray, d_pairs: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of each pair, and of each word as a follower of any word.
+    """Log probability of each pair of words, given their places, and of each word as a follower of any word.
 
     ``share``: different followers that follow one to four words, all of them, and all different pairs.
     """
@@ -261,61 +301,33 @@ def pair_logs(keys_before: np.ndarray, keys_after: np.ndarray, counts: np.ndarra
     three = known - share[0] - share[1]
     rest = (d @ np.array([share[0], share[1], three])) / pairs / (known + 1)
     single = (follows - discount(follows, d)) / pairs + rest
-    pair = (counts - discount(counts, d_pairs)) / np.maximum(1, total[keys_before]) + gamma[keys_before] * single[keys_after]
+    pair = (counts - discount(counts, d_pairs)) / np.maximum(1, total[context]) + gamma[context] * single[word]
     return np.log(np.maximum(pair, 1e-300)), np.log(np.maximum(single, 1e-300))
 
 
-def _score(parts: int, folder: str, show: int, names: list[str]) -> Callable:
+def _score(folder: str, show: int, names: list[str]) -> Callable:
     """Sums of log probabilities of each row of a slice, once all its answers are there."""
 
-    def finished(number: int, rows: list[tuple]) -> pa.RecordBatch:
-        codes = {n: c[0].as_py() for n, c in zip(("inverse", "counts", "lang", "hashes", "measures"), thawed(shared_files.get(folder, f"codes-{number}")).columns)}
-        inverse = unpack(codes["inverse"], np.uint32).astype(np.int64)
-        offsets = np.concatenate(([0], np.cumsum(unpack(codes["counts"], np.int64))))
-        lang, hashes = unpack(codes["lang"], np.int64), unpack(codes["hashes"], np.uint32).astype(np.uint64)
-        before = sequence(offsets, inverse, lang, len(hashes) - (int(lang.max()) + 1))
-        keys, place = np.unique(pair_keys(hashes, before, inverse), return_inverse=True)
-        counts = np.zeros(len(keys))
-        own = np.unique(hashes)
-        total, gamma, follows = np.zeros(len(own)), np.zeros(len(own)), np.zeros(len(own))
-        told = {(r[1], r[0]): r for r in rows}
-        for part, at in dealt(keys, parts):
-            if len(at):
-                counts[at] = unpack(told[COUNTS, part][3], np.uint64)
-        share = np.zeros(6)
-        for part, at in dealt(own, parts):
-            row = told.get((VALUES, part))
-            if row is not None:
-                total[at], gamma[at], follows[at] = unpack(row[3], np.uint64), unpack(row[4], np.float32), unpack(row[5], np.uint64)
-                numbers = np.frombuffer(row[6], np.float64)
-                d, share = numbers[:3], share + numbers[3:]
-        logs = singles = np.zeros(0)
-        if len(keys):
-            pair, single = pair_logs(np.searchsorted(own, keys >> np.uint64(32)), np.searchsorted(own, keys & np.uint64(0xFFFFFFFF)), counts, total, gamma, follows, d, share)
-            logs, singles = pair[place], single[np.searchsorted(own, hashes)][inverse]
+    def work(number: int, rows: list[tuple]) -> pa.RecordBatch:
+        own, measured = Slice.get(folder, number)
+        packed, d = (c[0].as_py() for c in thawed(shared_files.get(folder, f"counts-{number}")).columns)
+        _, pair_of, _, before, after = own.pairs()
+        _, place = own.words()
+        total, gamma, follows = (joined([unpack(r[k], kind) for r in rows], kind) for k, kind in ((2, np.uint64), (3, np.float32), (4, np.uint64)))
+        share = sum(np.frombuffer(r[5], np.float64) for r in rows)
+        pair, single = pair_logs(place[before], place[after], unpack(packed, np.uint64), total, gamma.astype(np.float64), follows, np.frombuffer(d, np.float64), share)
 
         def by_row(values: np.ndarray) -> pa.Array:
             sums = np.concatenate(([0.0], np.cumsum(values)))
-            return pa.array(sums[offsets[1:]] - sums[offsets[:-1]])
+            return pa.array(sums[own.offsets[1:]] - sums[own.offsets[:-1]])
 
+        size = len(own.lang)
         shown = thawed(shared_files.get(folder, f"rows-{number}")).columns[:show] if show else []
-        size = len(offsets) - 1
         return pa.RecordBatch.from_arrays([
-            pa.repeat(pa.scalar(number, pa.int64()), size), pa.array(np.arange(size)), *shown, *thawed(codes["measures"]).columns, by_row(logs), by_row(singles)], names=names)
+            pa.repeat(pa.scalar(number, pa.int64()), size), pa.array(np.arange(size)), *shown, *thawed(measured).columns,
+            by_row(pair[pair_of]), by_row(single[place[own.inverse]])], names=names)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = None, []
-        for batch in batches:
-            for row in _rows(batch, COUNTS, VALUES):
-                if row[2] != number and held:
-                    yield finished(number, held)
-                    held = []
-                number = row[2]
-                held.append(row)
-        if held:
-            yield finished(number, held)
-
-    return work
+    return _by_slice(work)
 
 
 def scored(docs: DataFrame, text_col: str, lang_col: str, carried: list[str], show: int, measure: Callable, fields: str) -> tuple[DataFrame, str]:
@@ -331,9 +343,13 @@ def scored(docs: DataFrame, text_col: str, lang_col: str, carried: list[str], sh
     spark = docs.sparkSession
     parts, folder = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch_path(spark, "slices")
     columns = docs.columns
-    sent = docs.mapInArrow(_sent(parts, folder, columns.index(text_col), columns.index(lang_col), [columns.index(c) for c in carried], measure), MESSAGE)
-    counted = sent.repartitionById(parts, "part").mapInArrow(_count_pairs(parts), MESSAGE)
-    weighed = counted.repartitionById(parts, "part").mapInArrow(_weigh_words(parts), MESSAGE)
-    back = weighed.repartition(parts, "slice").sortWithinPartitions("slice")
+    cut = docs.mapInArrow(_cut(parts, folder, columns.index(text_col), columns.index(lang_col), [columns.index(c) for c in carried], measure), MESSAGE)
+    counted = _to_slices(cut.repartitionById(parts, "part").mapInArrow(_count_pairs(parts), MESSAGE), parts)
+    told = counted.mapInArrow(_tell_words(parts, folder), MESSAGE)
+    weighed = _to_slices(told.repartitionById(parts, "part").mapInArrow(_weigh_words(parts), MESSAGE), parts)
     names = ["slice", "at", *(f.split()[0] for f in fields.split(", ")), "log_p", "log_single"]
-    return back.mapInArrow(_score(parts, folder, show, names), f"slice long, at long, {fields}, log_p double, log_single double"), folder
+    return weighed.mapInArrow(_score(folder, show, names), f"slice long, at long, {fields}, log_p double, log_single double"), folder
+
+
+def _to_slices(answers: DataFrame, parts: int) -> DataFrame:
+    return answers.repartition(parts, "slice").sortWithinPartitions("slice", "part")

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tabwright.llm import kneser_ney as kneser_ney_module
 from tabwright.llm.kneser_ney import scored
 from tabwright.llm.quality import FIELDS, bands, judge, keep_good, measures
 from tabwright.llm.similarity import one_of_each_group
@@ -51,11 +52,9 @@ def kneser_ney(rows):
     return [(sum(log[p] for p in t), sum(math.log(single[w]) for _, w in t)) for t in texts]
 
 
-@pytest.mark.parametrize("slice_bytes", [12_000_000, 700])
+@pytest.mark.parametrize("slice_bytes", [32_000_000, 700])
 def test_kneser_ney_against_dictionaries(corpus, monkeypatch, slice_bytes):
-    from tabwright.llm import batches
-
-    monkeypatch.setattr(batches.slices, "__defaults__", (slice_bytes,))
+    monkeypatch.setattr(kneser_ney_module, "SLICE_BYTES", slice_bytes)
     rng = random.Random(1)
     rows = [(k, prose(rng, rng.choice([1, 5, 60, 200])), rng.choice(["en", "de", None])) for k in range(60)]
     rows += [(*r, "en") for r in ODD] + [(100, rows[2][1], "en"), (101, "same " * 300, None)]
