@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 
 from tabwright.functions.state import scratch_path
 from tabwright.llm import shared_files
-from tabwright.llm.batches import slices, split_words, texts_of
+from tabwright.llm.batches import give_back, slices, split_words, texts_of
 
 NO_LANGUAGE = "und"
 MESSAGE = "part int, slice long, a binary, b binary, c binary, d binary"
 CODEC = pa.Codec("zstd", 3)
-SLICE_BYTES = 32_000_000  # larger slices repeat fewer pairs
+SLICE_BYTES = 12_000_000  # larger slices repeat fewer pairs, and need more memory
 WORD_BITS, PAIR_BITS = 32, 44
 
 
@@ -165,14 +165,20 @@ class Slice:
         out[self.offsets[:-1][full]] = self.kinds + self.lang[full]
         return out
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pairs as sorted hashes, the pair of each word, how often each occurs, and its two words as codes."""
-        before = self.before()
+    def pair_hashes(self, before: np.ndarray) -> np.ndarray:
+        """The hash of each word with the word before it."""
         keys = self.hashes[before] << np.uint64(32) | self.hashes[self.inverse]
         for shift, factor in ((32, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9)):
-            keys = (keys ^ keys >> np.uint64(shift)) * np.uint64(factor)
-        keys, first, place, counts = np.unique(keys >> np.uint64(64 - PAIR_BITS), return_index=True, return_inverse=True, return_counts=True)
-        return keys, place, counts, before[first], self.inverse[first]
+            keys ^= keys >> np.uint64(shift)
+            keys *= np.uint64(factor)
+        keys >>= np.uint64(64 - PAIR_BITS)
+        return keys
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each word's pair among the sorted distinct hashes, and the two words of each distinct pair as codes."""
+        before = self.before()
+        _, first, place = np.unique(self.pair_hashes(before), return_index=True, return_inverse=True)
+        return place, before[first], self.inverse[first]
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct hashes, sorted, and the place of each code among them."""
@@ -199,17 +205,21 @@ def _cut(parts: int, folder: str, text: int, lang: int, carried: list[int], meas
         for batch in (s for b in batches for s in slices(b, text, SLICE_BYTES)):
             number = context.partitionId() << 24 | made
             made += 1
+            if carried:
+                rows = pa.RecordBatch.from_arrays([batch.column(k) for k in carried], schema=pa.schema([batch.schema.field(k) for k in carried]))
+                shared_files.put(folder, f"rows-{number}", frozen(rows), context.taskAttemptId())
+                del rows
             pair = pa.RecordBatch.from_arrays([batch.column(text), batch.column(lang)], names=["text", "lang"])
             offsets, inverse, kinds, words, langs = words_by_language(pair)
             sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False)[kinds % max(1, len(words))]
             measured = frozen(pa.RecordBatch.from_arrays(*measure(pair, offsets, inverse, sizes)))
             own = Slice(offsets, inverse, langs.indices.to_numpy(zero_copy_only=False).astype(np.int64),
                         word_hashes(words.to_pylist(), langs.dictionary.to_pylist(), kinds), len(kinds))
+            del pair, words, kinds, sizes, langs
             own.put(folder, number, measured, context.taskAttemptId())
-            if carried:
-                rows = pa.RecordBatch.from_arrays([batch.column(k) for k in carried], schema=pa.schema([batch.schema.field(k) for k in carried]))
-                shared_files.put(folder, f"rows-{number}", frozen(rows), context.taskAttemptId())
-            keys, _, counts, _, _ = own.pairs()
+            keys, counts = np.unique(own.pair_hashes(own.before()), return_counts=True)
+            del own, offsets, inverse
+            give_back()
             yield messages([(part, number, pack_sorted(keys[at]), pack(counts[at].astype(np.uint64))) for part, at in dealt(keys, PAIR_BITS, parts)])
 
     return work
@@ -258,7 +268,7 @@ def _tell_words(parts: int, folder: str) -> Callable:
         kept = pa.RecordBatch.from_pydict({"counts": [pack(answers >> np.uint64(1))], "d": [d.tobytes()]})
         shared_files.put(folder, f"counts-{number}", frozen(kept), TaskContext.get().taskAttemptId())
         own, _ = Slice.get(folder, number)
-        _, _, _, before, after = own.pairs()
+        _, before, after = own.pairs()
         words, place = own.words()
         owned = (answers & np.uint64(1)) > 0
         counts = (answers >> np.uint64(1))[owned]
@@ -311,7 +321,7 @@ def _score(folder: str, show: int, names: list[str]) -> Callable:
     def work(number: int, rows: list[tuple]) -> pa.RecordBatch:
         own, measured = Slice.get(folder, number)
         packed, d = (c[0].as_py() for c in thawed(shared_files.get(folder, f"counts-{number}")).columns)
-        _, pair_of, _, before, after = own.pairs()
+        pair_of, before, after = own.pairs()
         _, place = own.words()
         total, gamma, follows = (joined([unpack(r[k], kind) for r in rows], kind) for k, kind in ((2, np.uint64), (3, np.float32), (4, np.uint64)))
         share = sum(np.frombuffer(r[5], np.float64) for r in rows)
