@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwright.catalog.correlating import pairs
 from tabwright.catalog.registry import query
+from tabwright.functions.state import settle
 from tabwright.functions.types import rounded
 from tabwright.operators import evaluate, importance
 from tabwright.operators.split import TEST, TRAIN, VALIDATION, stratified_folds, stratified_split
@@ -94,7 +95,8 @@ def permutation_importance(t):
     rows = _rows(t).drop("cat")
     model = importance.fit_forest(rows, _XS, "label", n_estimators=100)
     out = importance.permutation_importance(
-        rows, lambda r: model.transform(importance.assembled(r, _XS)), _XS, "label", id_col="row_id", n_repeats=10)
+        rows, lambda r: model.transform(importance.assembled(r, _XS)), _XS, "label", id_col="row_id", n_repeats=10,
+        thresholds=importance.split_points(model, _XS))
     return out.withColumns({c: rounded(F.col(c)) for c in ("importance", "deviation")})
 
 
@@ -235,8 +237,9 @@ SELECT feature, feature = 'x4' AS is_top FROM (VALUES ('x1'), ('x2'), ('x3'), ('
 def permutation_importance_stated(t):
     rows = _rows(t).drop("cat")
     model = importance.fit_forest(rows, _XS, "label", n_estimators=100)
-    out = importance.permutation_importance(
-        rows, lambda r: model.transform(importance.assembled(r, _XS)), _XS, "label", id_col="row_id", n_repeats=10)
+    out = settle(importance.permutation_importance(
+        rows, lambda r: model.transform(importance.assembled(r, _XS)), _XS, "label", id_col="row_id", n_repeats=10,
+        thresholds=importance.split_points(model, _XS)))
     top = out.agg(F.max_by("feature", "importance")).first()[0]
     return out.select("feature", (F.col("feature") == top).alias("is_top"))
 

@@ -8,6 +8,9 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+# Least and most rows for a task of a trainer.
+ROWS_WORTH_A_TASK = 1_000
+ROWS_PER_TASK = 1_000_000
 # Most rows a fitted frame may have to be brought to the driver.
 MAX_STATE_ROWS = 10_000
 _LOCAL_FOLDERS: dict[str, tempfile.TemporaryDirectory] = {}
@@ -83,3 +86,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over tasks for a trainer, and stored; a trainer reads its input once for every level of its trees.
+
+    Files and joins give as many tasks as their bytes ask for, which leaves most cores of a cluster without work. A
+    small table has one task for each core, a larger one a multiple of that.
+    """
+    cores, rows = df.sparkSession.sparkContext.defaultParallelism, df.count()
+    tasks = min(cores, max(1, rows // ROWS_WORTH_A_TASK)) * max(1, -(-rows // (cores * ROWS_PER_TASK)))
+    return cut_lineage(df.repartition(tasks))

@@ -32,7 +32,7 @@ def feature_importance_analysis(df: DataFrame, features: Sequence[str], label_co
     forest = settle(importance.importance_frame(df, features, model.featureImportances.toArray()))
     permuted = settle(importance.permutation_importance(
         df, lambda rows: model.transform(importance.assembled(rows, features)), features, label_col,
-        id_col=id_col, n_repeats=n_repeats, seed=seed,
+        id_col=id_col, n_repeats=n_repeats, seed=seed, thresholds=importance.split_points(model, features),
     ))
     top = importance.top_features(forest)
     out = {"forest": forest, "permutation": permuted, "top": top}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.catalog.modelling import SETTINGS
+from tabwright.functions.state import dealt
 from tabwright.operators import correlate, distribution, evaluate, importance, profile
 from tabwright.operators.split import stratified_folds
 from tabwright.plans import analysis, bias, search
@@ -251,6 +252,34 @@ def test_permutation_finds_the_informative_column(table):
     assert [r["importance"] for r in one] == pytest.approx([r["importance"] for r in two])
 
 
+def test_permutation_by_cells_predicts_each_cell_once(table):
+    """With the thresholds of the forest, results are the same, and the model sees a row per cell instead of one per variant."""
+    _, df = table
+    model, seen = importance.fit_forest(df, ["a", "c"], "y", 10, 4), []
+
+    def predict(rows):
+        seen.append(rows)
+        return model.transform(importance.assembled(rows, ["a", "c"]))
+
+    plain = importance.permutation_importance(df, predict, ["a", "c"], "y", id_col="id", n_repeats=3, rows_per_bucket=50).collect()
+    seen.clear()
+    limits = importance.split_points(model, ["a", "c"])
+    cells = importance.permutation_importance(df, predict, ["a", "c"], "y", id_col="id", n_repeats=3, rows_per_bucket=50, thresholds=limits).collect()
+    assert [r["feature"] for r in cells] == [r["feature"] for r in plain]
+    assert [(r["importance"], r["deviation"]) for r in cells] == [pytest.approx((r["importance"], r["deviation"]), abs=1e-12) for r in plain]
+    assert len(seen) == 1 and seen[0].count() == (len(limits["a"]) + 1) * (len(limits["c"]) + 1)
+
+
+def test_forests_use_every_core_and_remember_nodes(spark, monkeypatch):
+    """One file partition must not become one training task; whether nodes are remembered makes no difference to the trees."""
+    df = spark.range(0, 10_000, 1, 1).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"),
+                                          (F.col("id") % 2).cast("double").alias("y"))
+    assert dealt(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    kept = importance.fit_forest(df, ["a", "b"], "y", 5, 4).toDebugString.split("\n", 1)[1]
+    monkeypatch.setattr(importance, "NODE_IDS", 0)
+    assert importance.fit_forest(df, ["a", "b"], "y", 5, 4).toDebugString.split("\n", 1)[1] == kept
+
+
 def test_information_of_a_copy_of_the_class(spark):
     df = spark.range(400).select((F.col("id") % 4).cast("double").alias("same"), F.lit(1.0).alias("none"), (F.col("id") % 4).alias("y"))
     got = {r["feature"]: r["mutual_information"] for r in importance.mutual_information(df, ["same", "none"], "y").collect()}
