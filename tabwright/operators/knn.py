@@ -10,7 +10,8 @@ parts can hold a closer one, and the receiver goes down to those only. The resul
 
 The tree is never gathered: nodes are rows, one DataFrame for each level, and rows meet the node they have reached by a join
 on its path. Two kinds of skew are handled: copies of a vector are collapsed to the few that can
-matter, and rows that reach the same node are dealt over blocks of bounded size.
+matter, and rows that reach the same node are dealt over blocks of bounded size. Sizes of nodes and numbers of blocks are
+settled: near the root they are few rows that stand for many, and no row is shuffled by its node alone.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tabwright.functions.state import cut_lineage
+from tabwright.functions.state import cut_lineage, settle
 
 # tasks get the code of this module with them, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -172,7 +173,8 @@ def _plain(frame: DataFrame, *names: str) -> T.StructType:
 
 def _meet(left: DataFrame, right: DataFrame, by: list[str], spread: str, block_rows: int, shape: T.StructType, work) -> DataFrame:
     """``work(left rows, right rows)`` for equal ``by``, with at most about ``block_rows`` left rows at a time."""
-    blocks = left.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks"))
+    # few nodes have many rows each, which a shuffle by node would put into one task; settled, they go to the rows
+    blocks = settle(left.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks")))
     dealt = left.join(blocks, by).withColumn("_block", F.pmod(F.xxhash64(spread), F.col("_blocks")).cast("int")).drop("_blocks")
     copied = right.join(blocks, by).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
     unit = [*by, "_block"]
@@ -199,7 +201,7 @@ class _Tree:
         by = ["grp", "path"]
         open_ = slim.withColumn("path", F.lit("")).withColumnRenamed("dvec", "vec")
         leaves, columns = None, open_.columns
-        size = cut_lineage(open_.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("leaf", F.col("n") <= chunk_rows))
+        size = settle(open_.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("leaf", F.col("n") <= chunk_rows))
         self.roots = size.select("grp", "leaf")
         while True:
             flagged = open_.join(size.select(*by, "leaf", "n"), by)
@@ -223,7 +225,7 @@ class _Tree:
             nodes = kids.groupBy(*by).agg(F.collect_list(F.struct("child", "n", "outer", "inner", "leaf")).alias("kids")).join(pivots, by)
             self.levels.append(cut_lineage(nodes))
             below = F.concat_ws(".", "path", F.col("child").cast("string"))
-            size = cut_lineage(kids.select("grp", below.alias("path"), "n", "leaf"))
+            size = settle(kids.select("grp", below.alias("path"), "n", "leaf"))
             open_ = parts.withColumn("path", below).select(columns)
         self.placed = cut_lineage(leaves.drop("_copy").withColumnRenamed("vec", "dvec"))
 

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.operators import impute
+from tabwright.operators import impute, knn
 from tabwright.operators.balance import SMOTEBalancer, synthetic_counts
 from tabwright.operators.knn import k_nearest
 
@@ -199,3 +199,18 @@ def test_far_apart_clusters_make_a_deep_tree(spark):
     got = neighbours(k_nearest(df, df, 3, id_col="id", vector_col="vec", exclude_self=True, max_pivots=5, donors_per_pivot=5, chunk_rows=12))
     ids = np.arange(len(points))
     assert got == brute(points, ids, ids, 3, exclude_self=True)
+
+
+def test_no_row_is_shuffled_by_its_node_alone(spark):
+    """A node near the root holds most rows: joined by node in a shuffle, they would meet in one task."""
+    df = frame(spark, np.arange(4_000), np.random.default_rng(14).uniform(0, 1, (4_000, 2))).repartition(8)
+    rows = df.select(F.lit("").alias("grp"), F.lit("").alias("path"), "id", "vec")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # smaller than the rows, larger than one line for a node
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000")
+    try:
+        met = knn._meet(rows, rows.limit(1), ["grp", "path"], "id", 500, df.schema, lambda a, b: a)
+        assert "SortMergeJoin" not in met._jdf.queryExecution().executedPlan().toString()
+        assert met.count() == 4_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
