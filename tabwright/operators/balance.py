@@ -16,8 +16,8 @@ from tabwright.operators.split import class_counts
 Strategy = str | float | Mapping
 
 
-def synthetic_counts(counts: Sequence[tuple], strategy: Strategy = "auto") -> dict:
-    """How many rows to add per class.
+def missing_counts(counts: Sequence[tuple], strategy: Strategy = "auto") -> dict:
+    """How many rows each class is short of what the strategy asks for; negative for one that has more than a mapping or ratio wants.
 
     ``auto`` and ``not majority`` raise every class to the largest one, ``minority`` only the smallest
     class, ``not minority`` all but the smallest, ``all`` every class; a number is the wanted ratio of
@@ -31,17 +31,11 @@ def synthetic_counts(counts: Sequence[tuple], strategy: Strategy = "auto") -> di
         unknown = [c for c in strategy if c not in sizes]
         if unknown:
             raise ValueError(f"classes not in the data: {unknown}")
-        smaller = [c for c, n in strategy.items() if n < sizes[c]]
-        if smaller:
-            raise ValueError(f"fewer rows wanted than there are for classes {smaller}")
         return {c: int(strategy[c]) - sizes[c] if c in strategy else 0 for c in sizes}
     if isinstance(strategy, (int, float)) and not isinstance(strategy, bool):
         if len(sizes) != 2:
             raise ValueError("a ratio needs a label with two classes")
-        add = int(largest * strategy) - sizes[low]
-        if add < 0:
-            raise ValueError("the ratio asks for fewer rows than there are")
-        return {c: add if c == low else 0 for c in sizes}
+        return {c: int(largest * strategy) - sizes[low] if c == low else 0 for c in sizes}
     wanted = {
         "auto": lambda c: c != top, "not majority": lambda c: c != top, "minority": lambda c: c == low,
         "not minority": lambda c: c != low, "all": lambda c: True,
@@ -51,10 +45,22 @@ def synthetic_counts(counts: Sequence[tuple], strategy: Strategy = "auto") -> di
     return {c: largest - n if wanted[strategy](c) else 0 for c, n in counts}
 
 
+def synthetic_counts(counts: Sequence[tuple], strategy: Strategy = "auto") -> dict:
+    """How many rows to add per class (see ``missing_counts``); an error where there are more rows than wanted."""
+    add = missing_counts(counts, strategy)
+    smaller = [c for c, n in add.items() if n < 0]
+    if smaller:
+        raise ValueError(f"fewer rows wanted than there are for classes {smaller}")
+    return add
+
+
 def resolve_sampling_strategy(df: DataFrame, label_col: str, strategy: Strategy = "auto") -> DataFrame:
-    """class_value, n_rows, n_synthetic per class."""
+    """class_value, n_rows, n_synthetic per class.
+
+    This only reports: a class with more rows than wanted has a negative ``n_synthetic``, and ``fit_resample`` refuses such a strategy.
+    """
     counts = class_counts(df, label_col)
-    add = synthetic_counts(counts, strategy)
+    add = missing_counts(counts, strategy)
     kinds = df.select(F.col(label_col).alias("class_value")).schema
     return df.sparkSession.createDataFrame(pa.table({
         "class_value": pa.array([c for c, _ in counts]),

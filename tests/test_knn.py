@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.operators import impute, knn
-from tabwright.operators.balance import SMOTEBalancer, synthetic_counts
+from tabwright.operators.balance import SMOTEBalancer, resolve_sampling_strategy, synthetic_counts
 from tabwright.operators.knn import k_nearest
 
 FORCED = dict(donors_per_pivot=25, chunk_rows=40, block_rows=30)
@@ -162,6 +162,15 @@ def test_smote_points_lie_between_a_base_and_its_neighbour(spark):
         assert any(on_segment(n) for n in near[r["source_id"]])
 
 
+def test_strategy_report_of_a_class_larger_than_wanted(spark):
+    """The report tells how far a class is above the wanted size; resampling refuses."""
+    df = spark.createDataFrame([(i, float(i), int(i > 11)) for i in range(30)], "id int, a double, label int")
+    rows = {r["class_value"]: r["n_synthetic"] for r in resolve_sampling_strategy(df, "label", {0: 10}).collect()}
+    assert rows == {0: -2, 1: 0}
+    with pytest.raises(ValueError, match="fewer rows wanted"):
+        SMOTEBalancer({0: 10}, 3).fit_resample(df, ["a"], "label", "id")
+
+
 def test_smote_refuses_tiny_classes(spark):
     df = spark.createDataFrame([(i, float(i), int(i > 2)) for i in range(20)], "id int, a double, label int")
     with pytest.raises(ValueError, match="fewer than 6"):
