@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwright.catalog.correlating import COLUMNS, WIDE, _PAIRS, pairs, wide
 from tabwright.catalog.registry import dbl, query, r6
+from tabwright.functions.state import cut_lineage, settle
 from tabwright.functions.types import rounded
 from tabwright.operators import correlate, distribution, evaluate, fairness, importance
 
@@ -158,11 +159,18 @@ def mutual_information(t):
     return _r6(importance.select_k_best(information, 4), "mutual_information")
 
 
-def _compared(t):
+def _stored(t):
+    """The wide rows, read by several measures."""
+    return cut_lineage(wide(t).select(*COLUMNS))
+
+
+def _compared(rows, information=None):
     """Information in the place of a model's importance, effect size in that of the permuted one."""
-    information = importance.mutual_information(wide(t), _FEATURES, "label").withColumnRenamed("mutual_information", "importance")
-    effect = distribution.class_separation(wide(t), _FEATURES, "label").select("feature", F.col("effect_size").alias("importance"))
-    return importance.importance_vs_correlation(information, effect, correlate.target_correlation(pairs(t), "label"))
+    information = importance.mutual_information(rows, _FEATURES, "label") if information is None else information
+    effect = distribution.class_separation(rows, _FEATURES, "label").select("feature", F.col("effect_size").alias("importance"))
+    found = settle(correlate.correlation_pairs(rows, COLUMNS))
+    return importance.importance_vs_correlation(
+        information.withColumnRenamed("mutual_information", "importance"), effect, correlate.target_correlation(found, "label"))
 
 
 _COMPARED = f"""{_WITH}, {_MI}, {_EFFECT},
@@ -175,7 +183,7 @@ norm AS (SELECT *, rf / max(rf) OVER () AS rfn, perm / max(perm) OVER () AS pn,
 SELECT feature, {r6('rf')} AS rf_importance, {r6('perm')} AS perm_importance, {r6('r')} AS correlation, {r6('ra')} AS correlation_abs,
   {r6('rfn')} AS rf_importance_norm, {r6('pn')} AS perm_importance_norm, {r6('rn')} AS correlation_norm, {r6('rfn - rn')} AS importance_corr_diff FROM norm""")
 def importance_vs_correlation(t):
-    out = _compared(t)
+    out = _compared(_stored(t))
     return _r6(out, *[c for c in out.columns if c != "feature"])
 
 
@@ -185,15 +193,16 @@ _FLAGGED = f"""{_COMPARED}, flagged AS (SELECT feature, rfn > rn + 0.3 AND rfn >
 
 @query("f6_classify_features", f"{_FLAGGED} SELECT feature, non_linear, spurious, consistent FROM flagged")
 def classify(t):
-    return importance.classify_features(_compared(t)).select("feature", "non_linear", "spurious", "consistent")
+    return importance.classify_features(_compared(_stored(t))).select("feature", "non_linear", "spurious", "consistent")
 
 
 @query("f7_recommended_features", f"""{_FLAGGED}
 SELECT feature FROM flagged WHERE consistent OR non_linear
 UNION SELECT feature FROM (SELECT feature FROM mi ORDER BY mi DESC, feature LIMIT 2) u""")
 def recommended(t):
-    information = importance.mutual_information(wide(t), _FEATURES, "label")
-    classified = importance.classify_features(_compared(t))
+    rows = _stored(t)
+    information = settle(importance.mutual_information(rows, _FEATURES, "label"))
+    classified = importance.classify_features(_compared(rows, information))
     return importance.recommended_features(importance.select_k_best(information, 2), classified)
 
 
@@ -202,9 +211,10 @@ chosen AS (SELECT feature FROM tc WHERE abs(r) > 0.05 UNION ALL SELECT feature F
            UNION ALL SELECT feature FROM apart WHERE d > 0.2)
 SELECT feature, count(*) AS votes FROM chosen GROUP BY feature HAVING count(*) >= 2""")
 def feature_vote(t):
-    by_correlation = correlate.select_by_correlation(pairs(t), "label")
-    by_information = importance.select_k_best(importance.mutual_information(wide(t), _FEATURES, "label"), 3)
-    by_effect = distribution.class_separation(wide(t), _FEATURES, "label").where(F.col("effect_size") > 0.2)
+    rows = _stored(t)
+    by_correlation = correlate.select_by_correlation(settle(correlate.correlation_pairs(rows, COLUMNS)), "label")
+    by_information = importance.select_k_best(importance.mutual_information(rows, _FEATURES, "label"), 3)
+    by_effect = distribution.class_separation(rows, _FEATURES, "label").where(F.col("effect_size") > 0.2)
     return importance.vote([by_correlation, by_information, by_effect])
 
 

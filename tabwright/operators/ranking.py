@@ -131,10 +131,11 @@ def exact_quantiles(
     base = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     sizes = base.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_rows"), F.array(*[F.count(c) for c in columns]).alias("_n"))
-    large = sizes.where(F.col("_rows") > direct_rows)
-    if by:
-        large = cut_lineage(large)
+    large = settle(sizes.where(F.col("_rows") > direct_rows))
     n_large = large.count()
+    if n_large:
+        # scanned several times: what it is derived from (joins, broadcasts) is computed once
+        base = cut_lineage(base)
     parts = []
     if not n_large or by:
         small = base

@@ -142,3 +142,19 @@ def test_bucket_digits_grow_with_the_table():
 def test_uniform_is_even(spark):
     u = spark.range(4000).select(uniform(order_hash("id", 1)).alias("u")).agg(F.avg("u"), F.min("u"), F.max("u")).first()
     assert abs(u[0] - 0.5) < 0.02 and 0 <= u[1] < 0.01 and 0.99 < u[2] < 1
+
+
+def test_quantiles_compute_their_input_once(spark):
+    """After the count of rows, all scans read stored values: joins under the table are not repeated."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def told(x):
+        calls.add(1)
+        return float(x * 7919 % 30_011)
+
+    df = spark.range(30_000).select(told.asNondeterministic()("id").alias("a"))
+    row = exact_quantiles(df, ["a"], [0.25, 0.5, 0.75], direct_rows=1_000, accuracy=1_000).first()
+    values = np.array([x * 7919 % 30_011 for x in range(30_000)], dtype=float)
+    assert row["q"] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]))
+    assert calls.value <= 2 * 30_000
