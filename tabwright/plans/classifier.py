@@ -10,11 +10,11 @@ from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabwright.functions.state import cut_lineage, local_frame
+from tabwright.functions.state import cut_lineage, dealt, local_frame
 from tabwright.functions.types import get_numerical_features
 from tabwright.operators.balance import SMOTEBalancer
 from tabwright.operators.encode import FeatureEncoder
-from tabwright.operators.importance import assembled
+from tabwright.operators.importance import assembled, remember_nodes
 from tabwright.operators.outliers import OutlierHandler
 from tabwright.operators.split import class_counts
 
@@ -122,11 +122,14 @@ class TabularClassifier(Estimator):
             train = assembled(
                 table.select(*features, F.try_element_at(index, F.col(self.label_col)).alias(INDEX_COL)), features
             ).select("features", INDEX_COL)
-            # the trainer reads its input many times
-            return cut_lineage(train)
+            # the trainer reads its input many times; synthetic rows are not made twice for the sake of their number
+            return dealt(cut_lineage(train) if self.oversample else train)
 
         train = node(("balance", clip, encode, balance), balanced)
-        fitted = MODELS[self.model](**{"random_state": self.seed, **self._of("classifier")}).fit(train)
+        learner = MODELS[self.model](**{"random_state": self.seed, **self._of("classifier")})
+        if isinstance(learner, RandomForestClassifier):
+            learner.setCacheNodeIds(remember_nodes(train.count(), learner.getNumTrees()))
+        fitted = learner.fit(train)
         outliers, _ = node(("clip", clip), clipped)
         encoder, _, features, classes = node(("encode", clip, encode), encoded)
         return TabularClassifierModel(outliers, encoder, features, classes, fitted, self.ignore)
