@@ -95,14 +95,16 @@ def require_ids(rows: DataFrame, id_col: str) -> None:
         raise ValueError(f"rows need one id each, but in '{id_col}' a value {what}")
 
 
-def _knn_fills(df: DataFrame, column: str, k: int, id_col: str, feature_cols: Sequence[str] | None,
-               label_col: str | None, options: dict) -> tuple[DataFrame | None, Column | None]:
-    """What goes into the gaps of a column: (id, ``_fill``) for the rows with a gap, or one value for all of them."""
+def _search_input(df: DataFrame, column: str, id_col: str, feature_cols: Sequence[str] | None, label_col: str | None,
+                  known: Column) -> tuple[DataFrame | None, float | None]:
+    """(id, ``_vec``, ``_known``, ``_value``) of all rows for a search, stored; or, without any feature, the mean of the known values.
+
+    ``_value`` is the column, ``_known`` the same as a double where ``known`` says so. Both results are None if that is everywhere.
+    """
     require_columns(df, [column, id_col])
-    kind = df.schema[column].dataType
-    if not isinstance(kind, T.NumericType):
+    if not isinstance(df.schema[column].dataType, T.NumericType):
         raise ValueError(f"column '{column}' is not numeric")
-    target = F.col(column)
+    target = F.when(known, F.col(column))
     features = list(feature_cols) if feature_cols else numeric_columns_except(df, column, id_col, label_col)
     filled = df.agg(
         F.count(F.lit(1)).alias("_rows"), F.count(target).alias("_known"), *[F.count(f).alias(f"_n_{f}") for f in features]
@@ -114,23 +116,35 @@ def _knn_fills(df: DataFrame, column: str, k: int, id_col: str, feature_cols: Se
     # a column without any value cannot tell rows apart
     features = [f for f in features if filled[f"_n_{f}"]]
     gappy = [f for f in features if filled[f"_n_{f}"] < filled["_rows"]]
-
-    def finished(value: Column) -> Column:
-        return F.bround(value).cast(kind) if isinstance(kind, T.IntegralType) else value.cast(kind)
-
     if not features:
-        return None, finished(df.agg(F.avg(target.cast("double"))).scalar())
+        return None, df.agg(F.avg(target.cast("double"))).scalar()
     require_ids(df.where(target.isNull()), id_col)
-    ready = _standardised(df.select(id_col, column, *features), features, gappy)
+    rows = df.select(id_col, *features, target.cast("double").alias("_known"), F.col(column).alias("_value"))
     # the search reads donors and receivers several times
-    ready = cut_lineage(ready.select(F.col(id_col), "_vec", target.cast("double").alias("_known")))
+    return cut_lineage(_standardised(rows, features, gappy).select(id_col, "_vec", "_known", "_value")), None
+
+
+def _finished(value: Column, kind: T.DataType) -> Column:
+    return F.bround(value).cast(kind) if isinstance(kind, T.IntegralType) else value.cast(kind)
+
+
+def _mean_of(neighbours: Column, kind: T.DataType) -> Column:
+    total = F.aggregate(neighbours, F.lit(0.0), lambda total, n: total + n["payload"])
+    return _finished(F.when(F.size(neighbours) > 0, total / F.size(neighbours)), kind)
+
+
+def _knn_fills(df: DataFrame, column: str, k: int, id_col: str, feature_cols: Sequence[str] | None,
+               label_col: str | None, options: dict) -> tuple[DataFrame | None, Column | None]:
+    """What goes into the gaps of a column: (id, ``_fill``) for the rows with a gap, or one value for all of them."""
+    ready, mean = _search_input(df, column, id_col, feature_cols, label_col, F.col(column).isNotNull())
+    kind = df.schema[column].dataType
+    if ready is None:
+        return None, None if mean is None else _finished(F.lit(mean), kind)
     near = k_nearest(
         ready.where(F.col("_known").isNull()), ready.where(F.col("_known").isNotNull()), k,
         id_col=id_col, vector_col="_vec", payload="_known", **options,
     )
-    mean = F.aggregate("neighbours", F.lit(0.0), lambda total, n: total + n["payload"])
-    mean = F.when(F.size("neighbours") > 0, mean / F.size("neighbours"))
-    return near.select(id_col, finished(mean).alias("_fill")), None
+    return near.select(id_col, _mean_of(F.col("neighbours"), kind).alias("_fill")), None
 
 
 def impute_knn(df: DataFrame, column_to_impute: str, n_neighbors: int = 5, *, id_col: str,
@@ -177,6 +191,12 @@ def evaluate_knn_imputation(df: DataFrame, column: str, holdout_fraction: float
     masked = create_holdout_mask(df.select(id_col, column, *features), column, holdout_fraction, id_col=id_col, seed=seed)
     blind = masked.withColumn(column, F.when(~F.col("is_holdout"), F.col(column)))
     imputed = impute_knn(blind, column, k, id_col=id_col, feature_cols=features, **options)
+    # measured several times
+    return _quality(df, cut_lineage(imputed.select(id_col, column, "is_holdout", "holdout_value")), column)
+
+
+def _quality(df: DataFrame, imputed: DataFrame, column: str) -> DataFrame:
+    """The measures, from the column before and a stored table of the column after, ``is_holdout`` and ``holdout_value``."""
     value = F.col(column).cast("double")
 
     def summary(frame: DataFrame):
@@ -184,8 +204,6 @@ def evaluate_knn_imputation(df: DataFrame, column: str, holdout_fraction: float
         q = exact_quantiles(frame, [column], [0.25, 0.75]).first()["q"]
         return moments["mean"], moments["std"], q[0], q[1]
 
-    # measured several times
-    imputed = cut_lineage(imputed.select(id_col, column, "is_holdout", "holdout_value"))
     before, after = summary(df), summary(imputed)
     shift = [abs((b - a) / a * 100) if a else None for a, b in zip(before, after)]
     miss = value - F.col("holdout_value").cast("double")
@@ -197,8 +215,45 @@ def evaluate_knn_imputation(df: DataFrame, column: str, holdout_fraction: float
     return out.withColumn("combined_score", F.col("rmse") * (F.lit(1.0) + F.col("distribution_score") / F.lit(100.0)))
 
 
+def _fills_and_quality(df: DataFrame, column: str, holdout_fraction: float, k: int, id_col: str, label_col: str | None,
+                       seed: int, options: dict) -> tuple[DataFrame | None, Column | None, DataFrame] | None:
+    """What ``_knn_fills`` and ``evaluate_knn_imputation`` give, from one preparation of the rows and without a second search
+    among most donors; None where there are no gaps, or no neighbours to look for.
+
+    Predictors are the same with and without held-out values. The nearest donors of a gap are among the nearest that
+    were not held out, which the evaluation looks for, and the nearest held-out ones.
+    """
+    require_columns(df, [column, id_col])
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.NumericType) or not numeric_columns_except(df, column, id_col, label_col):
+        return None
+    features = numeric_columns_except(df, column, id_col, label_col)
+    masked = create_holdout_mask(df.select(id_col, column, *features), column, holdout_fraction, id_col=id_col, seed=seed)
+    blind = F.col(column).isNotNull() & ~F.col("is_holdout")
+    ready, _ = _search_input(masked, column, id_col, features, None, blind)
+    if ready is None:
+        return None
+    gap, held = F.col("_value").isNull(), F.col("_value").isNotNull() & F.col("_known").isNull()
+    found = dict(id_col=id_col, vector_col="_vec", payload="_known", **options)
+    near = cut_lineage(k_nearest(ready.where(gap | held), ready.where(F.col("_known").isNotNull()), k, **found))
+    scored = ready.select(id_col, F.col("_value").alias(column), held.alias("is_holdout"), F.when(held, F.col("_value")).alias("holdout_value"))
+    fills = near.select(id_col, _mean_of(F.col("neighbours"), kind).alias("_fill"))
+    missing = F.col(column).isNull() | F.col("is_holdout")
+    filled = scored.where(missing).join(fills, id_col, "left").withColumn(column, F.col("_fill")).select(*scored.columns)
+    quality = settle(_quality(df, cut_lineage(scored.where(~missing).unionByName(filled)), column))
+    gaps = ready.where(gap)
+    if not gaps.limit(1).count():
+        return None, None, quality
+    if ready.where(held).limit(1).count():
+        told = ready.where(held).withColumn("_known", F.col("_value").cast("double"))
+        others = k_nearest(gaps, told, k, **found).select(id_col, F.col("neighbours").alias("_held"))
+        both = F.slice(F.array_sort(F.concat("neighbours", "_held")), 1, k)
+        near = near.join(others, id_col).select(id_col, both.alias("neighbours"))
+    return near.select(id_col, _mean_of(F.col("neighbours"), kind).alias("_fill")), None, quality
+
+
 def apply_and_evaluate_knn_imputation(df: DataFrame, columns: Sequence[str], holdout_fraction: float = 0.2, k: int = 3,
-                                      *, id_col: str, label_col: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
+                                      *, id_col: str, label_col: str | None = None, seed: int = 42, **options) -> tuple[DataFrame, DataFrame]:
     """Impute the gaps of each column and measure the quality on held-out values.
 
     A column that cannot be imputed, for whatever reason, keeps its gaps and is reported with its error. The fills of
@@ -208,10 +263,13 @@ def apply_and_evaluate_knn_imputation(df: DataFrame, columns: Sequence[str], hol
     for column in columns:
         try:
             # predictors come from the table as it was, not from columns filled earlier
-            found, constant = _knn_fills(df, column, k, id_col, None, label_col, options)
+            if by_one := _fills_and_quality(df, column, holdout_fraction, k, id_col, label_col, seed, options):
+                found, constant, report = by_one
+            else:
+                found, constant = _knn_fills(df, column, k, id_col, None, label_col, options)
+                report = settle(evaluate_knn_imputation(df, column, holdout_fraction, k, id_col=id_col, label_col=label_col, seed=seed, **options))
             if found is not None:  # computed here, so that an error in a task concerns this column only
                 found = cut_lineage(found)
-            report = settle(evaluate_knn_imputation(df, column, holdout_fraction, k, id_col=id_col, label_col=label_col, **options))
             report = report.withColumn("error", F.lit(None).cast("string"))
         except Exception as failure:  # noqa: BLE001  (one column must not end the run for the others)
             report = df.sparkSession.range(1).select(

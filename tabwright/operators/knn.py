@@ -5,8 +5,9 @@ Donors are therefore kept in a tree of pivots. A node with too many donors is sp
 drawn from them, each donor going to the nearest one; the parts are nodes themselves, split again
 until every leaf holds a bounded number. For each part the number of its donors and the smallest and largest
 distance to its pivot are known. A receiver first goes down to the leaf around its nearest pivots and
-searches that. The distance to the k-th donor found there and the triangle inequality tell, at every node, which
-parts can hold a closer one, and the receiver goes down to those only. The result is exact.
+searches that. The distance to the k-th donor found there tells, at every node, which parts can hold a closer one (by the
+triangle inequality, and by the plane between two pivots), and the receiver goes down to those only. Inside a leaf donors
+lie in small boxes, and a receiver meets the boxes within its reach. The result is exact.
 
 The tree is never gathered: nodes are rows, one DataFrame for each level, and rows meet the node they have reached by a join
 on its path. Two kinds of skew are handled: copies of a vector are collapsed to the few that can
@@ -32,11 +33,17 @@ from tabwright.functions.state import cut_lineage, settle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NODE_PIVOTS = 256
-DONORS_PER_PIVOT = 500
+DONORS_PER_PIVOT = 8_000
 # Most donors of a leaf, and most rows that meet a node or leaf in one call.
-CHUNK_ROWS = 2_000
-BLOCK_ROWS = 5_000
+CHUNK_ROWS = 32_000
+BLOCK_ROWS = 20_000
 TILE_CELLS = 1_000_000
+# Donors of a box in a leaf, and of a leaf that is searched without boxes.
+BOX_ROWS = 64
+PLAIN_ROWS = 256
+# Receivers times boxes at a time, and finds kept before the best of them are picked.
+BOX_CELLS = 4_000_000
+MAX_FINDS = 2_000_000
 DISTANCE_DIGITS = 9
 NO_GROUP = "\0"
 
@@ -97,6 +104,18 @@ def _assigned(shape: pa.Schema, tally):
     return assign
 
 
+def _behind(to_pivot: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """At least how far each receiver is from the donors of each pivot: they lie beyond the plane halfway to the nearest pivot."""
+    home = to_pivot.argmin(axis=1)
+    square = to_pivot * to_pivot
+    near = square[np.arange(len(square)), home][:, None]
+    between = apart[home]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        # the difference of two squares is known up to their own rounding
+        beyond = (square - near - 1e-13 * (square + near)) / (2 * between * (1 + 1e-12))
+    return np.where(between > 0, beyond, 0.0)
+
+
 def _opened(need: int, shape: pa.Schema, tally):
     """The parts of a node that may hold one of the nearest donors of each receiver that has reached it."""
 
@@ -106,6 +125,7 @@ def _opened(need: int, shape: pa.Schema, tally):
         kids = sorted(node.column("kids").to_pylist()[0], key=lambda k: k["child"])
         child, n, outer, inner, leaf = (np.array([k[name] for k in kids]) for name in ("child", "n", "outer", "inner", "leaf"))
         pivots, points = _pivots(node)[child], _matrix(rows.column("vec"))
+        apart = _distances(pivots, pivots)
         known = rows.column("tau").to_numpy().astype(float)
         _count(tally, len(points) * len(pivots))
         lines, picks = [], []
@@ -121,7 +141,9 @@ def _opened(need: int, shape: pa.Schema, tally):
                 line = np.arange(len(reach))
                 known[part.start + open_] = np.where(enough.any(axis=1), reach[line, order[line, at]], np.inf)
             limit = known[part] * (1 + 1e-9) + 2 * 10.0 ** -DISTANCE_DIGITS
-            row, col = np.nonzero(np.maximum(to_pivot - outer, inner - to_pivot) <= limit[:, None])
+            closest = np.maximum(to_pivot - outer, inner - to_pivot)
+            np.maximum(closest, _behind(to_pivot, apart), out=closest)
+            row, col = np.nonzero(closest <= limit[:, None])
             lines.append(row + part.start)
             picks.append(col)
         line, pick = np.concatenate(lines), np.concatenate(picks)
@@ -133,16 +155,36 @@ def _opened(need: int, shape: pa.Schema, tally):
     return route
 
 
-def _local_top_k(need: int, payload: bool, shape: pa.Schema, tally):
-    """The best ``need`` donors of a leaf for each receiver that visits it."""
-
-    def search(receivers: pa.Table, donors: pa.Table) -> pa.Table:
-        if not len(receivers) or not len(donors):
-            return shape.empty_table()
-        donors = donors.take(pc.sort_indices(donors.column("did")))
-        base, points = _matrix(donors.column("dvec")), _matrix(receivers.column("vec"))
+def _boxes(base: np.ndarray, size: int) -> tuple[np.ndarray, list[int]]:
+    """An order of the rows and the starts of boxes of at most ``size`` of them, each cut at the median of its widest side."""
+    order, starts, todo = np.arange(len(base)), [], [(0, len(base))]
+    while todo:
+        start, end = todo.pop()
+        inside = base[order[start:end]]
+        widths = inside.max(axis=0) - inside.min(axis=0)
+        widest = int(widths.argmax())
+        if end - start <= size or not widths[widest] > 0:
+            starts.append(start)
+            continue
+        half = (end - start) // 2
+        order[start:end] = order[start:end][np.argpartition(inside[:, widest], half)]
+        todo += [(start + half, end), (start, start + half)]
+    return order, starts
+
+
+def _first(row: np.ndarray, value: np.ndarray, col: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``need`` finds of each row with the smallest value, ties by column."""
+    order = np.lexsort((col, value, row))
+    row, value, col = row[order], value[order], col[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < need
+    return row[keep], value[keep], col[keep]
+
+
+def _nearest(points: np.ndarray, base: np.ndarray, need: int, tally) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``need`` rows of ``base`` nearest to each point, ties by position: point, distance, row."""
+    if len(base) <= max(PLAIN_ROWS, 4 * need):
         _count(tally, len(base) * len(points))
-        rows, picks, dists = [], [], []
+        finds = []
         for part in _tiles(len(points), len(base)):
             d = np.round(_distances(points[part], base), DISTANCE_DIGITS)
             if len(base) > need:
@@ -150,15 +192,71 @@ def _local_top_k(need: int, payload: bool, shape: pa.Schema, tally):
                 row, col = np.nonzero(d <= kth[:, None])
             else:
                 row, col = np.nonzero(np.ones_like(d, dtype=bool))
-            value = d[row, col]
-            order = np.lexsort((col, value, row))  # donors are in id order already
-            row, col, value = row[order], col[order], value[order]
-            keep = np.arange(len(row)) - np.searchsorted(row, row) < need
-            rows.append(row[keep] + part.start)
-            picks.append(col[keep])
-            dists.append(value[keep])
-        row, pick = pa.array(np.concatenate(rows)), pa.array(np.concatenate(picks))
-        found = [receivers.column("rep").take(row), pa.array(np.concatenate(dists)), donors.column("did").take(pick)]
+            row, value, col = _first(row, d[row, col], col, need)
+            finds.append((row + part.start, value, col))
+        return tuple(np.concatenate(x) for x in zip(*finds))
+    order, starts = _boxes(base, max(BOX_ROWS, 4 * need))
+    sorted_, ends = base[order], [*starts[1:], len(base)]
+    # a coordinate that is not a number is near nothing
+    low, high = np.fmin.reduceat(sorted_, starts), np.fmax.reduceat(sorted_, starts)
+    done = []
+    height = max(1, BOX_CELLS // len(starts))
+    for begin in range(0, len(points), height):
+        some = points[begin:begin + height]
+        away = np.zeros((len(some), len(starts)))
+        for j in range(base.shape[1]):
+            x = some[:, j, None]
+            step = np.maximum(low[:, j] - x, x - high[:, j])
+            np.maximum(step, 0.0, out=step)
+            step *= step
+            away += step
+        away = np.sqrt(away, out=away)
+        _count(tally, away.size)
+
+        def meetings(row: np.ndarray, box: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+            """Points, first donor and distances for each box that points meet."""
+            by = np.argsort(box, kind="stable")
+            row, box = row[by], box[by]
+            cuts = np.flatnonzero(np.r_[True, box[1:] != box[:-1]]) if len(box) else []
+            for at, stop in zip(cuts, [*cuts[1:], len(box)]):
+                b = box[at]
+                donors = sorted_[starts[b]:ends[b]]
+                _count(tally, (stop - at) * len(donors))
+                for part in _tiles(stop - at, len(donors)):
+                    who = row[at:stop][part]
+                    yield who, starts[b], _distances(some[who], donors)
+
+        # the box around a point, or the closest one, bounds the distance to the last of its neighbours
+        reach = np.full(len(some), np.nan)
+        for who, _, d in meetings(np.arange(len(some)), away.argmin(axis=1)):
+            reach[who] = np.partition(d, need - 1, axis=1)[:, need - 1]
+        limit = reach * (1 + 1e-9) + 2 * 10.0 ** -DISTANCE_DIGITS
+        held, n_held = [], 0
+        for who, first, d in meetings(*np.nonzero(away <= limit[:, None])):
+            line, place = np.nonzero(d <= limit[who][:, None])
+            held.append((who[line], np.round(d[line, place], DISTANCE_DIGITS), order[first + place]))
+            n_held += len(line)
+            if n_held > MAX_FINDS:
+                held = [_first(*(np.concatenate(x) for x in zip(*held)), need)]
+                n_held = len(held[0][0])
+        if held:
+            row, value, col = _first(*(np.concatenate(x) for x in zip(*held)), need)
+            done.append((row + begin, value, col))
+    if not done:
+        return np.zeros(0, dtype=int), np.zeros(0), np.zeros(0, dtype=int)
+    return tuple(np.concatenate(x) for x in zip(*done))
+
+
+def _local_top_k(need: int, payload: bool, shape: pa.Schema, tally):
+    """The best ``need`` donors of a leaf for each receiver that visits it."""
+
+    def search(receivers: pa.Table, donors: pa.Table) -> pa.Table:
+        if not len(receivers) or not len(donors):
+            return shape.empty_table()
+        donors = donors.take(pc.sort_indices(donors.column("did")))  # so the position decides between equal distances
+        row, dist, pick = _nearest(_matrix(receivers.column("vec")), _matrix(donors.column("dvec")), need, tally)
+        row, pick = pa.array(row), pa.array(pick)
+        found = [receivers.column("rep").take(row), pa.array(dist), donors.column("did").take(pick)]
         if payload:
             found.append(donors.column("payload").take(pick))
         return pa.table(found, names=shape.names).cast(shape)
@@ -201,31 +299,37 @@ class _Tree:
         by = ["grp", "path"]
         open_ = slim.withColumn("path", F.lit("")).withColumnRenamed("dvec", "vec")
         leaves, columns = None, open_.columns
-        size = settle(open_.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("leaf", F.col("n") <= chunk_rows))
+        size = settle(open_.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_copy") == 1).alias("vectors"))
+                      .withColumn("leaf", F.col("n") <= chunk_rows))
         self.roots = size.select("grp", "leaf")
         while True:
-            flagged = open_.join(size.select(*by, "leaf", "n"), by)
+            flagged = open_.join(size.select(*by, "leaf", "n", "vectors"), by)
             ready = flagged.where("leaf").select(columns)
             leaves = ready if leaves is None else leaves.unionByName(ready)
             if not size.where("NOT leaf").limit(1).count():
                 break
             open_ = flagged.where("NOT leaf")
             # a seeded draw of different vectors of each node; no more rows of a node than that leave a task
-            draw = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("did", F.lit("pivot")), "did"))
+            hashed = F.xxhash64("did", F.lit("pivot"))
+            draw = F.row_number().over(Window.partitionBy(*by).orderBy(hashed, "did"))
+            # hashes that about eight times as many vectors have as are drawn at most: others need not be sorted
+            low = F.col("vectors") <= 8 * max_pivots
+            likely = low | (hashed / F.lit(2.0 ** 64) + F.lit(0.5) < F.lit(8.0 * max_pivots) / F.col("vectors"))
             wanted = F.greatest(F.lit(2), F.least(F.lit(max_pivots), F.ceil(F.col("n") / donors_per_pivot)))
-            drawn = open_.where("_copy = 1").select(*by, "did", "vec", wanted.alias("_wanted")).withColumn("_draw", draw)
+            drawn = open_.where((F.col("_copy") == 1) & likely).select(*by, "did", "vec", wanted.alias("_wanted")).withColumn("_draw", draw)
             drawn = drawn.where((F.col("_draw") <= max_pivots) & (F.col("_draw") <= F.col("_wanted")))
             pivots = cut_lineage(drawn.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_draw", "vec"))).alias("_p"))
                                  .select(*by, F.col("_p.vec").alias("pivots")))
             shape = T.StructType(_plain(open_, *columns).fields + [T.StructField("child", T.IntegerType()), T.StructField("gap", T.DoubleType())])
             parts = cut_lineage(_meet(open_.select(columns), pivots, by, "did", block_rows, shape, _assigned(to_arrow_schema(shape), None)))
-            kids = parts.groupBy(*by, "child").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("outer"), F.min("gap").alias("inner"))
+            kids = parts.groupBy(*by, "child").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_copy") == 1).alias("vectors"),
+                                                   F.max("gap").alias("outer"), F.min("gap").alias("inner"))
             # parts that no distance can tell apart stay as they are
             kids = kids.withColumn("leaf", (F.col("n") <= chunk_rows) | (F.col("outer") == 0) | F.isnan("outer"))
             nodes = kids.groupBy(*by).agg(F.collect_list(F.struct("child", "n", "outer", "inner", "leaf")).alias("kids")).join(pivots, by)
             self.levels.append(cut_lineage(nodes))
             below = F.concat_ws(".", "path", F.col("child").cast("string"))
-            size = settle(kids.select("grp", below.alias("path"), "n", "leaf"))
+            size = settle(kids.select("grp", below.alias("path"), "n", "vectors", "leaf"))
             open_ = parts.withColumn("path", below).select(columns)
         self.placed = cut_lineage(leaves.drop("_copy").withColumnRenamed("vec", "dvec"))
 

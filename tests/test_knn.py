@@ -223,3 +223,50 @@ def test_no_row_is_shuffled_by_its_node_alone(spark):
         assert met.count() == 4_000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_leaf_is_searched_in_boxes(spark):
+    """A receiver meets the donors of a few boxes, also where most distances are equal; the answer is that of brute force."""
+    draw = np.random.default_rng(15)
+    points, asked = draw.uniform(0, 1, (20_000, 3)), draw.uniform(-0.2, 1.2, (300, 3))
+    points[:6_000] = np.round(points[:6_000], 1)  # a grid
+    asked[:100] = np.round(asked[:100], 1)
+    tally = spark.sparkContext.accumulator(0)
+    got = neighbours(k_nearest(frame(spark, np.arange(300), asked), frame(spark, np.arange(20_000) + 1000, points), 5,
+                               id_col="id", vector_col="vec", tally=tally))
+    assert tally.value / 300 < 1_500
+    for i in range(300):
+        d = np.round(np.sqrt(((points - asked[i]) ** 2).sum(axis=1)), 9)
+        assert got[i] == (np.argsort(d, kind="stable")[:5] + 1000).tolist()
+
+
+@pytest.mark.parametrize("n, spread, need", [(300, 1.0, 3), (3_000, 0.0, 40), (2_000, 1e7, 7)])
+def test_boxes_find_what_all_distances_tell(n, spread, need):
+    draw = np.random.default_rng(16)
+    base = np.round(draw.normal(0, 1, (n, 4)), 1) * [1, 1, spread, 1]
+    base[n // 2:n // 2 + 20, 1] = np.nan
+    points = np.concatenate([base[:50], draw.normal(0, 2, (50, 4)), np.full((1, 4), np.nan)])
+    row, dist, pick = knn._nearest(points, base, need, None)
+    for i in range(100):
+        d = np.round(knn._distances(points[i:i + 1], base)[0], 9)
+        wanted = [j for j in np.lexsort((np.arange(n), d)) if not np.isnan(d[j])][:need]
+        assert pick[row == i].tolist() == wanted and dist[row == i].tolist() == d[wanted].tolist()
+    assert not (row == 100).any()
+
+
+def test_fills_and_evaluation_share_a_search(spark, monkeypatch):
+    """Both together look through every known value once, and give what each gives by itself."""
+    draw = np.random.default_rng(17)
+    rows = [(i, int(a * 3) if i % 6 else None, float(round(b)), float(round(c, 1)) if i % 7 else None)
+            for i, (a, b, c) in enumerate(draw.normal(0, 5, (400, 3)))]
+    df = spark.createDataFrame(rows, "id int, n int, x double, y double")
+    seen, search = [], impute.k_nearest
+    monkeypatch.setattr(impute, "k_nearest", lambda ask, give, *a, **o: seen.append(give.count()) or search(ask, give, *a, **o))
+    filled, report = impute.apply_and_evaluate_knn_imputation(df, ["n", "y"], 0.2, 3, id_col="id")
+    assert sum(seen) == sum(r[1] is not None for r in rows) + sum(r[3] is not None for r in rows)
+    told = {r["column_name"]: r for r in report.collect()}
+    got = {r["id"]: r for r in filled.collect()}
+    for c in ("n", "y"):
+        alone = impute.evaluate_knn_imputation(df, c, 0.2, 3, id_col="id").first()
+        assert [told[c][m] for m in alone.asDict()] == list(alone)
+        assert {r["id"]: r[c] for r in impute.impute_knn(df, c, 3, id_col="id").collect()} == {i: r[c] for i, r in got.items()}
