@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tabwright.functions.state import dealt, local_frame, settle
 from tabwright.operators.encode import FeatureEncoder
+from tabwright.operators.forest import grow, grows_here
 from tabwright.operators.outliers import OutlierHandler
 from tabwright.operators.ranking import exact_quantiles
 
@@ -56,15 +57,21 @@ def fit_forest(df: DataFrame, features: Sequence[str], label_col: str, n_estimat
 
 def _grown(table: DataFrame, features: Sequence[str], label_col: str, n_estimators: int, max_depth: int, seed: int):
     """The forest on a stored table with a double as label."""
-    forest = RandomForestClassifier(
-        featuresCol="features", labelCol=label_col, numTrees=n_estimators, maxDepth=max_depth, seed=seed,
-        cacheNodeIds=remember_nodes(table.count(), n_estimators),
-    )
+    return trained(RandomForestClassifier(
+        featuresCol="features", labelCol=label_col, numTrees=n_estimators, maxDepth=max_depth, seed=seed), table, features)
+
+
+def trained(forest: RandomForestClassifier, table: DataFrame, features: Sequence[str]):
+    """The forest on a stored table, whose label is a double: grown from counted cells, or by Spark's trainer where that has other settings."""
+    n_rows, label_col = table.count(), forest.getLabelCol()
+    if grows_here(forest, len(features)):
+        return grow(table, features, label_col, forest, n_rows)
+    forest.setCacheNodeIds(remember_nodes(n_rows, forest.getNumTrees()))
     return forest.fit(assembled(table, features).select("features", label_col))
 
 
 def remember_nodes(n_rows: int, n_estimators: int) -> bool:
-    """Whether rows keep the node they have reached: it spares the way down from the root, but takes memory. The forest is the same."""
+    """Whether rows of Spark's trainer keep the node they have reached: it spares the way down from the root, but takes memory. The forest is the same."""
     return n_rows * n_estimators <= NODE_IDS
 
 

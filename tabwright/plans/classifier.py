@@ -14,7 +14,7 @@ from tabwright.functions.state import cut_lineage, dealt, local_frame
 from tabwright.functions.types import get_numerical_features
 from tabwright.operators.balance import SMOTEBalancer
 from tabwright.operators.encode import FeatureEncoder
-from tabwright.operators.importance import assembled, remember_nodes
+from tabwright.operators.importance import assembled, trained
 from tabwright.operators.outliers import OutlierHandler
 from tabwright.operators.split import class_counts
 
@@ -119,19 +119,18 @@ class TabularClassifier(Estimator):
                 smote = SMOTEBalancer(**{"random_state": self.seed, **self._of("smote")})
                 table = smote.fit_resample(table, features, self.label_col, self.id_col, near)
             index = F.create_map(*chain.from_iterable((F.lit(c), F.lit(float(i))) for i, c in enumerate(classes)))
-            train = assembled(
-                table.select(*features, F.try_element_at(index, F.col(self.label_col)).alias(INDEX_COL)), features
-            ).select("features", INDEX_COL)
+            train = table.select(*features, F.try_element_at(index, F.col(self.label_col)).alias(INDEX_COL))
             # the trainer reads its input many times; synthetic rows are not made twice for the sake of their number
             return dealt(cut_lineage(train) if self.oversample else train)
 
         train = node(("balance", clip, encode, balance), balanced)
         learner = MODELS[self.model](**{"random_state": self.seed, **self._of("classifier")})
-        if isinstance(learner, RandomForestClassifier):
-            learner.setCacheNodeIds(remember_nodes(train.count(), learner.getNumTrees()))
-        fitted = learner.fit(train)
         outliers, _ = node(("clip", clip), clipped)
         encoder, _, features, classes = node(("encode", clip, encode), encoded)
+        if isinstance(learner, RandomForestClassifier):
+            fitted = trained(learner, train, features)
+        else:
+            fitted = learner.fit(assembled(train, features).select("features", INDEX_COL))
         return TabularClassifierModel(outliers, encoder, features, classes, fitted, self.ignore)
 
     def most_neighbours(self) -> int:
