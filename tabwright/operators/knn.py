@@ -37,12 +37,12 @@ DONORS_PER_PIVOT = 8_000
 # Most donors of a leaf, and most rows that meet a node or leaf in one call.
 CHUNK_ROWS = 32_000
 BLOCK_ROWS = 20_000
-TILE_CELLS = 1_000_000
+TILE_CELLS = 131_072
 # Donors of a box in a leaf, and of a leaf that is searched without boxes.
 BOX_ROWS = 64
 PLAIN_ROWS = 256
 # Receivers times boxes at a time, and finds kept before the best of them are picked.
-BOX_CELLS = 4_000_000
+BOX_CELLS = 1_000_000
 MAX_FINDS = 2_000_000
 DISTANCE_DIGITS = 9
 NO_GROUP = "\0"
