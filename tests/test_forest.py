@@ -120,7 +120,11 @@ def elimination(df):
     return importance.recursive_elimination(df, NAMES, "y", 3, 5, 4)
 
 
-@pytest.mark.parametrize("use", [elimination])
+def ranking(df):
+    return importance.forest_importance(df, NAMES, "y", 5, 4)
+
+
+@pytest.mark.parametrize("use", [elimination, ranking])
 def test_every_use_of_a_forest_is_grown_from_cells(rows, monkeypatch, use):
     """None of them goes to Spark's trainer, whose work grows with rows times trees times levels."""
     def refuse(*_):
