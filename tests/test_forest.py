@@ -124,7 +124,13 @@ def ranking(df):
     return importance.forest_importance(df, NAMES, "y", 5, 4)
 
 
-@pytest.mark.parametrize("use", [elimination, ranking])
+def permutation(df):
+    model = importance.fit_forest(df, NAMES, "y", 5, 4)
+    return importance.permutation_importance(df, lambda r: model.transform(importance.assembled(r, NAMES)), NAMES, "y", id_col="id",
+                                             n_repeats=2, thresholds=importance.split_points(model, NAMES))
+
+
+@pytest.mark.parametrize("use", [elimination, ranking, permutation])
 def test_every_use_of_a_forest_is_grown_from_cells(rows, monkeypatch, use):
     """None of them goes to Spark's trainer, whose work grows with rows times trees times levels."""
     def refuse(*_):
