@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.state import dealt
 from tabwright.operators import forest, importance
+from tabwright.plans import bias
 
 NAMES = ["a", "b", "c", "d"]
 
@@ -130,7 +131,11 @@ def permutation(df):
                                              n_repeats=2, thresholds=importance.split_points(model, NAMES))
 
 
-@pytest.mark.parametrize("use", [elimination, ranking, permutation])
+def mitigation(df):
+    return bias.mitigate_bias(df.withColumn("y", F.col("y").cast("int")), ["d"], "y", "id", n_estimators=5, max_depth=4)["comparison"]
+
+
+@pytest.mark.parametrize("use", [elimination, ranking, permutation, mitigation])
 def test_every_use_of_a_forest_is_grown_from_cells(rows, monkeypatch, use):
     """None of them goes to Spark's trainer, whose work grows with rows times trees times levels."""
     def refuse(*_):
