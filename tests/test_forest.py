@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.state import dealt
 from tabwright.operators import forest, importance
 from tabwright.plans import bias
+from tabwright.plans.classifier import TabularClassifier
 
 NAMES = ["a", "b", "c", "d"]
 
@@ -135,7 +136,11 @@ def mitigation(df):
     return bias.mitigate_bias(df.withColumn("y", F.col("y").cast("int")), ["d"], "y", "id", n_estimators=5, max_depth=4)["comparison"]
 
 
-@pytest.mark.parametrize("use", [elimination, ranking, permutation, mitigation])
+def oversampling(df):
+    return TabularClassifier("y", "id", model="random_forest", params={"classifier__n_estimators": 5, "smote__k_neighbors": 3}).fit(df).transform(df)
+
+
+@pytest.mark.parametrize("use", [elimination, ranking, permutation, mitigation, oversampling])
 def test_every_use_of_a_forest_is_grown_from_cells(rows, monkeypatch, use):
     """None of them goes to Spark's trainer, whose work grows with rows times trees times levels."""
     def refuse(*_):
